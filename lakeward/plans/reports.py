@@ -1,24 +1,32 @@
-"""Relational results of the gate over the orders day-batch feed.
+"""Relational results of the gate over the given tables.
 
-Each function takes (spark, sf_dir) and returns a lazy DataFrame. They are
-the same stage functions the gate run uses (observe -> diff -> decide ->
-audit -> project), read from the given tables and never written, so the
-suite can check them against SQL. Lists are rendered as comma strings and
-counts as bigint so both sides compare as plain values.
+Each function takes (spark, sf_dir) and returns a lazy DataFrame. They use
+the same stage functions as the gate run (observe -> diff -> decide ->
+audit -> project), read from the given tables and not written, so the suite
+can check them against SQL. Lists are rendered as comma strings and counts as
+bigint, so both sides compare as plain values.
+
+Most results are over ``orders`` landed as one batch per order date (see
+``orders_feed``): 2,399 batches at sf0.01, all gated in one job.
 """
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeward.functions import exprs as X
+from lakeward.operators import audit as A
 from lakeward.operators import contracts as C
 from lakeward.operators import diff as D
 from lakeward.operators import project as P
+from lakeward.plans import feeds as FD
 from lakeward.plans import orders_feed as OF
 
 RUN_ID = "orders-day-batches"
+EVENT_TIME = datetime(2026, 10, 1, tzinfo=timezone.utc)
 
 
 def _active(spark: SparkSession, contracts, layer: str) -> DataFrame:
@@ -26,19 +34,92 @@ def _active(spark: SparkSession, contracts, layer: str) -> DataFrame:
     return frame
 
 
-def decisions(spark: SparkSession, sf_dir: str, contracts=None, layer: str = "silver") -> DataFrame:
+def _orders(spark, sf_dir):
+    return OF.load_orders(spark, sf_dir)
+
+
+def decisions(spark: SparkSession, sf_dir: str, contracts=None, layer: str = "silver",
+              observed: DataFrame | None = None) -> DataFrame:
     contracts = contracts or [OF.silver_v1(), OF.gold_v1()]
-    observed = OF.observed(OF.load_orders(spark, sf_dir))
+    if observed is None:
+        observed = OF.observed(_orders(spark, sf_dir))
     return D.gate_decisions(observed, _active(spark, contracts, layer))
 
 
-def _decision_view(dec: DataFrame) -> DataFrame:
-    return dec.select(
-        "batch_id", "decision", "contract_version",
+def _texts(dec: DataFrame) -> list:
+    return [
         X.comma_list(F.col("added_fields")).alias("added"),
         X.comma_list(F.col("missing_fields")).alias("missing"),
         X.changed_text(F.col("changed_fields")).alias("changed"),
+    ]
+
+
+def _decision_view(dec: DataFrame) -> DataFrame:
+    return dec.select("batch_id", "decision", "contract_version", *_texts(dec))
+
+
+def _allowed(dec: DataFrame) -> DataFrame:
+    return dec.where(F.col("decision") == X.ALLOW).select("batch_id")
+
+
+# ---------------------------------------------------------------- contracts
+
+def _impact(spark, sf_dir, contracts: DataFrame) -> DataFrame:
+    """Evaluate every given contract version against every batch in one job."""
+    observed = OF.observed(_orders(spark, sf_dir))
+    dec = D.gate_decisions(observed, F.broadcast(contracts))
+    return dec.groupBy("dataset", "layer", "contract_version").agg(
+        F.count_if(F.col("decision") == X.ALLOW).cast("bigint").alias("allowed_batches"),
+        F.count_if(F.col("decision") == X.QUARANTINE).cast("bigint").alias("quarantined_batches"),
+    )
+
+
+def _registry(spark):
+    return C.contracts_frame(spark, [OF.silver_v1(), OF.silver_v2(), OF.gold_v1()])
+
+
+def contract_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Active contract per (dataset, layer) after the approval, with what it
+    admits of the feed."""
+    active = C.active_contracts(_registry(spark))
+    view = active.select(
+        "dataset", "layer", "contract_version",
+        X.schema_text(F.col("approved_schema")).alias("fields"),
+        F.array_join("required_fields", ",").alias("required"),
+        F.array_join("allowed_changes", ",").alias("allowed_changes"),
+        "owner",
     )
+    return view.join(_impact(spark, sf_dir, active), ["dataset", "layer", "contract_version"])
+
+
+def contract_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every registered version, the version list of its layer, whether it is
+    active, and what it admits of the feed."""
+    registry = _registry(spark)
+    hist = C.contract_history(registry)
+    active = C.active_contracts(registry).select("dataset", "layer", F.col("contract_version").alias("active"))
+    return (
+        registry.select("dataset", "layer", "contract_version")
+        .join(hist, ["dataset", "layer"])
+        .join(active, ["dataset", "layer"])
+        .join(_impact(spark, sf_dir, registry), ["dataset", "layer", "contract_version"])
+        .select("dataset", "layer", "contract_version",
+                F.array_join(F.col("versions").cast("array<string>"), ",").alias("versions"),
+                (F.col("contract_version") == F.col("active")).alias("is_active"),
+                "allowed_batches", "quarantined_batches")
+    )
+
+
+# ------------------------------------------------------------ diff/decision
+
+def observed_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    obs = OF.observed(_orders(spark, sf_dir))
+    return D.observed_fields(obs).select("batch_id", "ordinal", "name", "data_type")
+
+
+def schema_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dec = decisions(spark, sf_dir)
+    return dec.select("batch_id", *_texts(dec), "reason")
 
 
 def gate_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,15 +132,208 @@ def gate_decision_v2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _decision_view(decisions(spark, sf_dir, [OF.silver_v1(), OF.silver_v2(), OF.gold_v1()]))
 
 
+def rename_not_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches where a field is gone and another arrived: never a rename."""
+    dec = decisions(spark, sf_dir).where((F.size("missing_fields") > 0) & (F.size("added_fields") > 0))
+    return dec.select("batch_id", "decision", *_texts(dec)[:2])
+
+
+def additive_approval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """v1 fields + an ``additive:`` token: the added column is admitted by the
+    decision and dropped by the projection."""
+    contract = OF.silver_token_only()
+    dec = decisions(spark, sf_dir, [OF.silver_v1(), contract])
+    allowed = dec.where(F.col("decision") == X.ALLOW)
+    projected = P.project_to_contract(P.admitted(OF.rows(_orders(spark, sf_dir)), allowed), contract.fields)
+    counts = projected.groupBy("batch_id").agg(F.count("*").alias("n_rows"))
+    return allowed.select("batch_id", "decision", X.comma_list(F.col("added_fields")).alias("added")) \
+        .join(counts, "batch_id").withColumn("silver_columns", F.lit(",".join(projected.columns)))
+
+
+# -------------------------------------------------------------------- audit
+
+def _events(spark, sf_dir, observed=None) -> DataFrame:
+    dec = decisions(spark, sf_dir, observed=observed)
+    return A.audit_events(dec, run_id=RUN_ID, event_time=EVENT_TIME)
+
+
+def audit_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = _events(spark, sf_dir)
+    return ev.select(
+        "event_id", "dataset", "layer", "batch_id", "run_id",
+        X.schema_text(F.col("expected_schema")).alias("expected_schema"),
+        X.schema_text(F.col("observed_schema")).alias("observed_schema"),
+        X.comma_list(F.col("added_fields")).alias("added_fields"),
+        X.comma_list(F.col("missing_fields")).alias("missing_fields"),
+        X.changed_text(F.col("changed_fields")).alias("changed_fields"),
+        "decision", "contract_version", "bronze_path",
+    )
+
+
+def audit_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.audit_summary(_events(spark, sf_dir))
+
+
+def audit_leak_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customer names found as whole tokens in audit events.
+
+    The orders events hold none. One more batch is planted whose batch id
+    is the name of the customer with the smallest key (a feed that names its
+    files after a value), and the scan must find exactly that event.
+    """
+    customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    orders_obs = OF.observed(_orders(spark, sf_dir))
+    planted = customer.agg(F.min_by("c_name", "c_custkey").alias("batch_id")).select(
+        F.lit(OF.DATASET).alias("dataset"), "batch_id",
+        F.concat(F.lit(f"incoming/{OF.DATASET}/"), "batch_id", F.lit(".csv")).alias("bronze_path"),
+        F.array(*[F.struct(F.lit(f.name).alias("name"), F.lit(f.data_type).alias("data_type"))
+                  for f in OF.V1_FIELDS]).alias("observed_schema"),
+    )
+    events = _events(spark, sf_dir, observed=orders_obs.unionByName(planted))
+    sensitive = customer.select(F.col("c_name").alias("value"), F.lit("customer.c_name").alias("source"))
+    return A.leak_scan(events, sensitive)
+
+
+def quarantine_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = _events(spark, sf_dir).where(F.col("decision") == X.QUARANTINE)
+    return ev.select(
+        "batch_id", "decision",
+        X.comma_list(F.col("added_fields")).alias("added_fields"),
+        X.comma_list(F.col("missing_fields")).alias("missing_fields"),
+        X.changed_text(F.col("changed_fields")).alias("changed_fields"),
+        "bronze_path",
+        X.reason(F.col("added_fields"), F.col("missing_fields"), F.col("changed_fields")).alias("reason"),
+    )
+
+
+# --------------------------------------------------------------- row path
+
 def silver_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows admitted under silver v1, projected and cast to the contract."""
     dec = decisions(spark, sf_dir)
-    allowed = dec.where(F.col("decision") == X.ALLOW)
-    rows = OF.rows(OF.load_orders(spark, sf_dir))
-    return P.project_to_contract(P.admitted(rows, allowed), OF.silver_v1().fields)
+    rows = OF.rows(_orders(spark, sf_dir))
+    return P.project_to_contract(P.admitted(rows, _allowed(dec)), OF.silver_v1().fields)
+
+
+def _per_batch(frame: DataFrame, *extra) -> DataFrame:
+    return frame.groupBy("batch_id", *extra).agg(
+        F.count("*").alias("n_rows"),
+        F.sum("o_totalprice").cast("decimal(38,2)").alias("sum_totalprice"),
+    )
+
+
+def silver_promote(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per admitted batch: rows and the decimal total written to silver."""
+    return _per_batch(silver_rows(spark, sf_dir))
+
+
+def _silver_after_replay(spark, sf_dir) -> DataFrame:
+    """Silver after the v1 run and the replay of its held batches under v2.
+
+    v1 batches read the column added later as NULL (the table evolved by
+    ALTER TABLE); replayed batches carry it.
+    """
+    orders = _orders(spark, sf_dir)
+    observed = OF.observed(orders)
+    rows = OF.rows(orders)
+    v1, v2 = OF.silver_v1(), OF.silver_v2()
+    dec1 = decisions(spark, sf_dir, [v1], observed=observed)
+    held = observed.join(dec1.where(F.col("decision") == X.QUARANTINE).select("batch_id"), "batch_id", "left_semi")
+    dec2 = decisions(spark, sf_dir, [v1, v2], observed=held)
+    first = P.project_to_contract(P.admitted(rows, _allowed(dec1)), v1.fields) \
+        .withColumn("contract_version", F.lit(v1.version))
+    replay = P.project_to_contract(P.admitted(rows, _allowed(dec2)), v2.fields) \
+        .withColumn("contract_version", F.lit(v2.version))
+    return first.unionByName(replay, allowMissingColumns=True)
+
+
+def silver_replay_v2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    silver = _silver_after_replay(spark, sf_dir)
+    return silver.groupBy("batch_id", "contract_version").agg(
+        F.count("*").alias("n_rows"),
+        F.count("o_orderpriority").alias("n_priority"),
+        F.sum("o_totalprice").cast("decimal(38,2)").alias("sum_totalprice"),
+    )
+
+
+def gold_release(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every silver batch after the replay, released on gold v1 columns."""
+    gold = P.project_to_contract(_silver_after_replay(spark, sf_dir), OF.gold_v1().fields, cast=False)
+    return _per_batch(gold).withColumn("gold_columns", F.lit(",".join(gold.columns)))
+
+
+def gold_release_blocked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A release of every day batch: those without silver rows stop it."""
+    requested = OF.observed(_orders(spark, sf_dir)).select("batch_id")
+    present = _silver_after_replay(spark, sf_dir).select("batch_id").distinct()
+    return requested.join(present, "batch_id", "left_anti").withColumn("reason", F.lit("no silver rows"))
+
+
+def cast_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values of every batch that the v1 contract types would reject."""
+    return P.cast_failures(OF.rows(_orders(spark, sf_dir)), OF.silver_v1().fields)
+
+
+def layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per layer before and after the approval (gold is released from
+    silver batch by batch, so it follows silver)."""
+    before = silver_rows(spark, sf_dir)
+    after = _silver_after_replay(spark, sf_dir)
+    gold_before = P.project_to_contract(before, OF.gold_v1().fields, cast=False)
+    gold_after = P.project_to_contract(after, OF.gold_v1().fields, cast=False)
+    parts = [
+        ("silver", "before_approval", before), ("gold", "before_approval", gold_before),
+        ("silver", "after_approval", after), ("gold", "after_approval", gold_after),
+    ]
+    out = None
+    for layer, stage, frame in parts:
+        agg = frame.agg(F.count("*").alias("rows")).select(
+            F.lit(layer).alias("layer"), F.lit(stage).alias("stage"), "rows")
+        out = agg if out is None else out.unionByName(agg)
+    return out
+
+
+def feed_schema_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All given tables gated at once, each against its own contract; rows of
+    admitted feeds are projected on their contracts and counted."""
+    frames = FD.load(spark, sf_dir)
+    observed = FD.observed_schemas(spark, frames)
+    registry = C.contracts_frame(spark, FD.FEED_CONTRACTS)
+    active, _ = C.active_contracts_for(spark, registry, "silver", list(FD.TABLES))
+    dec = D.gate_decisions(observed, active)
+    allowed = {r["dataset"] for r in dec.where(F.col("decision") == X.ALLOW).select("dataset").collect()}
+    counts = None
+    for name in FD.TABLES:
+        if name not in allowed:
+            continue
+        projected = P.project_to_contract(FD.stamp(frames, name), FD.contract_fields(name))
+        c = projected.agg(F.count("*").alias("rows_promoted")).select(F.lit(name).alias("dataset"), "rows_promoted")
+        counts = c if counts is None else counts.unionByName(c)
+    view = dec.select("dataset", "decision", *_texts(dec))
+    if counts is None:
+        return view.withColumn("rows_promoted", F.lit(0).cast("bigint"))
+    return view.join(counts, "dataset", "left").fillna(0, ["rows_promoted"])
 
 
 REPORTS = {
+    "contract_latest": contract_latest,
+    "contract_history": contract_history,
+    "observed_fields": observed_fields,
+    "schema_diff": schema_diff,
     "gate_decision": gate_decision,
     "gate_decision_v2": gate_decision_v2,
+    "rename_not_inferred": rename_not_inferred,
+    "additive_approval": additive_approval,
+    "audit_events": audit_events,
+    "audit_summary": audit_summary,
+    "audit_leak_scan": audit_leak_scan,
+    "quarantine_rows": quarantine_rows,
+    "silver_rows": silver_rows,
+    "silver_promote": silver_promote,
+    "silver_replay_v2": silver_replay_v2,
+    "gold_release": gold_release,
+    "gold_release_blocked": gold_release_blocked,
+    "cast_failures": cast_failures,
+    "layer_counts": layer_counts,
+    "feed_schema_gate": feed_schema_gate,
 }
