@@ -8,6 +8,7 @@ so nothing evolves silently.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -174,14 +175,35 @@ def ensure_table(spark: SparkSession, table: str, fields) -> list[str]:
     return added
 
 
-def append_batches(frame: DataFrame, table: str) -> None:
-    """Append by name, partitioned by batch_id.
+@contextmanager
+def session_conf(spark: SparkSession, conf: dict):
+    """Set session settings for the duration of one write, then restore them."""
+    prev = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in prev.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
 
-    The rebalance hint lets AQE split a batch holding many rows into several
-    tasks and pack small batches together, so file sizes stay even.
-    """
-    frame.hint("rebalance", "batch_id").write.mode("append").partitionBy("batch_id").format("parquet") \
-        .saveAsTable(table)
+
+# Layer writes: the rebalance shuffle on batch_id keeps AQE's skew split (a
+# batch above the advisory size is cut into several tasks and files) but not
+# its partition coalescing, which for many small batches would leave one task
+# creating every batch's file in turn.
+_WRITE_CONF = {"spark.sql.adaptive.coalescePartitions.enabled": "false"}
+
+
+def append_batches(frame: DataFrame, table: str) -> None:
+    """Append by name, partitioned by batch_id, one rebalance shuffle on
+    batch_id before the write."""
+    with session_conf(frame.sparkSession, _WRITE_CONF):
+        frame.hint("rebalance", "batch_id").write.mode("append").partitionBy("batch_id").format("parquet") \
+            .saveAsTable(table)
 
 
 def replace_batches(frame: DataFrame, table: str) -> None:
@@ -190,12 +212,12 @@ def replace_batches(frame: DataFrame, table: str) -> None:
     spark = frame.sparkSession
     view = f"_lakeward_replace_{abs(hash(table))}"
     frame.hint("rebalance", "batch_id").createOrReplaceTempView(view)
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    conf = dict(_WRITE_CONF)
+    conf["spark.sql.sources.partitionOverwriteMode"] = "dynamic"
     try:
-        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION (batch_id) BY NAME SELECT * FROM {view}")
+        with session_conf(spark, conf):
+            spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION (batch_id) BY NAME SELECT * FROM {view}")
     finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
         spark.catalog.dropTempView(view)
 
 
