@@ -48,13 +48,25 @@ def _read_headers(batches):
 
 
 def list_files(spark: SparkSession, paths, glob: str = "*.csv") -> DataFrame:
-    """File listing (path, length) without reading contents."""
+    """One row per file (``path``), empty files included.
+
+    The paths come from Spark's file index, which the driver builds for any
+    file scan anyway; a binaryFile scan would skip 0-byte files, whose
+    batches must still be observed (as an empty header).
+    """
     if isinstance(paths, str):
         paths = [paths]
     reader = spark.read.format("binaryFile")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return reader.load(list(paths)).select("path", "length")
+    found = sorted(canonical_path(p) for p in reader.load(list(paths)).inputFiles())
+    return spark.createDataFrame([(p,) for p in found], "path string")
+
+
+def canonical_path(path: str) -> str:
+    """``file:///x`` and ``file:/x`` name the same file; Spark's scan
+    metadata uses the short form."""
+    return re.sub(r"^file:/+", "file:/", path)
 
 
 def batch_id_of(path: Column, suffix: str = ".csv") -> Column:
@@ -84,7 +96,7 @@ def observe_headers(spark: SparkSession, paths, dataset: str, type_overrides: di
     ``batch_ids`` maps a file name to a batch id; by default the id is the
     file name without ``.csv``. An empty file has an empty header.
     """
-    files = list_files(spark, paths, glob).select("path")
+    files = list_files(spark, paths, glob)
     headers = files.mapInPandas(_read_headers, HEADER_SCHEMA)
     if batch_ids:
         kv = []
@@ -133,7 +145,8 @@ class CsvFeed:
         for header, files in groups.items():
             paths = [p for p, _ in files]
             mapping = self.spark.createDataFrame(files, "file_path string, batch_id string")
-            df = self.reader().csv(paths).select("*", F.col("_metadata.file_path").alias("file_path"))
+            file_path = F.regexp_replace(F.col("_metadata.file_path"), r"^file:/+", "file:/")
+            df = self.reader().csv(paths).select("*", file_path.alias("file_path"))
             frames.append(df.join(F.broadcast(mapping), "file_path", "inner").drop("file_path"))
         if not frames:
             return self.spark.createDataFrame([], "batch_id string")
