@@ -120,6 +120,10 @@ def gate_batches(
     """Gate every batch of ``observed`` (dataset, batch_id, observed_schema
     [, bronze_path]) in one run. ``rows_for(dataset, allowed)`` returns the
     rows (with ``batch_id``) of the allowed batches of a dataset.
+
+    Rerunning a ``run_id`` that already recorded its events is a resume: the
+    recorded decisions are reused and the allowed batches are replaced, so a
+    run that failed after ACTION 1 can simply be run again.
     """
     if on_replay not in ("append", "replace"):
         raise ValueError("on_replay must be 'append' or 'replace'")
@@ -139,21 +143,28 @@ def gate_batches(
             if lacking:
                 raise P.ProjectionError(f"Gold contract of {d} needs columns silver does not hold: {lacking}")
 
-    # ACTION 1: audit events, before any data write.
-    decisions = D.gate_decisions(observed, silver_active)
-    events = A.audit_events(decisions, run_id=run_id, event_time=event_time)
-    A.assert_no_leaks(events, sensitive, banned_patterns)
-    events.select(*[c for c in A.EVENT_COLUMNS if c != "run_id"], "run_id") \
-        .write.mode("append").partitionBy("run_id").format("parquet").saveAsTable(names.audit)
-
     recorded = spark.table(names.audit).where(F.col("run_id") == run_id)
+    resumed = recorded.limit(1).count() > 0
+    if resumed:
+        # The run already recorded its decisions (a retry after a failure
+        # between the audit write and the data writes): keep those events,
+        # and rewrite the data of its allowed batches instead of appending.
+        on_replay = "replace"
+    else:
+        # ACTION 1: audit events, before any data write.
+        decisions = D.gate_decisions(observed, silver_active)
+        events = A.audit_events(decisions, run_id=run_id, event_time=event_time)
+        A.assert_no_leaks(events, sensitive, banned_patterns)
+        events.select(*[c for c in A.EVENT_COLUMNS if c != "run_id"], "run_id") \
+            .write.mode("append").partitionBy("run_id").format("parquet").saveAsTable(names.audit)
+
     result = GateResult(run_id)
     for r in recorded.groupBy("dataset", "decision").agg(F.count("*").alias("n")).collect():
         result.decisions[(r["dataset"], r["decision"])] = r["n"]
 
     # ACTION 2: quarantine pointers.
     for d in datasets:
-        if result.decisions.get((d, X.QUARANTINE), 0):
+        if result.decisions.get((d, X.QUARANTINE), 0) and not resumed:
             table = names.quarantine(d)
             TB.ensure_quarantine_table(spark, table)
             held = recorded.where((F.col("dataset") == d) & (F.col("decision") == X.QUARANTINE))
