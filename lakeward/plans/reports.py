@@ -275,22 +275,22 @@ def cast_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows per layer before and after the approval (gold is released from
-    silver batch by batch, so it follows silver)."""
-    before = silver_rows(spark, sf_dir)
+    """Rows per layer before and after the approval, in one aggregation over
+    silver after the replay: rows judged by v1 are what silver held before
+    the approval; gold is the same batches projected on the gold contract."""
     after = _silver_after_replay(spark, sf_dir)
-    gold_before = P.project_to_contract(before, OF.gold_v1().fields, cast=False)
-    gold_after = P.project_to_contract(after, OF.gold_v1().fields, cast=False)
-    parts = [
-        ("silver", "before_approval", before), ("gold", "before_approval", gold_before),
-        ("silver", "after_approval", after), ("gold", "after_approval", gold_after),
-    ]
-    out = None
-    for layer, stage, frame in parts:
-        agg = frame.agg(F.count("*").alias("rows")).select(
-            F.lit(layer).alias("layer"), F.lit(stage).alias("stage"), "rows")
-        out = agg if out is None else out.unionByName(agg)
-    return out
+    gold = P.project_to_contract(after, OF.gold_v1().fields, cast=False)
+    v1 = F.col("contract_version") == OF.silver_v1().version
+    counts = after.select("contract_version", *[F.col(c).alias(f"g_{c}") for c in gold.columns]).agg(
+        F.count_if(v1).alias("silver_before"), F.count("*").alias("silver_after"),
+        F.count_if(v1 & F.col("g_batch_id").isNotNull()).alias("gold_before"),
+        F.count("g_batch_id").alias("gold_after"),
+    )
+    stack = F.explode(F.array(*[
+        F.struct(F.lit(layer).alias("layer"), F.lit(stage).alias("stage"), F.col(f"{layer}_{key}").alias("rows"))
+        for layer in ("silver", "gold") for stage, key in (("before_approval", "before"), ("after_approval", "after"))
+    ]))
+    return counts.select(stack.alias("s")).select("s.layer", "s.stage", F.col("s.rows").cast("bigint").alias("rows"))
 
 
 def feed_schema_gate(spark: SparkSession, sf_dir: str) -> DataFrame:

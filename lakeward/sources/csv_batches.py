@@ -22,6 +22,10 @@ from pyspark.sql import functions as F
 
 HEADER_SCHEMA = "path string, header array<string>"
 
+# A header group's path -> batch map is broadcast up to this many files (its
+# length is known on the driver); beyond it the join shuffles.
+MAX_BROADCAST_FILES = 1_000_000
+
 
 def _open_text(path: str):
     if path.startswith("file:"):
@@ -145,9 +149,11 @@ class CsvFeed:
         for header, files in groups.items():
             paths = [p for p, _ in files]
             mapping = self.spark.createDataFrame(files, "file_path string, batch_id string")
+            if len(files) <= MAX_BROADCAST_FILES:
+                mapping = F.broadcast(mapping)
             file_path = F.regexp_replace(F.col("_metadata.file_path"), r"^file:/+", "file:/")
             df = self.reader().csv(paths).select("*", file_path.alias("file_path"))
-            frames.append(df.join(F.broadcast(mapping), "file_path", "inner").drop("file_path"))
+            frames.append(df.join(mapping, "file_path", "inner").drop("file_path"))
         if not frames:
             return self.spark.createDataFrame([], "batch_id string")
         out = frames[0]
