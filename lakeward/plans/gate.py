@@ -193,16 +193,14 @@ def gate_batches(
         table = names.silver(d)
         TB.ensure_table(spark, table, fields)
         keys = allowed.select("batch_id", "bronze_path")
-        n_written, err = _write_silver(spark, rows_for(d, keys), keys, n_allowed, fields, table, on_replay,
-                                       precheck_casts)
+        written, n_written, err = _write_silver(spark, rows_for(d, keys), allowed, n_allowed, fields, table,
+                                                on_replay, precheck_casts, names.quarantine(d))
         if err:
             errors.append(err)
         result.silver_batches[d] = n_written
         if promote_gold and n_written:
-            written = keys if err is None else keys.join(_failed_keys(err, spark), "batch_id", "left_anti")
-            result.gold_batches[d] = release_gold(spark, d, written.select("batch_id"), names=names,
-                                                  on_replay=on_replay, n_batches=n_written,
-                                                  active=gold_rows[d], require_rows=False)
+            result.gold_batches[d] = release_gold(spark, d, written, names=names, on_replay=on_replay,
+                                                  n_batches=n_written, active=gold_rows[d], require_rows=False)
 
     if fail_on_quarantine and result.count(X.QUARANTINE):
         held = recorded.where(F.col("decision") == X.QUARANTINE)
@@ -213,38 +211,48 @@ def gate_batches(
     return result
 
 
-def _failed_keys(err: CastFailureError, spark: SparkSession) -> DataFrame:
-    return err.failed_frame if hasattr(err, "failed_frame") else spark.createDataFrame([], "batch_id string")
+def _write_silver(spark, rows, allowed, n_allowed, fields, table, on_replay, precheck, quarantine_table):
+    """Project + cast + write; returns (written batch ids, count, error).
 
-
-def _write_silver(spark, rows, keys, n_allowed, fields, table, on_replay, precheck):
-    """Project + cast + write. Casts are tried optimistically: a failing
-    ANSI cast aborts the write job, which commits nothing; only then are the
-    failing batches found (one aggregation), held, and the rest written."""
-    admitted = P.admitted(rows, keys, n_allowed)
+    Casts are tried optimistically: a value that does not cast aborts the
+    write job, which then commits nothing. Only then are the failing batches
+    found (one aggregation with partial counts), held with a quarantine row
+    (reason ``cast_failure:<columns>``), and the other batches written. The
+    held set is read back from that table, so it is not recomputed.
+    """
+    keys = allowed.select("batch_id")
     write = TB.replace_batches if on_replay == "replace" else TB.append_batches
     if not precheck:
         try:
-            write(P.project_to_contract(admitted, fields), table)
-            return n_allowed, None
+            write(P.project_to_contract(P.admitted(rows, keys, n_allowed), fields), table)
+            return keys, n_allowed, None
         except Exception as exc:  # noqa: BLE001 - narrowed by the error class below
             if not _is_cast_error(exc):
                 raise
-    failures = P.cast_failures(admitted, fields)
-    failed = failures.select("batch_id").distinct()
-    n_failed = failed.count()
-    if n_failed == 0:
-        write(P.project_to_contract(admitted, fields), table)
-        return n_allowed, None
+    failures = P.cast_failures(P.admitted(rows, keys, n_allowed), fields)
+    per_batch = failures.groupBy("batch_id").agg(
+        F.concat(F.lit("cast_failure:"), F.array_join(F.array_sort(F.collect_list("column_name")), ","))
+        .alias("reason"))
+    run_id = allowed.select("run_id").limit(1).collect()[0]["run_id"]
+    TB.ensure_quarantine_table(spark, quarantine_table)
+    allowed.join(per_batch, "batch_id").select(
+        "batch_id", F.lit(X.QUARANTINE).alias("decision"), "added_fields", "missing_fields", "changed_fields",
+        "bronze_path", "event_time", "run_id", "reason",
+    ).write.mode("append").format("parquet").saveAsTable(quarantine_table)
+    held = spark.table(quarantine_table).where(
+        (F.col("run_id") == run_id) & F.col("reason").startswith("cast_failure:")).select("batch_id")
+    n_held = held.count()
+    if n_held == 0:
+        write(P.project_to_contract(P.admitted(rows, keys, n_allowed), fields), table)
+        return keys, n_allowed, None
     sample = [(r["batch_id"], r["column_name"], r["failures"])
-              for r in failures.orderBy("batch_id", "column_name").limit(MESSAGE_SAMPLE).collect()]
-    err = CastFailureError(sample)
-    err.failed_frame = failed
-    good = keys.join(failed, "batch_id", "left_anti")
-    n_good = n_allowed - n_failed
+              for r in failures.join(held, "batch_id", "left_semi")
+              .orderBy("batch_id", "column_name").limit(MESSAGE_SAMPLE).collect()]
+    good = keys.join(held, "batch_id", "left_anti")
+    n_good = n_allowed - n_held
     if n_good:
         write(P.project_to_contract(P.admitted(rows, good, n_good), fields), table)
-    return n_good, err
+    return good, n_good, CastFailureError(sample)
 
 
 def release_gold(
