@@ -41,6 +41,10 @@ class TableNames:
     def audit(self) -> str:
         return self.q(self.audit_table)
 
+    @property
+    def bronze(self) -> str:
+        return self.q("bronze_observed")
+
     def quarantine(self, dataset: str) -> str:
         return self.q(f"quarantine_{dataset}")
 
@@ -78,6 +82,34 @@ def ensure_control_tables(spark: SparkSession, names: TableNames = TableNames())
     )
 
 
+def land_observed(spark: SparkSession, observed: DataFrame, run_id: str, observed_at,
+                  names: TableNames = TableNames()) -> None:
+    """Keep the observed schema of every landed batch (files stay where
+    they landed). One append per run, partitioned by dataset; the latest
+    observation of a batch id wins (``latest_observed``)."""
+    spark.sql(
+        f"""CREATE TABLE IF NOT EXISTS {names.bronze} (
+            batch_id STRING, bronze_path STRING, observed_schema {_FIELDS}, run_id STRING,
+            observed_at TIMESTAMP, dataset STRING) USING PARQUET PARTITIONED BY (dataset)"""
+    )
+    bronze = F.col("bronze_path") if "bronze_path" in observed.columns else F.lit(None).cast("string")
+    observed.select(
+        "batch_id", bronze.alias("bronze_path"),
+        F.transform("observed_schema", lambda x: F.struct(x["name"].alias("name"),
+                                                          x["data_type"].alias("data_type"))).alias("observed_schema"),
+        F.lit(run_id).alias("run_id"), F.lit(observed_at).cast("timestamp").alias("observed_at"), "dataset",
+    ).write.mode("append").partitionBy("dataset").format("parquet").saveAsTable(names.bronze)
+
+
+def latest_observed(spark: SparkSession, names: TableNames = TableNames()) -> DataFrame:
+    """Latest observation per (dataset, batch_id): a re-landed batch id
+    replaces the earlier one."""
+    t = spark.table(names.bronze)
+    return t.groupBy("dataset", "batch_id").agg(
+        F.max_by(F.struct("bronze_path", "observed_schema", "run_id", "observed_at"), "observed_at").alias("o")
+    ).select("dataset", "batch_id", "o.*")
+
+
 QUARANTINE_COLUMNS = ("batch_id", "decision", "added_fields", "missing_fields", "changed_fields",
                       "bronze_path", "event_time", "run_id", "reason")
 
@@ -224,7 +256,7 @@ def replace_batches(frame: DataFrame, table: str) -> None:
 def reset_tables(spark: SparkSession, datasets, names: TableNames = TableNames()) -> list[str]:
     """Drop exactly the gate's own tables for ``datasets``."""
     dropped = []
-    for t in [names.contracts, names.audit] + [
+    for t in [names.contracts, names.audit, names.bronze] + [
         f(d) for d in datasets for f in (names.quarantine, names.silver, names.gold)
     ]:
         if table_exists(spark, t):

@@ -5,7 +5,8 @@ Order of effects (each ACTION is one Spark write over all batches):
 
 1. contracts are resolved on the driver (metadata); a dataset without an
    active silver contract (or gold contract when gold is promoted) stops the
-   run before anything is written;
+   run before anything is written; then ACTION 0 keeps the observed schema
+   of every batch in bronze;
 2. ACTION 1 appends one audit event per batch (names and types only);
 3. the decisions are read back from the audit table by ``run_id``, so the
    data writes act on exactly what was recorded, not on a recomputation;
@@ -116,6 +117,7 @@ def gate_batches(
     banned_patterns=(),
     event_time: datetime | None = None,
     precheck_casts: bool = False,
+    land_bronze: bool = True,
 ) -> GateResult:
     """Gate every batch of ``observed`` (dataset, batch_id, observed_schema
     [, bronze_path]) in one run. ``rows_for(dataset, allowed)`` returns the
@@ -131,6 +133,8 @@ def gate_batches(
     event_time = event_time or C.utc_now()
     TB.ensure_control_tables(spark, names)
     contracts = spark.table(names.contracts)
+    recorded = spark.table(names.audit).where(F.col("run_id") == run_id)
+    resumed = recorded.limit(1).count() > 0
 
     datasets = sorted(r["dataset"] for r in observed.select("dataset").distinct().collect())
     silver_active, silver_rows = C.active_contracts_for(spark, contracts, "silver", datasets)
@@ -143,8 +147,10 @@ def gate_batches(
             if lacking:
                 raise P.ProjectionError(f"Gold contract of {d} needs columns silver does not hold: {lacking}")
 
-    recorded = spark.table(names.audit).where(F.col("run_id") == run_id)
-    resumed = recorded.limit(1).count() > 0
+    if land_bronze and not resumed:
+        # ACTION 0: bronze keeps what arrived, whatever the decision will be.
+        TB.land_observed(spark, observed, run_id, event_time, names)
+
     if resumed:
         # The run already recorded its decisions (a retry after a failure
         # between the audit write and the data writes): keep those events,

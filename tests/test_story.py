@@ -117,6 +117,7 @@ def test_no_contract_writes_nothing(spark, names, scratch):
     with pytest.raises(KeyError, match="claims.gold"):
         G.gate_batches(spark, obs, CB.CsvFeed(spark, obs), names=names, promote_gold=True)
     assert spark.table(names.audit).count() == 0
+    assert not TB.table_exists(spark, names.bronze)
 
 
 def test_replay_append_doubles_replace_does_not(spark, names, scratch):
@@ -129,3 +130,21 @@ def test_replay_append_doubles_replace_does_not(spark, names, scratch):
     assert spark.table(names.silver("claims")).count() == 4
     G.gate_batches(spark, obs, feed, names=names, run_id="c", on_replay="replace")
     assert spark.table(names.silver("claims")).count() == 2
+
+
+def test_bronze_counts_reset(spark, names, scratch):
+    """B1: every landed batch's observed schema is kept, latest wins per id;
+    E4: rows per layer; B12: reset drops exactly the gate's tables."""
+    FX.materialize(scratch)
+    TB.register_contracts(spark, [FX.silver_v1(), FX.gold_v1()], names)
+    obs = CB.observe_sidecars(spark, scratch, "claims")
+    G.gate_batches(spark, obs, CB.CsvFeed(spark, obs), names=names, run_id="a", promote_gold=True)
+    G.gate_batches(spark, obs.where("batch_id = 'batch-clean'"), CB.CsvFeed(spark, obs), names=names, run_id="b")
+    latest = {r["batch_id"]: r for r in TB.latest_observed(spark, names).collect()}
+    assert len(latest) == 4 and latest["batch-clean"]["run_id"] == "b"
+    assert [f["name"] for f in latest["batch-missing"]["observed_schema"]] == FX.CLEAN_HEADER[1:]
+    counts = {r["layer"]: r["rows"] for r in TB.layer_counts(spark, "claims", names).collect()}
+    assert counts == {"silver": 4, "gold": 2}
+    dropped = TB.reset_tables(spark, ["claims"], names)
+    assert names.silver("claims") in dropped and names.contracts in dropped
+    assert not TB.table_exists(spark, names.audit) and not TB.table_exists(spark, names.bronze)
