@@ -87,6 +87,14 @@ class GateResult:
         return sum(n for (d, dec), n in self.decisions.items() if dec == decision and dataset in (None, d))
 
 
+def _read_back(spark: SparkSession, table: str) -> DataFrame:
+    """Read a table this run just wrote. The write may have run in another
+    session (a streaming micro-batch's), so the reader's file listing is
+    refreshed first."""
+    spark.catalog.refreshTable(table)
+    return spark.table(table)
+
+
 def _sample(df: DataFrame, col: str = "batch_id") -> list[str]:
     return [r[0] for r in df.select(col).orderBy(col).limit(MESSAGE_SAMPLE).collect()]
 
@@ -121,7 +129,8 @@ def gate_batches(
 ) -> GateResult:
     """Gate every batch of ``observed`` (dataset, batch_id, observed_schema
     [, bronze_path]) in one run. ``rows_for(dataset, allowed)`` returns the
-    rows (with ``batch_id``) of the allowed batches of a dataset.
+    rows (with ``batch_id``) of the allowed batches of a dataset; ``allowed``
+    carries batch_id, bronze_path and the recorded observed_schema.
 
     Rerunning a ``run_id`` that already recorded its events is a resume: the
     recorded decisions are reused and the allowed batches are replaced, so a
@@ -149,7 +158,11 @@ def gate_batches(
 
     if land_bronze and not resumed:
         # ACTION 0: bronze keeps what arrived, whatever the decision will be.
+        # The rest of the run reads the observations back from it, so they
+        # are computed once (for CSV feeds: one header read per file).
         TB.land_observed(spark, observed, run_id, event_time, names)
+        observed = _read_back(spark, names.bronze).where(
+            (F.col("run_id") == run_id) & F.col("dataset").isin(datasets))
 
     if resumed:
         # The run already recorded its decisions (a retry after a failure
@@ -163,6 +176,7 @@ def gate_batches(
         A.assert_no_leaks(events, sensitive, banned_patterns)
         events.select(*[c for c in A.EVENT_COLUMNS if c != "run_id"], "run_id") \
             .write.mode("append").partitionBy("run_id").format("parquet").saveAsTable(names.audit)
+        recorded = _read_back(spark, names.audit).where(F.col("run_id") == run_id)
 
     result = GateResult(run_id)
     for r in recorded.groupBy("dataset", "decision").agg(F.count("*").alias("n")).collect():
@@ -198,7 +212,7 @@ def gate_batches(
                        for f in silver_rows[d]["approved_schema"])
         table = names.silver(d)
         TB.ensure_table(spark, table, fields)
-        keys = allowed.select("batch_id", "bronze_path")
+        keys = allowed.select("batch_id", "bronze_path", "observed_schema")
         written, n_written, err = _write_silver(spark, rows_for(d, keys), allowed, n_allowed, fields, table,
                                                 on_replay, precheck_casts, names.quarantine(d))
         if err:
@@ -245,7 +259,7 @@ def _write_silver(spark, rows, allowed, n_allowed, fields, table, on_replay, pre
         "batch_id", F.lit(X.QUARANTINE).alias("decision"), "added_fields", "missing_fields", "changed_fields",
         "bronze_path", "event_time", "run_id", "reason",
     ).write.mode("append").format("parquet").saveAsTable(quarantine_table)
-    held = spark.table(quarantine_table).where(
+    held = _read_back(spark, quarantine_table).where(
         (F.col("run_id") == run_id) & F.col("reason").startswith("cast_failure:")).select("batch_id")
     n_held = held.count()
     if n_held == 0:
@@ -292,7 +306,7 @@ def release_gold(
     silver_table = names.silver(dataset)
     if not TB.table_exists(spark, silver_table):
         raise NoSilverRowsError(_sample(requested))
-    silver = spark.table(silver_table)
+    silver = _read_back(spark, silver_table)
     picked = P.admitted(silver, requested, n_batches)
     if require_rows:
         blocked = requested.join(picked.select("batch_id").distinct(), "batch_id", "left_anti")

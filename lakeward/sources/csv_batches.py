@@ -127,7 +127,7 @@ class CsvFeed:
     per line can turn it off to let Spark split large files.
     """
 
-    def __init__(self, spark: SparkSession, observed: DataFrame, multi_line: bool = True):
+    def __init__(self, spark: SparkSession, observed: DataFrame | None = None, multi_line: bool = True):
         self.spark = spark
         self.observed = observed
         self.multi_line = multi_line
@@ -139,9 +139,14 @@ class CsvFeed:
     def __call__(self, dataset: str, allowed: DataFrame) -> DataFrame:
         # Paths and headers of the allowed files reach the driver: the driver
         # lists these files for the scan in any case.
-        picked = (self.observed.where(F.col("dataset") == dataset)
-                  .join(allowed.select("batch_id"), "batch_id", "left_semi")
-                  .select("batch_id", "bronze_path", "header").collect())
+        if {"bronze_path", "observed_schema"} <= set(allowed.columns):
+            # the gate hands over what it recorded: no second header read
+            source = allowed.select("batch_id", "bronze_path",
+                                    F.transform("observed_schema", lambda x: x["name"]).alias("header"))
+        else:
+            source = (self.observed.where(F.col("dataset") == dataset)
+                      .join(allowed.select("batch_id"), "batch_id", "left_semi"))
+        picked = source.select("batch_id", "bronze_path", "header").collect()
         groups: dict[tuple, list] = defaultdict(list)
         for r in picked:
             groups[tuple(r["header"])].append((r["bronze_path"], r["batch_id"]))
