@@ -9,10 +9,9 @@ footers; the admitted feeds' rows are then projected and counted in one job.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from lakeward.functions import types as ty
 from lakeward.operators.contracts import Contract, FieldContract
+from lakeward.sources import frames as SF
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -59,19 +58,16 @@ FEED_CONTRACTS = (
 
 
 def load(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TABLES}
+    return SF.read_tables(spark, sf_dir, TABLES)
+
+
+def batch_ids() -> dict[str, str]:
+    return {t: f"{t}-snapshot" for t in TABLES}
 
 
 def observed_schemas(spark: SparkSession, frames: dict[str, DataFrame]) -> DataFrame:
     """One observed row per feed from the DataFrame schemas (metadata only)."""
-    rows = [
-        (name, f"{name}-snapshot", f"tables/{name}.parquet",
-         [(c, ty.contract_type_of(t)) for c, t in df.dtypes])
-        for name, df in frames.items()
-    ]
-    return spark.createDataFrame(
-        rows, "dataset string, batch_id string, bronze_path string, "
-              "observed_schema array<struct<name:string,data_type:string>>")
+    return SF.observe_frames(spark, frames, batch_ids(), {t: f"tables/{t}.parquet" for t in frames})
 
 
 def contract_fields(dataset: str):
@@ -82,4 +78,4 @@ def contract_fields(dataset: str):
 
 
 def stamp(frames: dict[str, DataFrame], dataset: str) -> DataFrame:
-    return frames[dataset].withColumn("batch_id", F.lit(f"{dataset}-snapshot"))
+    return SF.FrameFeed(frames, batch_ids())(dataset, None)
