@@ -110,10 +110,6 @@ def latest_observed(spark: SparkSession, names: TableNames = TableNames()) -> Da
     ).select("dataset", "batch_id", "o.*")
 
 
-QUARANTINE_COLUMNS = ("batch_id", "decision", "added_fields", "missing_fields", "changed_fields",
-                      "bronze_path", "event_time", "run_id", "reason")
-
-
 def ensure_quarantine_table(spark: SparkSession, table: str) -> None:
     spark.sql(
         f"""CREATE TABLE IF NOT EXISTS {table} (

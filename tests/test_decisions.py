@@ -122,3 +122,15 @@ def test_diff_matches_set_logic(spark, expected, observed, allowed, seed):
         assert list(r["missing_fields"]) == missing, bid
         assert [(c["name"], c["expected"], c["observed"]) for c in r["changed_fields"]] == changed, bid
         assert r["decision"] == dec, bid
+
+
+def test_active_contract_forms_agree(spark):
+    """Highest version per (dataset, layer), as one max_by aggregate
+    and as a top-1 window; approved_at is not consulted."""
+    late_v1 = Contract("claims", "gold", 1, FX.V1_FIELDS, (), "x", "2030-01-01T00:00:00+00:00")
+    reg = C.contracts_frame(spark, [FX.silver_v1(), FX.silver_v2(), late_v1])
+    a = sorted((r["dataset"], r["layer"], r["contract_version"]) for r in C.active_contracts(reg).collect())
+    b = sorted((r["dataset"], r["layer"], r["contract_version"]) for r in C.latest_by_window(reg).collect())
+    assert a == b == [("claims", "gold", 1), ("claims", "silver", 2)]
+    hist = {r["layer"]: list(r["versions"]) for r in C.contract_history(reg).collect()}
+    assert hist == {"silver": [1, 2], "gold": [1]}
