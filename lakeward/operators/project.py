@@ -36,9 +36,16 @@ def admitted(rows: DataFrame, allowed: DataFrame, n_allowed: int | None = None)
     return rows.join(keys, "batch_id", "left_semi")
 
 
+REQUIRED_NULL_MARKER = "LAKEWARD_REQUIRED_NULL"
+
+
 def project_to_contract(rows: DataFrame, fields, *, cast: bool = True,
-                        batch_column: str | None = "batch_id") -> DataFrame:
-    """Contract columns in contract order, cast to the contract types."""
+                        batch_column: str | None = "batch_id", enforce_required: bool = False) -> DataFrame:
+    """Contract columns in contract order, cast to the contract types.
+
+    With ``enforce_required`` a NULL in a required field fails the job (as a
+    NOT NULL column would), which the gate turns into a per-batch hold.
+    """
     present = set(rows.columns)
     missing = [f.name for f in fields if f.name not in present]
     if missing:
@@ -48,6 +55,8 @@ def project_to_contract(rows: DataFrame, fields, *, cast: bool = True,
         c = F.col(ty.quote(f.name))
         if cast:
             c = c.cast(ty.spark_sql_type(f.data_type))
+        if enforce_required and f.required:
+            c = F.when(c.isNull(), F.raise_error(F.lit(f"{REQUIRED_NULL_MARKER}: {f.name}"))).otherwise(c)
         cols.append(c.alias(f.name))
     if batch_column:
         cols.append(F.col(batch_column))
@@ -60,6 +69,20 @@ def needs_cast(rows: DataFrame, fields) -> list:
     return [f for f in fields if ty.normalize(dtypes.get(f.name, "")) != ty.spark_sql_type(f.data_type)]
 
 
+def required_nulls(rows: DataFrame, fields) -> DataFrame:
+    """Per (batch_id, column): NULLs in required fields (> 0 only)."""
+    required = [f for f in fields if f.required]
+    if not required:
+        return rows.sparkSession.createDataFrame([], "batch_id string, column_name string, failures bigint")
+    per_batch = rows.groupBy("batch_id").agg(
+        *[F.count_if(F.col(ty.quote(f.name)).isNull()).alias(f"n{i}") for i, f in enumerate(required)])
+    stacked = F.explode(F.array(*[F.struct(F.lit(f.name).alias("column_name"), F.col(f"n{i}").alias("failures"))
+                                  for i, f in enumerate(required)]))
+    return (per_batch.select("batch_id", stacked.alias("s"))
+            .select("batch_id", "s.column_name", F.col("s.failures").cast("bigint").alias("failures"))
+            .where("failures > 0"))
+
+
 def cast_failures(rows: DataFrame, fields) -> DataFrame:
     """Per (batch_id, column): values present but rejected by ``try_cast``.
 

@@ -43,7 +43,7 @@ MESSAGE_SAMPLE = 20
 
 # Spark error classes of a value that does not cast under ANSI mode.
 CAST_ERROR_MARKERS = ("CAST_INVALID_INPUT", "CAST_OVERFLOW", "NUMERIC_VALUE_OUT_OF_RANGE",
-                      "CANNOT_PARSE_TIMESTAMP", "INVALID_FRACTION_OF_SECOND")
+                      "CANNOT_PARSE_TIMESTAMP", "INVALID_FRACTION_OF_SECOND", P.REQUIRED_NULL_MARKER)
 
 
 class QuarantinedError(RuntimeError):
@@ -52,11 +52,24 @@ class QuarantinedError(RuntimeError):
         super().__init__(f"Schema differs from the approved contract: {', '.join(self.batch_ids)} -> quarantine")
 
 
-class CastFailureError(ValueError):
+class ValueCheckError(ValueError):
+    """Batches held at promotion because of their values (never recorded in
+    the error: only batch, column and count)."""
+
+    what = "Values fail a contract check"
+
     def __init__(self, failures):
         self.failures = list(failures)
         text = ", ".join(f"{b}.{c} ({n})" for b, c, n in self.failures)
-        super().__init__(f"Values do not cast to the contract type; batches held: {text}")
+        super().__init__(f"{self.what}; batches held: {text}")
+
+
+class CastFailureError(ValueCheckError):
+    what = "Values do not cast to the contract type"
+
+
+class RequiredNullError(ValueCheckError):
+    what = "Required fields hold NULL"
 
 
 class HeaderCollisionError(ValueError):
@@ -126,6 +139,7 @@ def gate_batches(
     event_time: datetime | None = None,
     precheck_casts: bool = False,
     land_bronze: bool = True,
+    enforce_required: bool = False,
 ) -> GateResult:
     """Gate every batch of ``observed`` (dataset, batch_id, observed_schema
     [, bronze_path]) in one run. ``rows_for(dataset, allowed)`` returns the
@@ -214,7 +228,7 @@ def gate_batches(
         TB.ensure_table(spark, table, fields)
         keys = allowed.select("batch_id", "bronze_path", "observed_schema")
         written, n_written, err = _write_silver(spark, rows_for(d, keys), allowed, n_allowed, fields, table,
-                                                on_replay, precheck_casts, names.quarantine(d))
+                                                on_replay, precheck_casts, names.quarantine(d), enforce_required)
         if err:
             errors.append(err)
         result.silver_batches[d] = n_written
@@ -231,28 +245,38 @@ def gate_batches(
     return result
 
 
-def _write_silver(spark, rows, allowed, n_allowed, fields, table, on_replay, precheck, quarantine_table):
+def _write_silver(spark, rows, allowed, n_allowed, fields, table, on_replay, precheck, quarantine_table,
+                  enforce_required=False):
     """Project + cast + write; returns (written batch ids, count, error).
 
-    Casts are tried optimistically: a value that does not cast aborts the
-    write job, which then commits nothing. Only then are the failing batches
-    found (one aggregation with partial counts), held with a quarantine row
-    (reason ``cast_failure:<columns>``), and the other batches written. The
-    held set is read back from that table, so it is not recomputed.
+    Value checks are optimistic: a value that does not cast (or a NULL in a
+    required field, with ``enforce_required``) aborts the write job, which
+    then commits nothing. Only then are the failing batches found (one
+    aggregation with partial counts per check), held with a quarantine row
+    (reason ``cast_failure:<columns>`` / ``required_null:<columns>``), and
+    the other batches written. The held set is read back from that table,
+    so it is not recomputed.
     """
     keys = allowed.select("batch_id")
     write = TB.replace_batches if on_replay == "replace" else TB.append_batches
+
+    def project(frame):
+        return P.project_to_contract(frame, fields, enforce_required=enforce_required)
+
     if not precheck:
         try:
-            write(P.project_to_contract(P.admitted(rows, keys, n_allowed), fields), table)
+            write(project(P.admitted(rows, keys, n_allowed)), table)
             return keys, n_allowed, None
         except Exception as exc:  # noqa: BLE001 - narrowed by the error class below
             if not _is_cast_error(exc):
                 raise
-    failures = P.cast_failures(P.admitted(rows, keys, n_allowed), fields)
-    per_batch = failures.groupBy("batch_id").agg(
-        F.concat(F.lit("cast_failure:"), F.array_join(F.array_sort(F.collect_list("column_name")), ","))
-        .alias("reason"))
+    admitted = P.admitted(rows, keys, n_allowed)
+    failures = P.cast_failures(admitted, fields).withColumn("kind", F.lit("cast_failure"))
+    if enforce_required:
+        failures = failures.unionByName(P.required_nulls(admitted, fields).withColumn("kind", F.lit("required_null")))
+    per_kind = failures.groupBy("batch_id", "kind").agg(
+        F.concat("kind", F.lit(":"), F.array_join(F.array_sort(F.collect_list("column_name")), ",")).alias("r"))
+    per_batch = per_kind.groupBy("batch_id").agg(F.array_join(F.array_sort(F.collect_list("r")), ";").alias("reason"))
     run_id = allowed.select("run_id").limit(1).collect()[0]["run_id"]
     TB.ensure_quarantine_table(spark, quarantine_table)
     allowed.join(per_batch, "batch_id").select(
@@ -260,19 +284,22 @@ def _write_silver(spark, rows, allowed, n_allowed, fields, table, on_replay, pre
         "bronze_path", "event_time", "run_id", "reason",
     ).write.mode("append").format("parquet").saveAsTable(quarantine_table)
     held = _read_back(spark, quarantine_table).where(
-        (F.col("run_id") == run_id) & F.col("reason").startswith("cast_failure:")).select("batch_id")
+        (F.col("run_id") == run_id)
+        & (F.col("reason").startswith("cast_failure:") | F.col("reason").startswith("required_null:"))
+    ).select("batch_id")
     n_held = held.count()
     if n_held == 0:
-        write(P.project_to_contract(P.admitted(rows, keys, n_allowed), fields), table)
+        write(project(admitted), table)
         return keys, n_allowed, None
-    sample = [(r["batch_id"], r["column_name"], r["failures"])
-              for r in failures.join(held, "batch_id", "left_semi")
-              .orderBy("batch_id", "column_name").limit(MESSAGE_SAMPLE).collect()]
+    sample = failures.join(held, "batch_id", "left_semi").orderBy("kind", "batch_id", "column_name") \
+        .limit(MESSAGE_SAMPLE).collect()
+    casts = [(r["batch_id"], r["column_name"], r["failures"]) for r in sample if r["kind"] == "cast_failure"]
+    nulls = [(r["batch_id"], r["column_name"], r["failures"]) for r in sample if r["kind"] == "required_null"]
     good = keys.join(held, "batch_id", "left_anti")
     n_good = n_allowed - n_held
     if n_good:
-        write(P.project_to_contract(P.admitted(rows, good, n_good), fields), table)
-    return good, n_good, CastFailureError(sample)
+        write(project(P.admitted(rows, good, n_good)), table)
+    return good, n_good, (CastFailureError(casts) if casts else RequiredNullError(nulls))
 
 
 def release_gold(

@@ -153,3 +153,16 @@ def test_release_reads_only_requested_partitions(spark, names, scratch, contract
     plan = picked._jdf.queryExecution().executedPlan().toString()
     assert "dynamicpruning" in plan.lower() or "PartitionFilters: [isnotnull(batch_id" in plan
     assert os.path.exists(scratch)
+
+
+def test_enforce_required_holds_null_batches(spark, names, scratch, contracts):
+    """T4: parquet drops nullability; with enforce_required a NULL in a
+    required field holds its batch (as a NOT NULL column would refuse it)."""
+    FX.write_batch(scratch, "short", FX.CLEAN_HEADER, [FX.CLEAN_ROWS[0][:4]])   # claim_status missing
+    FX.write_batch(scratch, "full", FX.CLEAN_HEADER, FX.CLEAN_ROWS)
+    with pytest.raises(G.RequiredNullError) as err:
+        _run(spark, names, scratch, enforce_required=True)
+    assert err.value.failures == [("short", "claim_status", 1)]
+    assert {r[0] for r in spark.table(names.silver("claims")).select("batch_id").distinct().collect()} == {"full"}
+    held = spark.table(names.quarantine("claims")).collect()
+    assert [(r["batch_id"], r["reason"]) for r in held] == [("short", "required_null:claim_status")]
