@@ -166,3 +166,40 @@ def test_enforce_required_holds_null_batches(spark, names, scratch, contracts):
     assert {r[0] for r in spark.table(names.silver("claims")).select("batch_id").distinct().collect()} == {"full"}
     held = spark.table(names.quarantine("claims")).collect()
     assert [(r["batch_id"], r["reason"]) for r in held] == [("short", "required_null:claim_status")]
+
+
+def test_recorded_decision_wins_over_newer_contract(spark, names, scratch, contracts):
+    """The data writes act on the recorded decision. A run resumed after
+    a new contract version still applies what it recorded; a new run
+    decides under the new version."""
+    FX.write_batch(scratch, "batch-added", FX.CLEAN_HEADER + ["place_of_service"], [r + ["11"] for r in FX.CLEAN_ROWS])
+    _run(spark, names, scratch, run_id="r1")
+    v2 = FX.silver_v2()
+    TB.approve(spark, "claims", "silver", v2.fields, v2.allowed_changes, v2.owner, names)
+    res = _run(spark, names, scratch, run_id="r1")
+    assert res.count("quarantine") == 1 and res.count("allow") == 0
+    assert not TB.table_exists(spark, names.silver("claims"))
+    res = _run(spark, names, scratch, run_id="r2")
+    assert res.count("allow") == 1
+    assert spark.table(names.silver("claims")).count() == 2
+
+
+def test_append_refuses_unexpected_columns(spark, names):
+    """T5: appends are by name and refuse a column the table does not have."""
+    t = names.silver("claims")
+    TB.ensure_table(spark, t, FX.V1_FIELDS)
+    frame = spark.createDataFrame([("x", "b1")], "claim_id string, batch_id string")
+    with pytest.raises(Exception):
+        TB.append_batches(frame.withColumn("extra", F.lit(1)), t)
+
+
+def test_large_sidecar_read_whole(spark, scratch):
+    """Sidecars are read whole (no byte limit): 1,500 declared fields."""
+    import json
+
+    fields = [{"name": f"col_{i:04d}", "data_type": "string"} for i in range(1500)]
+    with open(os.path.join(scratch, "wide.schema.json"), "w", encoding="utf-8") as fh:
+        json.dump(fields, fh, indent=2)
+    assert os.path.getsize(os.path.join(scratch, "wide.schema.json")) > 20_000
+    obs = CB.observe_sidecars(spark, scratch, "claims").first()
+    assert len(obs["observed_schema"]) == 1500 and obs["header"][-1] == "col_1499"
