@@ -316,4 +316,12 @@ UNION ALL SELECT 'gold', 'before_approval', count(*) FROM s1
 UNION ALL SELECT 'silver', 'after_approval', count(*) FROM silver
 UNION ALL SELECT 'gold', 'after_approval', count(*) FROM silver""",
         "feed_schema_gate": _feed_gate_sql(),
+        "gate_run": _with(_FEED, d1, d2, _SILVER) + """
+,per_batch AS (SELECT batch_id, count(*) AS n, count(o_orderpriority) AS np,
+                      CAST(sum(o_totalprice) AS DECIMAL(38,2)) AS sm FROM silver GROUP BY batch_id)
+SELECT d1.batch_id, d1.decision,
+  CASE WHEN d1.decision = 'quarantine' THEN d2.decision END AS replay_decision,
+  COALESCE(p.n, 0) AS silver_rows, COALESCE(p.np, 0) AS silver_priority, p.sm AS silver_sum,
+  COALESCE(p.n, 0) AS gold_rows
+FROM d1 JOIN d2 USING (batch_id) LEFT JOIN per_batch p USING (batch_id)""",
     }

@@ -315,6 +315,47 @@ def feed_schema_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return view.join(counts, "dataset", "left").fillna(0, ["rows_promoted"])
 
 
+CHECK_DATABASE = "lakeward_check"
+
+
+def gate_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gate run itself, with its writes: v1 run with gold, approval of
+    silver v2 (the table evolves by ALTER TABLE), replay of the held
+    batches, then per batch what the written tables hold.
+
+    Runs in the session's warehouse under a fixed database that is dropped
+    and recreated on every call.
+    """
+    from lakeward.operators import tables as TB
+    from lakeward.plans import gate as G
+
+    spark.sql(f"DROP DATABASE IF EXISTS {CHECK_DATABASE} CASCADE")
+    names = TB.TableNames(database=CHECK_DATABASE)
+    TB.register_contracts(spark, [OF.silver_v1(), OF.gold_v1()], names)
+    orders = _orders(spark, sf_dir)
+    observed = OF.observed(orders)
+
+    def rows_for(dataset, allowed):
+        return OF.rows(orders)
+
+    G.gate_batches(spark, observed, rows_for, names=names, run_id="v1", promote_gold=True, event_time=EVENT_TIME)
+    v2 = OF.silver_v2()
+    TB.approve(spark, OF.DATASET, "silver", v2.fields, v2.allowed_changes, v2.owner, names, OF.APPROVED_V2)
+    audit = spark.table(names.audit)
+    held = audit.where("run_id = 'v1' AND decision = 'quarantine'").select("batch_id")
+    G.gate_batches(spark, observed.join(held, "batch_id", "left_semi"), rows_for, names=names, run_id="v2",
+                   promote_gold=True, event_time=EVENT_TIME)
+    audit = spark.table(names.audit)
+    first = audit.where("run_id = 'v1'").select("batch_id", "decision")
+    replay = audit.where("run_id = 'v2'").select("batch_id", F.col("decision").alias("replay_decision"))
+    silver = spark.table(names.silver(OF.DATASET)).groupBy("batch_id").agg(
+        F.count("*").alias("silver_rows"), F.count("o_orderpriority").alias("silver_priority"),
+        F.sum("o_totalprice").cast("decimal(38,2)").alias("silver_sum"))
+    gold = spark.table(names.gold(OF.DATASET)).groupBy("batch_id").agg(F.count("*").alias("gold_rows"))
+    return (first.join(replay, "batch_id", "left").join(silver, "batch_id", "left").join(gold, "batch_id", "left")
+            .fillna(0, ["silver_rows", "silver_priority", "gold_rows"]))
+
+
 REPORTS = {
     "contract_latest": contract_latest,
     "contract_history": contract_history,
@@ -336,4 +377,5 @@ REPORTS = {
     "cast_failures": cast_failures,
     "layer_counts": layer_counts,
     "feed_schema_gate": feed_schema_gate,
+    "gate_run": gate_run,
 }
