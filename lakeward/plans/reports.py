@@ -318,19 +318,35 @@ def feed_schema_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 CHECK_DATABASE = "lakeward_check"
 
 
+def _check_database(spark: SparkSession) -> str:
+    """A fresh database for one check run, located under the session's
+    checkpoint folder (the scratch area the cluster names), so no stale
+    table folder from an earlier process can collide with it. Check
+    databases of earlier calls in this session are dropped first."""
+    import uuid
+
+    from lakeward.session import ensure_checkpoint_dir
+
+    for r in spark.sql(f"SHOW DATABASES LIKE '{CHECK_DATABASE}_*'").collect():
+        spark.sql(f"DROP DATABASE IF EXISTS {r[0]} CASCADE")
+    name = f"{CHECK_DATABASE}_{uuid.uuid4().hex[:12]}"
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{base}/{name}.db'")
+    return name
+
+
 def gate_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The gate run itself, with its writes: v1 run with gold, approval of
     silver v2 (the table evolves by ALTER TABLE), replay of the held
     batches, then per batch what the written tables hold.
 
-    Runs in the session's warehouse under a fixed database that is dropped
-    and recreated on every call.
+    The tables live in a fresh database under the session's checkpoint
+    folder (see ``_check_database``).
     """
     from lakeward.operators import tables as TB
     from lakeward.plans import gate as G
 
-    spark.sql(f"DROP DATABASE IF EXISTS {CHECK_DATABASE} CASCADE")
-    names = TB.TableNames(database=CHECK_DATABASE)
+    names = TB.TableNames(database=_check_database(spark))
     TB.register_contracts(spark, [OF.silver_v1(), OF.gold_v1()], names)
     orders = _orders(spark, sf_dir)
     observed = OF.observed(orders)
