@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 
 from lakeward.functions import types as ty
 
-# Allowed-batch lists above this many ids are not broadcast; the semi-join
-# then shuffles on batch_id and AQE splits a hot batch.
-MAX_BROADCAST_BATCHES = 1_000_000
+# Allowed-batch lists above this many ids (about 30 MB as a hashed relation
+# of short ids) are not broadcast; the semi-join then shuffles on batch_id
+# and AQE's skew-join split handles a hot batch.
+MAX_BROADCAST_BATCHES = 500_000
 
 
 class ProjectionError(ValueError):
