@@ -100,6 +100,16 @@ class GateResult:
         return sum(n for (d, dec), n in self.decisions.items() if dec == decision and dataset in (None, d))
 
 
+def _append_holds(spark: SparkSession, table: str, rows: DataFrame, run_id: str, dedup: bool) -> None:
+    """Append quarantine rows; with ``dedup`` skip those this run already
+    wrote (same batch and reason), so a resumed run adds only what is missing."""
+    TB.ensure_quarantine_table(spark, table)
+    if dedup:
+        done = _read_back(spark, table).where(F.col("run_id") == run_id).select("batch_id", "reason")
+        rows = rows.join(done, ["batch_id", "reason"], "left_anti")
+    rows.write.mode("append").format("parquet").saveAsTable(table)
+
+
 def _read_back(spark: SparkSession, table: str) -> DataFrame:
     """Read a table this run just wrote. The write may have run in another
     session (a streaming micro-batch's), so the reader's file listing is
@@ -196,17 +206,15 @@ def gate_batches(
     for r in recorded.groupBy("dataset", "decision").agg(F.count("*").alias("n")).collect():
         result.decisions[(r["dataset"], r["decision"])] = r["n"]
 
-    # ACTION 2: quarantine pointers.
+    # ACTION 2: quarantine pointers (on a resume, only those still missing).
     for d in datasets:
-        if result.decisions.get((d, X.QUARANTINE), 0) and not resumed:
-            table = names.quarantine(d)
-            TB.ensure_quarantine_table(spark, table)
+        if result.decisions.get((d, X.QUARANTINE), 0):
             held = recorded.where((F.col("dataset") == d) & (F.col("decision") == X.QUARANTINE))
-            held.select(
+            _append_holds(spark, names.quarantine(d), held.select(
                 "batch_id", "decision", "added_fields", "missing_fields", "changed_fields", "bronze_path",
                 "event_time", "run_id",
                 X.reason(F.col("added_fields"), F.col("missing_fields"), F.col("changed_fields")).alias("reason"),
-            ).write.mode("append").format("parquet").saveAsTable(table)
+            ), run_id, resumed)
 
     # ACTION 3 and 4: promotion of the allowed batches.
     errors: list[Exception] = []
@@ -278,11 +286,10 @@ def _write_silver(spark, rows, allowed, n_allowed, fields, table, on_replay, pre
         F.concat("kind", F.lit(":"), F.array_join(F.array_sort(F.collect_list("column_name")), ",")).alias("r"))
     per_batch = per_kind.groupBy("batch_id").agg(F.array_join(F.array_sort(F.collect_list("r")), ";").alias("reason"))
     run_id = allowed.select("run_id").limit(1).collect()[0]["run_id"]
-    TB.ensure_quarantine_table(spark, quarantine_table)
-    allowed.join(per_batch, "batch_id").select(
+    _append_holds(spark, quarantine_table, allowed.join(per_batch, "batch_id").select(
         "batch_id", F.lit(X.QUARANTINE).alias("decision"), "added_fields", "missing_fields", "changed_fields",
         "bronze_path", "event_time", "run_id", "reason",
-    ).write.mode("append").format("parquet").saveAsTable(quarantine_table)
+    ), run_id, True)
     held = _read_back(spark, quarantine_table).where(
         (F.col("run_id") == run_id)
         & (F.col("reason").startswith("cast_failure:") | F.col("reason").startswith("required_null:"))

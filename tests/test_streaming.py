@@ -24,6 +24,20 @@ def test_resume_same_run_is_idempotent(spark, names, scratch):
     assert spark.table(names.gold("claims")).count() == 2
 
 
+def test_resume_writes_missing_quarantine_rows(spark, names, scratch):
+    """A run that stopped after its audit write: the resume adds the missing
+    quarantine rows once, and a second resume adds nothing."""
+    FX.write_batch(scratch, "batch-missing", FX.CLEAN_HEADER[1:], [r[1:] for r in FX.CLEAN_ROWS])
+    TB.register_contracts(spark, [FX.silver_v1(), FX.gold_v1()], names)
+    obs = CB.observe_headers(spark, scratch, "claims", FX.CLEAN_TYPES)
+    G.gate_batches(spark, obs, CB.CsvFeed(spark, obs), names=names, run_id="r1")
+    spark.sql(f"DROP TABLE {names.quarantine('claims')}")           # as if the run had stopped here
+    for _ in range(2):
+        G.gate_batches(spark, obs, CB.CsvFeed(spark, obs), names=names, run_id="r1")
+    assert spark.table(names.quarantine("claims")).count() == 1
+    assert spark.table(names.audit).count() == 1
+
+
 def test_stream_gates_arriving_files(spark, names, scratch):
     TB.register_contracts(spark, [FX.silver_v1(), FX.gold_v1()], names)
     FX.write_batch(scratch, "batch-clean", FX.CLEAN_HEADER, FX.CLEAN_ROWS)
