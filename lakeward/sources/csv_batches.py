@@ -46,9 +46,18 @@ def _first_record(path: str) -> list[str]:
         return next(csv.reader(handle), [])
 
 
+# Header reads per task run this many at a time: each is one small read,
+# so on an object store the time is latency, which threads overlap.
+HEADER_READ_THREADS = 8
+
+
 def _read_headers(batches):
-    for pdf in batches:
-        yield pd.DataFrame({"path": pdf["path"], "header": [_first_record(p) for p in pdf["path"]]})
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=HEADER_READ_THREADS) as pool:
+        for pdf in batches:
+            paths = list(pdf["path"])
+            yield pd.DataFrame({"path": paths, "header": list(pool.map(_first_record, paths))})
 
 
 def list_files(spark: SparkSession, paths, glob: str = "*.csv") -> DataFrame:
