@@ -88,6 +88,9 @@ class UnreleasedColumnError(ValueError):
     pass
 
 
+HOLD_REASONS = ("cast_failure:", "required_null:", "header_collision")
+
+
 @dataclass
 class GateResult:
     run_id: str
@@ -95,10 +98,36 @@ class GateResult:
     silver_batches: dict = field(default_factory=dict)  # dataset -> batches written
     gold_batches: dict = field(default_factory=dict)
     errors: list = field(default_factory=list)
+    names: TB.TableNames = field(default_factory=TB.TableNames)
+    promote_gold: bool = False
 
     def count(self, decision: str, dataset: str | None = None) -> int:
         return sum(n for (d, dec), n in self.decisions.items() if dec == decision and dataset in (None, d))
 
+    def outcomes(self, spark: SparkSession) -> DataFrame:
+        """Per batch of this run: dataset, batch_id, decision, contract_version,
+        hold (reason a decided-allow batch was held at promotion, else NULL),
+        silver_written, gold_written. Read from the run's tables."""
+        events = spark.table(self.names.audit).where(F.col("run_id") == self.run_id)
+        holds = None
+        for d in sorted({d for d, _ in self.decisions}):
+            t = self.names.quarantine(d)
+            if not TB.table_exists(spark, t):
+                continue
+            h = spark.table(t).where((F.col("run_id") == self.run_id) & F.col("decision").isNotNull()).where(
+                F.col("reason").startswith(HOLD_REASONS[0]) | F.col("reason").startswith(HOLD_REASONS[1])
+                | (F.col("reason") == HOLD_REASONS[2])).select(F.lit(d).alias("dataset"), "batch_id",
+                                                              F.col("reason").alias("hold"))
+            holds = h if holds is None else holds.unionByName(h)
+        if holds is None:
+            holds = spark.createDataFrame([], "dataset string, batch_id string, hold string")
+        holds = holds.groupBy("dataset", "batch_id").agg(F.array_join(F.array_sort(F.collect_set("hold")), ";")
+                                                         .alias("hold"))
+        written = (F.col("decision") == X.ALLOW) & F.col("hold").isNull()
+        return events.join(holds, ["dataset", "batch_id"], "left").select(
+            "dataset", "batch_id", "decision", "contract_version", "hold",
+            written.alias("silver_written"), (written & F.lit(self.promote_gold)).alias("gold_written"))
+
 
 def _append_holds(spark: SparkSession, table: str, rows: DataFrame, run_id: str, dedup: bool) -> None:
     """Append quarantine rows; with ``dedup`` skip those this run already
@@ -202,7 +231,7 @@ def gate_batches(
             .write.mode("append").partitionBy("run_id").format("parquet").saveAsTable(names.audit)
         recorded = _read_back(spark, names.audit).where(F.col("run_id") == run_id)
 
-    result = GateResult(run_id)
+    result = GateResult(run_id, names=names, promote_gold=promote_gold)
     for r in recorded.groupBy("dataset", "decision").agg(F.count("*").alias("n")).collect():
         result.decisions[(r["dataset"], r["decision"])] = r["n"]
 
@@ -226,6 +255,10 @@ def gate_batches(
         clash = collisions(allowed)
         if clash.limit(1).count():
             errors.append(HeaderCollisionError(_sample(clash)))
+            _append_holds(spark, names.quarantine(d), allowed.join(clash, "batch_id", "left_semi").select(
+                "batch_id", F.lit(X.QUARANTINE).alias("decision"), "added_fields", "missing_fields",
+                "changed_fields", "bronze_path", "event_time", "run_id", F.lit(HOLD_REASONS[2]).alias("reason"),
+            ), run_id, True)
             allowed = allowed.join(clash, "batch_id", "left_anti")
             n_allowed = allowed.count()
             if not n_allowed:

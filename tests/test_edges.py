@@ -63,9 +63,15 @@ def test_duplicate_header_refused(spark, names, scratch, contracts):
     FX.write_batch(scratch, "dup", FX.CLEAN_HEADER + ["claim_id"], [r + ["X"] for r in FX.CLEAN_ROWS])
     FX.write_batch(scratch, "clean", FX.CLEAN_HEADER, FX.CLEAN_ROWS)
     with pytest.raises(G.HeaderCollisionError) as err:
-        _run(spark, names, scratch)
+        _run(spark, names, scratch, run_id="dup-run")
     assert err.value.batch_ids == ["dup"]
     assert spark.table(names.silver("claims")).select("batch_id").distinct().collect()[0][0] == "clean"
+    # per-batch outcomes of the run, set-based (the reference returns one dict per call)
+    res = G.GateResult("dup-run", decisions={("claims", "allow"): 2}, names=names, promote_gold=False)
+    out = {r["batch_id"]: r for r in res.outcomes(spark).collect()}
+    assert out["dup"]["decision"] == "allow" and out["dup"]["hold"] == "header_collision"
+    assert out["dup"]["silver_written"] is False and out["clean"]["silver_written"] is True
+    assert out["clean"]["gold_written"] is False and out["clean"]["hold"] is None
 
 
 def test_ragged_quoted_dotted(spark, names, scratch):

@@ -27,6 +27,10 @@ def test_story(spark, names, scratch):
     feed = CB.CsvFeed(spark, observed)
     res = G.gate_batches(spark, observed, feed, names=names, run_id="run-1", promote_gold=True)
     assert res.count("allow") == 1 and res.count("quarantine") == 3
+    out = {r["batch_id"]: (r["decision"], r["silver_written"], r["gold_written"])
+           for r in res.outcomes(spark).collect()}
+    assert out == {"batch-clean": ("allow", True, True), "batch-added": ("quarantine", False, False),
+                   "batch-missing": ("quarantine", False, False), "batch-type-change": ("quarantine", False, False)}
 
     ev = _events(spark, names)
     assert ev["batch-clean"]["decision"] == "allow"
