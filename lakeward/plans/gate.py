@@ -78,6 +78,12 @@ class HeaderCollisionError(ValueError):
         super().__init__(f"Header names collide (ignoring case); not promoted: {', '.join(self.batch_ids)}")
 
 
+class HeaderMismatchError(ValueError):
+    def __init__(self, batch_ids):
+        self.batch_ids = list(batch_ids)
+        super().__init__(f"File header differs from the recorded schema; not promoted: {', '.join(self.batch_ids)}")
+
+
 class NoSilverRowsError(ValueError):
     def __init__(self, batch_ids):
         self.batch_ids = list(batch_ids)
@@ -88,7 +94,7 @@ class UnreleasedColumnError(ValueError):
     pass
 
 
-HOLD_REASONS = ("cast_failure:", "required_null:", "header_collision")
+HOLD_REASONS = ("cast_failure:", "required_null:", "header_collision", "header_mismatch")
 
 
 @dataclass
@@ -116,7 +122,7 @@ class GateResult:
                 continue
             h = spark.table(t).where((F.col("run_id") == self.run_id) & F.col("decision").isNotNull()).where(
                 F.col("reason").startswith(HOLD_REASONS[0]) | F.col("reason").startswith(HOLD_REASONS[1])
-                | (F.col("reason") == HOLD_REASONS[2])).select(F.lit(d).alias("dataset"), "batch_id",
+                | F.col("reason").isin(*HOLD_REASONS[2:])).select(F.lit(d).alias("dataset"), "batch_id",
                                                               F.col("reason").alias("hold"))
             holds = h if holds is None else holds.unionByName(h)
         if holds is None:
@@ -268,7 +274,20 @@ def gate_batches(
         table = names.silver(d)
         TB.ensure_table(spark, table, fields)
         keys = allowed.select("batch_id", "bronze_path", "observed_schema")
-        written, n_written, err = _write_silver(spark, rows_for(d, keys), allowed, n_allowed, fields, table,
+        rows = rows_for(d, keys)
+        feed_holds = rows_for.holds(d) if hasattr(rows_for, "holds") else []
+        if feed_holds:
+            # the source could not read these batches as recorded: hold them
+            held = spark.createDataFrame(feed_holds, "batch_id string, reason string")
+            _append_holds(spark, names.quarantine(d), allowed.join(held, "batch_id").select(
+                "batch_id", F.lit(X.QUARANTINE).alias("decision"), "added_fields", "missing_fields",
+                "changed_fields", "bronze_path", "event_time", "run_id", "reason"), run_id, True)
+            errors.append(HeaderMismatchError(sorted(b for b, _ in feed_holds)[:MESSAGE_SAMPLE]))
+            allowed = allowed.join(held.select("batch_id"), "batch_id", "left_anti")
+            n_allowed -= len({b for b, _ in feed_holds})
+            if not n_allowed:
+                continue
+        written, n_written, err = _write_silver(spark, rows, allowed, n_allowed, fields, table,
                                                 on_replay, precheck_casts, names.quarantine(d), enforce_required)
         if err:
             errors.append(err)

@@ -131,6 +131,13 @@ def observe_headers(spark: SparkSession, paths, dataset: str, type_overrides: di
 class CsvFeed:
     """Row source for the gate over CSV batches.
 
+    Files are grouped by their actual header, read again here (one record
+    per allowed file, in the executors): a sidecar may declare names in
+    another order than the file has, and one scan must never span two
+    headers. A file whose header differs, as a set of names, from what was
+    recorded for its batch is not read; it is reported by ``holds`` and the
+    gate holds the batch instead of promoting NULLs.
+
     ``multi_line`` keeps quoted newlines inside values (as Python's csv
     does); it makes each file one task, so feeds that guarantee one record
     per line can turn it off to let Spark split large files.
@@ -140,25 +147,36 @@ class CsvFeed:
         self.spark = spark
         self.observed = observed
         self.multi_line = multi_line
+        self._holds: dict[str, list] = {}
 
     def reader(self):
         return (self.spark.read.option("header", True).option("escape", '"')
                 .option("multiLine", self.multi_line).option("mode", "PERMISSIVE"))
 
+    def holds(self, dataset: str) -> list[tuple[str, str]]:
+        """(batch_id, reason) of the allowed batches the last call did not read."""
+        return self._holds.get(dataset, [])
+
     def __call__(self, dataset: str, allowed: DataFrame) -> DataFrame:
-        # Paths and headers of the allowed files reach the driver: the driver
-        # lists these files for the scan in any case.
         if {"bronze_path", "observed_schema"} <= set(allowed.columns):
-            # the gate hands over what it recorded: no second header read
-            source = allowed.select("batch_id", "bronze_path",
-                                    F.transform("observed_schema", lambda x: x["name"]).alias("header"))
+            declared = allowed.select("batch_id", "bronze_path",
+                                      F.transform("observed_schema", lambda x: x["name"]).alias("declared"))
         else:
-            source = (self.observed.where(F.col("dataset") == dataset)
-                      .join(allowed.select("batch_id"), "batch_id", "left_semi"))
-        picked = source.select("batch_id", "bronze_path", "header").collect()
+            declared = (self.observed.where(F.col("dataset") == dataset)
+                        .join(allowed.select("batch_id"), "batch_id", "left_semi")
+                        .select("batch_id", "bronze_path", F.col("header").alias("declared")))
+        actual = declared.select(F.col("bronze_path").alias("path")).distinct() \
+            .mapInPandas(_read_headers, HEADER_SCHEMA)
+        same = F.array_sort(F.array_distinct("declared")) == F.array_sort(F.array_distinct("header"))
+        # Paths and headers of the allowed files reach the driver: the driver
+        # lists these files for the scan in any case.
+        picked = declared.join(actual, declared["bronze_path"] == actual["path"]) \
+            .select("batch_id", "bronze_path", "header", same.alias("same")).collect()
+        self._holds[dataset] = sorted({(r["batch_id"], "header_mismatch") for r in picked if not r["same"]})
         groups: dict[tuple, list] = defaultdict(list)
         for r in picked:
-            groups[tuple(r["header"])].append((r["bronze_path"], r["batch_id"]))
+            if r["same"]:
+                groups[tuple(r["header"])].append((r["bronze_path"], r["batch_id"]))
         frames = []
         for header, files in groups.items():
             paths = [p for p, _ in files]

@@ -209,3 +209,33 @@ def test_large_sidecar_read_whole(spark, scratch):
     assert os.path.getsize(os.path.join(scratch, "wide.schema.json")) > 20_000
     obs = CB.observe_sidecars(spark, scratch, "claims").first()
     assert len(obs["observed_schema"]) == 1500 and obs["header"][-1] == "col_1499"
+
+
+def test_sidecar_header_order_and_mismatch(spark, names, scratch, contracts):
+    """A sidecar may list names in another order than its file (grouping
+    uses the real header, values land under their names); a sidecar that
+    declares a column the file lacks holds the batch instead of writing
+    NULLs."""
+    import json
+
+    FX.write_batch(scratch, "ordered", FX.CLEAN_HEADER, FX.CLEAN_ROWS)
+    rev = list(reversed(FX.CLEAN_HEADER))
+    FX.write_batch(scratch, "reversed_file", rev, [list(reversed(r)) for r in FX.CLEAN_ROWS])
+    # its sidecar keeps the contract order, unlike the file
+    sidecar = [{"name": n, "data_type": FX.CLEAN_TYPES[n]} for n in FX.CLEAN_HEADER]
+    with open(os.path.join(scratch, "reversed_file.schema.json"), "w", encoding="utf-8") as fh:
+        json.dump(sidecar, fh)
+    # a sidecar claiming claim_id for a file without it
+    FX.write_batch(scratch, "liar", FX.CLEAN_HEADER[1:], [r[1:] for r in FX.CLEAN_ROWS])
+    with open(os.path.join(scratch, "liar.schema.json"), "w", encoding="utf-8") as fh:
+        json.dump(sidecar, fh)
+    obs = CB.observe_sidecars(spark, scratch, "claims")
+    with pytest.raises(G.HeaderMismatchError) as err:
+        G.gate_batches(spark, obs, CB.CsvFeed(spark, obs), names=names, run_id="sc")
+    assert err.value.batch_ids == ["liar"]
+    a = sorted(tuple(r) for r in _silver(spark, names, "ordered").drop("batch_id").collect())
+    b = sorted(tuple(r) for r in _silver(spark, names, "reversed_file").drop("batch_id").collect())
+    assert a == b and a[0][0] == "CLM-1001"
+    assert _silver(spark, names, "liar").count() == 0
+    held = {r["batch_id"]: r["reason"] for r in spark.table(names.quarantine("claims")).collect()}
+    assert held == {"liar": "header_mismatch"}
