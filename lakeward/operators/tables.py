@@ -226,20 +226,29 @@ def session_conf(spark: SparkSession, conf: dict):
 _WRITE_CONF = {"spark.sql.adaptive.coalescePartitions.enabled": "false"}
 
 
-def append_batches(frame: DataFrame, table: str) -> None:
-    """Append by name, partitioned by batch_id, one rebalance shuffle on
-    batch_id before the write."""
+def _distributed(frame: DataFrame, rebalance: bool) -> DataFrame:
+    return frame.hint("rebalance", "batch_id") if rebalance else frame
+
+
+def append_batches(frame: DataFrame, table: str, rebalance: bool = True) -> None:
+    """Append by name, partitioned by batch_id.
+
+    ``rebalance`` adds one shuffle on batch_id so that input splits holding
+    many batches do not each write a file per batch. A source whose splits
+    each hold one batch (a file per batch, a silver partition) skips it: each
+    split writes its own file into its batch directory, and no data moves.
+    """
     with session_conf(frame.sparkSession, _WRITE_CONF):
-        frame.hint("rebalance", "batch_id").write.mode("append").partitionBy("batch_id").format("parquet") \
+        _distributed(frame, rebalance).write.mode("append").partitionBy("batch_id").format("parquet") \
             .saveAsTable(table)
 
 
-def replace_batches(frame: DataFrame, table: str) -> None:
+def replace_batches(frame: DataFrame, table: str, rebalance: bool = True) -> None:
     """Replace only the batches present in ``frame`` (dynamic partition
     overwrite by name); other batches stay."""
     spark = frame.sparkSession
     view = f"_lakeward_replace_{abs(hash(table))}"
-    frame.hint("rebalance", "batch_id").createOrReplaceTempView(view)
+    _distributed(frame, rebalance).createOrReplaceTempView(view)
     conf = dict(_WRITE_CONF)
     conf["spark.sql.sources.partitionOverwriteMode"] = "dynamic"
     try:

@@ -36,6 +36,9 @@ from lakeward.operators import diff as D
 from lakeward.operators import project as P
 from lakeward.operators import tables as TB
 
+# rows_for(dataset, allowed) -> rows with batch_id. Optional attributes:
+# ``clustered_by_batch`` (each input split holds one batch, so the layer
+# write needs no shuffle) and ``holds(dataset)`` (batches it could not read).
 RowSource = Callable[[str, DataFrame], DataFrame]
 
 # How many offending batches an error message lists.
@@ -287,8 +290,10 @@ def gate_batches(
             n_allowed -= len({b for b, _ in feed_holds})
             if not n_allowed:
                 continue
+        rebalance = not getattr(rows_for, "clustered_by_batch", False)
         written, n_written, err = _write_silver(spark, rows, allowed, n_allowed, fields, table,
-                                                on_replay, precheck_casts, names.quarantine(d), enforce_required)
+                                                on_replay, precheck_casts, names.quarantine(d), enforce_required,
+                                                rebalance)
         if err:
             errors.append(err)
         result.silver_batches[d] = n_written
@@ -306,7 +311,7 @@ def gate_batches(
 
 
 def _write_silver(spark, rows, allowed, n_allowed, fields, table, on_replay, precheck, quarantine_table,
-                  enforce_required=False):
+                  enforce_required=False, rebalance=True):
     """Project + cast + write; returns (written batch ids, count, error).
 
     Value checks are optimistic: a value that does not cast (or a NULL in a
@@ -318,7 +323,10 @@ def _write_silver(spark, rows, allowed, n_allowed, fields, table, on_replay, pre
     so it is not recomputed.
     """
     keys = allowed.select("batch_id")
-    write = TB.replace_batches if on_replay == "replace" else TB.append_batches
+    writer = TB.replace_batches if on_replay == "replace" else TB.append_batches
+
+    def write(frame, table):
+        writer(frame, table, rebalance=rebalance)
 
     def project(frame):
         return P.project_to_contract(frame, fields, enforce_required=enforce_required)
@@ -401,7 +409,9 @@ def release_gold(
     table = names.gold(dataset)
     TB.ensure_table(spark, table, fields)
     frame = P.project_to_contract(picked, fields, cast=False)
-    (TB.replace_batches if on_replay == "replace" else TB.append_batches)(frame, table)
+    # silver is partitioned by batch_id, so every split holds one batch: no
+    # shuffle is needed to keep one file per batch and split
+    (TB.replace_batches if on_replay == "replace" else TB.append_batches)(frame, table, rebalance=False)
     extra = TB.unreleased_columns(spark, table, fields)
     if extra:
         raise UnreleasedColumnError(f"Unreleased column reached Gold: {extra}")

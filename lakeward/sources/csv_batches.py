@@ -143,6 +143,9 @@ class CsvFeed:
     per line can turn it off to let Spark split large files.
     """
 
+    # one file is one batch, so every input split holds a single batch
+    clustered_by_batch = True
+
     def __init__(self, spark: SparkSession, observed: DataFrame | None = None, multi_line: bool = True):
         self.spark = spark
         self.observed = observed

@@ -44,6 +44,9 @@ class FrameFeed:
     """Row source over named DataFrames: the rows of an admitted feed,
     stamped with its batch id (each frame is one batch)."""
 
+    # each frame is one batch, so every input split holds a single batch
+    clustered_by_batch = True
+
     def __init__(self, frames: dict[str, DataFrame], batch_id: str | dict = "snapshot"):
         self.frames = frames
         self.batch_id = batch_id
