@@ -26,6 +26,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -203,11 +204,30 @@ def gate_batches(
     run_id = run_id or str(uuid.uuid4())
     event_time = event_time or C.utc_now()
     TB.ensure_control_tables(spark, names)
-    contracts = spark.table(names.contracts)
     recorded = spark.table(names.audit).where(F.col("run_id") == run_id)
     resumed = recorded.limit(1).count() > 0
 
-    datasets = sorted(r["dataset"] for r in observed.select("dataset").distinct().collect())
+    # Observations are metadata (one row per batch); persisted until bronze
+    # holds them, so the dataset check and the landing evaluate them once
+    # (for CSV feeds, one header read per file). Recomputable if lost.
+    owned = observed.storageLevel == StorageLevel.NONE
+    if owned:
+        observed = observed.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        datasets = sorted(r["dataset"] for r in observed.select("dataset").distinct().collect())
+        result = _gate(spark, observed, rows_for, datasets, names, run_id, recorded, resumed, promote_gold,
+                       fail_on_quarantine, on_replay, sensitive, banned_patterns, event_time, precheck_casts,
+                       land_bronze, enforce_required)
+    finally:
+        if owned:
+            observed.unpersist()
+    return result
+
+
+def _gate(spark, observed, rows_for, datasets, names, run_id, recorded, resumed, promote_gold,
+          fail_on_quarantine, on_replay, sensitive, banned_patterns, event_time, precheck_casts,
+          land_bronze, enforce_required) -> GateResult:
+    contracts = spark.table(names.contracts)
     silver_active, silver_rows = C.active_contracts_for(spark, contracts, "silver", datasets)
     gold_rows = {}
     if promote_gold:
