@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from lakeward.operators import tables as TB
 from lakeward.plans import gate as G
+from lakeward.session import ensure_checkpoint_dir
 from lakeward.sources import csv_batches as CB
 
 SIDECAR = ".schema.json"
@@ -50,8 +51,7 @@ def start(spark: SparkSession, folder: str, dataset: str, *, names: TB.TableName
           trigger_once: bool = False, max_files_per_trigger: int | None = None):
     """Start the streaming gate; returns the StreamingQuery."""
     if checkpoint is None:
-        base = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir")
-        checkpoint = f"{base.rstrip('/')}/{query_name}"
+        checkpoint = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{query_name}"
 
     def run(batch: DataFrame, epoch_id: int) -> None:
         observed = observed_from_sidecars(batch, dataset)
