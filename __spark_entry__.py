@@ -3,9 +3,12 @@
 Every query reads the given tables (mostly ``orders``, landed as one batch
 per order date with a stated schema-drift rule, see
 ``lakeward/plans/orders_feed.py``) and runs the gate's own stage functions
-on all batches at once. Each oracle restates the same rule in SQL and
-computes the diff relationally (a full outer join of expected and observed
-fields per batch), independently of the Spark side's array functions.
+on all batches at once. Twenty are lazy relations; ``gate_run`` runs the
+whole gate with its writes (in a fresh database under the session's
+``spark.checkpoint.dir``) and returns what the written tables hold. Each
+oracle restates the same rule in SQL and computes the diff relationally (a
+full outer join of expected and observed fields per batch), independently
+of the Spark side's array functions.
 """
 
 from __future__ import annotations
