@@ -33,10 +33,13 @@ def test_query_matches_oracle(spark, con, key):
     assert sorted(df.columns) == sorted(cols)
     assert len(rows) == len(orows)
     assert digest(df.columns, rows)[0] == digest(cols, orows)[0]
+    if key == "gate_run":
+        # sf0.001: 499 rows admitted under v1, 240 more by the replay (FIXTURES)
+        i, j = df.columns.index("silver_rows"), df.columns.index("gold_rows")
+        assert sum(r[i] for r in rows) == sum(r[j] for r in rows) == 499 + 240
 
 
-def test_entry_and_gate_totals(spark):
-    assert E.entry(spark).count() == 499
-    run = E.queries()["gate_run"](spark, SF_DIR)
-    tot = run.agg({"silver_rows": "sum", "gold_rows": "sum"}).first()
-    assert tot[0] == tot[1] == 499 + 240
+def test_entry(spark):
+    df = E.entry(spark)
+    assert df.count() == 499
+    assert [f.name for f in df.schema.fields][-1] == "batch_id"
