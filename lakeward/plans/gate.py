@@ -228,7 +228,7 @@ def _gate(spark, observed, rows_for, datasets, names, run_id, recorded, resumed,
           fail_on_quarantine, on_replay, sensitive, banned_patterns, event_time, precheck_casts,
           land_bronze, enforce_required) -> GateResult:
     contracts = spark.table(names.contracts)
-    silver_active, silver_rows = C.active_contracts_for(spark, contracts, "silver", datasets)
+    _, silver_rows = C.active_contracts_for(spark, contracts, "silver", datasets)
     gold_rows = {}
     if promote_gold:
         _, gold_rows = C.active_contracts_for(spark, contracts, "gold", datasets)
@@ -253,7 +253,7 @@ def _gate(spark, observed, rows_for, datasets, names, run_id, recorded, resumed,
         on_replay = "replace"
     else:
         # ACTION 1: audit events, before any data write.
-        decisions = D.gate_decisions(observed, silver_active)
+        decisions = D.gate_decisions(observed, silver_rows)
         events = A.audit_events(decisions, run_id=run_id, event_time=event_time)
         A.assert_no_leaks(events, sensitive, banned_patterns)
         events.select(*[c for c in A.EVENT_COLUMNS if c != "run_id"], "run_id") \
