@@ -33,9 +33,22 @@ RUN_ID = "orders-day-batches"
 EVENT_TIME = datetime(2026, 10, 1, tzinfo=timezone.utc)
 
 
-def _active(spark: SparkSession, contracts, layer: str) -> DataFrame:
-    frame, _ = C.active_contracts_for(spark, C.contracts_frame(spark, contracts), layer, [OF.DATASET])
-    return frame
+def _active(spark: SparkSession, contracts, layer: str) -> dict:
+    """Active contract rows of ``layer`` (declared contracts, so no job runs)."""
+    latest = {}
+    for c in contracts:
+        if c.layer == layer and (c.dataset not in latest or c.version > latest[c.dataset].version):
+            latest[c.dataset] = c
+    if OF.DATASET not in latest:
+        raise C.NoContractError([(OF.DATASET, layer)])
+    return {d: _row(c) for d, c in latest.items()}
+
+
+def _row(c) -> dict:
+    return {"dataset": c.dataset, "layer": c.layer, "contract_version": c.version,
+            "approved_schema": [{"name": f.name, "data_type": f.data_type, "required": f.required}
+                                for f in c.fields],
+            "allowed_changes": list(c.allowed_changes)}
 
 
 def _orders(spark, sf_dir):
