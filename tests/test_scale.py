@@ -45,3 +45,14 @@ def test_large_allowed_set_shuffles(spark, monkeypatch):
         assert sorted(r[0] for r in large.select("id").collect()) == sorted(r[0] for r in small.select("id").collect())
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+
+
+def test_decision_plan_has_no_join(spark):
+    """Contracts reach the batches by a literal lookup: the decision over
+    all day batches has no join, and its only exchange is the distinct of
+    the order dates (after a partial aggregate)."""
+    from lakeward.plans import reports as R
+
+    plan = R.gate_decision(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan
+    assert plan.count("Exchange") == 1 and "Generate" in plan
