@@ -28,8 +28,28 @@ def entry(spark: SparkSession) -> DataFrame:
     return R.silver_rows(spark, SF_SMOKE)
 
 
+def _llm() -> tuple[dict, dict]:
+    """Queries and SQL of the optional training-data operators; none where
+    their subpackage is not installed."""
+    try:
+        from lakeward.llm.queries import ORACLE_SQL, QUERIES
+    except ImportError:
+        return {}, {}
+    return dict(QUERIES), dict(ORACLE_SQL)
+
+
+def _pipeline() -> tuple[dict, dict]:
+    """The corpus pipeline, where it is installed."""
+    try:
+        import corpus_pipeline
+    except ImportError:
+        return {}, {}
+    sql = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return {"pipeline": corpus_pipeline.run}, sql
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(R.REPORTS)
+    return dict(R.REPORTS) | _llm()[0] | _pipeline()[0]
 
 
 # ---------------------------------------------------------------------------
@@ -221,6 +241,10 @@ def _with(*parts: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
+    return _gate_sql() | _llm()[1] | _pipeline()[1]
+
+
+def _gate_sql() -> dict[str, str]:
     d1, d2, dt, dg = _diff("v1", "d1"), _diff("v2", "d2"), _diff("token", "dt"), _diff("gold", "dg")
     registered = """
 reg AS (SELECT DISTINCT cname, layer, version FROM contract WHERE cname IN ('v1', 'v2', 'gold')),
