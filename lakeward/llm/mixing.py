@@ -71,34 +71,42 @@ def source_targets(sized: DataFrame, weights: tuple[float, ...] = WEIGHTS, total
                       F.when(F.col("held"), F.col("cap")).otherwise(F.least("cap", F.col("open") * F.col("weight"))).alias("target"))
 
 
-def domain(df: DataFrame, name: str, n: Column) -> DataFrame:
-    """Adds ``name``: what ``permute`` needs of the range 0 .. n - 1."""
+ROUNDS = 4
+
+
+def domain(df: DataFrame, name: str, n: Column, key: Column) -> DataFrame:
+    """Adds ``name``: a permutation of 0 .. n - 1 chosen by ``key``, as the
+    numbers that ``permute`` needs."""
     one = F.lit(1).cast("long")
-    bits = F.greatest(F.floor(F.log2(n.cast("double") + F.lit(0.5))).cast("int"), F.lit(0))
-    half = F.floor(bits / F.lit(2)).cast("int")
-    return df.withColumn(name, F.struct(
-        n.cast("long").alias("n"), F.call_function("shiftleft", one, bits).alias("top"), half.alias("half"),
-        (F.call_function("shiftleft", one, half) - one).alias("low"),
-        (F.call_function("shiftleft", one, bits - half) - one).alias("high")))
+    df = df.withColumns({"_n": n.cast("long"), "_key": key})
+    df = df.withColumn("_bits", F.greatest(F.floor(F.log2(F.col("_n").cast("double") + F.lit(0.5))).cast("int"), F.lit(0)))
+    df = df.withColumn("_half", F.floor(F.col("_bits") / F.lit(2)).cast("int"))
+    half = F.col("_half")
+    numbers = {"n": F.col("_n"), "key": F.col("_key"), "top": F.call_function("shiftleft", one, F.col("_bits")), "half": half,
+               "low": F.call_function("shiftleft", one, half) - one,
+               "high": F.call_function("shiftleft", one, F.col("_bits") - half) - one}
+    numbers |= {f"turn{r}": F.pmod(F.xxhash64("_key", F.lit(1000 + r)), F.col("_n")) for r in range(ROUNDS)}
+    return df.withColumns({f"{name}_{k}": v for k, v in numbers.items()}).drop("_n", "_key", "_bits", "_half")
 
 
-def permute(df: DataFrame, out: str, index: Column, of: str, key: Column, rounds: int = 4) -> DataFrame:
-    """Adds ``out``: a pseudorandom permutation, chosen by ``key``, of
-    ``index`` in the range 0 .. n - 1 described by the column ``of``.
+def permute(df: DataFrame, out: str, index: Column, of: str) -> DataFrame:
+    """Adds ``out``: where the permutation ``of`` (see ``domain``) sends ``index``.
 
     Each round is a bijection: among the numbers below the largest power of
     two <= n, one half of the bits is xored with a hash of the other (a
     Feistel step), then all numbers are rotated by a keyed offset."""
-    d = F.col(of)
-    df = df.withColumns({"_x": index.cast("long"), "_key": key})
-    for r in range(rounds):
-        df = df.withColumns({"_low": F.col("_x").bitwiseAND(d["low"]), "_high": F.call_function("shiftright", F.col("_x"), d["half"])})
-        other, mask = ("_high", d["low"]) if r % 2 == 0 else ("_low", d["high"])
-        flip = F.xxhash64(other, "_key", F.lit(r)).bitwiseAND(mask)
-        flip = flip if r % 2 == 0 else F.call_function("shiftleft", flip, d["half"])
-        stepped = F.when(F.col("_x") < d["top"], F.col("_x").bitwiseXOR(flip)).otherwise(F.col("_x"))
-        df = df.withColumn("_x", F.pmod(stepped + F.pmod(F.xxhash64("_key", F.lit(1000 + r)), d["n"]), d["n"]))
-    return df.withColumn(out, F.col("_x")).drop("_x", "_key", "_low", "_high")
+    n, key, top, half, low, high = (F.col(f"{of}_{k}") for k in ("n", "key", "top", "half", "low", "high"))
+    df = df.withColumn("_x", index.cast("long"))
+    x = F.col("_x")
+    for r in range(ROUNDS):
+        if r % 2 == 0:
+            flip = F.xxhash64(F.call_function("shiftright", x, half), key).bitwiseAND(low)
+        else:
+            flip = F.call_function("shiftleft", F.xxhash64(x.bitwiseAND(low), key).bitwiseAND(high), half)
+        df = df.withColumn("_x", F.when(x < top, x.bitwiseXOR(flip)).otherwise(x) + F.col(f"{of}_turn{r}"))
+        df = df.withColumn("_x", F.when(x >= n, x - n).otherwise(x))
+    # not null, so that no filter on it is inferred and inlined through the rounds
+    return df.withColumn(out, F.coalesce(x, F.lit(0).cast("long"))).drop("_x")
 
 
 def document_spans(sized: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
@@ -134,20 +142,22 @@ def slots(targets: DataFrame, block: int = BLOCK, shard_slots: int = SHARD_SLOTS
     order = W.orderBy(F.col("source").asc_nulls_last())
     per = per.withColumn("first", F.sum("n_slots").over(order.rowsBetween(W.unboundedPreceding, W.currentRow)) - F.col("n_slots"))
     per = per.withColumn("all_slots", F.sum("n_slots").over(W.partitionBy()))
-    per = domain(domain(per, "of_slots", F.col("all_slots")), "of_blocks", F.col("blocks"))
-    step = 1 << 14  # slots of a source are made in runs of this length, dealt over the tasks
-    runs = per.filter(F.col("n_slots") > 0).withColumn(
-        "run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n_slots") - 1) / F.lit(step)))))
-    runs = runs.repartition(F.col("source"), F.col("run"))
+    per = per.filter(F.col("n_slots") > 0)
+    per = per.withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n_slots") - 1) / F.col("blocks")))))
+    per = per.withColumn("epoch_slots", F.least(F.col("blocks"), F.col("n_slots") - F.col("epoch") * F.col("blocks")))
+    step = 1 << 14  # the slots of an epoch are made in runs of this length, dealt over the tasks
+    runs = per.withColumn("run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("epoch_slots") - 1) / F.lit(step)))))
+    # the deal of all slots to shards, and the epoch's own order of the source's blocks
+    runs = domain(runs, "deal", F.col("all_slots"), F.lit(seed).cast("long"))
+    runs = domain(runs, "own", F.col("blocks"), F.xxhash64(F.lit(seed), F.col("source"), F.col("epoch")))
+    runs = runs.repartition(F.col("source"), F.col("epoch"), F.col("run"))
     each = runs.withColumn("t", F.explode(F.sequence(
-        F.col("run") * F.lit(step), F.least(F.col("n_slots"), (F.col("run") + 1) * F.lit(step)) - 1)))
-    each = each.withColumn("epoch", F.floor(F.col("t") / F.col("blocks")).cast("int"))
-    each = permute(each, "at", F.col("first") + F.col("t"), "of_slots", F.lit(seed).cast("long"))
-    # the epoch's own order of the source's blocks
-    each = permute(each, "block", F.pmod(F.col("t"), F.col("blocks")), "of_blocks",
-                   F.xxhash64(F.lit(seed), F.col("source"), F.col("epoch")))
+        F.col("run") * F.lit(step), F.least(F.col("epoch_slots"), (F.col("run") + 1) * F.lit(step)) - 1)))
+    each = permute(each, "at", F.col("first") + F.col("epoch") * F.col("blocks") + F.col("t"), "deal")
+    each = permute(each, "block", F.col("t"), "own")
     return each.select(F.floor(F.col("at") / F.lit(shard_slots)).cast("long").alias("shard"),
-                       F.pmod(F.col("at"), F.lit(shard_slots)).cast("int").alias("place"), "source", "epoch", "block")
+                       F.pmod(F.col("at"), F.lit(shard_slots)).cast("int").alias("place"),
+                       "source", F.col("epoch").cast("int").alias("epoch"), "block")
 
 
 def block_pieces(spans: DataFrame, block: int = BLOCK) -> DataFrame:
