@@ -34,7 +34,7 @@ TOTAL_SHARE = 1.5
 MAX_EPOCHS = 2
 BLOCK = 64
 SHARD_SLOTS = 1024
-ROWS_PER_BUCKET = 50_000
+ROWS_PER_BUCKET = 10_000
 
 
 def sizes(docs: DataFrame) -> DataFrame:
@@ -110,7 +110,7 @@ def permute(df: DataFrame, out: str, index: Column, of: str) -> DataFrame:
 
 
 def document_spans(sized: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    """Adds uid and start (words of the source before the document) to rows
+    """Adds nth (a number within the source) and start (words of the source before the document) to rows
     of doc_id, source, size.
 
     The order within a source is (bucket, hash, doc_id, size). The running
@@ -118,7 +118,7 @@ def document_spans(sized: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) ->
     added up apart, so a source with a third of all rows is spread over
     many tasks; the number of buckets grows with the rows."""
     n = sized.count()
-    buckets = max(16, -(-n // rows_per_bucket))
+    buckets = max(64, -(-n // rows_per_bucket))
     d = sized.withColumn("h", F.xxhash64("doc_id", "size"))
     d = d.withColumn("bucket", F.pmod("h", F.lit(buckets)))
     inside = W.partitionBy("source", "bucket").orderBy("h", "doc_id", "size")
@@ -181,7 +181,8 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, total_sha
     dealt = slots(targets, block, shard_slots, seed)
     at = dealt.select(F.col("source").alias("s_source"), F.col("block").alias("s_block"), "shard", "place", "epoch")
     parts = block_pieces(spans, block)
-    taken = parts.join(at, parts["source"].eqNullSafe(at["s_source"]) & (parts["block"] == at["s_block"]))
+    # explode hides the size of both sides from the planner: never broadcast either
+    taken = parts.join(at.hint("merge"), parts["source"].eqNullSafe(at["s_source"]) & (parts["block"] == at["s_block"]))
     return spans, targets, taken.select("source", "nth", "doc_id", "epoch", "shard", "place", "lo", "hi")
 
 
@@ -191,7 +192,7 @@ def mix_report(docs: DataFrame, **options) -> DataFrame:
     per = taken.groupBy("source", "nth").agg(F.sum(F.col("hi") - F.col("lo")).alias("taken"), F.count(F.lit(1)).alias("n_pieces"))
     per = per.select(F.col("source").alias("p_source"), F.col("nth").alias("p_nth"), "taken", "n_pieces")
     of = targets.select(F.col("source").alias("t_source"), "source_size", "target")
-    rows = spans.join(per, spans["source"].eqNullSafe(per["p_source"]) & (spans["nth"] == per["p_nth"]), "left")
+    rows = spans.join(per.hint("merge"), spans["source"].eqNullSafe(per["p_source"]) & (spans["nth"] == per["p_nth"]), "left")
     rows = rows.join(of, rows["source"].eqNullSafe(of["t_source"]))
     return rows.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"),
                        F.coalesce("n_pieces", F.lit(0)).cast("long").alias("n_pieces"))
@@ -213,11 +214,11 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     numbered = spans.select(F.col("source").alias("n_source"), F.col("doc_id").alias("n_doc_id"), F.col("nth").alias("n_nth"),
                             F.row_number().over(W.partitionBy("source", "doc_id", "size").orderBy("nth")).alias("n_copy"),
                             F.col("size").alias("n_size"))
-    per = per.join(numbered, per["source"].eqNullSafe(F.col("n_source")) & (per["nth"] == F.col("n_nth")))
+    per = per.join(numbered.hint("merge"), per["source"].eqNullSafe(F.col("n_source")) & (per["nth"] == F.col("n_nth")))
     per = per.select("n_source", "n_doc_id", "n_copy", "n_size", "epoch", "runs", "words")
     d = d.withColumn("size", F.regexp_count("text", F.lit(WORD)).cast("long"))
     d = d.withColumn("copy", F.row_number().over(W.partitionBy("source", "doc_id", "size").orderBy(F.xxhash64("text", "lang"))))
-    rows = d.join(per, d["source"].eqNullSafe(F.col("n_source")) & d["doc_id"].eqNullSafe(F.col("n_doc_id"))
+    rows = d.join(per.hint("merge"), d["source"].eqNullSafe(F.col("n_source")) & d["doc_id"].eqNullSafe(F.col("n_doc_id"))
                   & (d["size"] == F.col("n_size")) & (d["copy"] == F.col("n_copy")))
     with_space = F.regexp_extract_all("text", F.lit(f"({WORD}[\\x20\\x09-\\x0D]*)"), F.lit(1))
     picked = F.array_join(F.flatten(F.transform("runs", lambda r: F.slice(

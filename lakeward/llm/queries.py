@@ -2,13 +2,22 @@
 
 from __future__ import annotations
 
-from lakeward.llm import mixing, warc
+from lakeward.llm import fingerprints, langid, licenses, mainhtml, mixing, neardup, neighbours, packing, toxicity, warc
 
 QUERIES = {
+    "op1_license_scan": licenses.op1_license_scan,
+    "op2_main_text": mainhtml.op2_main_text,
+    "op3_nearest": neighbours.op3_nearest,
+    "op4_fingerprints": fingerprints.op4_fingerprints,
+    "op5_near_duplicates": neardup.op5_near_duplicates,
+    "op6_packing": packing.op6_packing,
+    "op7_language": langid.op7_language,
     "op8_mix_sources": mixing.op8_mix_sources,
     "op9_warc": warc.op9_warc,
+    "op10_toxicity": toxicity.op10_toxicity,
 }
 
 ORACLE_SQL = {
+    "op3_nearest": neighbours.ORACLE_SQL,
     "op9_warc": warc.ORACLE_SQL,
 }
