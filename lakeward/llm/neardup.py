@@ -203,8 +203,8 @@ def components(edges: DataFrame, labels: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, class_id (smallest doc_id of its class),
-    uid (its text's id), links (verified links of its text), kept (true for
-    one text of the class: that of class_id)."""
+    text_id, links (verified links of its text), kept (true for the document
+    of class_id, which stands for the class)."""
     d = take(docs, "doc_id", "text").withColumn("uid", text_id(F.col("text")))
     d = d.select(F.col("doc_id").cast("long").alias("doc_id"), "uid", F.coalesce("text", F.lit("")).alias("text"))
     rows = cut(_lower(d).mapInArrow(_sketch_rows, "doc_id long, uid binary, keys array<long>"), "nd-sketches")
@@ -222,14 +222,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     out = rows.select("doc_id", "uid").join(of_text, F.col("uid") == F.col("o_uid"))
     class_id = F.when(F.col("class.label") != last, F.col("class.label"))
     return out.select("doc_id", class_id.alias("class_id"), F.lower(F.hex("uid")).alias("text_id"), F.col("links").cast("long").alias("links"),
-                      (F.col("class.root") == F.col("uid")).alias("kept"))
+                      ((F.col("class.root") == F.col("uid")) & F.col("doc_id").eqNullSafe(class_id)).alias("kept"))
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` with one row of each class: the one of the class's
     smallest doc_id, whole (ties among equal rows: any one of them)."""
     columns = ["doc_id", "text", "lang", "source", "n_chars"]
-    found = near_duplicates(docs).filter(F.col("kept") & F.col("doc_id").eqNullSafe(F.col("class_id")))
+    found = near_duplicates(docs).filter("kept")
     keep = found.select(F.col("text_id").alias("k_text"), F.col("doc_id").alias("k_doc")).distinct()
     d = take(docs, *columns).withColumn("text_id", F.lower(F.hex(text_id(F.col("text")))))
     d = d.join(keep, (F.col("text_id") == F.col("k_text")) & F.col("doc_id").cast("long").eqNullSafe(F.col("k_doc")), "left_semi")
