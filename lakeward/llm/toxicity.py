@@ -4,7 +4,7 @@ Method. Tokens are words and their first 4, 5 and 6 bytes (inflected forms
 share a stem), hashed into ``BUCKETS`` buckets. Each token gets the log-odds
 of toxic against clean labelled documents under an informative Dirichlet
 prior from the whole corpus, less ``Z`` standard errors; a token whose bound
-is above zero is evidence. A document's words score the best bound of their
+is above ``LEAST`` is evidence. A document's words score the best bound of their
 tokens, or a small negative drift. One linear pass finds all maximal scoring
 segments (Ruzzo and Tompa). The scale of the scores is calibrated by extreme
 values: lambda solves E[exp(lambda s)] = 1 for the scores that half of the
@@ -39,7 +39,9 @@ from lakeward.llm.common import cut, is_held_out, is_train, table, take
 BUCKETS = 1 << 20
 PREFIXES = (4, 5, 6)
 SAMPLE = 50_000
-Z = 2.4
+Z = 1.6
+#: Tokens with a smaller bound are no evidence: common words lean a little to one side by chance.
+LEAST = 1.2
 PRIOR = 0.5
 MAX_E = 1.0
 THRESHOLD = 0.7
@@ -139,9 +141,9 @@ def token_counts(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tu
 
 
 def log_odds_bound(toxic, n_toxic, clean, n_clean, prior, z=Z):
-    """Log-odds of toxic against clean under the prior, less z standard errors."""
-    odds = (np.log((toxic + prior) / np.maximum(n_toxic - toxic + prior, prior))
-            - np.log((clean + prior) / np.maximum(n_clean - clean + prior, prior)))
+    """Log of the odds that a text with the token is toxic rather than clean,
+    against the odds of any text, under the prior, less z standard errors."""
+    odds = np.log((toxic + prior) / (n_toxic + 2 * prior)) - np.log((clean + prior) / (n_clean + 2 * prior))
     return odds - z * np.sqrt(1 / (toxic + prior) + 1 / (clean + prior))
 
 
@@ -161,7 +163,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict:
     t = [rows["toxic0"].to_numpy(), rows["toxic1"].to_numpy()]
     c = [rows["clean0"].to_numpy(), rows["clean1"].to_numpy()]
     scores = log_odds_bound(t[0] + t[1], n[1, 0] + n[1, 1], c[0] + c[1], n[0, 0] + n[0, 1], prior)
-    good = scores > 0
+    good = scores > LEAST
     if not good.any():
         return empty
     clean_words, toxic_words = whole["clean0"] + whole["clean1"], whole["toxic0"] + whole["toxic1"]
@@ -173,7 +175,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict:
         if min(n[0, a], n[1, a]) <= 0:
             continue
         s = log_odds_bound(t[a], n[1, a], c[a], n[0, a], prior)
-        up = s > 0
+        up = s > LEAST
         high.append(s[up])
         mass.append(c[b][up])
     high = np.concatenate([*high, [float(np.median(scores[good]))]])
@@ -257,7 +259,7 @@ def _scanner(sent):
                     if bits > -np.log(MAX_E):
                         evidence += bits
                         found[i].append({"first": int(at[lo + f]), "last": int(at[lo + l]), "evidence": float(bits)})
-                result[i] = np.exp(-np.exp(-min(max(evidence, best), 700.0)))
+                result[i] = np.exp(-np.exp(-np.clip(evidence or best, -700.0, 700.0)))
         return counts, result, found
 
     return scan
