@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +28,24 @@ def take(df: DataFrame, *names: str) -> DataFrame:
     return numbered.select(*(numbered[f"_c{i}"].alias(name) for i, name in zip(at, names)))
 
 
+def filter_rows(docs: DataFrame, column: str, derived, keep) -> DataFrame:
+    """The rows of ``docs``, unchanged, that ``keep()(batch)`` marks: it is
+    given ``derived(column)`` as an Arrow array and returns booleans. Rows are
+    judged where they are; nothing is joined or shuffled. ``keep`` is called
+    once per task."""
+    names, schema = docs.columns, docs.schema
+    numbered = docs.toDF(*(f"_c{i}" for i in range(len(names))))
+    judged = numbered.withColumn("_judged", derived(numbered[f"_c{names.index(column)}"]))
+
+    def run(batches):
+        mark = keep()
+        for batch in batches:
+            mask = pa.array(mark(batch.column(len(names))))
+            yield pa.RecordBatch.from_arrays([c.filter(mask) for c in batch.columns[:-1]], names)
+
+    return judged.mapInArrow(run, schema)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeward.llm import textvec
-from lakeward.llm.common import is_held_out, is_train, table, take
+from lakeward.llm.common import filter_rows, is_held_out, is_train, table, take
 
 WINDOW = 1024
 MAX_N = 4
@@ -187,13 +187,14 @@ def _predictor(sent):
     return run
 
 
-def _lettered() -> Column:
-    return F.when(F.col("text").rlike(r"\p{L}"), F.col("text"))
+def _lettered(text: Column) -> Column:
+    """The text, or null where it has no letter."""
+    return F.when(text.rlike(r"\p{L}"), text)
 
 
 def predict(docs: DataFrame, model: dict | None) -> DataFrame:
     """doc_id, lang_pred, score of every row."""
-    d = take(docs, "doc_id", "text").select("doc_id", _lettered().alias("text"))
+    d = take(docs, "doc_id", "text").select("doc_id", _lettered(F.col("text")).alias("text"))
     if model is None:
         return d.select("doc_id", F.lit(UNDEFINED).alias("lang_pred"), F.lit(0.0).alias("score"))
     sent = docs.sparkSession.sparkContext.broadcast(model)  # LANDMARKS x BUCKETS bytes
@@ -213,17 +214,18 @@ def keep_known(docs: DataFrame, model: dict | None, least: float) -> DataFrame:
     ``least``, unchanged. Rows are judged where they are; nothing is joined.
     Without a model the rows with a letter stay."""
     if model is None:
-        return docs.filter(_lettered().isNotNull())
+        return filter_rows(docs, "text", _lettered, lambda: lambda column: column.is_valid().to_numpy(False))
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    columns = docs.columns
 
-    def run(batches):
+    def keep():
         predictor = _predictor(sent)
-        for batch in batches:
-            names, score = predictor(batch.column("_lettered"))
-            yield batch.select(columns).filter(pa.array((names != UNDEFINED) & (score >= least)))
 
-    return docs.withColumn("_lettered", _lettered()).mapInArrow(run, docs.schema)
+        def mark(column):
+            names, score = predictor(column)
+            return (names != UNDEFINED) & (score >= least)
+        return mark
+
+    return filter_rows(docs, "text", _lettered, keep)
 
 
 def learn(docs: DataFrame, sample: int = SAMPLE, landmarks: int = LANDMARKS) -> dict | None:

@@ -9,13 +9,15 @@ that the threshold allows): similarity = aligned / (all shingles of both,
 aligned ones once), at least ``THRESHOLD``. It equals the Jaccard
 similarity of 5-word shingles for texts that keep their order.
 
-No group emits all its pairs. Equal texts are one text. In each group of
-texts that share a sketch, every member is compared with the group's leader
-(the text that shares most with others); members that fail meet up to
-``LEADERS`` leaders of the members left, until no group has two members
-left. Rounds end by themselves; nothing is capped. Verified pairs are links,
-and the classes are the connected components of the links, found by
-spreading the smallest label with pointer jumping.
+Equal texts are one text. In each group of texts that share a sketch, every
+member is compared with the group's leader (the text that shares most with
+others), which joins groups of copies without making their pairs. Where a
+group then still holds several classes, the members outside its largest
+class are compared with the members of other classes. So no two texts that
+share a sketch end in different classes without having been compared;
+nothing is capped. Verified pairs are links, and the classes are the
+connected components of the links, found by spreading the smallest label
+with pointer jumping.
 
 All steps are joins and partial sums over light rows (a 16-byte text id).
 Texts move once, and only those with a candidate go on. Hot sketches, copies
@@ -44,7 +46,6 @@ SHINGLE = 5
 SKETCHES = 24
 PICKED = 4
 THRESHOLD = 0.8
-LEADERS = 8
 
 _rng = np.random.default_rng(20240501)
 _FACTORS = (_rng.integers(0, 1 << 63, SKETCHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1))[:, None]
@@ -143,44 +144,43 @@ def _lower(df: DataFrame) -> DataFrame:
     return df.withColumn("text", F.lower("text"))
 
 
+def _verified(pairs: DataFrame, seqs: DataFrame, name: str) -> DataFrame:
+    """a, b, linked of the distinct ``pairs`` (a, b)."""
+    sides = pairs.join(seqs.select(F.col("uid").alias("a"), F.col("seq").alias("seq_a")), "a")
+    sides = sides.join(seqs.select(F.col("uid").alias("b"), F.col("seq").alias("seq_b")), "b")
+    return cut(sides.select("a", "b", "seq_a", "seq_b").mapInArrow(_verify, "a binary, b binary, linked boolean"), name)
+
+
 def links(texts: DataFrame, keyed: DataFrame) -> DataFrame:
-    """Verified pairs (a, b) of different texts. ``texts`` has uid, text (rows
-    may repeat); ``keyed`` has one row per text: uid, keys."""
-    spark = texts.sparkSession
+    """Verified pairs (a, b) of different texts that join all classes: any two
+    texts of a group that end in different classes have been compared.
+    ``texts`` has uid, text (rows may repeat); ``keyed`` has one row per
+    text: uid, label, keys."""
     sk = keyed.select("uid", F.explode("keys").alias("key"))
     shared = sk.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     members = cut(sk.join(shared.hint("merge"), "key").select("key", "uid", "n"), "nd-members")
-    if members.isEmpty():
-        return spark.createDataFrame([], "a binary, b binary")
     mass = members.groupBy("uid").agg(F.sum("n").alias("mass"))
     one = texts.join(mass.select("uid"), "uid", "left_semi").groupBy("uid").agg(F.first("text").alias("text"))
     seqs = cut(_lower(one).mapInArrow(_shingle_rows, "uid binary, seq binary"), "nd-seqs")
-    left = members.join(mass, "uid").select("key", "uid", "mass")
-    tested = None
-    number = 0
-    while True:
-        # the first round has one leader per sketch, later ones one of each of LEADERS parts of the members left
-        part = F.lit(0) if number == 0 else F.pmod(F.xxhash64("uid", F.lit(number)), F.lit(LEADERS)).cast("int")
-        best = left.withColumn("part", part).groupBy("key", "part").agg(F.max(F.struct("mass", "uid")).alias("best"))
-        leaders = best.select("key", F.col("best.uid").alias("leader"))
-        met = left.join(leaders.hint("merge"), "key").filter(F.col("uid") != F.col("leader")).select("key", "uid", "leader")
-        met = cut(met.withColumn("a", F.least("uid", "leader")).withColumn("b", F.greatest("uid", "leader")), "nd-met")
-        pairs = met.select("a", "b").distinct()
-        if tested is not None:
-            pairs = pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
-        sides = pairs.join(seqs.select(F.col("uid").alias("a"), F.col("seq").alias("seq_a")), "a")
-        sides = sides.join(seqs.select(F.col("uid").alias("b"), F.col("seq").alias("seq_b")), "b")
-        done = cut(sides.select("a", "b", "seq_a", "seq_b").mapInArrow(_verify, "a binary, b binary, linked boolean"), "nd-tested")
-        tested = done if tested is None else tested.unionByName(done)
-        # members that are no leader and are linked to no leader they met stay
-        is_leader = leaders.select("key", F.col("leader").alias("uid"))
-        judged = met.join(tested, ["a", "b"]).groupBy("key", "uid").agg(F.max("linked").alias("linked"))
-        rest = judged.filter("not linked").select("key", "uid").join(is_leader, ["key", "uid"], "left_anti")
-        many = rest.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
-        left = cut(rest.join(many, "key", "left_semi").join(mass, "uid").select("key", "uid", "mass"), "nd-left")
-        number += 1
-        if left.isEmpty():
-            return tested.filter("linked").select("a", "b")
+    # every member with the leader of its group
+    best = members.join(mass, "uid").groupBy("key").agg(F.max(F.struct("mass", "uid")).alias("best"))
+    leaders = best.select("key", F.col("best.uid").alias("leader"))
+    met = members.join(leaders.hint("merge"), "key").filter(F.col("uid") != F.col("leader"))
+    pairs = met.select(F.least("uid", "leader").alias("a"), F.greatest("uid", "leader").alias("b")).distinct()
+    first = _verified(pairs, seqs, "nd-led")
+    # groups that hold several classes by now: the members outside the group's largest class meet those of other classes
+    classes = components(first.filter("linked").select("a", "b"), keyed.select("uid", "label"))
+    classes = classes.select(F.col("uid").alias("c_uid"), F.col("label.root").alias("root"))
+    of = members.join(classes.hint("merge"), F.col("uid") == F.col("c_uid"), "left").select("key", "uid", F.coalesce("root", "uid").alias("root"))
+    of = cut(of, "nd-classed")
+    sizes = of.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
+    largest = sizes.groupBy("key").agg(F.max(F.struct("n", "root")).alias("largest"), F.count(F.lit(1)).alias("classes"))
+    several = largest.filter("classes > 1").select("key", F.col("largest.root").alias("main"))
+    minor = of.join(several, "key").filter(F.col("root") != F.col("main")).select("key", F.col("uid").alias("m_uid"), F.col("root").alias("m_root"))
+    cross = of.join(minor.hint("merge"), "key").filter(F.col("root") != F.col("m_root"))
+    pairs = cross.select(F.least("uid", "m_uid").alias("a"), F.greatest("uid", "m_uid").alias("b")).distinct()
+    second = _verified(pairs.join(first.select("a", "b"), ["a", "b"], "left_anti"), seqs, "nd-crossed")
+    return first.unionByName(second).filter("linked").select("a", "b")
 
 
 def components(edges: DataFrame, labels: DataFrame) -> DataFrame:
@@ -212,7 +212,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     last = F.lit((1 << 63) - 1)
     texts = rows.groupBy("uid").agg(F.min(F.coalesce("doc_id", last)).alias("label"), F.first("keys").alias("keys"))
     texts = cut(texts, "nd-texts")
-    edges = cut(links(d.select("uid", "text"), texts.select("uid", "keys")), "nd-links")
+    edges = cut(links(d.select("uid", "text"), texts), "nd-links")
     labels = components(edges, texts.select("uid", "label"))
     degree = edges.select(F.explode(F.array("a", "b")).alias("uid")).groupBy("uid").agg(F.count(F.lit(1)).alias("links"))
     found = labels.join(degree, "uid").select(F.col("uid").alias("f_uid"), F.col("label").alias("f_label"), "links")

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeward.llm import textvec
-from lakeward.llm.common import cut, is_held_out, is_train, table, take
+from lakeward.llm.common import cut, filter_rows, is_held_out, is_train, table, take
 
 BUCKETS = 1 << 20
 PREFIXES = (4, 5, 6)
@@ -287,15 +287,12 @@ def keep_clean(docs: DataFrame, model: dict, threshold: float = THRESHOLD) -> Da
     """The rows of ``docs`` that score below ``threshold``, unchanged. Rows
     are judged where they are; nothing is joined."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    names = docs.columns
 
-    def run(batches):
+    def keep():
         scan = _scanner(sent)
-        for batch in batches:
-            _, result, _ = scan(batch.column("_lower"))
-            yield batch.select(names).filter(pa.array(result < threshold))
+        return lambda column: scan(column)[1] < threshold
 
-    return docs.withColumn("_lower", F.lower(F.coalesce("text", F.lit("")))).mapInArrow(run, docs.schema)
+    return filter_rows(docs, "text", lambda text: F.lower(F.coalesce(text, F.lit(""))), keep)
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
