@@ -13,9 +13,10 @@ Equal texts are one text. In each group of texts that share a sketch, every
 member is compared with the group's leader (the text that shares most with
 others), which joins groups of copies without making their pairs. Where a
 group then still holds several classes, the members outside its largest
-class are compared with the members of other classes. So no two texts that
-share a sketch end in different classes without having been compared;
-nothing is capped. Verified pairs are links, and the classes are the
+class are compared with the members of other classes, but for pairs that an
+exact bound excludes: of a text's n shingles, those that no other such text
+has cannot be shared. So no two texts that share a sketch and could be
+similar enough end in different classes uncompared; nothing is capped. Verified pairs are links, and the classes are the
 connected components of the links, found by spreading the smallest label
 with pointer jumping.
 
@@ -128,14 +129,14 @@ def _sketch_rows(batches):
 
 def _shingle_rows(batches):
     def emit(batch, shingled):
-        return pa.RecordBatch.from_arrays([batch.column("uid"), pa.array([s.tobytes() for s in shingled], pa.binary())], ["uid", "seq"])
+        return pa.RecordBatch.from_arrays([batch.column("uid"), pa.array([s.view(np.int64) for s in shingled], pa.list_(pa.int64()))], ["uid", "seq"])
     yield from _hash_texts(batches, emit)
 
 
 def _verify(batches):
     for batch in batches:
         a, b = batch.column("seq_a"), batch.column("seq_b")
-        keep = [similarity(np.frombuffer(a[i].as_buffer(), np.uint64), np.frombuffer(b[i].as_buffer(), np.uint64)) >= THRESHOLD
+        keep = [similarity(a[i].values.to_numpy().view(np.uint64), b[i].values.to_numpy().view(np.uint64)) >= THRESHOLD
                 for i in range(batch.num_rows)]
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(keep, pa.bool_())], ["a", "b", "linked"])
 
@@ -161,7 +162,7 @@ def links(texts: DataFrame, keyed: DataFrame) -> DataFrame:
     members = cut(sk.join(shared.hint("merge"), "key").select("key", "uid", "n"), "nd-members")
     mass = members.groupBy("uid").agg(F.sum("n").alias("mass"))
     one = texts.join(mass.select("uid"), "uid", "left_semi").groupBy("uid").agg(F.first("text").alias("text"))
-    seqs = cut(_lower(one).mapInArrow(_shingle_rows, "uid binary, seq binary"), "nd-seqs")
+    seqs = cut(_lower(one).mapInArrow(_shingle_rows, "uid binary, seq array<long>"), "nd-seqs")
     # every member with the leader of its group
     best = members.join(mass, "uid").groupBy("key").agg(F.max(F.struct("mass", "uid")).alias("best"))
     leaders = best.select("key", F.col("best.uid").alias("leader"))
@@ -176,8 +177,19 @@ def links(texts: DataFrame, keyed: DataFrame) -> DataFrame:
     sizes = of.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
     largest = sizes.groupBy("key").agg(F.max(F.struct("n", "root")).alias("largest"), F.count(F.lit(1)).alias("classes"))
     several = largest.filter("classes > 1").select("key", F.col("largest.root").alias("main"))
-    minor = of.join(several, "key").filter(F.col("root") != F.col("main")).select("key", F.col("uid").alias("m_uid"), F.col("root").alias("m_root"))
-    cross = of.join(minor.hint("merge"), "key").filter(F.col("root") != F.col("m_root"))
+    mixed = cut(of.join(several, "key"), "nd-mixed")
+    # shingles that no other of these texts has bound a text's similarity to any of them, exactly:
+    # at most n - own of its n shingles can be shared
+    of_mixed = seqs.join(mixed.select("uid").distinct(), "uid", "left_semi")
+    once = of_mixed.select("uid", F.explode("seq").alias("shingle")).groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("uid").alias("uid"))
+    own = once.filter("n = 1").groupBy("uid").agg(F.count(F.lit(1)).alias("own"))
+    room = of_mixed.select("uid", F.size("seq").alias("n")).join(own, "uid", "left").select("uid", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("common"))
+    mixed = mixed.join(room.filter(F.col("common") >= THRESHOLD * F.col("n")), "uid")
+    minor = mixed.filter(F.col("root") != F.col("main")).select(
+        F.col("key").alias("m_key"), F.col("uid").alias("m_uid"), F.col("root").alias("m_root"), F.col("n").alias("m_n"), F.col("common").alias("m_common"))
+    most = F.least("common", "m_common")
+    cross = mixed.join(minor.hint("merge"), (F.col("key") == F.col("m_key")) & (F.col("root") != F.col("m_root"))
+                       & (most >= THRESHOLD * (F.col("n") + F.col("m_n") - most)))
     pairs = cross.select(F.least("uid", "m_uid").alias("a"), F.greatest("uid", "m_uid").alias("b")).distinct()
     second = _verified(pairs.join(first.select("a", "b"), ["a", "b"], "left_anti"), seqs, "nd-crossed")
     return first.unionByName(second).filter("linked").select("a", "b")
