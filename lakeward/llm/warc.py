@@ -73,7 +73,9 @@ def record(payload: Column, digest: Column, refers_to: Column, page_id: Column,
 def write_warc(pages: DataFrame, path: str, min_bytes: int = MIN_BYTES) -> None:
     """Write ``pages`` (page_id, url, html) as WARC files in the folder ``path``."""
     pages = take(pages, "page_id", "url", "html").withColumn("html", F.coalesce("html", F.lit("")))
-    known = revisits(pages, min_bytes).select(F.col("page_id").alias("r_page_id"), F.col("digest").alias("r_digest"), "refers_to")
+    # a written table has a size that the planner knows: few revisits are broadcast and the payloads stay where they are
+    known = cut(revisits(pages, min_bytes), "warc-revisits")
+    known = known.select(F.col("page_id").alias("r_page_id"), F.col("digest").alias("r_digest"), "refers_to")
     rows = pages.withColumn("digest", F.sha1(F.col("html").cast("binary")))
     rows = rows.join(known, (F.col("page_id") == F.col("r_page_id")) & (F.col("digest") == F.col("r_digest")), "left")
     rows = rows.select(record(F.col("html"), F.col("digest"), F.col("refers_to"), F.col("page_id"), F.col("url")).alias("value"))
