@@ -226,14 +226,14 @@ def op3_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLE_SQL = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> CAST(x AS DOUBLE)) AS e FROM embeddings
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
   WHERE embedding IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
-n AS (SELECT vec_id, e, sqrt(list_sum(list_transform(e, x -> x * x))) AS norm FROM v),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+n AS (SELECT vec_id, e, sqrt(list_sum(list_transform(e, lambda x: x * x))) AS norm FROM v),
 ok AS (SELECT * FROM n WHERE norm > 0),
 pairs AS (
   SELECT q.vec_id AS query_id, c.vec_id,
-    list_sum(list_transform(list_zip(q.e, c.e), z -> z[1] * z[2])) / (q.norm * c.norm) AS score
+    list_sum(list_transform(list_zip(q.e, c.e), lambda z: z[1] * z[2])) / (q.norm * c.norm) AS score
   FROM ok q JOIN ok c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 50 = 0),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM pairs)
 SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score FROM ranked WHERE r <= 5
