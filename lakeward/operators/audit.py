@@ -18,9 +18,12 @@ from lakeward.functions import exprs as X
 # values rather than schema metadata).
 BANNED_KEYS = ("rows", "sample", "payload", "values", "billed_amount")
 
-# Characters that separate tokens in the JSON text of an event: whitespace,
-# quotes, commas, brackets, braces and colons.
-TOKEN_SPLIT = r"[\s\"',\[\]{}:]+"
+# Texts that no event may hold, checked in every run.
+BANNED_TEXTS = ("CLM-", "120.50")
+
+# A sensitive value meets the events on its last so many characters (all of
+# a shorter one), and is then looked for as a whole.
+GRAM = 8
 
 EVENT_COLUMNS = (
     "event_id", "dataset", "layer", "batch_id", "run_id", "expected_schema", "observed_schema",
@@ -28,12 +31,14 @@ EVENT_COLUMNS = (
     "event_time", "bronze_path",
 )
 
-# Above this many leaked tokens the event-side join is not broadcast.
-MAX_BROADCAST_TOKENS = 1_000_000
-
 
 class MetadataLeakError(ValueError):
-    """An audit event would carry data values."""
+    """An audit event would carry data values. ``found`` is a DataFrame of
+    all findings (event_id, batch_id, value, source), ``total`` their number."""
+
+    def __init__(self, text: str, found: DataFrame | None = None, total: int = 0):
+        super().__init__(text)
+        self.found, self.total = found, total
 
 
 def audit_events(decisions: DataFrame, *, run_id: str, event_time: datetime) -> DataFrame:
@@ -83,55 +88,57 @@ def assert_metadata_only(events: DataFrame, banned_keys=BANNED_KEYS) -> None:
 
 
 def event_text(events: DataFrame) -> F.Column:
-    cols = [c for c in events.columns if c not in ("event_id", "event_time")]
-    return F.to_json(F.struct(*cols))
-
-
-def event_tokens(events: DataFrame) -> DataFrame:
-    """(event_id, batch_id, token): distinct tokens of each event's JSON text."""
-    toks = F.array_distinct(F.split(event_text(events), TOKEN_SPLIT))
-    return events.select("event_id", "batch_id", F.explode(toks).alias("token")).where("token <> ''")
-
-
-def leak_scan(events: DataFrame, sensitive: DataFrame | None = None, patterns=()) -> DataFrame:
-    """Events holding a sensitive value as a whole token, or matching a
-    banned pattern.
-
-    ``sensitive`` has columns (``value``, ``source``). Tokens such as field
-    names repeat in every event, so tokens are de-duplicated (map-side) before
-    they meet the sensitive values; only the leaked tokens, normally none, go
-    back to the events. Returns event_id, batch_id, token, source.
-    """
-    spark = events.sparkSession
-    out = spark.createDataFrame([], "event_id string, batch_id string, token string, source string")
+    """Every text of an event as it is (no JSON escapes), one per line."""
+    pairs = lambda c, *keys: F.array_join(F.flatten(F.transform(c, lambda x: F.array(*[x[k] for k in keys]))), "\n")
+    return F.concat_ws(
+        "\n", "dataset", "layer", "batch_id", "run_id", "decision", "bronze_path",
+        F.array_join("added_fields", "\n"), F.array_join("missing_fields", "\n"),
+        pairs(F.col("changed_fields"), "name", "expected", "observed"),
+        pairs(F.col("expected_schema"), "name", "data_type"), pairs(F.col("observed_schema"), "name", "data_type"))
+
+
+def leak_scan(events: DataFrame, sensitive: DataFrame | None = None, patterns=(), texts=()) -> DataFrame:
+    """Events that hold a sensitive value anywhere in a text (a substring
+    test), one of ``texts``, or a match of a banned pattern. Returns event_id,
+    batch_id, value, source.
+
+    ``sensitive`` has columns (``value``, ``source``). A value's last GRAM
+    characters (or all of a shorter value) are joined to the substrings of
+    that length of the events, taken once each; what meets is confirmed with
+    ``contains``. Lazy: no job runs here."""
+    events = events.select("event_id", "batch_id", event_text(events).alias("text"))
+    fixed = [F.struct(F.lit(t).alias("value"), F.lit("banned text").alias("source"), F.contains("text", F.lit(t)).alias("hit")) for t in texts]
+    fixed += [F.struct(F.lit(p).alias("value"), F.lit("pattern").alias("source"), F.col("text").rlike(p).alias("hit")) for p in patterns]
+    found = None
+    if fixed:
+        found = events.select("event_id", "batch_id", F.explode(F.filter(F.array(*fixed), lambda x: x["hit"])).alias("f")) \
+            .select("event_id", "batch_id", "f.value", "f.source")
     if sensitive is not None:
-        tokens = event_tokens(events)
-        distinct_tokens = tokens.select("token").distinct()
-        values = sensitive.select(F.col("value").cast("string").alias("token"), "source").distinct()
-        leaked = distinct_tokens.join(values, "token", "inner")
-        n_leaked = leaked.count()
-        if n_leaked <= MAX_BROADCAST_TOKENS:
-            leaked = F.broadcast(leaked)
-        out = out.unionByName(tokens.join(leaked, "token", "inner").select("event_id", "batch_id", "token", "source"))
-    if patterns:
-        text = event_text(events)
-        for p in patterns:
-            out = out.unionByName(
-                events.where(text.rlike(p)).select("event_id", "batch_id", F.lit(p).alias("token"),
-                                                   F.lit("pattern").alias("source"))
-            )
-    return out
-
-
-def assert_no_leaks(events: DataFrame, sensitive: DataFrame | None = None, patterns=()) -> None:
+        values = sensitive.select(F.col("value").cast("string").alias("value"), "source").where("value <> ''").distinct()
+        values = values.withColumn("gram", F.when(F.char_length("value") > GRAM, F.substring("value", -GRAM, GRAM)).otherwise(F.col("value")))
+        # the substrings of every length up to GRAM at each place; texts repeat between events, so each is cut up once
+        lines = events.select("event_id", "batch_id", F.explode(F.array_distinct(F.split("text", "\n"))).alias("line"))
+        places = lines.select("line").distinct().select("line", F.explode(F.sequence(F.lit(1), F.char_length("line"))).alias("at"))
+        grams = places.select("line", F.explode(F.array_distinct(F.transform(
+            F.sequence(F.lit(1), F.lit(GRAM)), lambda n: F.col("line").substr(F.col("at"), n)))).alias("gram")).distinct()
+        hits = grams.join(values, "gram").where(F.contains("line", "value")).select("line", "value", "source").distinct()
+        part = lines.join(hits, "line").select("event_id", "batch_id", "value", "source").distinct()
+        found = part if found is None else found.unionByName(part)
+    if found is None:
+        found = events.select("event_id", "batch_id", F.lit("").alias("value"), F.lit("").alias("source")).where("false")
+    return found
+
+
+def assert_no_leaks(events: DataFrame, sensitive: DataFrame | None = None, patterns=(), texts=BANNED_TEXTS) -> None:
+    """Refuse events that carry values; the fixed texts are always checked."""
     assert_metadata_only(events)
-    if sensitive is None and not patterns:
-        return
-    found = leak_scan(events, sensitive, patterns).select("batch_id", "source").distinct().limit(20).collect()
-    if found:
-        raise MetadataLeakError(
-            "Audit events contain data values: " + ", ".join(f"{r['batch_id']} ({r['source']})" for r in found)
-        )
+    found = leak_scan(events, sensitive, patterns, texts).persist()
+    total = found.count()
+    if total:
+        shown = found.select("batch_id", "source").distinct().orderBy("batch_id", "source").limit(20).collect()
+        raise MetadataLeakError(f"Audit events contain data values ({total} findings): "
+                                + ", ".join(f"{r['batch_id']} ({r['source']})" for r in shown), found, total)
+    found.unpersist()
 
 
 def audit_summary(events: DataFrame) -> DataFrame:

@@ -10,9 +10,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from lakeward.functions import types as ty
 
@@ -37,11 +39,6 @@ CONTRACT_SCHEMA = T.StructType(
     ]
 )
 
-# Active contracts are metadata: one row per (dataset, layer). Above this many
-# rows the lookup is not broadcast (see active_contracts_for).
-MAX_BROADCAST_CONTRACTS = 100_000
-
-
 class ContractError(ValueError):
     """A contract is malformed or collides with a registered version."""
 
@@ -150,40 +147,28 @@ def collect_active(contracts: DataFrame, layer: str) -> dict[str, dict]:
     return {r["dataset"]: r.asDict(recursive=True) for r in rows}
 
 
-def active_frame(spark: SparkSession, rows: dict[str, dict]) -> DataFrame:
-    """Driver-held active contracts -> a relation sized by ``len(rows)``."""
-    data = [
-        (
-            r["dataset"],
-            r["layer"],
-            r["contract_version"],
-            [(f["name"], f["data_type"], f["required"]) for f in r["approved_schema"]],
-            r["required_fields"],
-            r["allowed_changes"],
-            r["owner"],
-            r["approved_at"],
-        )
-        for r in rows.values()
-    ]
-    return spark.createDataFrame(data, CONTRACT_SCHEMA)
+def active_frame(spark: SparkSession, rows) -> DataFrame:
+    """Contract rows as a local relation, whose size the planner knows."""
+    arrow = to_arrow_schema(CONTRACT_SCHEMA)
+    plain = [{k: r.get(k) for k in CONTRACT_SCHEMA.names} | {"required_fields": r.get("required_fields") or []} for r in rows]
+    return spark.createDataFrame(pa.Table.from_pylist(plain, arrow)).to(CONTRACT_SCHEMA)
 
 
 def active_contracts_for(spark: SparkSession, contracts: DataFrame, layer: str,
                          datasets: list[str] | None = None) -> tuple[DataFrame, dict[str, dict]]:
-    """Active contracts of ``layer`` as a broadcastable relation plus the driver copy.
+    """Active contracts of ``layer`` (of ``datasets``, if given) as a relation
+    and as rows by dataset.
 
     Raises NoContractError naming every requested dataset without one.
     """
+    if datasets is not None:
+        contracts = contracts.where(F.col("dataset").isin(list(datasets)))
     rows = collect_active(contracts, layer)
     if datasets is not None:
         missing = [(d, layer) for d in datasets if d not in rows]
         if missing:
             raise NoContractError(missing)
-        rows = {d: rows[d] for d in datasets}
-    frame = active_frame(spark, rows)
-    if len(rows) <= MAX_BROADCAST_CONTRACTS:
-        frame = F.broadcast(frame)
-    return frame, rows
+    return active_frame(spark, rows.values()), rows
 
 
 def next_version(contracts: DataFrame, dataset: str, layer: str) -> int:

@@ -2,11 +2,9 @@
 
 Input ``observed`` has one row per batch: ``dataset``, ``batch_id`` and
 ``observed_schema`` (``array<struct<name,data_type>>`` in header order, a
-repeated name allowed). It meets the active contract of its dataset through
-a literal lookup keyed by ``dataset`` (contracts are driver-held metadata;
-very large registries are joined instead). The diff itself is per-row array
-work, so the whole step is a map-only stage: no shuffle and no join,
-whatever the number of batches.
+repeated name allowed). It is joined to the active contract of its dataset;
+the planner broadcasts the contracts when their size allows it. The diff
+itself is per-row array work, with no shuffle of its own.
 """
 
 from __future__ import annotations
@@ -15,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeward.functions import exprs as X
+from lakeward.operators import contracts as C
 
 OBSERVED_TYPE = "array<struct<name:string,data_type:string>>"
 
@@ -29,73 +28,28 @@ def observed_fields(observed: DataFrame) -> DataFrame:
     )
 
 
-# Registries up to this many contract rows are attached to the batches as a
-# literal lookup (no join in the plan); larger ones are joined.
-MAX_LITERAL_CONTRACTS = 1_000
-
-_CONTRACT_TYPE = ("struct<layer:string,contract_version:int,"
-                  "approved_schema:array<struct<name:string,data_type:string,required:boolean>>,"
-                  "allowed_changes:array<string>>")
-
-
-def _contract_literal(r: dict) -> F.Column:
-    fields = [F.struct(F.lit(f["name"]).alias("name"), F.lit(f["data_type"]).alias("data_type"),
-                       F.lit(bool(f["required"])).alias("required")) for f in r["approved_schema"]]
-    return F.struct(
-        F.lit(r["layer"]).alias("layer"),
-        F.lit(int(r["contract_version"])).alias("contract_version"),
-        F.array(*fields).alias("approved_schema"),
-        F.array(*[F.lit(t) for t in r["allowed_changes"]]).alias("allowed_changes"),
-    ).cast(_CONTRACT_TYPE)
-
-
-def attach_contracts(observed: DataFrame, contracts: list[dict]) -> DataFrame:
-    """Every batch row gets each contract of its dataset (normally one: the
-    active one; several when versions are compared). The contracts are
-    driver-held metadata, so they enter the plan as a literal
-    ``dataset -> array<contract>`` map; a batch of a dataset without a
-    contract gets none and drops out."""
-    by_dataset: dict[str, list] = {}
-    for r in contracts:
-        by_dataset.setdefault(r["dataset"], []).append(_contract_literal(r))
-    kv = []
-    for ds, items in by_dataset.items():
-        kv += [F.lit(ds), F.array(*items)]
-    lookup = F.create_map(*kv) if kv else F.create_map().cast(f"map<string,array<{_CONTRACT_TYPE}>>")
-    return observed.select("*", F.explode(F.try_element_at(lookup, F.col("dataset"))).alias("_c")).select(
-        *[F.col(c) for c in observed.columns],
-        "_c.layer", "_c.contract_version", "_c.approved_schema", "_c.allowed_changes",
-    )
-
-
-def _contract_rows(active) -> list[dict] | None:
-    if isinstance(active, dict):
-        return list(active.values())
-    if isinstance(active, (list, tuple)):
-        return list(active)
-    few = active.limit(MAX_LITERAL_CONTRACTS + 1).collect()
-    if len(few) <= MAX_LITERAL_CONTRACTS:
-        return [r.asDict(recursive=True) for r in few]
-    return None
+def _contract_frame(observed: DataFrame, active) -> DataFrame:
+    """Contracts as a relation, whether given as rows (a dict by dataset or a
+    list) or as one."""
+    if isinstance(active, DataFrame):
+        return active
+    rows = list(active.values()) if isinstance(active, dict) else list(active)
+    return C.active_frame(observed.sparkSession, rows)
 
 
 def schema_diff(observed: DataFrame, active) -> DataFrame:
     """Attach the active contract and the diff to every batch.
 
-    ``active`` is the contract rows (a dict by dataset or a list, as the
-    driver holds them) or a contracts DataFrame. Adds ``contract_version``,
+    ``active`` is a contracts DataFrame, or contract rows (a dict by dataset
+    or a list). Adds ``contract_version``,
     ``expected_schema`` (name, data_type), ``allowed_changes``,
     ``added_fields``, ``missing_fields`` (sorted names) and
     ``changed_fields`` (sorted ``struct<name,expected,observed>``). Batches
     of a dataset without a contract are dropped here; the gate refuses such
     a run before it gets this far.
     """
-    rows = _contract_rows(active)
-    if rows is not None:
-        joined = attach_contracts(observed, rows)
-    else:
-        contract = active.select("dataset", "layer", "contract_version", "approved_schema", "allowed_changes")
-        joined = observed.join(contract, "dataset", "inner")
+    contract = _contract_frame(observed, active).select("dataset", "layer", "contract_version", "approved_schema", "allowed_changes")
+    joined = observed.join(contract, "dataset", "inner")
     obs = X.dedup_last_wins(F.coalesce(F.col("observed_schema"), F.array().cast(OBSERVED_TYPE)))
     with_obs = joined.withColumn("_obs", obs)
     obs_names = X.names_of(F.col("_obs"))

@@ -13,12 +13,6 @@ from pyspark.sql import functions as F
 
 from lakeward.functions import types as ty
 
-# Allowed-batch lists above this many ids (about 30 MB as a hashed relation
-# of short ids) are not broadcast; the semi-join then shuffles on batch_id
-# and AQE's skew-join split handles a hot batch.
-MAX_BROADCAST_BATCHES = 500_000
-
-
 class ProjectionError(ValueError):
     """Rows lack a contract column."""
 
@@ -26,36 +20,38 @@ class ProjectionError(ValueError):
 def admitted(rows: DataFrame, allowed: DataFrame, n_allowed: int | None = None) -> DataFrame:
     """Rows of allowed batches only (left semi-join on ``batch_id``).
 
-    ``allowed`` is one row per batch. It is broadcast when its row count,
-    given or counted here, is within MAX_BROADCAST_BATCHES.
-    """
-    keys = allowed.select("batch_id")
-    if n_allowed is None:
-        n_allowed = keys.count()
-    if n_allowed <= MAX_BROADCAST_BATCHES:
-        keys = F.broadcast(keys)
-    return rows.join(keys, "batch_id", "left_semi")
+    ``allowed`` is one row per batch; its size decides, in the planner and
+    again at run time, whether it is broadcast or shuffled (a hot batch is
+    then split by the adaptive skew join). No job runs here. ``n_allowed``
+    is accepted for callers that know it and is not needed."""
+    return rows.join(allowed.select("batch_id"), "batch_id", "left_semi")
 
 
+# Texts that project_to_contract raises with; the gate holds the batch then.
 REQUIRED_NULL_MARKER = "LAKEWARD_REQUIRED_NULL"
+CAST_MARKER = "LAKEWARD_CAST_FAILURE"
 
 
 def project_to_contract(rows: DataFrame, fields, *, cast: bool = True,
                         batch_column: str | None = "batch_id", enforce_required: bool = False) -> DataFrame:
     """Contract columns in contract order, cast to the contract types.
 
-    With ``enforce_required`` a NULL in a required field fails the job (as a
+    A value that does not cast fails the job, whether the session's casts are
+    ANSI or not; it never becomes NULL. With ``enforce_required`` a NULL in a required field fails the job (as a
     NOT NULL column would), which the gate turns into a per-batch hold.
     """
     present = set(rows.columns)
     missing = [f.name for f in fields if f.name not in present]
     if missing:
         raise ProjectionError(f"Cannot project contract columns; missing {missing}")
+    casts = {f.name for f in needs_cast(rows, fields)}
     cols = []
     for f in fields:
         c = F.col(ty.quote(f.name))
-        if cast:
-            c = c.cast(ty.spark_sql_type(f.data_type))
+        if cast and f.name in casts:
+            to = ty.spark_sql_type(f.data_type)
+            safe = c.try_cast(to)
+            c = F.when(c.isNotNull() & safe.isNull(), F.raise_error(F.lit(f"{CAST_MARKER}: {f.name}")).cast(to)).otherwise(safe)
         if enforce_required and f.required:
             c = F.when(c.isNull(), F.raise_error(F.lit(f"{REQUIRED_NULL_MARKER}: {f.name}"))).otherwise(c)
         cols.append(c.alias(f.name))

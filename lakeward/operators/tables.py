@@ -78,20 +78,29 @@ def ensure_control_tables(spark: SparkSession, names: TableNames = TableNames())
             expected_schema {_FIELDS}, observed_schema {_FIELDS},
             added_fields ARRAY<STRING>, missing_fields ARRAY<STRING>, changed_fields {_CHANGED},
             decision STRING, contract_version INT, event_time TIMESTAMP, bronze_path STRING,
-            run_id STRING) USING PARQUET PARTITIONED BY (run_id)"""
+            call_id STRING, run_id STRING) USING PARQUET PARTITIONED BY (run_id)"""
     )
 
 
-def land_observed(spark: SparkSession, observed: DataFrame, run_id: str, observed_at,
-                  names: TableNames = TableNames()) -> None:
-    """Keep the observed schema of every landed batch (files stay where
-    they landed). One append per run, partitioned by dataset; the latest
-    observation of a batch id wins (``latest_observed``)."""
+def ensure_bronze(spark: SparkSession, names: TableNames = TableNames()) -> None:
     spark.sql(
         f"""CREATE TABLE IF NOT EXISTS {names.bronze} (
             batch_id STRING, bronze_path STRING, observed_schema {_FIELDS}, run_id STRING,
             observed_at TIMESTAMP, dataset STRING) USING PARQUET PARTITIONED BY (dataset)"""
     )
+
+
+def land_observed(spark: SparkSession, observed: DataFrame, run_id: str, observed_at,
+                  names: TableNames = TableNames()) -> None:
+    """Keep the observed schema of every landed batch (files stay where
+    they landed). One append per call, partitioned by dataset; a batch listed
+    twice is kept once (its smallest path and schema). Across runs the latest
+    observation of a batch id wins (``latest_observed``)."""
+    ensure_bronze(spark, names)
+    if "bronze_path" not in observed.columns:
+        observed = observed.withColumn("bronze_path", F.lit(None).cast("string"))
+    observed = observed.groupBy("dataset", "batch_id").agg(F.min(F.struct("bronze_path", "observed_schema")).alias("o")) \
+        .select("dataset", "batch_id", "o.*")
     bronze = F.col("bronze_path") if "bronze_path" in observed.columns else F.lit(None).cast("string")
     observed.select(
         "batch_id", bronze.alias("bronze_path"),
@@ -249,10 +258,8 @@ def replace_batches(frame: DataFrame, table: str, rebalance: bool = True) -> Non
     spark = frame.sparkSession
     view = f"_lakeward_replace_{abs(hash(table))}"
     _distributed(frame, rebalance).createOrReplaceTempView(view)
-    conf = dict(_WRITE_CONF)
-    conf["spark.sql.sources.partitionOverwriteMode"] = "dynamic"
     try:
-        with session_conf(spark, conf):
+        with session_conf(spark, _WRITE_CONF | {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
             spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION (batch_id) BY NAME SELECT * FROM {view}")
     finally:
         spark.catalog.dropTempView(view)

@@ -3,13 +3,14 @@ batches and feeds in one run.
 
 Order of effects (each ACTION is one Spark write over all batches):
 
-1. contracts are resolved on the driver (metadata); a dataset without an
+1. contracts are resolved (metadata); a dataset without an
    active silver contract (or gold contract when gold is promoted) stops the
    run before anything is written; then ACTION 0 keeps the observed schema
    of every batch in bronze;
 2. ACTION 1 appends one audit event per batch (names and types only);
 3. the decisions are read back from the audit table by ``run_id``, so the
    data writes act on exactly what was recorded, not on a recomputation;
+   batches that an earlier call of the run recorded keep their decision;
 4. ACTION 2 appends quarantine pointer rows;
 5. ACTION 3 appends (or replaces) the admitted batches in silver, projected
    on the silver contract and cast to its types;
@@ -26,6 +27,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime
 
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,56 +44,90 @@ from lakeward.operators import tables as TB
 # write needs no shuffle) and ``holds(dataset)`` (batches it could not read).
 RowSource = Callable[[str, DataFrame], DataFrame]
 
-# How many offending batches an error message lists.
+# How many offending batches an error's text lists; the error's attributes
+# give all of them.
 MESSAGE_SAMPLE = 20
 
-# Spark error classes of a value that does not cast under ANSI mode.
-CAST_ERROR_MARKERS = ("CAST_INVALID_INPUT", "CAST_OVERFLOW", "NUMERIC_VALUE_OUT_OF_RANGE",
-                      "CANNOT_PARSE_TIMESTAMP", "INVALID_FRACTION_OF_SECOND", P.REQUIRED_NULL_MARKER)
 
+class GateError(RuntimeError):
+    """What a run could not promote or release.
 
-class QuarantinedError(RuntimeError):
-    def __init__(self, batch_ids):
-        self.batch_ids = list(batch_ids)
-        super().__init__(f"Schema differs from the approved contract: {', '.join(self.batch_ids)} -> quarantine")
+    ``held`` is a DataFrame of all offending batches (batch_id first),
+    ``total`` their number, ``result`` the run's GateResult (None outside a
+    run). ``batch_ids`` reads the ids from ``held`` when asked for."""
 
+    what = "Batches held"
 
-class ValueCheckError(ValueError):
+    def __init__(self, held: DataFrame | None, total: int, dataset: str | None = None, sample=None):
+        self.held, self.total, self.dataset = held, total, dataset
+        self.result: GateResult | None = None
+        shown = self._sample() if sample is None else sample
+        more = f" and {total - len(shown)} more" if total > len(shown) else ""
+        where = f" ({dataset})" if dataset else ""
+        super().__init__(f"{self.what}{where}: {', '.join(shown)}{more}")
+
+    def _sample(self) -> list[str]:
+        return _sample(self.held)
+
+    @property
+    def batch_ids(self) -> list[str]:
+        return sorted(r[0] for r in self.held.select("batch_id").distinct().toLocalIterator())
+
+
+class GateRunError(GateError):
+    """Several errors of one run, one per feed and kind (``errors``); ``held``
+    is the union of their batches with ``dataset``."""
+
+    what = "Several feeds have held batches"
+
+    def __init__(self, errors: list[GateError]):
+        self.errors = list(errors)
+        held = None
+        for e in self.errors:
+            part = e.held.select("batch_id", F.lit(e.dataset).alias("dataset"), F.lit(type(e).__name__).alias("error"))
+            held = part if held is None else held.unionByName(part)
+        super().__init__(held, sum(e.total for e in self.errors), sample=[str(e) for e in self.errors])
+
+
+class QuarantinedError(GateError):
+    what = "Schema differs from the approved contract -> quarantine"
+
+
+class ValueCheckError(GateError, ValueError):
     """Batches held at promotion because of their values (never recorded in
-    the error: only batch, column and count)."""
+    the error: only batch, column and count). ``held`` has batch_id,
+    column_name, failures."""
+
+    what = "Values fail a contract check; batches held"
 
-    what = "Values fail a contract check"
+    def _sample(self) -> list[str]:
+        rows = self.held.orderBy("batch_id", "column_name").limit(MESSAGE_SAMPLE).collect()
+        return [f"{r['batch_id']}.{r['column_name']} ({r['failures']})" for r in rows]
 
-    def __init__(self, failures):
-        self.failures = list(failures)
-        text = ", ".join(f"{b}.{c} ({n})" for b, c, n in self.failures)
-        super().__init__(f"{self.what}; batches held: {text}")
+    @property
+    def failures(self) -> list[tuple]:
+        return sorted((r["batch_id"], r["column_name"], r["failures"])
+                      for r in self.held.select("batch_id", "column_name", "failures").toLocalIterator())
 
 
 class CastFailureError(ValueCheckError):
-    what = "Values do not cast to the contract type"
+    what = "Values do not cast to the contract type; batches held"
 
 
 class RequiredNullError(ValueCheckError):
-    what = "Required fields hold NULL"
+    what = "Required fields hold NULL; batches held"
 
 
-class HeaderCollisionError(ValueError):
-    def __init__(self, batch_ids):
-        self.batch_ids = list(batch_ids)
-        super().__init__(f"Header names collide (ignoring case); not promoted: {', '.join(self.batch_ids)}")
+class HeaderCollisionError(GateError, ValueError):
+    what = "Header names collide (ignoring case); not promoted"
 
 
-class HeaderMismatchError(ValueError):
-    def __init__(self, batch_ids):
-        self.batch_ids = list(batch_ids)
-        super().__init__(f"File header differs from the recorded schema; not promoted: {', '.join(self.batch_ids)}")
+class HeaderMismatchError(GateError, ValueError):
+    what = "File header differs from the recorded schema; not promoted"
 
 
-class NoSilverRowsError(ValueError):
-    def __init__(self, batch_ids):
-        self.batch_ids = list(batch_ids)
-        super().__init__(f"No Silver rows for {', '.join(self.batch_ids)}. The gate did not promote these batches.")
+class NoSilverRowsError(GateError, ValueError):
+    what = "No Silver rows (the gate did not promote these batches)"
 
 
 class UnreleasedColumnError(ValueError):
@@ -124,10 +160,8 @@ class GateResult:
             t = self.names.quarantine(d)
             if not TB.table_exists(spark, t):
                 continue
-            h = spark.table(t).where((F.col("run_id") == self.run_id) & F.col("decision").isNotNull()).where(
-                F.col("reason").startswith(HOLD_REASONS[0]) | F.col("reason").startswith(HOLD_REASONS[1])
-                | F.col("reason").isin(*HOLD_REASONS[2:])).select(F.lit(d).alias("dataset"), "batch_id",
-                                                              F.col("reason").alias("hold"))
+            h = spark.table(t).where((F.col("run_id") == self.run_id) & F.col("decision").isNotNull() & _held_reason()) \
+                .select(F.lit(d).alias("dataset"), "batch_id", F.col("reason").alias("hold"))
             holds = h if holds is None else holds.unionByName(h)
         if holds is None:
             holds = spark.createDataFrame([], "dataset string, batch_id string, hold string")
@@ -161,9 +195,11 @@ def _sample(df: DataFrame, col: str = "batch_id") -> list[str]:
     return [r[0] for r in df.select(col).orderBy(col).limit(MESSAGE_SAMPLE).collect()]
 
 
-def _is_cast_error(exc: Exception) -> bool:
+def _is_value_error(exc: Exception) -> bool:
+    """A row that project_to_contract refused (it raises these markers itself,
+    whatever the session's ANSI setting)."""
     text = str(exc)
-    return any(m in text for m in CAST_ERROR_MARKERS)
+    return P.CAST_MARKER in text or P.REQUIRED_NULL_MARKER in text
 
 
 def collisions(recorded: DataFrame) -> DataFrame:
@@ -187,26 +223,30 @@ def gate_batches(
     banned_patterns=(),
     event_time: datetime | None = None,
     precheck_casts: bool = False,
-    land_bronze: bool = True,
     enforce_required: bool = False,
+    raise_errors: bool = True,
 ) -> GateResult:
     """Gate every batch of ``observed`` (dataset, batch_id, observed_schema
     [, bronze_path]) in one run. ``rows_for(dataset, allowed)`` returns the
     rows (with ``batch_id``) of the allowed batches of a dataset; ``allowed``
     carries batch_id, bronze_path and the recorded observed_schema.
 
-    Rerunning a ``run_id`` that already recorded its events is a resume: the
-    recorded decisions are reused and the allowed batches are replaced, so a
-    run that failed after ACTION 1 can simply be run again.
+    A run_id names a run, which may be called again, with the same batches
+    or more. A batch that the run has recorded keeps its decision, and its
+    data is replaced (a call that failed after ACTION 1 is mended by calling
+    again); a batch that the run has held stays held; every other batch is
+    landed, decided and appended. A batch listed twice counts once.
+
+    What is held after its decision (header collisions and mismatches, value
+    checks) raises once everything else is written: the error itself if
+    there is one, else a GateRunError; its ``result`` is the GateResult. With
+    ``raise_errors=False`` the errors are only listed in the result.
     """
     if on_replay not in ("append", "replace"):
         raise ValueError("on_replay must be 'append' or 'replace'")
     run_id = run_id or str(uuid.uuid4())
     event_time = event_time or C.utc_now()
     TB.ensure_control_tables(spark, names)
-    recorded = spark.table(names.audit).where(F.col("run_id") == run_id)
-    resumed = recorded.limit(1).count() > 0
-
     # Observations are metadata (one row per batch); persisted until bronze
     # holds them, so the dataset check and the landing evaluate them once
     # (for CSV feeds, one header read per file). Recomputable if lost.
@@ -215,20 +255,25 @@ def gate_batches(
         observed = observed.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         datasets = sorted(r["dataset"] for r in observed.select("dataset").distinct().collect())
-        result = _gate(spark, observed, rows_for, datasets, names, run_id, recorded, resumed, promote_gold,
-                       fail_on_quarantine, on_replay, sensitive, banned_patterns, event_time, precheck_casts,
-                       land_bronze, enforce_required)
+        result = _gate(spark, observed, rows_for, datasets, names, run_id, promote_gold, fail_on_quarantine, on_replay,
+                       sensitive, banned_patterns, event_time, precheck_casts, enforce_required)
     finally:
         if owned:
             observed.unpersist()
+    if result.errors and raise_errors:
+        error = result.errors[0] if len(result.errors) == 1 else GateRunError(result.errors)
+        error.result = result
+        raise error
     return result
 
 
-def _gate(spark, observed, rows_for, datasets, names, run_id, recorded, resumed, promote_gold,
-          fail_on_quarantine, on_replay, sensitive, banned_patterns, event_time, precheck_casts,
-          land_bronze, enforce_required) -> GateResult:
+BATCH = ["dataset", "batch_id"]
+
+
+def _gate(spark, observed, rows_for, datasets, names, run_id, promote_gold, fail_on_quarantine, on_replay, sensitive,
+          banned_patterns, event_time, precheck_casts, enforce_required) -> GateResult:
     contracts = spark.table(names.contracts)
-    _, silver_rows = C.active_contracts_for(spark, contracts, "silver", datasets)
+    active, silver_rows = C.active_contracts_for(spark, contracts, "silver", datasets)
     gold_rows = {}
     if promote_gold:
         _, gold_rows = C.active_contracts_for(spark, contracts, "gold", datasets)
@@ -238,33 +283,34 @@ def _gate(spark, observed, rows_for, datasets, names, run_id, recorded, resumed,
             if lacking:
                 raise P.ProjectionError(f"Gold contract of {d} needs columns silver does not hold: {lacking}")
 
-    if land_bronze and not resumed:
-        # ACTION 0: bronze keeps what arrived, whatever the decision will be.
-        # The rest of the run reads the observations back from it, so they
-        # are computed once (for CSV feeds: one header read per file).
-        TB.land_observed(spark, observed, run_id, event_time, names)
-        observed = _read_back(spark, names.bronze).where(
-            (F.col("run_id") == run_id) & F.col("dataset").isin(datasets))
-
-    if resumed:
-        # The run already recorded its decisions (a retry after a failure
-        # between the audit write and the data writes): keep those events,
-        # and rewrite the data of its allowed batches instead of appending.
-        on_replay = "replace"
-    else:
-        # ACTION 1: audit events, before any data write.
-        decisions = D.gate_decisions(observed, silver_rows)
-        events = A.audit_events(decisions, run_id=run_id, event_time=event_time)
-        A.assert_no_leaks(events, sensitive, banned_patterns)
-        events.select(*[c for c in A.EVENT_COLUMNS if c != "run_id"], "run_id") \
-            .write.mode("append").partitionBy("run_id").format("parquet").saveAsTable(names.audit)
-        recorded = _read_back(spark, names.audit).where(F.col("run_id") == run_id)
+    # ACTION 0: bronze keeps what arrived, once per batch of the run, whatever
+    # the decision will be. The rest of the run reads the observations back
+    # from it, so they are computed once (for CSV feeds: one header read per
+    # file) and a call that failed here lands nothing twice.
+    called = observed.select(*BATCH).distinct()
+    events_before = spark.table(names.audit).where(F.col("run_id") == run_id)
+    known = {r["dataset"]: r["n"] for r in events_before.join(called, BATCH, "left_semi").groupBy("dataset")
+             .agg(F.count("*").alias("n")).collect()}
+    TB.ensure_bronze(spark, names)
+    landed = spark.table(names.bronze).where((F.col("run_id") == run_id) & F.col("dataset").isin(datasets))
+    TB.land_observed(spark, observed.join(landed.select(*BATCH), BATCH, "left_anti"), run_id, event_time, names)
+    landed = _read_back(spark, names.bronze).where((F.col("run_id") == run_id) & F.col("dataset").isin(datasets))
+    undecided = landed.join(called, BATCH, "left_semi").join(events_before.select(*BATCH), BATCH, "left_anti")
+
+    # ACTION 1: audit events of the batches that have none, before any data write.
+    decisions = D.gate_decisions(undecided, active)
+    events = A.audit_events(decisions, run_id=run_id, event_time=event_time)
+    A.assert_no_leaks(events, sensitive, banned_patterns)
+    stamp = uuid.uuid4().hex
+    events.select(*[c for c in A.EVENT_COLUMNS if c != "run_id"], F.lit(stamp).alias("call_id"), "run_id") \
+        .write.mode("append").partitionBy("run_id").format("parquet").saveAsTable(names.audit)
+    recorded = _read_back(spark, names.audit).where(F.col("run_id") == run_id).join(called, BATCH, "left_semi")
 
     result = GateResult(run_id, names=names, promote_gold=promote_gold)
     for r in recorded.groupBy("dataset", "decision").agg(F.count("*").alias("n")).collect():
         result.decisions[(r["dataset"], r["decision"])] = r["n"]
 
-    # ACTION 2: quarantine pointers (on a resume, only those still missing).
+    # ACTION 2: quarantine pointers (for batches recorded before, only those still missing).
     for d in datasets:
         if result.decisions.get((d, X.QUARANTINE), 0):
             held = recorded.where((F.col("dataset") == d) & (F.col("decision") == X.QUARANTINE))
@@ -272,67 +318,88 @@ def _gate(spark, observed, rows_for, datasets, names, run_id, recorded, resumed,
                 "batch_id", "decision", "added_fields", "missing_fields", "changed_fields", "bronze_path",
                 "event_time", "run_id",
                 X.reason(F.col("added_fields"), F.col("missing_fields"), F.col("changed_fields")).alias("reason"),
-            ), run_id, resumed)
+            ), run_id, bool(known.get(d)))
 
-    # ACTION 3 and 4: promotion of the allowed batches.
-    errors: list[Exception] = []
+    # ACTION 3 and 4: promotion of the allowed batches: what this call
+    # decided is appended, what an earlier call of the run recorded is replaced.
+    errors: list[GateError] = []
     for d in datasets:
-        n_allowed = result.decisions.get((d, X.ALLOW), 0)
-        if not n_allowed:
+        if not result.decisions.get((d, X.ALLOW), 0):
             continue
         allowed = recorded.where((F.col("dataset") == d) & (F.col("decision") == X.ALLOW))
-        clash = collisions(allowed)
-        if clash.limit(1).count():
-            errors.append(HeaderCollisionError(_sample(clash)))
-            _append_holds(spark, names.quarantine(d), allowed.join(clash, "batch_id", "left_semi").select(
-                "batch_id", F.lit(X.QUARANTINE).alias("decision"), "added_fields", "missing_fields",
-                "changed_fields", "bronze_path", "event_time", "run_id", F.lit(HOLD_REASONS[2]).alias("reason"),
-            ), run_id, True)
-            allowed = allowed.join(clash, "batch_id", "left_anti")
-            n_allowed = allowed.count()
-            if not n_allowed:
-                continue
-        fields = tuple(C.FieldContract(f["name"], f["data_type"], f["required"])
-                       for f in silver_rows[d]["approved_schema"])
-        table = names.silver(d)
-        TB.ensure_table(spark, table, fields)
-        keys = allowed.select("batch_id", "bronze_path", "observed_schema")
-        rows = rows_for(d, keys)
-        feed_holds = rows_for.holds(d) if hasattr(rows_for, "holds") else []
-        if feed_holds:
-            # the source could not read these batches as recorded: hold them
-            held = spark.createDataFrame(feed_holds, "batch_id string, reason string")
-            _append_holds(spark, names.quarantine(d), allowed.join(held, "batch_id").select(
-                "batch_id", F.lit(X.QUARANTINE).alias("decision"), "added_fields", "missing_fields",
-                "changed_fields", "bronze_path", "event_time", "run_id", "reason"), run_id, True)
-            errors.append(HeaderMismatchError(sorted(b for b, _ in feed_holds)[:MESSAGE_SAMPLE]))
-            allowed = allowed.join(held.select("batch_id"), "batch_id", "left_anti")
-            n_allowed -= len({b for b, _ in feed_holds})
-            if not n_allowed:
-                continue
-        rebalance = not getattr(rows_for, "clustered_by_batch", False)
-        written, n_written, err = _write_silver(spark, rows, allowed, n_allowed, fields, table,
-                                                on_replay, precheck_casts, names.quarantine(d), enforce_required,
-                                                rebalance)
-        if err:
-            errors.append(err)
-        result.silver_batches[d] = n_written
-        if promote_gold and n_written:
-            result.gold_batches[d] = release_gold(spark, d, written, names=names, on_replay=on_replay,
-                                                  n_batches=n_written, active=gold_rows[d], require_rows=False)
+        parts = [(allowed.where(F.col("call_id") == stamp), on_replay)]
+        if known.get(d):
+            before = allowed.where(F.col("call_id") != stamp)
+            if TB.table_exists(spark, names.quarantine(d)):
+                held = _read_back(spark, names.quarantine(d)).where((F.col("run_id") == run_id) & _held_reason())
+                before = before.join(held.select("batch_id"), "batch_id", "left_anti")
+            parts.append((before, "replace"))
+        for part, mode in parts:
+            n = part.count()
+            if n:
+                _promote(spark, rows_for, d, part, n, mode, names, run_id, silver_rows[d], gold_rows.get(d), result, errors,
+                         precheck_casts, enforce_required)
 
     if fail_on_quarantine and result.count(X.QUARANTINE):
         held = recorded.where(F.col("decision") == X.QUARANTINE)
-        errors.insert(0, QuarantinedError(_sample(held)))
+        errors.insert(0, QuarantinedError(held.select("batch_id"), result.count(X.QUARANTINE)))
     result.errors = errors
-    if errors:
-        raise errors[0]
     return result
 
 
+def _held_reason():
+    """A quarantine row of a batch that was allowed and then held at promotion."""
+    r = F.col("reason")
+    return r.startswith(HOLD_REASONS[0]) | r.startswith(HOLD_REASONS[1]) | r.isin(*HOLD_REASONS[2:])
+
+
+def _hold(spark, table: str, batches: DataFrame, reason, run_id: str) -> None:
+    _append_holds(spark, table, batches.select(
+        "batch_id", F.lit(X.QUARANTINE).alias("decision"), "added_fields", "missing_fields", "changed_fields",
+        "bronze_path", "event_time", "run_id", reason.alias("reason")), run_id, True)
+
+
+def _promote(spark, rows_for, d, allowed, n_allowed, mode, names, run_id, silver_row, gold_row, result, errors,
+             precheck_casts, enforce_required) -> None:
+    """Hold what cannot be promoted, write the rest to silver and, if asked for, gold."""
+    clash = collisions(allowed)
+    n_clash = clash.count()
+    if n_clash:
+        errors.append(HeaderCollisionError(clash, n_clash, d))
+        _hold(spark, names.quarantine(d), allowed.join(clash, "batch_id", "left_semi"), F.lit(HOLD_REASONS[2]), run_id)
+        allowed = allowed.join(clash, "batch_id", "left_anti")
+        n_allowed -= n_clash
+        if not n_allowed:
+            return
+    fields = tuple(C.FieldContract(f["name"], f["data_type"], f["required"]) for f in silver_row["approved_schema"])
+    table = names.silver(d)
+    TB.ensure_table(spark, table, fields)
+    rows = rows_for(d, allowed.select("batch_id", "bronze_path", "observed_schema"))
+    feed_holds = rows_for.holds(d) if hasattr(rows_for, "holds") else None
+    if feed_holds is not None and not feed_holds.isEmpty():
+        # the source could not read these batches as recorded: hold them
+        held = feed_holds.select("batch_id", "reason").distinct()
+        n_held = held.select("batch_id").distinct().count()
+        _hold(spark, names.quarantine(d), allowed.join(held, "batch_id"), F.col("reason"), run_id)
+        errors.append(HeaderMismatchError(held.select("batch_id"), n_held, d))
+        allowed = allowed.join(held.select("batch_id"), "batch_id", "left_anti")
+        n_allowed -= n_held
+        if not n_allowed:
+            return
+    written, n_written, err = _write_silver(spark, rows, allowed, n_allowed, fields, table, mode, precheck_casts,
+                                            names.quarantine(d), enforce_required,
+                                            not getattr(rows_for, "clustered_by_batch", False), d, run_id)
+    errors.extend(err)
+    result.silver_batches[d] = result.silver_batches.get(d, 0) + n_written
+    if gold_row is not None and n_written:
+        released = release_gold(spark, d, written, names=names, on_replay=mode, n_batches=n_written, active=gold_row,
+                                require_rows=False)
+        result.gold_batches[d] = result.gold_batches.get(d, 0) + released
+
+
 def _write_silver(spark, rows, allowed, n_allowed, fields, table, on_replay, precheck, quarantine_table,
-                  enforce_required=False, rebalance=True):
-    """Project + cast + write; returns (written batch ids, count, error).
+                  enforce_required, rebalance, dataset, run_id):
+    """Project + cast + write; returns (written batch ids, count, errors).
 
     Value checks are optimistic: a value that does not cast (or a NULL in a
     required field, with ``enforce_required``) aborts the write job, which
@@ -354,9 +421,9 @@ def _write_silver(spark, rows, allowed, n_allowed, fields, table, on_replay, pre
     if not precheck:
         try:
             write(project(P.admitted(rows, keys, n_allowed)), table)
-            return keys, n_allowed, None
+            return keys, n_allowed, []
         except Exception as exc:  # noqa: BLE001 - narrowed by the error class below
-            if not _is_cast_error(exc):
+            if not _is_value_error(exc):
                 raise
     admitted = P.admitted(rows, keys, n_allowed)
     failures = P.cast_failures(admitted, fields).withColumn("kind", F.lit("cast_failure"))
@@ -365,28 +432,26 @@ def _write_silver(spark, rows, allowed, n_allowed, fields, table, on_replay, pre
     per_kind = failures.groupBy("batch_id", "kind").agg(
         F.concat("kind", F.lit(":"), F.array_join(F.array_sort(F.collect_list("column_name")), ",")).alias("r"))
     per_batch = per_kind.groupBy("batch_id").agg(F.array_join(F.array_sort(F.collect_list("r")), ";").alias("reason"))
-    run_id = allowed.select("run_id").limit(1).collect()[0]["run_id"]
-    _append_holds(spark, quarantine_table, allowed.join(per_batch, "batch_id").select(
-        "batch_id", F.lit(X.QUARANTINE).alias("decision"), "added_fields", "missing_fields", "changed_fields",
-        "bronze_path", "event_time", "run_id", "reason",
-    ), run_id, True)
+    _hold(spark, quarantine_table, allowed.join(per_batch, "batch_id"), F.col("reason"), run_id)
     held = _read_back(spark, quarantine_table).where(
         (F.col("run_id") == run_id)
         & (F.col("reason").startswith("cast_failure:") | F.col("reason").startswith("required_null:"))
-    ).select("batch_id")
+    ).select("batch_id").join(keys, "batch_id", "left_semi")
     n_held = held.count()
     if n_held == 0:
         write(project(admitted), table)
-        return keys, n_allowed, None
-    sample = failures.join(held, "batch_id", "left_semi").orderBy("kind", "batch_id", "column_name") \
-        .limit(MESSAGE_SAMPLE).collect()
-    casts = [(r["batch_id"], r["column_name"], r["failures"]) for r in sample if r["kind"] == "cast_failure"]
-    nulls = [(r["batch_id"], r["column_name"], r["failures"]) for r in sample if r["kind"] == "required_null"]
+        return keys, n_allowed, []
     good = keys.join(held, "batch_id", "left_anti")
     n_good = n_allowed - n_held
     if n_good:
         write(project(P.admitted(rows, good, n_good)), table)
-    return good, n_good, (CastFailureError(casts) if casts else RequiredNullError(nulls))
+    found = []
+    for kind, error in (("cast_failure", CastFailureError), ("required_null", RequiredNullError)):
+        part = failures.where(F.col("kind") == kind)
+        n_batches = part.select("batch_id").distinct().count()
+        if n_batches:
+            found.append(error(part, n_batches, dataset))
+    return good, n_good, found
 
 
 def release_gold(
@@ -414,18 +479,19 @@ def release_gold(
     if isinstance(batch_ids, DataFrame):
         requested = batch_ids.select("batch_id").distinct()
     else:
-        requested = spark.createDataFrame([(b,) for b in sorted(set(batch_ids))], "batch_id string")
+        requested = spark.createDataFrame(pa.table({"batch_id": pa.array(sorted(set(batch_ids)), pa.string())}))
     if n_batches is None:
         n_batches = requested.count()
     silver_table = names.silver(dataset)
     if not TB.table_exists(spark, silver_table):
-        raise NoSilverRowsError(_sample(requested))
+        raise NoSilverRowsError(requested, n_batches, dataset)
     silver = _read_back(spark, silver_table)
     picked = P.admitted(silver, requested, n_batches)
     if require_rows:
         blocked = requested.join(picked.select("batch_id").distinct(), "batch_id", "left_anti")
-        if blocked.limit(1).count():
-            raise NoSilverRowsError(_sample(blocked))
+        n_blocked = blocked.count()
+        if n_blocked:
+            raise NoSilverRowsError(blocked, n_blocked, dataset)
     table = names.gold(dataset)
     TB.ensure_table(spark, table, fields)
     frame = P.project_to_contract(picked, fields, cast=False)

@@ -40,14 +40,17 @@ def local_session(master: str = "local[8]", *, warehouse: str | None = None,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; only when it is unset (a
-    test session) fall back to a fresh scratch folder."""
+    """Use the cluster's ``spark.checkpoint.dir``. Only a local session may
+    leave it unset and gets a fresh scratch folder; a cluster must name one,
+    for a machine-local folder is not seen by other machines."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="lakeward-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()

@@ -14,19 +14,14 @@ from __future__ import annotations
 import csv
 import io
 import re
-from collections import defaultdict
 
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 HEADER_SCHEMA = "path string, header array<string>"
 
-# A header group's path -> batch map is broadcast up to this many files (its
-# length is known on the driver); beyond it the join shuffles.
-MAX_BROADCAST_FILES = 1_000_000
-
-
 def _open_text(path: str):
     if path.startswith("file:"):
         local = path[5:]
@@ -150,15 +145,15 @@ class CsvFeed:
         self.spark = spark
         self.observed = observed
         self.multi_line = multi_line
-        self._holds: dict[str, list] = {}
+        self._holds: dict[str, DataFrame] = {}
 
     def reader(self):
         return (self.spark.read.option("header", True).option("escape", '"')
                 .option("multiLine", self.multi_line).option("mode", "PERMISSIVE"))
 
-    def holds(self, dataset: str) -> list[tuple[str, str]]:
+    def holds(self, dataset: str) -> DataFrame | None:
         """(batch_id, reason) of the allowed batches the last call did not read."""
-        return self._holds.get(dataset, [])
+        return self._holds.get(dataset)
 
     def __call__(self, dataset: str, allowed: DataFrame) -> DataFrame:
         if {"bronze_path", "observed_schema"} <= set(allowed.columns):
@@ -171,30 +166,21 @@ class CsvFeed:
         actual = declared.select(F.col("bronze_path").alias("path")).distinct() \
             .mapInPandas(_read_headers, HEADER_SCHEMA)
         same = F.array_sort(F.array_distinct("declared")) == F.array_sort(F.array_distinct("header"))
-        # Paths and headers of the allowed files reach the driver: the driver
-        # lists these files for the scan in any case.
         picked = declared.join(actual, declared["bronze_path"] == actual["path"]) \
-            .select("batch_id", "bronze_path", "header", same.alias("same")).collect()
-        self._holds[dataset] = sorted({(r["batch_id"], "header_mismatch") for r in picked if not r["same"]})
-        groups: dict[tuple, list] = defaultdict(list)
-        for r in picked:
-            if r["same"]:
-                groups[tuple(r["header"])].append((r["bronze_path"], r["batch_id"]))
-        frames = []
-        for header, files in groups.items():
-            paths = [p for p, _ in files]
-            mapping = self.spark.createDataFrame(files, "file_path string, batch_id string")
-            if len(files) <= MAX_BROADCAST_FILES:
-                mapping = F.broadcast(mapping)
+            .select("batch_id", "bronze_path", "header", same.alias("same")).persist(StorageLevel.MEMORY_AND_DISK)
+        self._holds[dataset] = picked.where(~F.col("same")).select("batch_id", F.lit("header_mismatch").alias("reason"))
+        # One scan per distinct header; only the headers and the files' paths
+        # of a group, which a scan lists on the driver in any case, come here.
+        good = picked.where("same")
+        out = None
+        for (header,) in good.select("header").distinct().collect():
+            files = good.where(F.col("header") == F.array(*[F.lit(h) for h in header])).select("bronze_path", "batch_id")
+            paths = [r[0] for r in files.select("bronze_path").distinct().toLocalIterator()]
             file_path = F.regexp_replace(F.col("_metadata.file_path"), r"^file:/+", "file:/")
-            df = self.reader().csv(paths).select("*", file_path.alias("file_path"))
-            frames.append(df.join(mapping, "file_path", "inner").drop("file_path"))
-        if not frames:
-            return self.spark.createDataFrame([], "batch_id string")
-        out = frames[0]
-        for f in frames[1:]:
-            out = out.unionByName(f, allowMissingColumns=True)
-        return out
+            df = self.reader().csv(paths).select("*", file_path.alias("_file_path"))
+            df = df.join(files.distinct(), F.col("_file_path") == F.col("bronze_path")).drop("_file_path", "bronze_path")
+            out = df if out is None else out.unionByName(df, allowMissingColumns=True)
+        return self.spark.createDataFrame([], "batch_id string") if out is None else out
 
 
 def observe_sidecars(spark: SparkSession, paths, dataset: str, suffix: str = ".schema.json") -> DataFrame:

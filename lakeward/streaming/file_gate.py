@@ -2,15 +2,17 @@
 
 The stream watches a landing folder for observed-schema sidecars
 (``<batch>.schema.json``); each micro-batch of newly arrived sidecars is one
-gate run whose ``run_id`` is derived from the query name and the epoch. A
-restarted query replays its last epoch with the same ``run_id``, which the
-gate treats as a resume (recorded decisions reused, data replaced), so the
-output stays exactly-once per batch. The checkpoint goes under the session's
-``spark.checkpoint.dir`` unless a location is given.
+gate run whose ``run_id`` is derived from the query name, the checkpoint's
+query id and the epoch. A restarted query replays its last epoch with the
+same ``run_id``: batches it recorded keep their decision and their data is
+replaced, others are decided. The checkpoint location is required and must
+outlive the application. A batch held for its values or header is recorded
+in the quarantine table and does not stop the stream.
 """
 
 from __future__ import annotations
 
+import logging
 import re
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,10 +20,10 @@ from pyspark.sql import functions as F
 
 from lakeward.operators import tables as TB
 from lakeward.plans import gate as G
-from lakeward.session import ensure_checkpoint_dir
 from lakeward.sources import csv_batches as CB
 
 SIDECAR = ".schema.json"
+logger = logging.getLogger(__name__)
 
 
 def sidecar_stream(spark: SparkSession, folder: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -47,22 +49,25 @@ def observed_from_sidecars(raw: DataFrame, dataset: str) -> DataFrame:
 
 
 def start(spark: SparkSession, folder: str, dataset: str, *, names: TB.TableNames = TB.TableNames(),
-          query_name: str = "lakeward_gate", checkpoint: str | None = None, promote_gold: bool = False,
+          checkpoint: str, query_name: str = "lakeward_gate", promote_gold: bool = False,
           trigger_once: bool = False, max_files_per_trigger: int | None = None):
     """Start the streaming gate; returns the StreamingQuery."""
-    if checkpoint is None:
-        checkpoint = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{query_name}"
+    if not checkpoint:
+        raise ValueError("the stream needs a checkpoint location that outlives the application")
 
     def run(batch: DataFrame, epoch_id: int) -> None:
         observed = observed_from_sidecars(batch, dataset)
-        if observed.limit(1).count() == 0:
+        if observed.isEmpty():
             return
+        # the query's id is kept in its checkpoint: another checkpoint makes other run ids
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or checkpoint
         observed = observed.cache()
         try:
-            G.gate_batches(spark, observed, CB.CsvFeed(spark, observed), names=names,
-                           run_id=f"{query_name}-{epoch_id}", promote_gold=promote_gold)
-        except G.QuarantinedError:
-            pass
+            # batches held at promotion are in the quarantine table; they do not stop the stream
+            result = G.gate_batches(spark, observed, CB.CsvFeed(spark, observed), names=names,
+                                    run_id=f"{query_name}-{query}-{epoch_id}", promote_gold=promote_gold, raise_errors=False)
+            for error in result.errors:
+                logger.warning("epoch %s: %s", epoch_id, error)
         finally:
             observed.unpersist()
 

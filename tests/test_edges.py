@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -137,13 +138,36 @@ def test_leak_guard(spark, names, scratch, contracts):
     assert spark.table(names.audit).count() == 0
     with pytest.raises(A.MetadataLeakError):
         G.gate_batches(spark, obs, CB.CsvFeed(spark, obs), names=names, banned_patterns=[r"CLM-\d+"])
+    with pytest.raises(A.MetadataLeakError):  # the fixed texts are checked in every run
+        G.gate_batches(spark, obs, CB.CsvFeed(spark, obs), names=names)
+
+
+def test_leak_scan_finds_substrings(spark):
+    """Values of several words, inside a path, across separators, and short
+    ones are found; values that are not there are not."""
+    from datetime import datetime
+
+    schema = "array<struct<name:string,data_type:string>>"
+    dec = spark.createDataFrame(
+        [("d", "silver", "Jane Doe", "incoming/x/clean.csv"), ("d", "silver", "b2", "incoming/x/CUST-9.1,a:b.csv"), ("d", "silver", "b3", None)],
+        "dataset string, layer string, batch_id string, bronze_path string")
+    dec = dec.selectExpr("*", f"cast(array() as {schema}) observed_schema", f"cast(array() as {schema}) expected_schema",
+                         "cast(array() as array<string>) added_fields", "array('Qx') missing_fields",
+                         "cast(array() as array<struct<name:string,expected:string,observed:string>>) changed_fields",
+                         "'allow' decision", "1 contract_version")
+    events = A.audit_events(dec, run_id="r", event_time=datetime(2026, 1, 1))
+    values = ["Jane Doe", "ane D", "CUST-9", "9.1,a:b", "Q", "nowhere", "Doe Jane", "incoming/x/clean.csv", "", None]
+    sensitive = spark.createDataFrame([(v, "s") for v in values], "value string, source string")
+    got = {(r["batch_id"], r["value"]) for r in A.leak_scan(events, sensitive).collect()}
+    assert got == {("Jane Doe", "Jane Doe"), ("Jane Doe", "ane D"), ("b2", "CUST-9"), ("b2", "9.1,a:b"), ("Jane Doe", "incoming/x/clean.csv"),
+                   ("Jane Doe", "Q"), ("b2", "Q"), ("b3", "Q")}
 
 
 def test_row_path_plan(spark):
     """The row path joins by a broadcast semi-join, stays in the JVM, and the
     gold read of silver is pruned to the requested partitions."""
     rows = spark.createDataFrame([("a", "1"), ("b", "2")], "batch_id string, v string")
-    allowed = spark.createDataFrame([("a",)], "batch_id string")
+    allowed = spark.createDataFrame(pa.table({"batch_id": ["a"]}))
     plan = P.admitted(rows, allowed)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
     assert "Python" not in plan
@@ -153,7 +177,7 @@ def test_release_reads_only_requested_partitions(spark, names, scratch, contract
     FX.write_batch(scratch, "one", FX.CLEAN_HEADER, FX.CLEAN_ROWS)
     FX.write_batch(scratch, "two", FX.CLEAN_HEADER, FX.CLEAN_ROWS)
     _run(spark, names, scratch)
-    requested = spark.createDataFrame([("one",)], "batch_id string")
+    requested = spark.createDataFrame(pa.table({"batch_id": ["one"]}))
     picked = P.admitted(spark.table(names.silver("claims")), requested, 1)
     picked.collect()
     plan = picked._jdf.queryExecution().executedPlan().toString()

@@ -3,8 +3,11 @@ allowed set falls back from broadcast to a shuffle join with the same rows."""
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import functions as F
 
+from lakeward.operators import diff as D
 from lakeward.operators import project as P
 from lakeward.operators import tables as TB
 from lakeward.operators.contracts import FieldContract
@@ -31,11 +34,10 @@ def test_hot_batch_is_split_on_write(spark, names):
     assert spark.table(table).where("batch_id = 'hot'").count() == 360_000
 
 
-def test_large_allowed_set_shuffles(spark, monkeypatch):
+def test_large_allowed_set_shuffles(spark):
     rows = spark.range(0, 50_000).select(F.col("id"), (F.col("id") % 997).cast("string").alias("batch_id"))
     allowed = spark.range(0, 997, 2).select(F.col("id").cast("string").alias("batch_id"))
     small = P.admitted(rows, allowed)
-    monkeypatch.setattr(P, "MAX_BROADCAST_BATCHES", 10)
     prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
@@ -47,12 +49,26 @@ def test_large_allowed_set_shuffles(spark, monkeypatch):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
 
 
-def test_decision_plan_has_no_join(spark):
-    """Contracts reach the batches by a literal lookup: the decision over
-    all day batches has no join, and its only exchange is the distinct of
-    the order dates (after a partial aggregate)."""
+def test_many_contracts_plan_quickly(spark):
+    """5,000 contracts of 50 fields are a relation, not a plan of literals."""
+    field = [{"name": f"f{i}", "data_type": "string", "required": True} for i in range(50)]
+    rows = [{"dataset": f"d{i}", "layer": "silver", "contract_version": 1, "approved_schema": field, "required_fields": [],
+             "allowed_changes": [], "owner": None, "approved_at": None} for i in range(5_000)]
+    observed = spark.range(0, 5_000, 100).select(
+        F.concat(F.lit("d"), "id").alias("dataset"), F.lit("b").alias("batch_id"),
+        F.array(*[F.struct(F.lit(f["name"]).alias("name"), F.lit("string").alias("data_type")) for f in field[:49]]).alias("observed_schema"))
+    began = time.time()
+    decided = D.gate_decisions(observed, rows)
+    plan = decided._jdf.queryExecution().executedPlan().toString()
+    assert time.time() - began < 10 and len(plan) < 100_000
+    got = decided.select("decision", "missing_fields").distinct().collect()
+    assert [(r["decision"], r["missing_fields"]) for r in got] == [("quarantine", ["f49"])]
+
+
+def test_decision_adds_no_shuffle(spark):
+    """The decision over all day batches broadcasts the contracts; its only
+    other exchange is the distinct of the order dates."""
     from lakeward.plans import reports as R
 
     plan = R.gate_decision(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
-    assert "Join" not in plan
-    assert plan.count("Exchange") == 1 and "Generate" in plan
+    assert plan.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" not in plan and "BroadcastExchange" in plan
