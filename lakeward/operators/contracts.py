@@ -8,7 +8,7 @@ second, different contract under an existing (dataset, layer, version).
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -77,16 +77,14 @@ class Contract:
     def names(self) -> list[str]:
         return [f.name for f in self.fields]
 
-    def required_names(self) -> list[str]:
-        return [f.name for f in self.fields if f.required]
-
     def row(self) -> tuple:
+        fields = [(f.name, f.data_type, bool(f.required)) for f in self.fields]
         return (
             self.dataset,
             self.layer,
             int(self.version),
-            [(f.name, f.data_type, bool(f.required)) for f in self.fields],
-            self.required_names(),
+            fields,
+            [name for name, _, required in fields if required],
             list(self.allowed_changes),
             self.owner,
             _as_timestamp(self.approved_at),
@@ -113,8 +111,11 @@ def validate(contract: Contract) -> None:
         ty.validate(f.data_type)
 
 
-def utc_now() -> datetime:
-    return datetime.now(timezone.utc).replace(microsecond=0)
+def event_clock(given: datetime | None = None) -> datetime:
+    """The time that a run stamps on what it records: the given one, or now,
+    in UTC and whole seconds (tables keep no finer time apart)."""
+    at = datetime.now(timezone.utc) if given is None else given
+    return at - timedelta(microseconds=at.microsecond)
 
 
 def contracts_frame(spark: SparkSession, contracts) -> DataFrame:

@@ -173,7 +173,7 @@ def approve(spark: SparkSession, dataset: str, layer: str, fields, allowed_chang
     ensure_control_tables(spark, names)
     version = C.next_version(spark.table(names.contracts), dataset, layer)
     contract = C.Contract(dataset, layer, version, tuple(fields), tuple(allowed_changes), owner,
-                          approved_at or C.utc_now())
+                          approved_at or C.event_clock())
     register_contracts(spark, [contract], names)
     return contract
 

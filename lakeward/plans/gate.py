@@ -245,7 +245,7 @@ def gate_batches(
     if on_replay not in ("append", "replace"):
         raise ValueError("on_replay must be 'append' or 'replace'")
     run_id = run_id or str(uuid.uuid4())
-    event_time = event_time or C.utc_now()
+    event_time = C.event_clock(event_time)
     TB.ensure_control_tables(spark, names)
     # Observations are metadata (one row per batch); persisted until bronze
     # holds them, so the dataset check and the landing evaluate them once

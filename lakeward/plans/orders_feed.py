@@ -1,4 +1,4 @@
-"""The `orders` table landed as day batches with schema drift.
+"""The `orders` table landed as day batches whose headers change by a stated rule.
 
 Each order date is one batch (``batch_id`` = ``yyyy-MM-dd``). The batch's
 file header is fixed by a drift class ``k = pmod(days since 1970-01-01, 6)``,

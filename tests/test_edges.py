@@ -35,9 +35,9 @@ def contracts(spark, names):
 def test_mixed_headers_read_by_name(spark, names, scratch, contracts):
     """Two files with different column orders in one run; values
     land under their own names."""
-    FX.write_batch(scratch, "clean", FX.CLEAN_HEADER, FX.CLEAN_ROWS)
+    FX.land(scratch, "clean", FX.CLEAN_HEADER, FX.CLEAN_ROWS)
     rev = list(reversed(FX.CLEAN_HEADER))
-    FX.write_batch(scratch, "reordered", rev, [list(reversed(r)) for r in FX.CLEAN_ROWS])
+    FX.land(scratch, "reordered", rev, [list(reversed(r)) for r in FX.CLEAN_ROWS])
     res = _run(spark, names, scratch)
     assert res.count("allow") == 2
     a = sorted(tuple(r) for r in _silver(spark, names, "clean").drop("batch_id").collect())
@@ -48,8 +48,8 @@ def test_mixed_headers_read_by_name(spark, names, scratch, contracts):
 def test_header_only_and_empty_file(spark, names, scratch, contracts):
     """Header only -> allowed, zero rows, release blocked. S14: empty
     file -> every field missing, quarantined."""
-    FX.write_batch(scratch, "header_only", FX.CLEAN_HEADER, [])
-    FX.write_batch(scratch, "empty", None, [], raw="")
+    FX.land(scratch, "header_only", FX.CLEAN_HEADER, [])
+    FX.land(scratch, "empty", None, [], raw="")
     res = _run(spark, names, scratch)
     assert res.count("allow") == 1 and res.count("quarantine") == 1
     ev = {r["batch_id"]: r for r in spark.table(names.audit).collect()}
@@ -61,8 +61,8 @@ def test_header_only_and_empty_file(spark, names, scratch, contracts):
 
 def test_duplicate_header_refused(spark, names, scratch, contracts):
     """A repeated name decides as last-wins, but is never promoted."""
-    FX.write_batch(scratch, "dup", FX.CLEAN_HEADER + ["claim_id"], [r + ["X"] for r in FX.CLEAN_ROWS])
-    FX.write_batch(scratch, "clean", FX.CLEAN_HEADER, FX.CLEAN_ROWS)
+    FX.land(scratch, "dup", FX.CLEAN_HEADER + ["claim_id"], [r + ["X"] for r in FX.CLEAN_ROWS])
+    FX.land(scratch, "clean", FX.CLEAN_HEADER, FX.CLEAN_ROWS)
     with pytest.raises(G.HeaderCollisionError) as err:
         _run(spark, names, scratch, run_id="dup-run")
     assert err.value.batch_ids == ["dup"]
@@ -81,7 +81,7 @@ def test_ragged_quoted_dotted(spark, names, scratch):
     fields = (C.FieldContract("id", "string"), C.FieldContract("a.b", "string"), C.FieldContract("note", "string"))
     TB.register_contracts(spark, [C.Contract("claims", "silver", 1, fields)], names)
     raw = 'id,a.b,note\n1,x,"say ""hi""\nthere"\n2,y\n3,z,n,extra\n'
-    FX.write_batch(scratch, "odd", None, [], raw=raw)
+    FX.land(scratch, "odd", None, [], raw=raw)
     obs = CB.observe_headers(spark, scratch, "claims")
     G.gate_batches(spark, obs, CB.CsvFeed(spark, obs), names=names)
     got = {r["id"]: r for r in spark.table(names.silver("claims")).collect()}
@@ -93,8 +93,8 @@ def test_ragged_quoted_dotted(spark, names, scratch):
 def test_bad_value_held_others_written(spark, names, scratch, contracts):
     """The sidecar says decimal but a value is '120.50 USD'; the
     batch is held before its silver write, the other batch is written."""
-    FX.write_batch(scratch, "bad", FX.CLEAN_HEADER, [FX.CLEAN_ROWS[0][:3] + ["120.50 USD", "paid"]])
-    FX.write_batch(scratch, "good", FX.CLEAN_HEADER, FX.CLEAN_ROWS)
+    FX.land(scratch, "bad", FX.CLEAN_HEADER, [FX.CLEAN_ROWS[0][:3] + ["120.50 USD", "paid"]])
+    FX.land(scratch, "good", FX.CLEAN_HEADER, FX.CLEAN_ROWS)
     with pytest.raises(G.CastFailureError) as err:
         _run(spark, names, scratch)
     assert err.value.failures == [("bad", "billed_amount", 1)]
@@ -130,7 +130,7 @@ def test_leak_guard(spark, names, scratch, contracts):
     ev = spark.createDataFrame([("e", "b", "x")], "event_id string, batch_id string, payload string")
     with pytest.raises(A.MetadataLeakError):
         A.assert_metadata_only(ev)
-    FX.write_batch(scratch, "CLM-1001", FX.CLEAN_HEADER, FX.CLEAN_ROWS)
+    FX.land(scratch, "CLM-1001", FX.CLEAN_HEADER, FX.CLEAN_ROWS)
     sensitive = spark.createDataFrame([("CLM-1001", "claims.claim_id")], "value string, source string")
     obs = CB.observe_headers(spark, scratch, "claims", FX.CLEAN_TYPES)
     with pytest.raises(A.MetadataLeakError):
@@ -174,8 +174,8 @@ def test_row_path_plan(spark):
 
 
 def test_release_reads_only_requested_partitions(spark, names, scratch, contracts):
-    FX.write_batch(scratch, "one", FX.CLEAN_HEADER, FX.CLEAN_ROWS)
-    FX.write_batch(scratch, "two", FX.CLEAN_HEADER, FX.CLEAN_ROWS)
+    FX.land(scratch, "one", FX.CLEAN_HEADER, FX.CLEAN_ROWS)
+    FX.land(scratch, "two", FX.CLEAN_HEADER, FX.CLEAN_ROWS)
     _run(spark, names, scratch)
     requested = spark.createDataFrame(pa.table({"batch_id": ["one"]}))
     picked = P.admitted(spark.table(names.silver("claims")), requested, 1)
@@ -188,8 +188,8 @@ def test_release_reads_only_requested_partitions(spark, names, scratch, contract
 def test_enforce_required_holds_null_batches(spark, names, scratch, contracts):
     """T4: parquet drops nullability; with enforce_required a NULL in a
     required field holds its batch (as a NOT NULL column would refuse it)."""
-    FX.write_batch(scratch, "short", FX.CLEAN_HEADER, [FX.CLEAN_ROWS[0][:4]])   # claim_status missing
-    FX.write_batch(scratch, "full", FX.CLEAN_HEADER, FX.CLEAN_ROWS)
+    FX.land(scratch, "short", FX.CLEAN_HEADER, [FX.CLEAN_ROWS[0][:4]])   # claim_status missing
+    FX.land(scratch, "full", FX.CLEAN_HEADER, FX.CLEAN_ROWS)
     with pytest.raises(G.RequiredNullError) as err:
         _run(spark, names, scratch, enforce_required=True)
     assert err.value.failures == [("short", "claim_status", 1)]
@@ -202,7 +202,7 @@ def test_recorded_decision_wins_over_newer_contract(spark, names, scratch, contr
     """The data writes act on the recorded decision. A run resumed after
     a new contract version still applies what it recorded; a new run
     decides under the new version."""
-    FX.write_batch(scratch, "batch-added", FX.CLEAN_HEADER + ["place_of_service"], [r + ["11"] for r in FX.CLEAN_ROWS])
+    FX.land(scratch, "batch-added", FX.CLEAN_HEADER + ["place_of_service"], [r + ["11"] for r in FX.CLEAN_ROWS])
     _run(spark, names, scratch, run_id="r1")
     v2 = FX.silver_v2()
     TB.approve(spark, "claims", "silver", v2.fields, v2.allowed_changes, v2.owner, names)
@@ -242,15 +242,15 @@ def test_sidecar_header_order_and_mismatch(spark, names, scratch, contracts):
     NULLs."""
     import json
 
-    FX.write_batch(scratch, "ordered", FX.CLEAN_HEADER, FX.CLEAN_ROWS)
+    FX.land(scratch, "ordered", FX.CLEAN_HEADER, FX.CLEAN_ROWS)
     rev = list(reversed(FX.CLEAN_HEADER))
-    FX.write_batch(scratch, "reversed_file", rev, [list(reversed(r)) for r in FX.CLEAN_ROWS])
+    FX.land(scratch, "reversed_file", rev, [list(reversed(r)) for r in FX.CLEAN_ROWS])
     # its sidecar keeps the contract order, unlike the file
     sidecar = [{"name": n, "data_type": FX.CLEAN_TYPES[n]} for n in FX.CLEAN_HEADER]
     with open(os.path.join(scratch, "reversed_file.schema.json"), "w", encoding="utf-8") as fh:
         json.dump(sidecar, fh)
     # a sidecar claiming claim_id for a file without it
-    FX.write_batch(scratch, "liar", FX.CLEAN_HEADER[1:], [r[1:] for r in FX.CLEAN_ROWS])
+    FX.land(scratch, "liar", FX.CLEAN_HEADER[1:], [r[1:] for r in FX.CLEAN_ROWS])
     with open(os.path.join(scratch, "liar.schema.json"), "w", encoding="utf-8") as fh:
         json.dump(sidecar, fh)
     obs = CB.observe_sidecars(spark, scratch, "claims")

@@ -20,7 +20,7 @@ def _events(spark, names):
 
 def test_story(spark, names, scratch):
     incoming = os.path.join(scratch, "incoming")
-    FX.materialize(incoming)
+    FX.land_walkthrough(incoming)
     TB.register_contracts(spark, [FX.silver_v1(), FX.gold_v1()], names)
 
     observed = CB.observe_sidecars(spark, incoming, "claims")
@@ -75,7 +75,7 @@ def test_story(spark, names, scratch):
 
 
 def test_fail_flag_raises_after_writes(spark, names, scratch):
-    FX.materialize(scratch)
+    FX.land_walkthrough(scratch)
     TB.register_contracts(spark, [FX.silver_v1(), FX.gold_v1()], names)
     obs = CB.observe_sidecars(spark, scratch, "claims").where("batch_id = 'batch-missing'")
     with pytest.raises(G.QuarantinedError) as err:
@@ -87,7 +87,7 @@ def test_fail_flag_raises_after_writes(spark, names, scratch):
 
 
 def test_gated_release_skips_gold_on_failure(spark, names, scratch):
-    FX.materialize(scratch)
+    FX.land_walkthrough(scratch)
     TB.register_contracts(spark, [FX.silver_v1(), FX.gold_v1()], names)
     obs = CB.observe_sidecars(spark, scratch, "claims")
     with pytest.raises(G.QuarantinedError):
@@ -99,7 +99,7 @@ def test_gated_release_skips_gold_on_failure(spark, names, scratch):
 
 
 def test_gold_release_blocked(spark, names, scratch):
-    FX.materialize(scratch)
+    FX.land_walkthrough(scratch)
     TB.register_contracts(spark, [FX.silver_v1(), FX.gold_v1()], names)
     obs = CB.observe_sidecars(spark, scratch, "claims")
     G.gate_batches(spark, obs, CB.CsvFeed(spark, obs), names=names)
@@ -112,7 +112,7 @@ def test_gold_release_blocked(spark, names, scratch):
 
 
 def test_no_contract_writes_nothing(spark, names, scratch):
-    FX.materialize(scratch)
+    FX.land_walkthrough(scratch)
     TB.register_contracts(spark, [FX.silver_v1()], names)
     obs = CB.observe_sidecars(spark, scratch, "claims")
     other = obs.withColumn("dataset", F.lit("hr"))
@@ -125,7 +125,7 @@ def test_no_contract_writes_nothing(spark, names, scratch):
 
 
 def test_replay_append_doubles_replace_does_not(spark, names, scratch):
-    FX.materialize(scratch)
+    FX.land_walkthrough(scratch)
     TB.register_contracts(spark, [FX.silver_v1(), FX.gold_v1()], names)
     obs = CB.observe_sidecars(spark, scratch, "claims").where("batch_id = 'batch-clean'")
     feed = CB.CsvFeed(spark, obs)
@@ -139,7 +139,7 @@ def test_replay_append_doubles_replace_does_not(spark, names, scratch):
 def test_bronze_counts_reset(spark, names, scratch):
     """B1: every landed batch's observed schema is kept, latest wins per id;
     E4: rows per layer; B12: reset drops exactly the gate's tables."""
-    FX.materialize(scratch)
+    FX.land_walkthrough(scratch)
     TB.register_contracts(spark, [FX.silver_v1(), FX.gold_v1()], names)
     obs = CB.observe_sidecars(spark, scratch, "claims")
     G.gate_batches(spark, obs, CB.CsvFeed(spark, obs), names=names, run_id="a", promote_gold=True)

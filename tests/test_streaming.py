@@ -14,7 +14,7 @@ import fixtures as FX
 
 
 def test_resume_same_run_is_idempotent(spark, names, scratch):
-    FX.write_batch(scratch, "clean", FX.CLEAN_HEADER, FX.CLEAN_ROWS)
+    FX.land(scratch, "clean", FX.CLEAN_HEADER, FX.CLEAN_ROWS)
     TB.register_contracts(spark, [FX.silver_v1(), FX.gold_v1()], names)
     obs = CB.observe_headers(spark, scratch, "claims", FX.CLEAN_TYPES)
     G.gate_batches(spark, obs, CB.CsvFeed(spark, obs), names=names, run_id="r1", promote_gold=True)
@@ -27,7 +27,7 @@ def test_resume_same_run_is_idempotent(spark, names, scratch):
 def test_resume_writes_missing_quarantine_rows(spark, names, scratch):
     """A run that stopped after its audit write: the resume adds the missing
     quarantine rows once, and a second resume adds nothing."""
-    FX.write_batch(scratch, "batch-missing", FX.CLEAN_HEADER[1:], [r[1:] for r in FX.CLEAN_ROWS])
+    FX.land(scratch, "batch-missing", FX.CLEAN_HEADER[1:], [r[1:] for r in FX.CLEAN_ROWS])
     TB.register_contracts(spark, [FX.silver_v1(), FX.gold_v1()], names)
     obs = CB.observe_headers(spark, scratch, "claims", FX.CLEAN_TYPES)
     G.gate_batches(spark, obs, CB.CsvFeed(spark, obs), names=names, run_id="r1")
@@ -40,8 +40,8 @@ def test_resume_writes_missing_quarantine_rows(spark, names, scratch):
 
 def test_stream_gates_arriving_files(spark, names, scratch):
     TB.register_contracts(spark, [FX.silver_v1(), FX.gold_v1()], names)
-    FX.write_batch(scratch, "batch-clean", FX.CLEAN_HEADER, FX.CLEAN_ROWS)
-    FX.write_batch(scratch, "batch-missing", FX.CLEAN_HEADER[1:], [r[1:] for r in FX.CLEAN_ROWS])
+    FX.land(scratch, "batch-clean", FX.CLEAN_HEADER, FX.CLEAN_ROWS)
+    FX.land(scratch, "batch-missing", FX.CLEAN_HEADER[1:], [r[1:] for r in FX.CLEAN_ROWS])
     ckpt = tempfile.mkdtemp(prefix="lakeward-stream-")
     q = S.start(spark, scratch, "claims", names=names, checkpoint=ckpt, trigger_once=True,
                 query_name="gate_" + names.database)
@@ -50,7 +50,7 @@ def test_stream_gates_arriving_files(spark, names, scratch):
     assert ev == {"batch-clean": "allow", "batch-missing": "quarantine"}
     assert spark.table(names.silver("claims")).count() == 2
     # a new arrival is gated by the next run of the query; old files are not re-gated
-    FX.write_batch(scratch, "batch-later", FX.CLEAN_HEADER, FX.CLEAN_ROWS)
+    FX.land(scratch, "batch-later", FX.CLEAN_HEADER, FX.CLEAN_ROWS)
     q = S.start(spark, scratch, "claims", names=names, checkpoint=ckpt, trigger_once=True,
                 query_name="gate_" + names.database)
     q.awaitTermination(300)
