@@ -41,8 +41,6 @@ NOTICES = (
     ("permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
      "documentation files the software to deal in the software without restriction", "mit"),
     ("licensed under the apache license version 2 0", "apache-2.0"),
-    ("this work is licensed under the gnu general public license version 3", "gpl-3.0"),
-    ("this work is licensed under the gnu general public license version 2", "gpl-2.0"),
     ("redistribution and use in source and binary forms with or without modification are permitted provided that "
      "the following conditions are met", "bsd"),
     ("this source code form is subject to the terms of the mozilla public license v 2 0", "mpl-2.0"),
@@ -50,20 +48,30 @@ NOTICES = (
 )
 
 
-def templates(base=BASE, notices=NOTICES) -> list[dict]:
-    """One row per template and k-gram position. Base phrases are matched
-    whole (k = 2 at each pair, all pairs needed); notices take k = 3."""
+#: Versions, where one word makes the difference: matched word for word.
+VERSIONS = (
+    ("general public license version 3", "gpl-3.0"),
+    ("general public license version 2", "gpl-2.0"),
+    ("general public license v3", "gpl-3.0"),
+    ("general public license v2", "gpl-2.0"),
+)
+
+
+def templates(base=BASE, notices=NOTICES, versions=VERSIONS) -> list[dict]:
+    """One row per template and k-gram position. Base phrases and versions
+    are matched whole (k = 2 at each pair); notices take k = 3."""
     rows = []
-    for number, (phrase, label) in enumerate([*base, *notices]):
+    for number, (phrase, label) in enumerate([*base, *versions, *notices]):
         words = phrase.split()
-        k = 2 if number < len(base) else 3
+        exact = number < len(base) + len(versions)
+        k = 2 if exact else 3
         for at in range(len(words) - k + 1):
-            rows.append({"template": number, "label": label, "is_base": number < len(base), "size": len(words), "grams": len(words) - k + 1,
+            rows.append({"template": number, "label": label, "is_base": number < len(base), "exact": exact, "size": len(words), "grams": len(words) - k + 1,
                          "k": k, "at": at, "first": words[at], "second": words[at + 1], "rest": words[at + 2:at + k], "words": words})
     return rows
 
 
-TEMPLATE_SCHEMA = ("template int, label string, is_base boolean, size int, grams int, k int, at int, first string, "
+TEMPLATE_SCHEMA = ("template int, label string, is_base boolean, is_exact boolean, size int, grams int, k int, at int, first string, "
                    "second string, rest array<string>, words array<string>")
 
 
@@ -102,22 +110,22 @@ def license_spans(docs: DataFrame, rows: list[dict] | None = None) -> DataFrame:
         F.max(exact).alias("exact"), F.collect_set("t_at").alias("t_ats"))
     # neighbouring diagonals of a template are one span
     order = W.partitionBy("uid", "template").orderBy("start")
-    new = F.coalesce(F.col("start") - F.lag("start").over(order) > SLACK, F.lit(True)) | F.col("is_base")
-    kinds = spark.createDataFrame([(r["template"], r["label"], r["is_base"], r["size"], r["grams"]) for r in rows if r["at"] == 0],
-                                  "template int, label string, is_base boolean, size int, grams int")
+    new = F.coalesce(F.col("start") - F.lag("start").over(order) > SLACK, F.lit(True)) | F.col("is_exact")
+    kinds = spark.createDataFrame([(r["template"], r["label"], r["is_base"], r["exact"], r["size"], r["grams"]) for r in rows if r["at"] == 0],
+                                  "template int, label string, is_base boolean, is_exact boolean, size int, grams int")
     votes = votes.join(F.broadcast(kinds), "template", "left")
     votes = votes.withColumn("span", F.sum(new.cast("int")).over(order))
-    merged = votes.groupBy("uid", "doc_id", "n_words", "template", "label", "is_base", "size", "grams", "span").agg(
+    merged = votes.groupBy("uid", "doc_id", "n_words", "template", "label", "is_base", "is_exact", "size", "grams", "span").agg(
         F.min(F.col("start") + F.col("t_lo")).alias("from"), F.max(F.col("start") + F.col("t_hi")).alias("to"),
         F.min("start").alias("start"), F.max("exact").alias("exact"),
         F.size(F.array_distinct(F.flatten(F.collect_list("t_ats")))).alias("covered"))
     cover = F.col("covered") / F.col("grams")
-    good = F.col("template").isNull() | F.when(F.col("is_base"), F.coalesce("exact", F.lit(False))).otherwise(cover >= MIN_COVER)
+    good = F.col("template").isNull() | F.when(F.col("is_exact"), F.coalesce("exact", F.lit(False))).otherwise(cover >= MIN_COVER)
     merged = merged.withColumn("cover", cover).filter(good)
     return merged.select("uid", "doc_id", "n_words", "template", "label", "is_base",
-                         F.when(F.col("is_base"), F.col("start")).otherwise(F.col("from")).alias("start"),
-                         F.when(F.col("is_base"), F.col("start") + F.col("size")).otherwise(F.least(F.col("to") + 3, F.col("n_words"))).alias("end"),
-                         F.when(F.col("template").isNotNull(), F.when(F.col("is_base"), 1.0).otherwise(cover)).alias("cover"))
+                         F.when(F.col("is_exact"), F.col("start")).otherwise(F.col("from")).alias("start"),
+                         F.when(F.col("is_exact"), F.col("start") + F.col("size")).otherwise(F.least(F.col("to") + 3, F.col("n_words"))).alias("end"),
+                         F.when(F.col("template").isNotNull(), F.when(F.col("is_exact"), 1.0).otherwise(cover)).alias("cover"))
 
 
 def license_report(docs: DataFrame, rows: list[dict] | None = None) -> DataFrame:

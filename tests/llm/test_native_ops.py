@@ -45,6 +45,8 @@ def test_license_notices(spark):
     assert got[9]["labels"] == "mit" and 0.8 <= got[9]["score"] < 1.0  # one word differs, one is put in
     assert got[6]["labels"] == "" and got[6]["score"] == 0.0
     assert set(got[1]["labels"].split(",")) == {"cc-by", "reserved"}
+    versions = [(1, "This work is licensed under the GNU General Public License, version 3."), (2, "GNU general public license version 2 or later")]
+    assert {r["doc_id"]: r["labels"] for r in collect(licenses.license_report(documents(spark, versions)))} == {1: "gpl,gpl-3.0", 2: "gpl,gpl-2.0"}
 
 
 def test_license_empty_table(spark):
