@@ -13,9 +13,9 @@ Equal texts are one text. In each group of texts that share a sketch, every
 member is compared with the group's leader (the text that shares most with
 others), which joins groups of copies without making their pairs. Where a
 group then still holds several classes, the members outside its largest
-class are compared with the members of other classes, but for pairs that an
-exact bound excludes: of a text's n shingles, those that no other such text
-has cannot be shared. So no two texts that share a sketch and could be
+class are compared with the members of other classes, but for pairs that
+exact bounds exclude: shingles that no other such text has, and shingles
+behind a bit that only one text's bitmap sets, cannot be shared. So no two texts that share a sketch and could be
 similar enough end in different classes uncompared; nothing is capped. Verified pairs are links, and the classes are the
 connected components of the links, found by spreading the smallest label
 with pointer jumping.
@@ -47,6 +47,8 @@ SHINGLE = 5
 SKETCHES = 24
 PICKED = 4
 THRESHOLD = 0.8
+#: A text's shingles as a bitmap of so many 64-bit words.
+BITMAP = 16
 
 _rng = np.random.default_rng(20240501)
 _FACTORS = (_rng.integers(0, 1 << 63, SKETCHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1))[:, None]
@@ -127,9 +129,18 @@ def _sketch_rows(batches):
     yield from _hash_texts(batches, emit)
 
 
+def bitmap(labelled: np.ndarray) -> np.ndarray:
+    """The shingles hashed to BITMAP * 64 bits. A bit that one text sets and
+    another does not stands for a shingle that only the first has."""
+    flags = np.zeros(BITMAP * 64, np.uint8)
+    flags[(labelled >> np.uint64(20)) % np.uint64(BITMAP * 64)] = 1
+    return np.packbits(flags).view(np.int64)
+
+
 def _shingle_rows(batches):
     def emit(batch, shingled):
-        return pa.RecordBatch.from_arrays([batch.column("uid"), pa.array([s.view(np.int64) for s in shingled], pa.list_(pa.int64()))], ["uid", "seq"])
+        return pa.RecordBatch.from_arrays([batch.column("uid"), pa.array([s.view(np.int64) for s in shingled], pa.list_(pa.int64())),
+                                           pa.array([bitmap(s) for s in shingled], pa.list_(pa.int64()))], ["uid", "seq", "bits"])
     yield from _hash_texts(batches, emit)
 
 
@@ -162,7 +173,7 @@ def links(texts: DataFrame, keyed: DataFrame) -> DataFrame:
     members = cut(sk.join(shared.hint("merge"), "key").select("key", "uid", "n"), "nd-members")
     mass = members.groupBy("uid").agg(F.sum("n").alias("mass"))
     one = texts.join(mass.select("uid"), "uid", "left_semi").groupBy("uid").agg(F.first("text").alias("text"))
-    seqs = cut(_lower(one).mapInArrow(_shingle_rows, "uid binary, seq array<long>"), "nd-seqs")
+    seqs = cut(_lower(one).mapInArrow(_shingle_rows, "uid binary, seq array<long>, bits array<long>"), "nd-seqs")
     # every member with the leader of its group
     best = members.join(mass, "uid").groupBy("key").agg(F.max(F.struct("mass", "uid")).alias("best"))
     leaders = best.select("key", F.col("best.uid").alias("leader"))
@@ -178,18 +189,21 @@ def links(texts: DataFrame, keyed: DataFrame) -> DataFrame:
     largest = sizes.groupBy("key").agg(F.max(F.struct("n", "root")).alias("largest"), F.count(F.lit(1)).alias("classes"))
     several = largest.filter("classes > 1").select("key", F.col("largest.root").alias("main"))
     mixed = cut(of.join(several, "key"), "nd-mixed")
-    # shingles that no other of these texts has bound a text's similarity to any of them, exactly:
-    # at most n - own of its n shingles can be shared
+    # exact bounds on what two texts can share: no shingle that no other of these texts has, and
+    # none behind a bit that the other text's bitmap lacks
     of_mixed = seqs.join(mixed.select("uid").distinct(), "uid", "left_semi")
     once = of_mixed.select("uid", F.explode("seq").alias("shingle")).groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("uid").alias("uid"))
     own = once.filter("n = 1").groupBy("uid").agg(F.count(F.lit(1)).alias("own"))
-    room = of_mixed.select("uid", F.size("seq").alias("n")).join(own, "uid", "left").select("uid", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("common"))
+    words = [f"w{i}" for i in range(BITMAP)]
+    room = of_mixed.join(own, "uid", "left").select("uid", F.size("seq").alias("n"), (F.size("seq") - F.coalesce("own", F.lit(0))).alias("common"),
+                                                    *(F.col("bits")[i].alias(w) for i, w in enumerate(words)))
     mixed = mixed.join(room.filter(F.col("common") >= THRESHOLD * F.col("n")), "uid")
-    minor = mixed.filter(F.col("root") != F.col("main")).select(
-        F.col("key").alias("m_key"), F.col("uid").alias("m_uid"), F.col("root").alias("m_root"), F.col("n").alias("m_n"), F.col("common").alias("m_common"))
-    most = F.least("common", "m_common")
+    minor = mixed.filter(F.col("root") != F.col("main")).select(*(F.col(c).alias("m_" + c) for c in ["key", "uid", "root", "n", "common", *words]))
+    lacks = sum((F.bit_count(F.col(w).bitwiseAND(F.bitwise_not(F.col("m_" + w)))) for w in words), F.lit(0))
+    m_lacks = sum((F.bit_count(F.col("m_" + w).bitwiseAND(F.bitwise_not(F.col(w)))) for w in words), F.lit(0))
+    most = F.least(F.col("common"), F.col("m_common"), F.col("n") - lacks, F.col("m_n") - m_lacks)
     cross = mixed.join(minor.hint("merge"), (F.col("key") == F.col("m_key")) & (F.col("root") != F.col("m_root"))
-                       & (most >= THRESHOLD * (F.col("n") + F.col("m_n") - most)))
+                       & (most * (1 + THRESHOLD) >= THRESHOLD * (F.col("n") + F.col("m_n"))))
     pairs = cross.select(F.least("uid", "m_uid").alias("a"), F.greatest("uid", "m_uid").alias("b")).distinct()
     second = _verified(pairs.join(first.select("a", "b"), ["a", "b"], "left_anti"), seqs, "nd-crossed")
     return first.unionByName(second).filter("linked").select("a", "b")

@@ -201,6 +201,16 @@ def test_drop_near_duplicates_keeps_one_of_each(spark):
     assert all((r["doc_id"], r["text"]) in texts for r in kept)
 
 
+def test_bitmap_bounds_what_is_shared():
+    r = np.random.default_rng(1)
+    for _ in range(50):
+        a = r.integers(0, 1 << 63, 200, dtype=np.uint64)
+        b = np.concatenate([a[:150], r.integers(0, 1 << 63, 60, dtype=np.uint64)])
+        x, y = neardup.bitmap(a).view(np.uint64), neardup.bitmap(b).view(np.uint64)
+        only = sum(int(v).bit_count() for v in (x & ~y))
+        assert only <= len(set(a.tolist()) - set(b.tolist())) and only >= 30
+
+
 def test_near_duplicates_empty(spark):
     assert collect(neardup.near_duplicates(documents(spark, []))) == []
     assert collect(neardup.drop_near_duplicates(documents(spark, [(1, "a b c d e f g")])))[0]["doc_id"] == 1
