@@ -361,6 +361,14 @@ SELECT batch_id, 'allow' AS decision,
   CASE WHEN k = 3 THEN 'cast_failure:o_totalprice' WHEN k IN (2, 5) THEN 'required_null:o_custkey' ELSE '' END AS hold,
   CASE WHEN k IN (2, 3, 5) THEN 0 ELSE n END AS silver_rows
 FROM holds""",
+        "csv_gate_run": _with(_FEED) + """
+,names AS (SELECT batch_id, string_agg(name, ',' ORDER BY ordinal) AS header FROM observed GROUP BY batch_id),
+sums AS (SELECT batch_id, any_value(k) AS k, count(*) AS n,
+  sum(CASE WHEN k IN (0, 4) THEN CAST(o_totalprice AS DECIMAL(18,2)) END) AS total FROM feed_rows GROUP BY batch_id)
+SELECT batch_id, CASE WHEN k IN (0, 3, 4) THEN 'allow' ELSE 'quarantine' END AS decision,
+  CASE WHEN k = 3 THEN 'cast_failure:o_totalprice' ELSE '' END AS hold, header,
+  CASE WHEN k IN (0, 4) THEN n ELSE 0 END AS silver_rows, CAST(total AS DECIMAL(38,2)) AS silver_sum
+FROM sums JOIN names USING (batch_id)""",
         "layer_counts": _with(_FEED, d1, d2, _SILVER) + """
 SELECT 'silver' AS layer, 'before_approval' AS stage, count(*) AS "rows" FROM s1
 UNION ALL SELECT 'gold', 'before_approval', count(*) FROM s1

@@ -88,6 +88,26 @@ def _header_fields(k: Column) -> Column:
     )
 
 
+def headers() -> list[list[str]]:
+    """The column names of the landed files, by class k."""
+    names = [f.name for f in V1_FIELDS]
+    lacking = [n for n in names if n != "o_custkey"]
+    return [names, names + [PRIORITY.name], lacking, names, names[::-1], lacking + [PRIORITY.name]]
+
+
+def land_csv(orders: DataFrame, folder: str) -> list[str]:
+    """Write the day batches as CSV files with their own headers, one folder
+    per class and batch; returns the class folders."""
+    landed = []
+    by_class = rows(orders).withColumn("k", drift_class(F.to_date("batch_id")))
+    for k, header in enumerate(headers()):
+        path = f"{folder}/class-{k}"
+        by_class.where(F.col("k") == k).select(*header, "batch_id").repartition("batch_id") \
+            .write.partitionBy("batch_id").option("header", True).option("escape", '"').csv(path)
+        landed.append(path)
+    return landed
+
+
 def drift_class(day: Column) -> Column:
     return F.pmod(F.datediff(day, F.lit("1970-01-01").cast("date")), F.lit(N_CLASSES))
 

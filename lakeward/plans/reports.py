@@ -4,7 +4,7 @@ Each function takes (spark, sf_dir) and returns a DataFrame. Most are lazy
 relations made of the same stage functions as the gate run (observe -> diff
 -> decide -> audit -> project). Those that report what a gate run wrote
 (quarantine_rows, layer_counts, gold_release_blocked, gate_run,
-resume_adds_new_batches, value_holds) run the gate when called. Lists are rendered as comma strings and counts as
+resume_adds_new_batches, value_holds, csv_gate_run) run the gate when called. Lists are rendered as comma strings and counts as
 bigint, so both sides compare as plain values.
 
 Most results are over ``orders`` landed as one batch per order date (see
@@ -29,6 +29,7 @@ from lakeward.plans import feeds as FD
 from lakeward.plans import gate as G
 from lakeward.plans import orders_feed as OF
 from lakeward.session import ensure_checkpoint_dir
+from lakeward.sources import csv_batches as CB
 
 RUN_ID = "orders-day-batches"
 EVENT_TIME = datetime(2026, 10, 1, tzinfo=timezone.utc)
@@ -431,6 +432,27 @@ def value_holds(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(silver, "batch_id", "left").fillna(0, ["silver_rows"])
 
 
+def csv_gate_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gate over files: the day batches are landed as CSV under the
+    checkpoint folder, their headers observed (types from the declared map),
+    decided and promoted. Class 3's prices carry text under a decimal
+    declaration, so its batches are allowed by schema and held at promotion;
+    class 4's files have the columns in another order."""
+    names = TB.TableNames(database=_check_database(spark))
+    TB.register_contracts(spark, [OF.silver_v1()], names)
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/landed-{uuid.uuid4().hex[:12]}"
+    landed = OF.land_csv(_orders(spark, sf_dir), folder)
+    types = {f.name: f.data_type for f in OF.V1_FIELDS + (OF.PRIORITY,)}
+    observed = CB.observe_headers(spark, landed, OF.DATASET, types)
+    result = G.gate_batches(spark, observed, CB.CsvFeed(spark), names=names, run_id="files", event_time=EVENT_TIME,
+                            precheck_casts=True, raise_errors=False)
+    silver = spark.table(names.silver(OF.DATASET)).groupBy("batch_id").agg(
+        F.count("*").alias("silver_rows"), F.sum("o_totalprice").cast("decimal(38,2)").alias("silver_sum"))
+    header = spark.table(names.bronze).select("batch_id", F.array_join(F.transform("observed_schema", lambda x: x["name"]), ",").alias("header"))
+    return result.outcomes(spark).select("batch_id", "decision", F.coalesce("hold", F.lit("")).alias("hold")) \
+        .join(header, "batch_id").join(silver, "batch_id", "left").fillna(0, ["silver_rows"])
+
+
 REPORTS = {
     "contract_latest": contract_latest,
     "contract_history": contract_history,
@@ -455,4 +477,5 @@ REPORTS = {
     "gate_run": gate_run,
     "resume_adds_new_batches": resume_adds_new_batches,
     "value_holds": value_holds,
+    "csv_gate_run": csv_gate_run,
 }

@@ -64,7 +64,7 @@ def list_files(spark: SparkSession, paths, glob: str = "*.csv") -> DataFrame:
     """
     if isinstance(paths, str):
         paths = [paths]
-    reader = spark.read.format("binaryFile")
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     found = sorted(canonical_path(p) for p in reader.load(list(paths)).inputFiles())
@@ -78,9 +78,12 @@ def canonical_path(path: str) -> str:
 
 
 def batch_id_of(path: Column, suffix: str = ".csv") -> Column:
-    """File name without its suffix."""
+    """The ``batch_id=`` folder that the file lies in, if there is one (a
+    landing folder written by partition), else the file name without its
+    suffix."""
     name = F.element_at(F.split(path, "/"), -1)
-    return F.regexp_replace(name, F.lit(re.escape(suffix) + "$"), F.lit(""))
+    folder = F.regexp_extract(path, "/batch_id=([^/]+)/", 1)
+    return F.when(folder != "", folder).otherwise(F.regexp_replace(name, F.lit(re.escape(suffix) + "$"), F.lit("")))
 
 
 def observed_from_header(header: Column, type_overrides: dict | None = None) -> Column:
