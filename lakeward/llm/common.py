@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeward.llm import textvec
+
 _LOCAL_DIRS: dict[str, str] = {}
 
 
@@ -39,7 +41,7 @@ def filter_rows(docs: DataFrame, column: str, derived, keep) -> DataFrame:
 
     def run(batches):
         mark = keep()
-        for batch in batches:
+        for batch in textvec.released(batches):
             mask = pa.array(mark(batch.column(len(names))))
             yield pa.RecordBatch.from_arrays([c.filter(mask) for c in batch.columns[:-1]], names)
 

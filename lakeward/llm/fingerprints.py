@@ -160,7 +160,7 @@ def _neighbours(batches):
         return out(pa.RecordBatch.from_arrays(empty, ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
                                                       "near_edited", "near_next"]), kind, [row[1]])
 
-    for batch in batches:
+    for batch in textvec.released(batches):
         ids, texts = batch.column("doc_id"), batch.column("text").cast(pa.string())
         if not batch.num_rows:
             continue

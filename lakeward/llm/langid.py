@@ -39,7 +39,7 @@ SAMPLE = 2000
 WINDOWS_PER_DOCUMENT = 4
 RIDGE = 1e-2
 SHARPNESS = 4.0
-BATCH_BYTES = 1 << 19
+BATCH_BYTES = 1 << 18
 UNDEFINED = "und"
 
 # A-Z to a-z, and every other ASCII byte that is no letter to a space
@@ -201,7 +201,7 @@ def predict(docs: DataFrame, model: dict | None) -> DataFrame:
 
     def run(batches):
         predictor = _predictor(sent)
-        for batch in batches:
+        for batch in textvec.released(batches):
             names, score = predictor(batch.column("text"))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(names.tolist(), pa.string()), pa.array(score)],
                                              ["doc_id", "lang_pred", "score"])

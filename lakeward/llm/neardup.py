@@ -116,7 +116,7 @@ def text_id(text: Column) -> Column:
 
 
 def _hash_texts(batches, emit):
-    for batch in batches:
+    for batch in textvec.released(batches):
         data, offsets = textvec.utf8(batch.column("text"))
         hashes, at = textvec.word_hashes(data, offsets)
         yield emit(batch, [labelled_shingles(hashes[at[i]:at[i + 1]]) for i in range(len(at) - 1)])
@@ -145,7 +145,7 @@ def _shingle_rows(batches):
 
 
 def _verify(batches):
-    for batch in batches:
+    for batch in textvec.released(batches):
         a, b = batch.column("seq_a"), batch.column("seq_b")
         keep = [similarity(a[i].values.to_numpy().view(np.uint64), b[i].values.to_numpy().view(np.uint64)) >= THRESHOLD
                 for i in range(batch.num_rows)]

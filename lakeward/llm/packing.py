@@ -41,9 +41,9 @@ CAPACITY = 2048
 END_ID = 1
 SMALLEST = 64
 VOCABULARY = "word_bpe_49k.json"
-PART_CHARS = 1 << 20
+PART_CHARS = 1 << 18
 CACHE_SLOTS = 1 << 19
-CACHE_IDS = 1 << 22
+CACHE_IDS = 1 << 21
 
 _SPACE, _LETTER, _NUMBER, _OTHER = 0, 1, 2, 3
 
@@ -313,9 +313,9 @@ def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, wit
         enc = encoder(path)
         bins = Bins(TaskContext.get().partitionId(), capacity, with_ids)
         end = np.array([END_ID], np.uint32)
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                part = batch.slice(lo, 256)
+        for batch in textvec.released(batches):
+            for lo in range(0, batch.num_rows, 128):
+                part = batch.slice(lo, 128)
                 texts = [t or "" for t in part.column("text").to_pylist()]
                 for doc_id, ids in zip(part.column("doc_id").to_pylist(), enc.encode(texts)):
                     bins.add(doc_id, np.concatenate([ids, end]) if ids is not None else end)

@@ -9,11 +9,13 @@ scratch memory whatever the length of a text.
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-PIECE = 1 << 20
+PIECE = 1 << 18
 _BASE = 0x9E3779B97F4A7C15 | 1
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
 
@@ -23,11 +25,23 @@ WORD_BYTE[0x30:0x3A] = WORD_BYTE[0x41:0x5B] = WORD_BYTE[0x61:0x7B] = WORD_BYTE[0
 _powers: dict[int, np.ndarray] = {}
 
 
+def released(batches):
+    """The batches of a task; when they end, memory that Arrow and the C
+    library keep for later goes back to the system, as a reused Python worker
+    would otherwise hold the peak of every stage it has run."""
+    yield from batches
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library
+
+
 def powers(base: int, n: int) -> np.ndarray:
     """base**0 .. base**(n-1) modulo 2**64."""
     have = _powers.get(base)
     if have is None or len(have) < n:
-        steps = np.full(max(n, PIECE + 4096), base, np.uint64)
+        steps = np.full(max(n, PIECE + 1024), base, np.uint64)
         steps[0] = 1
         have = _powers[base] = np.multiply.accumulate(steps)
     return have[:n]

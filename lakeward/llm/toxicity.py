@@ -72,7 +72,7 @@ def train_labels(labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
 
 def _signatures(batches):
     """doc_id, toxic, fold and the smallest 5-word shingle hash."""
-    for batch in batches:
+    for batch in textvec.released(batches):
         data, offsets = textvec.utf8(batch.column("text"))
         hashes, at = textvec.word_hashes(data, offsets)
         low = np.zeros(len(at) - 1, np.int64)
@@ -89,7 +89,7 @@ def _count(batches):
     uses = np.zeros(BUCKETS, np.int64)
     votes = np.zeros((4, BUCKETS), np.float64)
     total = np.zeros(5, np.float64)
-    for batch in batches:
+    for batch in textvec.released(batches):
         data, offsets = textvec.utf8(batch.column("text"))
         toxic = np.asarray(batch.column("toxic").fill_null(-1))
         weight = np.asarray(batch.column("weight").fill_null(0.0))
@@ -98,7 +98,7 @@ def _count(batches):
             total[4] += len(hashes)
             kinds = [hashes, *heads]
             for h in kinds:
-                uses += np.bincount(_buckets(h[h != 0]), minlength=BUCKETS)
+                np.add.at(uses, _buckets(h[h != 0]), 1)
             labelled = toxic[texts] >= 0
             if not labelled.any():
                 continue
@@ -109,8 +109,7 @@ def _count(batches):
             cell = toxic[doc] * 2 + fold[doc]
             for c in range(4):
                 pick = cell == c
-                if pick.any():
-                    votes[c] += np.bincount(bucket[pick], weights=weight[doc[pick]], minlength=BUCKETS)
+                np.add.at(votes[c], bucket[pick], weight[doc[pick]])
             words = np.bincount(toxic[who] * 2 + fold[who], weights=weight[who], minlength=4)
             total[:4] += words
     some = np.flatnonzero(votes.any(axis=0))
@@ -273,7 +272,7 @@ def passages(docs: DataFrame, model: dict) -> DataFrame:
 
     def run(batches):
         scan = _scanner(sent)
-        for batch in batches:
+        for batch in textvec.released(batches):
             counts, result, found = scan(batch.column("text"))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(counts), pa.array(result), pa.array([len(x) for x in found], pa.int32()), pa.array(found, kind)],
