@@ -46,6 +46,8 @@ PRIOR = 0.5
 MAX_E = 1.0
 THRESHOLD = 0.7
 MAX_LAMBDA = 4.0
+#: Rows of a batch of counts.
+ROWS_OUT = 1 << 16
 
 
 def _buckets(hashes: np.ndarray) -> np.ndarray:
@@ -112,11 +114,12 @@ def _count(batches):
                 np.add.at(votes[c], bucket[pick], weight[doc[pick]])
             words = np.bincount(toxic[who] * 2 + fold[who], weights=weight[who], minlength=4)
             total[:4] += words
-    some = np.flatnonzero(votes.any(axis=0))
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(np.concatenate([[-1], some])), pa.array(np.concatenate([[int(total[4])], uses[some]])),
-         *(pa.array(np.concatenate([[total[c]], votes[c][some]])) for c in range(4))],
-        ["bucket", "uses", "clean0", "clean1", "toxic0", "toxic1"])
+    names = ["bucket", "uses", "clean0", "clean1", "toxic0", "toxic1"]
+    yield pa.RecordBatch.from_arrays([pa.array([-1]), pa.array([int(total[4])]), *(pa.array([total[c]]) for c in range(4))], names)
+    used = np.flatnonzero(uses)  # every vote is a use
+    for lo in range(0, len(used), ROWS_OUT):
+        some = used[lo:lo + ROWS_OUT]
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(uses[some]), *(pa.array(votes[c][some]) for c in range(4))], names)
 
 
 def token_counts(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[DataFrame, dict]:

@@ -174,6 +174,21 @@ def test_toxicity_held_out(spark):
     assert clean.count() == sum(r["score"] < toxicity.THRESHOLD for r in got)
 
 
+def test_toxicity_counts_do_not_depend_on_partitions(spark):
+    rows, labels = toxic_rows()
+    table = spark.createDataFrame([x for x in labels if x[0] < 300], "doc_id long, quality int, toxic int")
+    one = documents(spark, rows).coalesce(1)
+    many = documents(spark, rows[:300]).coalesce(1).unionByName(documents(spark, rows[300:]).repartition(7))
+    a, b = toxicity.learn(one, table), toxicity.learn(many, table)
+    first, second = np.argsort(a["buckets"]), np.argsort(b["buckets"])
+    assert len(first) and a["buckets"][first].tolist() == b["buckets"][second].tolist()
+    assert a["scores"][first] == pytest.approx(b["scores"][second])
+    assert (a["drift"], a["lambda"]) == pytest.approx((b["drift"], b["lambda"]))
+    uses = toxicity.token_counts(many, table)[0].filter("bucket >= 0").agg({"uses": "sum"}).first()[0]
+    words = [w for _, text in rows for w in text.split()]
+    assert uses == sum(1 + sum(len(w) >= k for k in toxicity.PREFIXES) for w in words)
+
+
 def test_maximal_segments_match_brute_force():
     r = random.Random(2)
     for _ in range(300):
