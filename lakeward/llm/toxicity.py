@@ -96,6 +96,8 @@ def _count(batches):
         toxic = np.asarray(batch.column("toxic").fill_null(-1))
         weight = np.asarray(batch.column("weight").fill_null(0.0))
         fold = np.asarray(batch.column("fold").fill_null(0))
+        # a text may go on in the next piece: what the last one has voted for
+        last, voted = -1, np.zeros(BUCKETS, bool)
         for texts, _, hashes, heads in textvec.words_of(data, offsets, PREFIXES):
             total[4] += len(hashes)
             kinds = [hashes, *heads]
@@ -108,6 +110,12 @@ def _count(batches):
             keys = np.concatenate([(who[v != 0] * BUCKETS + _buckets(v[v != 0])) for v in (h[labelled] for h in kinds)])
             keys = np.unique(keys)
             doc, bucket = keys // BUCKETS, keys % BUCKETS
+            new = (doc != last) | ~voted[bucket]
+            doc, bucket = doc[new], bucket[new]
+            if who[-1] != last:
+                last = who[-1]
+                voted[:] = False
+            voted[bucket[doc == last]] = True
             cell = toxic[doc] * 2 + fold[doc]
             for c in range(4):
                 pick = cell == c

@@ -6,9 +6,10 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from lakeward.llm import langid, packing, toxicity
+from lakeward.llm import langid, packing, textvec, toxicity
 from tests.llm.fixtures import collect, documents, edited, prose, write_table
 
 PATH = packing.tokenizer_path()
@@ -189,6 +190,28 @@ def test_toxicity_counts_do_not_depend_on_partitions(spark):
     assert uses == sum(1 + sum(len(w) >= k for k in toxicity.PREFIXES) for w in words)
 
 
+@pytest.mark.parametrize("piece", [textvec.PIECE, 100])
+def test_toxicity_votes_once_per_document(monkeypatch, piece):
+    monkeypatch.setattr(textvec, "PIECE", piece)
+    long = 150_000 if piece > 1000 else 300
+    texts = [prose(1, 30), prose(2, long), prose(3, 20), "", prose(4, long), prose(5, long), prose(6, 5)]
+    toxic, weight, fold = [0, 1, None, 0, 0, 1, 1], [1.0, 1.0, None, 1.0, 0.5, 1.0, 1.0], [0, 1, None, 0, 0, 1, 1]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(toxic, pa.int32()), pa.array(weight), pa.array(fold, pa.int32())],
+                                       ["text", "toxic", "weight", "fold"])
+    got = pa.Table.from_batches(list(toxicity._count([batch, batch]))).to_pylist()
+    plain = {}
+    for text, t, w, f in zip(texts, toxic, weight, fold):
+        if t is None or not text:
+            continue
+        words = sorted(set(text.split()))
+        tokens = {toxicity._buckets(h[h != 0]).tobytes() for _, _, hashes, heads in textvec.words_of(*textvec.utf8(pa.array(words)), toxicity.PREFIXES)
+                  for h in (hashes, *heads)}
+        for bucket in set(np.frombuffer(b"".join(tokens), np.int64).tolist()):
+            plain.setdefault(bucket, [0.0] * 4)[t * 2 + f] += 2 * w  # the batch is there twice
+    votes = {r["bucket"]: [r[c] for c in ("clean0", "clean1", "toxic0", "toxic1")] for r in got if r["bucket"] >= 0}
+    assert {b: v for b, v in votes.items() if any(v)} == plain
+
+
 def test_maximal_segments_match_brute_force():
     r = random.Random(2)
     for _ in range(300):
