@@ -33,6 +33,7 @@ Extra columns are ignored. Class ids are the smallest doc_id of the class.
 from __future__ import annotations
 
 from bisect import bisect_left
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -87,19 +88,31 @@ def sketches(labelled: np.ndarray) -> np.ndarray:
     return out
 
 
+def ratio(threshold: float = THRESHOLD) -> tuple[int, int]:
+    """The threshold as a ratio of whole numbers, so that bounds are exact."""
+    return Fraction(str(threshold)).as_integer_ratio()
+
+
+def enough(shared: Column, total: Column) -> Column:
+    """True where texts of ``total`` shingles, ``shared`` of them in both, reach the threshold."""
+    p, q = ratio()
+    return shared * F.lit(p + q).cast("long") >= total * F.lit(p).cast("long")
+
+
 def similarity(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> float:
     """Aligned share of two labelled shingle sequences; 0 where an upper
     bound already shows that it is below ``threshold``."""
     na, nb = len(a), len(b)
     if not na or not nb:
         return 1.0 if na == nb else 0.0
-    least = threshold / (1 + threshold) * (na + nb)  # aligned shingles that the threshold needs
+    p, q = ratio(threshold)
+    least = -(-p * (na + nb) // (p + q))  # aligned shingles that the threshold needs
     if min(na, nb) < least:
         return 0.0
     _, ia, ib = np.intersect1d(a, b, assume_unique=True, return_indices=True)
     if len(ia) < least:
         return 0.0
-    band = int(na + nb - 2 * least) + 1  # more shift would leave too many unaligned
+    band = na + nb - 2 * least  # more shift would leave too many unaligned
     near = np.abs(ia - ib) <= band
     ia, ib = ia[near], ib[near]
     chain: list[int] = []
@@ -197,13 +210,13 @@ def links(texts: DataFrame, keyed: DataFrame) -> DataFrame:
     words = [f"w{i}" for i in range(BITMAP)]
     room = of_mixed.join(own, "uid", "left").select("uid", F.size("seq").alias("n"), (F.size("seq") - F.coalesce("own", F.lit(0))).alias("common"),
                                                     *(F.col("bits")[i].alias(w) for i, w in enumerate(words)))
-    mixed = mixed.join(room.filter(F.col("common") >= THRESHOLD * F.col("n")), "uid")
+    mixed = mixed.join(room.filter(enough(F.col("common"), F.col("common") + F.col("n"))), "uid")
     minor = mixed.filter(F.col("root") != F.col("main")).select(*(F.col(c).alias("m_" + c) for c in ["key", "uid", "root", "n", "common", *words]))
     lacks = sum((F.bit_count(F.col(w).bitwiseAND(F.bitwise_not(F.col("m_" + w)))) for w in words), F.lit(0))
     m_lacks = sum((F.bit_count(F.col("m_" + w).bitwiseAND(F.bitwise_not(F.col(w)))) for w in words), F.lit(0))
     most = F.least(F.col("common"), F.col("m_common"), F.col("n") - lacks, F.col("m_n") - m_lacks)
     cross = mixed.join(minor.hint("merge"), (F.col("key") == F.col("m_key")) & (F.col("root") != F.col("m_root"))
-                       & (most * (1 + THRESHOLD) >= THRESHOLD * (F.col("n") + F.col("m_n"))))
+                       & enough(most, F.col("n") + F.col("m_n")))
     pairs = cross.select(F.least("uid", "m_uid").alias("a"), F.greatest("uid", "m_uid").alias("b")).distinct()
     second = _verified(pairs.join(first.select("a", "b"), ["a", "b"], "left_anti"), seqs, "nd-crossed")
     return first.unionByName(second).filter("linked").select("a", "b")

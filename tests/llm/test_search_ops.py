@@ -8,6 +8,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from lakeward.llm import fingerprints, mainhtml, neardup, neighbours, textvec
 from tests.llm.fixtures import collect, documents, edited, prose
@@ -228,6 +229,19 @@ def test_similarity_is_order_aware_jaccard():
     assert neardup.similarity(np.array(a, np.uint64), moved) < 0.8
 
 
+def test_similarity_of_exactly_the_threshold(spark):
+    for k in range(1, 1000):
+        a = np.arange(5 * k, dtype=np.uint64)
+        assert neardup.similarity(a[:4 * k], a) == neardup.similarity(a, a[k:]) == 0.8
+        assert neardup.similarity(a[:4 * k - 1], a) < 0.8
+    k = spark.range(1, 4000).select((F.col("id") * 4).alias("shared"), (F.col("id") * 9).alias("total"))
+    assert k.filter(~neardup.enough(F.col("shared"), F.col("total"))).isEmpty()
+    assert k.filter(neardup.enough(F.col("shared") - 1, F.col("total"))).isEmpty()
+    words = prose(8, 39, 5000).split()
+    got = collect(neardup.near_duplicates(documents(spark, [(1, " ".join(words[:32])), (2, " ".join(words))])))
+    assert {r["class_id"] for r in got} == {1}
+
+
 # the shared text helpers
 
 
