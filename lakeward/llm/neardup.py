@@ -3,7 +3,9 @@
 Method. A text's 5-word shingles are labelled with their occurrence number.
 Each of ``SKETCHES`` hash functions picks the ``PICKED`` smallest labelled
 shingles and keeps them in text order; two texts that agree in one sketch
-are candidates. Candidates are verified by aligning their labelled shingles
+are candidates. So are two texts of at most ``SHORT`` shingles that share one
+of their first shingles in hash order: so many that two texts without a
+common one must be below the threshold. Candidates are verified by aligning their labelled shingles
 (the longest chain of common shingles in the same order, inside the band
 that the threshold allows): similarity = aligned / (all shingles of both,
 aligned ones once), at least ``THRESHOLD``. It equals the Jaccard
@@ -48,6 +50,8 @@ SHINGLE = 5
 SKETCHES = 24
 PICKED = 4
 THRESHOLD = 0.8
+#: Texts of at most so many shingles that are similar enough always share a key.
+SHORT = 20
 #: A text's shingles as a bitmap of so many 64-bit words.
 BITMAP = 16
 
@@ -88,6 +92,18 @@ def sketches(labelled: np.ndarray) -> np.ndarray:
     return out
 
 
+def short_keys(labelled: np.ndarray) -> np.ndarray:
+    """A key for each of the first shingles in hash order of a text of at most
+    SHORT shingles. Of n shingles a similar text has at least p n / q, so one of
+    any n - ceil(p n / q) + 1 is shared, and the first shared one is among the
+    first of both."""
+    n = len(labelled)
+    if not 0 < n <= SHORT:
+        return np.zeros(0, np.uint64)
+    p, q = ratio()
+    return textvec.mix(np.sort(labelled)[:n + -p * n // q + 1] ^ _COMBINE)
+
+
 def ratio(threshold: float = THRESHOLD) -> tuple[int, int]:
     """The threshold as a ratio of whole numbers, so that bounds are exact."""
     return Fraction(str(threshold)).as_integer_ratio()
@@ -137,7 +153,7 @@ def _hash_texts(batches, emit):
 
 def _sketch_rows(batches):
     def emit(batch, shingled):
-        keys = pa.array([sketches(s).astype(np.int64) for s in shingled], pa.list_(pa.int64()))
+        keys = pa.array([np.concatenate([sketches(s), short_keys(s)]).astype(np.int64) for s in shingled], pa.list_(pa.int64()))
         return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("uid"), keys], ["doc_id", "uid", "keys"])
     yield from _hash_texts(batches, emit)
 

@@ -242,6 +242,21 @@ def test_similarity_of_exactly_the_threshold(spark):
     assert {r["class_id"] for r in got} == {1}
 
 
+def test_short_similar_texts_share_a_key():
+    """Every pair of texts of 4k and 5k shingles, of which one is the head, tail or middle of the other."""
+    import pyarrow as pa
+    texts = []
+    for seed in range(3000):
+        k = 1 + seed % 4
+        words = prose(seed, 5 * k + 4, 10**6).split()
+        lo = seed % (k + 1)
+        texts += [" ".join(words), " ".join(words[lo:lo + 4 * k + 4])]
+    ids = pa.array(range(len(texts)))
+    batch = pa.RecordBatch.from_arrays([ids, ids, pa.array(texts)], ["doc_id", "uid", "text"])
+    keys = [set(k) for b in neardup._sketch_rows([batch]) for k in b.column("keys").to_pylist()]
+    assert not [i for i in range(0, len(keys), 2) if not keys[i] & keys[i + 1]]
+
+
 # the shared text helpers
 
 
