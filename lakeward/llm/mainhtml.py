@@ -1,7 +1,8 @@
 """Main text of web pages: flat text blocks and a decision tree.
 
 Method. A page's markup is read once into a flat list of text blocks (block
-elements end a block; scripts, styles and other raw elements are skipped).
+elements end a block; scripts, styles, buttons, videos and the like are
+skipped).
 A block's features are its word count and link density, those of the blocks
 before and after it, and what it stands in (a boilerplate container by
 element or class word, the article, a heading, a list). A decision tree
@@ -30,8 +31,13 @@ _TOKEN = re.compile(r"""<!--.*?(?:--!?>|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+
 _ATTRIBUTE = re.compile(r"""([^\s=/"'<>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 
-#: Elements whose content is no text of the page (fixed values).
-RAW = frozenset("script style noscript template textarea title iframe svg math select button object audio video canvas noembed xmp option".split())
+#: Elements whose content is raw text, up to their end tag or the end of the page, and no text of the page (fixed values).
+RAW = frozenset("script style textarea title iframe noembed xmp".split())
+#: Elements whose content is markup but no text of the page (fixed values).
+DROPPED = frozenset("noscript template svg math select button object audio video canvas option".split())
+#: Of these, the ones that end where the next of the kind starts, and what else holds an option (fixed values).
+SINGLE = frozenset("select button option".split())
+OPTIONS = frozenset("select datalist optgroup".split())
 #: Elements that end a block (fixed values).
 BLOCK = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 "
                   "h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr "
@@ -81,6 +87,74 @@ def _marks(tag: str, raw: str) -> tuple[bool, bool, bool, str]:
     return strong, weak, comments, a.get("data-label", "")
 
 
+def _after_raw(page: str, tag: str, at: int) -> int:
+    end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
+    return end.end() if end else len(page)
+
+
+_DROPPED_START = re.compile(rf"<(?:{'|'.join(sorted(DROPPED))})(?![^\s/>])", re.I)
+
+
+def _dropped(page: str) -> dict[int, int]:
+    """Where each start tag of DROPPED stands, and where its content ends:
+    after its end tag; without one, at the first block that starts in it, or
+    else at the end tag of an enclosing block or the next element that ends it."""
+    ends: dict[int, int] = {}
+    if not _DROPPED_START.search(page):
+        return ends
+    stack: list[tuple[str, int]] = []
+    opened: dict[str, int] = {}
+    first_block: dict[int, int] = {}
+    waiting: list[int] = []  # dropped elements in which no block has started
+
+    def close(tag: str, lt: int, own: int):
+        """Closes the innermost ``tag`` and all in it; the tag itself ends at ``own``, the rest of them are unclosed."""
+        while True:
+            name, start = stack.pop()
+            opened[name] -= 1
+            if name in DROPPED:
+                ends[start] = own if name == tag and own >= 0 else first_block.get(start, lt)
+            if name == tag:
+                return
+
+    at = 0
+    while (lt := page.find("<", at)) >= 0:
+        m = _TOKEN.match(page, lt)
+        if m is None:
+            at = lt + 1
+            continue
+        at = m.end()
+        if m[2] is None:
+            continue
+        tag = m[2].lower()
+        if m[1] == "/":
+            if opened.get(tag):
+                close(tag, lt, at)
+            continue
+        empty = m[3].rstrip().endswith("/")
+        if tag in RAW:
+            at = at if empty else _after_raw(page, tag, at)
+            continue
+        if tag in VOID or empty and tag in DROPPED or not (tag in BLOCK or tag in DROPPED or tag in OPTIONS):
+            continue
+        if tag in BLOCK:
+            for start in waiting:
+                first_block[start] = lt
+            waiting.clear()
+        if tag in SINGLE and opened.get(tag) and (tag != "option" or stack[-1][0] == "option"):
+            close(tag, lt, -1)
+        elif tag == "optgroup" and stack and stack[-1][0] == "option":
+            close("option", lt, -1)
+        stack.append((tag, lt))
+        opened[tag] = opened.get(tag, 0) + 1
+        if tag in DROPPED:
+            waiting.append(lt)
+    for name, start in stack:
+        if name in DROPPED:
+            ends[start] = first_block.get(start, len(page))
+    return ends
+
+
 class _Open:
     __slots__ = ("tag", "boiler", "strong", "comments", "article", "link", "label", "heading", "item")
 
@@ -144,7 +218,7 @@ def blocks(page: str) -> list[dict]:
             if held is None or (held is not top and top is not None and not top.link and not held.boiler and top.boiler is False):
                 held = top if top is not None else held
 
-    at, n = 0, len(page)
+    at, n, dropped = 0, len(page), _dropped(page)
     while at < n:
         lt = page.find("<", at)
         if lt < 0:
@@ -172,8 +246,10 @@ def blocks(page: str) -> list[dict]:
             continue
         if not closing and tag in RAW:
             if not m[3].rstrip().endswith("/"):
-                end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
-                at = end.end() if end else n
+                at = _after_raw(page, tag, at)
+            continue
+        if not closing and tag in DROPPED:
+            at = dropped.get(lt, at)
             continue
         if tag in BLOCK:
             end_block()

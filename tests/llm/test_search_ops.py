@@ -42,6 +42,20 @@ def test_extract_edge_cases(spark):
     assert collect(mainhtml.extract(spark.createDataFrame([], "page_id long, url string, html string"))) == []
 
 
+@pytest.mark.parametrize("before", [
+    "<datalist><option value=a><option value=b></datalist>", "<select><optgroup label=x><option>a<option>b<optgroup><option>c</select>",
+    "<div><button>Share</div>", "<button>Menu", "<div><video src=x></div>", "<video src=x>", "<div><button>A<button>B</div>", "<p><svg><path d=x></p>",
+    "<select><option>a</option><option>b", "<div><object><canvas></div>", "<noscript><img src=x>", "<button/><svg/>",
+    "<svg><svg></svg><text>no</text></svg>", "<video><p>no</p><option></video>", "<BUTTON><div>no</div></BUTTON >", "<div><button></div></button>"])
+def test_extract_goes_on_after_unclosed_elements(before):
+    tree = mainhtml.train_tree()
+    rest = "<article><p>The first line of the story.</p><div><button>no</button><select><option>no</select></div><p>Its second line.</p></article>"
+    expect = "The first line of the story.\nIts second line."
+    assert mainhtml.main_text(before + rest, tree) == expect
+    assert mainhtml.main_text(f"<html><body>{before}{rest}</body></html>", tree) == expect
+    assert mainhtml.main_text("<article><p>The first line of the story.</p><textarea><p>no</p></article>", tree) == "The first line of the story."
+
+
 def test_tree_fits_its_table():
     tree = mainhtml.train_tree()
     found = [(mainhtml.keeps(tree, mainhtml.row(b)), b["label"] == "main") for p in mainhtml.LABELLED for b in mainhtml.blocks(p)]
