@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lakeward.llm import fingerprints, langid, licenses, mainhtml, mixing, neardup, neighbours, packing, toxicity, warc
+from lakeward.llm import bpe, fingerprints, langid, licenses, mainhtml, mixing, neardup, neighbours, packing, toxicity, warc
 
 QUERIES = {
     "op1_license_scan": licenses.op1_license_scan,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_mix_sources": mixing.op8_mix_sources,
     "op9_warc": warc.op9_warc,
     "op10_toxicity": toxicity.op10_toxicity,
+    "op11_bpe_round_trip": bpe.op11_bpe_round_trip,
 }
 
 ORACLE_SQL = {
