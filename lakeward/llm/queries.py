@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lakeward.llm import bpe, divergence, fingerprints, langid, licenses, mainhtml, mixing, neardup, neighbours, packing, toxicity, warc
+from lakeward.llm import bpe, divergence, fingerprints, hardneg, langid, licenses, mainhtml, mixing, neardup, neighbours, packing, toxicity, warc
 
 QUERIES = {
     "op1_license_scan": licenses.op1_license_scan,
@@ -17,10 +17,12 @@ QUERIES = {
     "op10_toxicity": toxicity.op10_toxicity,
     "op11_bpe_round_trip": bpe.op11_bpe_round_trip,
     "op12_source_divergence": divergence.op12_source_divergence,
+    "op13_hard_negatives": hardneg.op13_hard_negatives,
 }
 
 ORACLE_SQL = {
     "op3_nearest": neighbours.ORACLE_SQL,
     "op9_warc": warc.ORACLE_SQL,
     "op12_source_divergence": divergence.ORACLE_SQL,
+    "op13_hard_negatives": hardneg.ORACLE_SQL,
 }
