@@ -247,6 +247,10 @@ def gap(p: Column, q: Column) -> Column:
     return F.call_function("div", (p - q) * (p - q), p + q)
 
 
+def gaps(p: np.ndarray, q) -> np.ndarray:
+    return (p - q) * (p - q) // (p + q)
+
+
 def _compare(key, rows):
     """Summed gaps of the sources of two tiles over the terms of a chunk."""
     lang, _, low, high = key
@@ -262,13 +266,16 @@ def _compare(key, rows):
         cells[at, column[mine]] = body["p"].to_numpy(np.int64)[mine]
         return cells
 
+    # kept terms of the chunk that no source of the two tiles has
+    absent = (int(head["n_terms"].iloc[0]) if len(head) else 0) - len(terms)
     left = dense(a, low)
     right = left if low == high else dense(b, high)
     names_a, names_b, out = a["source"].to_numpy(), b["source"].to_numpy(), []
+    none_a, none_b = a["p"].to_numpy(np.int64), b["p"].to_numpy(np.int64)
     for i, name in enumerate(names_a):
         first = i + 1 if low == high else 0
-        d = right[first:] - left[i]
-        out += [(lang, name, other, int(v)) for other, v in zip(names_b[first:], ((d * d) // (right[first:] + left[i])).sum(axis=1))]
+        sums = gaps(right[first:], left[i]).sum(axis=1) + absent * gaps(none_b[first:], none_a[i])
+        out += zip([lang] * len(sums), [name] * len(sums), names_b[first:], sums.tolist())
     return pd.DataFrame(out, columns=["lang", "a", "b", "value"])
 
 
@@ -291,7 +298,7 @@ def audit(docs: DataFrame, least_documents: int = LEAST_DOCUMENTS, top_terms: in
     of_lang = groups.groupBy("lang").agg(F.sum("total").alias("lang_total"), F.sum("firsts").alias("kept"), F.count(F.lit(1)).alias("sources"))
     groups = cut(groups.select("lang", "source", "total").join(of_lang, "lang"), "divergence-groups")
 
-    rows = kept.select("lang", "source", "term", "uses", "lang_uses").join(groups, ["lang", "source"])
+    rows = kept.join(groups, ["lang", "source"])
     rows = rows.withColumn("p", share(F.col("uses"), F.col("total"), F.col("kept")))
 
     q = share(F.col("lang_uses"), F.col("lang_total"), F.col("kept"))
@@ -305,11 +312,12 @@ def audit(docs: DataFrame, least_documents: int = LEAST_DOCUMENTS, top_terms: in
     tiles = F.ceil(F.col("sources") / tile).cast("int")
     place = [F.pmod(F.xxhash64("source"), tiles).cast("int").alias("tile"), F.explode(F.sequence(F.lit(0), tiles - 1)).alias("other")]
     cells = rows.select("lang", F.pmod(F.xxhash64("term"), chunks).cast("int").alias("chunk"), "source", "term", "p", *place)
-    heads = groups.withColumn("chunk", F.explode(F.sequence(F.lit(0), chunks - 1)))
+    in_chunk = rows.where("nth = 1").groupBy("lang", F.pmod(F.xxhash64("term"), chunks).cast("int").alias("chunk")).agg(F.count(F.lit(1)).alias("n_terms"))
+    heads = groups.withColumn("chunk", F.explode(F.sequence(F.lit(0), chunks - 1))).join(in_chunk, ["lang", "chunk"], "left")
     heads = heads.select("lang", "chunk", "source", F.lit(None).cast("string").alias("term"),
-                         share(F.lit(0).cast("long"), F.col("total"), F.col("kept")).alias("p"), *place)
-    blocks = cells.unionByName(heads).select("lang", "chunk", F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high"),
-                                             "tile", "source", "term", "p")
+                         share(F.lit(0).cast("long"), F.col("total"), F.col("kept")).alias("p"), F.coalesce("n_terms", F.lit(0)).alias("n_terms"), *place)
+    blocks = cells.unionByName(heads, allowMissingColumns=True).select(
+        "lang", "chunk", F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high"), "tile", "source", "term", "p", "n_terms")
     sums = blocks.groupBy("lang", "chunk", "low", "high").applyInPandas(_compare, "lang string, a string, b string, value long")
     sums = sums.groupBy("lang", "a", "b").agg(F.sum("value").alias("value"))
     both = F.explode(F.array(F.struct(F.col("a").alias("source"), F.col("b").alias("item")), F.struct(F.col("b").alias("source"), F.col("a").alias("item"))))
