@@ -1,25 +1,29 @@
 """CSV batches: one file is one batch.
 
-Observing a batch reads only the first CSV record of its file, in the
-executors (``mapInPandas`` over the file listing; file contents are not
-loaded by the listing). Reading rows groups files by their exact, ordered
-header and issues one CSV scan per group, because one scan over files with
-different headers would apply the first file's header to all of them.
-Values are read as strings by header name, never through an explicit schema
-(which Spark's CSV reader applies by position), then cast by the gate.
+Folders are listed by tasks, level by level, and observing a batch reads only
+the first CSV record of its file, in the tasks too. Rows of all files come
+from one scan, whatever their headers: values are read as strings by position
+(Spark's CSV reader applies an explicit schema so), joined to their file's row
+of positions, and picked from there under the wanted names, then cast by the
+gate. So the plan does not grow with the number of headers, and no header
+passes through the driver.
 """
 
 from __future__ import annotations
 
 import csv
 import io
+import os
 import re
+from fnmatch import fnmatch
 
 import pandas as pd
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeward.sources import quoted_lines
+
 HEADER_SCHEMA = "path string, header array<string>"
 
 def _open_text(path: str):
@@ -55,20 +59,47 @@ def _read_headers(batches):
             yield pd.DataFrame({"path": paths, "header": list(pool.map(_first_record, paths))})
 
 
-def list_files(spark: SparkSession, paths, glob: str = "*.csv") -> DataFrame:
-    """One row per file (``path``), empty files included.
+def _children(path: str) -> list[tuple[str, bool]]:
+    """The entries of a folder: path, and whether it is a folder itself. A file is its own entry."""
+    if path.startswith("file:") or "://" not in path:
+        local = "/" + path[5:].lstrip("/") if path.startswith("file:") else os.path.abspath(path)
+        if not os.path.isdir(local):
+            return [("file:" + local, False)]
+        with os.scandir(local) as entries:
+            return [("file:" + e.path, e.is_dir()) for e in entries]
+    from pyarrow import fs
 
-    The paths come from Spark's file index, which the driver builds for any
-    file scan anyway; a binaryFile scan would skip 0-byte files, whose
-    batches must still be observed (as an empty header).
-    """
-    if isinstance(paths, str):
-        paths = [paths]
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    found = sorted(canonical_path(p) for p in reader.load(list(paths)).inputFiles())
-    return spark.createDataFrame([(p,) for p in found], "path string")
+    filesystem, inner = fs.FileSystem.from_uri(path)
+    scheme = path[:len(path) - len(inner)] if path.endswith(inner) else path.split("://")[0] + "://"
+    if filesystem.get_file_info(inner).type != fs.FileType.Directory:
+        return [(path, False)]
+    return [(scheme + i.path, i.type == fs.FileType.Directory) for i in filesystem.get_file_info(fs.FileSelector(inner))]
+
+
+def _list_level(glob: str):
+    """The files that match ``glob``, and the folders, of each given folder.
+    Names that start with ``_`` or ``.`` are no data, as for any Spark scan."""
+    def run(batches):
+        for pdf in batches:
+            found = [c for path in pdf["path"] for c in _children(path)]
+            found = [(p, d) for p, d in found if (name := p.rstrip("/").rsplit("/", 1)[-1])[:1] not in ("_", ".") and (d or not glob or fnmatch(name, glob))]
+            yield pd.DataFrame(found, columns=["path", "folder"])
+    return run
+
+
+def list_files(spark: SparkSession, paths, glob: str = "*.csv") -> DataFrame:
+    """One row per file (``path``), empty files included, from tasks that list
+    one level of folders at a time; the driver sees the given paths only."""
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    level = spark.createDataFrame([(p,) for p in paths], "path string")
+    found = None
+    while True:
+        listed = level.mapInPandas(_list_level(glob), "path string, folder boolean").persist(StorageLevel.MEMORY_AND_DISK)
+        files = listed.where("not folder").select("path")
+        found = files if found is None else found.unionByName(files)
+        if listed.where("folder").isEmpty():
+            return found.repartition(spark.sparkContext.defaultParallelism)
+        level = listed.where("folder").select("path").repartition(spark.sparkContext.defaultParallelism)
 
 
 def canonical_path(path: str) -> str:
@@ -127,63 +158,88 @@ def observe_headers(spark: SparkSession, paths, dataset: str, type_overrides: di
 
 
 class CsvFeed:
-    """Row source for the gate over CSV batches.
-
-    Files are grouped by their actual header, read again here (one record
-    per allowed file, in the executors): a sidecar may declare names in
-    another order than the file has, and one scan must never span two
-    headers. A file whose header differs, as a set of names, from what was
-    recorded for its batch is not read; it is reported by ``holds`` and the
-    gate holds the batch instead of promoting NULLs.
-
-    ``multi_line`` keeps quoted newlines inside values (as Python's csv
-    does); it makes each file one task, so feeds that guarantee one record
-    per line can turn it off to let Spark split large files.
+    """Row source for the gate over CSV batches, one scan for all of them.
+
+    ``headers``: ``"file"`` reads each allowed file's header again (one record
+    per file, in the tasks), because a sidecar may declare names in another
+    order than the file has; a file whose header differs, as a set of names,
+    from what was recorded for its batch is not read but reported by
+    ``holds``, and the gate holds the batch instead of promoting NULLs.
+    ``"recorded"`` takes the recorded names as the header, for feeds whose
+    observation read the files themselves (``observe_headers``).
+
+    ``multi_line``: True keeps line breaks inside quoted values (as Python's
+    csv does) with Spark's reader, one task per file; ``"split"`` keeps them
+    and cuts large files into splits (two passes, see ``quoted_lines``); False
+    is for feeds that guarantee one record per line, in splits.
+
+    ``large_files`` says that files fill their splits, so that a split holds
+    one batch and the layer write needs no shuffle.
     """
 
-    # one file is one batch, so every input split holds a single batch
-    clustered_by_batch = True
+    takes_columns = True
 
-    def __init__(self, spark: SparkSession, observed: DataFrame | None = None, multi_line: bool = True):
+    def __init__(self, spark: SparkSession, observed: DataFrame | None = None, multi_line: bool | str = True,
+                 headers: str = "file", large_files: bool = False):
+        if headers not in ("file", "recorded"):
+            raise ValueError("headers must be 'file' or 'recorded'")
         self.spark = spark
         self.observed = observed
         self.multi_line = multi_line
+        self.headers = headers
+        self.clustered_by_batch = large_files
         self._holds: dict[str, DataFrame] = {}
 
-    def reader(self):
-        return (self.spark.read.option("header", True).option("escape", '"')
-                .option("multiLine", self.multi_line).option("mode", "PERMISSIVE"))
+    def positional(self, paths, width: int) -> DataFrame:
+        """``_file_path`` and the values of every record, ``_values``, by position."""
+        names = [f"c{i}" for i in range(width)]
+        schema = ", ".join(f"{c} string" for c in names)
+        if self.multi_line == "split":
+            rows = quoted_lines.read_records(self.spark, paths)
+            parsed = F.from_csv("record", schema, {"escape": '"', "multiLine": "true", "mode": "PERMISSIVE"})
+            rows = rows.select(F.col("path").alias("_file_path"), parsed.alias("r")).select("_file_path", "r.*")
+        else:
+            reader = (self.spark.read.schema(schema).option("header", True).option("enforceSchema", True).option("escape", '"')
+                      .option("multiLine", bool(self.multi_line)).option("mode", "PERMISSIVE"))
+            rows = reader.csv(list(paths)).select(F.col("_metadata.file_path").alias("_file_path"), *names)
+        return rows.select(F.regexp_replace("_file_path", r"^file:/+", "file:/").alias("_file_path"), F.array(*names).alias("_values"))
 
     def holds(self, dataset: str) -> DataFrame | None:
         """(batch_id, reason) of the allowed batches the last call did not read."""
         return self._holds.get(dataset)
 
-    def __call__(self, dataset: str, allowed: DataFrame) -> DataFrame:
+    def _files(self, dataset: str, allowed: DataFrame) -> DataFrame:
+        """batch_id, bronze_path, header and whether it is the declared one."""
         if {"bronze_path", "observed_schema"} <= set(allowed.columns):
-            declared = allowed.select("batch_id", "bronze_path",
-                                      F.transform("observed_schema", lambda x: x["name"]).alias("declared"))
+            declared = allowed.select("batch_id", "bronze_path", F.transform("observed_schema", lambda x: x["name"]).alias("declared"))
         else:
             declared = (self.observed.where(F.col("dataset") == dataset)
                         .join(allowed.select("batch_id"), "batch_id", "left_semi")
                         .select("batch_id", "bronze_path", F.col("header").alias("declared")))
-        actual = declared.select(F.col("bronze_path").alias("path")).distinct() \
-            .mapInPandas(_read_headers, HEADER_SCHEMA)
+        if self.headers == "recorded":
+            return declared.select("batch_id", "bronze_path", F.col("declared").alias("header"), F.lit(True).alias("same"))
+        actual = declared.select(F.col("bronze_path").alias("path")).distinct().mapInPandas(_read_headers, HEADER_SCHEMA)
         same = F.array_sort(F.array_distinct("declared")) == F.array_sort(F.array_distinct("header"))
-        picked = declared.join(actual, declared["bronze_path"] == actual["path"]) \
-            .select("batch_id", "bronze_path", "header", same.alias("same")).persist(StorageLevel.MEMORY_AND_DISK)
+        return declared.join(actual, declared["bronze_path"] == actual["path"]).select("batch_id", "bronze_path", "header", same.alias("same"))
+
+    def __call__(self, dataset: str, allowed: DataFrame, columns=None) -> DataFrame:
+        """Rows of the allowed batches with ``columns`` (by default every name
+        that a header has) and ``batch_id``; a name that a file lacks is NULL,
+        of a name that a header repeats the last counts."""
+        picked = self._files(dataset, allowed).persist(StorageLevel.MEMORY_AND_DISK)
         self._holds[dataset] = picked.where(~F.col("same")).select("batch_id", F.lit("header_mismatch").alias("reason"))
-        # One scan per distinct header; only the headers and the files' paths
-        # of a group, which a scan lists on the driver in any case, come here.
         good = picked.where("same")
-        out = None
-        for (header,) in good.select("header").distinct().collect():
-            files = good.where(F.col("header") == F.array(*[F.lit(h) for h in header])).select("bronze_path", "batch_id")
-            paths = [r[0] for r in files.select("bronze_path").distinct().toLocalIterator()]
-            file_path = F.regexp_replace(F.col("_metadata.file_path"), r"^file:/+", "file:/")
-            df = self.reader().csv(paths).select("*", file_path.alias("_file_path"))
-            df = df.join(files.distinct(), F.col("_file_path") == F.col("bronze_path")).drop("_file_path", "bronze_path")
-            out = df if out is None else out.unionByName(df, allowMissingColumns=True)
-        return self.spark.createDataFrame([], "batch_id string") if out is None else out
+        width = good.agg(F.max(F.size("header"))).first()[0] or 0
+        if columns is None:
+            columns = [r[0] for r in good.select(F.explode("header").alias("n")).distinct().orderBy("n").toLocalIterator()]
+        # the paths go where Spark's file index keeps them for any scan
+        paths = [r[0] for r in good.select("bronze_path").distinct().toLocalIterator()]
+        if not paths or not width:
+            return self.spark.createDataFrame([], ", ".join([*(f"`{c}` string" for c in columns), "batch_id string"]))
+        last = [F.size("header") - F.nullif(F.array_position(F.reverse("header"), c).cast("int"), F.lit(0)) for c in columns]
+        files = good.select("bronze_path", "batch_id", F.array(*last).cast("array<int>").alias("_places")).distinct()
+        rows = self.positional(paths, width).join(files, F.col("_file_path") == F.col("bronze_path"))
+        return rows.select(*(F.get("_values", F.get("_places", F.lit(i))).alias(c) for i, c in enumerate(columns)), "batch_id")
 
 
 def observe_sidecars(spark: SparkSession, paths, dataset: str, suffix: str = ".schema.json") -> DataFrame:
