@@ -18,9 +18,13 @@ from lakeward.functions import exprs as X
 # values rather than schema metadata).
 BANNED_KEYS = ("rows", "sample", "payload", "values", "billed_amount")
 
-# Texts that no event may hold, checked in every run.
+# Texts that no event may hold, unless a run names others.
 BANNED_TEXTS = ("CLM-", "120.50")
 
+# Lines of events that are shipped to the tasks, in bytes at most; beyond it
+# events and values meet in a join.
+LINES_BOUND = 16 << 20
+
 # A sensitive value meets the events on its last so many characters (all of
 # a shorter one), and is then looked for as a whole.
 GRAM = 8
@@ -36,9 +40,8 @@ class MetadataLeakError(ValueError):
     """An audit event would carry data values. ``found`` is a DataFrame of
     all findings (event_id, batch_id, value, source), ``total`` their number."""
 
-    def __init__(self, text: str, found: DataFrame | None = None, total: int = 0):
-        super().__init__(text)
-        self.found, self.total = found, total
+    found: DataFrame | None = None
+    total = 0
 
 
 def audit_events(decisions: DataFrame, *, run_id: str, event_time: datetime) -> DataFrame:
@@ -102,10 +105,13 @@ def leak_scan(events: DataFrame, sensitive: DataFrame | None = None, patterns=()
     test), one of ``texts``, or a match of a banned pattern. Returns event_id,
     batch_id, value, source.
 
-    ``sensitive`` has columns (``value``, ``source``). A value's last GRAM
-    characters (or all of a shorter value) are joined to the substrings of
-    that length of the events, taken once each; what meets is confirmed with
-    ``contains``. Lazy: no job runs here."""
+    ``sensitive`` has columns (``value``, ``source``). The events' distinct
+    lines are metadata and mostly few: up to LINES_BOUND bytes of them, which
+    one job measures, are shipped to the tasks, which run them through an
+    automaton of their share of the values. Beyond the bound a value's last
+    GRAM characters (or all of a shorter value) are joined to the substrings
+    of that length of the lines, and what meets is confirmed with
+    ``contains``."""
     events = events.select("event_id", "batch_id", event_text(events).alias("text"))
     fixed = [F.struct(F.lit(t).alias("value"), F.lit("banned text").alias("source"), F.contains("text", F.lit(t)).alias("hit")) for t in texts]
     fixed += [F.struct(F.lit(p).alias("value"), F.lit("pattern").alias("source"), F.col("text").rlike(p).alias("hit")) for p in patterns]
@@ -115,30 +121,54 @@ def leak_scan(events: DataFrame, sensitive: DataFrame | None = None, patterns=()
             .select("event_id", "batch_id", "f.value", "f.source")
     if sensitive is not None:
         values = sensitive.select(F.col("value").cast("string").alias("value"), "source").where("value <> ''").distinct()
-        values = values.withColumn("gram", F.when(F.char_length("value") > GRAM, F.substring("value", -GRAM, GRAM)).otherwise(F.col("value")))
-        # the substrings of every length up to GRAM at each place; texts repeat between events, so each is cut up once
         lines = events.select("event_id", "batch_id", F.explode(F.array_distinct(F.split("text", "\n"))).alias("line"))
-        places = lines.select("line").distinct().select("line", F.explode(F.sequence(F.lit(1), F.char_length("line"))).alias("at"))
-        grams = places.select("line", F.explode(F.array_distinct(F.transform(
-            F.sequence(F.lit(1), F.lit(GRAM)), lambda n: F.col("line").substr(F.col("at"), n)))).alias("gram")).distinct()
-        hits = grams.join(values, "gram").where(F.contains("line", "value")).select("line", "value", "source").distinct()
-        part = lines.join(hits, "line").select("event_id", "batch_id", "value", "source").distinct()
+        part = lines.join(_line_hits(lines.select("line").distinct(), values), "line").select("event_id", "batch_id", "value", "source").distinct()
         found = part if found is None else found.unionByName(part)
     if found is None:
         found = events.select("event_id", "batch_id", F.lit("").alias("value"), F.lit("").alias("source")).where("false")
     return found
 
 
-def assert_no_leaks(events: DataFrame, sensitive: DataFrame | None = None, patterns=(), texts=BANNED_TEXTS) -> None:
-    """Refuse events that carry values; the fixed texts are always checked."""
-    assert_metadata_only(events)
-    found = leak_scan(events, sensitive, patterns, texts).persist()
-    total = found.count()
-    if total:
-        shown = found.select("batch_id", "source").distinct().orderBy("batch_id", "source").limit(20).collect()
-        raise MetadataLeakError(f"Audit events contain data values ({total} findings): "
-                                + ", ".join(f"{r['batch_id']} ({r['source']})" for r in shown), found, total)
-    found.unpersist()
+def _line_hits(lines: DataFrame, values: DataFrame) -> DataFrame:
+    """(line, value, source): every line that holds a value."""
+    try:
+        import ahocorasick  # noqa: F401 - the join below does without
+    except ImportError:
+        return _joined_hits(lines, values)
+    size = lines.agg(F.coalesce(F.sum(F.octet_length("line")), F.lit(0))).first()[0]
+    if size > LINES_BOUND:
+        return _joined_hits(lines, values)
+    sent = lines.sparkSession.sparkContext.broadcast([r[0] for r in lines.collect()])
+
+    def run(batches):
+        import ahocorasick
+        import pyarrow as pa
+
+        for batch in batches:
+            value, source = batch.column("value").to_pylist(), batch.column("source").to_pylist()
+            places: dict[str, list[int]] = {}
+            for i, v in enumerate(value):
+                places.setdefault(v, []).append(i)
+            automaton = ahocorasick.Automaton()
+            for v, at in places.items():
+                automaton.add_word(v, at)
+            automaton.make_automaton()
+            for lo in range(0, len(sent.value), 1 << 12):
+                hits = {(line, i) for line in sent.value[lo:lo + (1 << 12)] for _, at in automaton.iter(line) for i in at} if places else set()
+                yield pa.RecordBatch.from_arrays([pa.array([h[0] for h in hits], pa.string()), pa.array([value[h[1]] for h in hits], pa.string()),
+                                                  pa.array([source[h[1]] for h in hits], pa.string())], ["line", "value", "source"])
+
+    return values.mapInArrow(run, "line string, value string, source string")
+
+
+def _joined_hits(lines: DataFrame, values: DataFrame) -> DataFrame:
+    """``_line_hits`` for any amount of lines."""
+    values = values.withColumn("gram", F.when(F.char_length("value") > GRAM, F.substring("value", -GRAM, GRAM)).otherwise(F.col("value")))
+    # the substrings of every length up to GRAM at each place
+    places = lines.select("line", F.explode(F.sequence(F.lit(1), F.char_length("line"))).alias("at"))
+    grams = places.select("line", F.explode(F.array_distinct(F.transform(
+        F.sequence(F.lit(1), F.lit(GRAM)), lambda n: F.col("line").substr(F.col("at"), n)))).alias("gram")).distinct()
+    return grams.join(values, "gram").where(F.contains("line", "value")).select("line", "value", "source").distinct()
 
 
 def audit_summary(events: DataFrame) -> DataFrame:

@@ -107,3 +107,42 @@ def cast_failures(rows: DataFrame, fields) -> DataFrame:
         .select("batch_id", "s.column_name", F.col("s.failures").cast("bigint").alias("failures"))
         .where("failures > 0")
     )
+
+
+# Column of staged rows: the checks that a row fails, as ``kind:column``.
+FAILED = "_failed_checks"
+
+
+def checked_projection(rows: DataFrame, fields, *, enforce_required: bool = False) -> DataFrame:
+    """The contract projection with failing values as NULL and, beside them,
+    ``FAILED``: an array with ``cast_failure:<column>`` for each value that
+    ``try_cast`` rejects and, with ``enforce_required``, ``required_null:<column>``
+    for each NULL in a required field; NULL where the row passes. One
+    projection, so the rows are read once."""
+    present = set(rows.columns)
+    missing = [f.name for f in fields if f.name not in present]
+    if missing:
+        raise ProjectionError(f"Cannot project contract columns; missing {missing}")
+    casts = {f.name for f in needs_cast(rows, fields)}
+    columns, checks = [], []
+    for f in fields:
+        c = F.col(ty.quote(f.name))
+        if f.name in casts:
+            safe = c.try_cast(ty.spark_sql_type(f.data_type))
+            checks.append(F.when(c.isNotNull() & safe.isNull(), F.lit(f"cast_failure:{f.name}")))
+            columns.append(safe.alias(f.name))
+        else:
+            columns.append(c.alias(f.name))
+        if enforce_required and f.required:
+            checks.append(F.when(c.isNull(), F.lit(f"required_null:{f.name}")))
+    failed = F.array_compact(F.array(*checks)) if checks else F.array().cast("array<string>")
+    return rows.select(*columns, "batch_id", F.when(F.size(failed) > 0, failed).alias(FAILED))
+
+
+def staged_failures(staged: DataFrame) -> DataFrame:
+    """Per (batch_id, kind, column_name): failing values of staged rows. Reads
+    two columns; rows that pass are filtered in the scan."""
+    one = staged.where(F.col(FAILED).isNotNull()).select("batch_id", F.explode(FAILED).alias("check"))
+    return one.groupBy("batch_id", "check").agg(F.count(F.lit(1)).alias("failures")).select(
+        "batch_id", F.substring_index("check", ":", 1).alias("kind"),
+        F.expr("substring(check, instr(check, ':') + 1)").alias("column_name"), "failures")

@@ -1,15 +1,29 @@
 """Catalog tables of the gate: control tables, layer tables, writers.
 
-Layer tables are Parquet tables partitioned by ``batch_id``. An added column
-reaches a table only through ``ALTER TABLE ... ADD COLUMNS`` for a field an
-approved contract lists; appends are by name and refuse any other difference,
-so nothing evolves silently.
+Layer tables are Parquet tables partitioned by ``batch_bucket``, a hash of
+the batch id over a number of buckets that the table keeps as a property.
+Rows are clustered by batch within a bucket, so a batch's rows are found by
+bucket and by the statistics of the files, and the number of files follows
+the bytes, not the number of batches. An added column reaches a table only
+through ``ALTER TABLE ... ADD COLUMNS`` for a field an approved contract
+lists; appends are by name and refuse any other difference, so nothing
+evolves silently.
+
+The release ledger has one row per step of every layer write: which run wrote
+which batch under which contract version, and for gold which silver write it
+released. A release looks there for what is still to do.
 """
 
 from __future__ import annotations
 
+import os
+import re
+import threading
+import time
+import uuid
 from contextlib import contextmanager
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +43,9 @@ class TableNames:
     database: str | None = None
     contracts_table: str = "schema_contracts"
     audit_table: str = "schema_audit_events"
+    ledger_table: str = "schema_release_ledger"
+    #: Buckets of layer tables that are created under these names.
+    layer_buckets: int = 16
 
     def q(self, name: str) -> str:
         return f"{self.database}.{name}" if self.database else name
@@ -41,6 +58,10 @@ class TableNames:
     def audit(self) -> str:
         return self.q(self.audit_table)
 
+    @property
+    def ledger(self) -> str:
+        return self.q(self.ledger_table)
+
     @property
     def bronze(self) -> str:
         return self.q("bronze_observed")
@@ -80,6 +101,58 @@ def ensure_control_tables(spark: SparkSession, names: TableNames = TableNames())
             decision STRING, contract_version INT, event_time TIMESTAMP, bronze_path STRING,
             call_id STRING, run_id STRING) USING PARQUET PARTITIONED BY (run_id)"""
     )
+    spark.sql(
+        f"""CREATE TABLE IF NOT EXISTS {names.ledger} (
+            batch_id STRING, contract_version INT, run_id STRING, stamp STRING, source_stamp STRING,
+            mode STRING, state STRING, recorded_at TIMESTAMP, dataset STRING, layer STRING)
+            USING PARQUET PARTITIONED BY (dataset, layer)"""
+    )
+
+
+# Feeds are promoted by several threads: appends to a table that they share,
+# and writes under a session setting, take turns.
+_SHARED_TABLE, _OVERWRITE = threading.Lock(), threading.Lock()
+
+STARTED, DONE = "started", "done"
+APPEND, REPLACE, SKIP = "append", "replace", "skip"
+
+
+def record(spark: SparkSession, moves: DataFrame, names: TableNames, state: str) -> None:
+    """Append one ledger row per row of ``moves`` (dataset, layer, batch_id,
+    contract_version, run_id, stamp, source_stamp, mode)."""
+    clock = F.lit(datetime.now(timezone.utc)).cast("timestamp")
+    rows = moves.select("batch_id", F.col("contract_version").cast("int"), "run_id", "stamp", "source_stamp", "mode", F.lit(state).alias("state"),
+                        clock.alias("recorded_at"), "dataset", "layer")
+    with _SHARED_TABLE:
+        rows.write.mode("append").partitionBy("dataset", "layer").format("parquet").saveAsTable(names.ledger)
+
+
+def ledger_of(spark: SparkSession, names: TableNames, dataset: str, layer: str) -> DataFrame:
+    spark.catalog.refreshTable(names.ledger)
+    return spark.table(names.ledger).where((F.col("dataset") == dataset) & (F.col("layer") == layer))
+
+
+def latest_moves(ledger: DataFrame) -> DataFrame:
+    """Per batch the last ledger row: contract_version, stamp, source_stamp, state."""
+    row = F.struct("contract_version", "run_id", "stamp", "source_stamp", "state")
+    order = F.struct("recorded_at", F.col("state") == DONE)
+    return ledger.groupBy("batch_id").agg(F.max_by(row, order).alias("m")).select("batch_id", "m.*")
+
+
+def releasable(spark: SparkSession, requested: DataFrame, names: TableNames, dataset: str, version: int, on_replay: str) -> DataFrame:
+    """(batch_id, source_stamp, mode): what a release of ``requested`` has to
+    do. A batch whose last silver write is in gold under this contract version
+    is skipped; one that gold has in another state (an older silver write,
+    another version, a release that was not finished) is replaced; one that
+    gold does not have is appended, or replaced if asked for."""
+    silver = latest_moves(ledger_of(spark, names, dataset, "silver").where(F.col("state") == DONE)) \
+        .select("batch_id", F.col("stamp").alias("source_stamp"))
+    gold = latest_moves(ledger_of(spark, names, dataset, "gold")).select(
+        "batch_id", F.col("contract_version").alias("_version"), F.col("source_stamp").alias("_source"), F.col("state").alias("_state"))
+    same = (F.col("_state") == DONE) & (F.col("_version") == version) & F.col("_source").eqNullSafe(F.col("source_stamp"))
+    mode = F.when(same, SKIP).when(F.col("_state").isNotNull(), REPLACE).otherwise(on_replay)
+    return requested.select("batch_id").join(silver, "batch_id", "left").join(gold, "batch_id", "left") \
+        .select("batch_id", "source_stamp", mode.alias("mode"))
 
 
 def ensure_bronze(spark: SparkSession, names: TableNames = TableNames()) -> None:
@@ -169,15 +242,65 @@ def register_contracts(spark: SparkSession, contracts, names: TableNames = Table
 
 def approve(spark: SparkSession, dataset: str, layer: str, fields, allowed_changes=(), owner=None,
             names: TableNames = TableNames(), approved_at=None) -> C.Contract:
-    """Insert the next version of a contract; earlier versions stay."""
+    """Insert the next version of a contract; earlier versions stay.
+
+    The version is read and the contract appended under a lock file beside
+    the contracts table, so callers at the same time, also in other
+    applications, get versions of their own, without gaps."""
     ensure_control_tables(spark, names)
-    version = C.next_version(spark.table(names.contracts), dataset, layer)
-    contract = C.Contract(dataset, layer, version, tuple(fields), tuple(allowed_changes), owner,
-                          approved_at or C.event_clock())
-    register_contracts(spark, [contract], names)
+    with contracts_lock(spark, names):
+        spark.catalog.refreshTable(names.contracts)
+        version = C.next_version(spark.table(names.contracts), dataset, layer)
+        contract = C.Contract(dataset, layer, version, tuple(fields), tuple(allowed_changes), owner,
+                              approved_at or C.event_clock())
+        register_contracts(spark, [contract], names)
     return contract
 
 
+class LockedError(RuntimeError):
+    """The lock file of the contracts table did not go away in time."""
+
+
+@contextmanager
+def contracts_lock(spark: SparkSession, names: TableNames = TableNames(), timeout: float = 300.0):
+    """Hold the lock file of the contracts table: made in one atomic step that
+    fails if it is there, removed at the end. An application that died while
+    it held the lock leaves the file, which the error names."""
+    where = spark.sql(f"DESCRIBE TABLE EXTENDED {names.contracts}").where("col_name = 'Location'").first()["data_type"]
+    path = f"{where.rstrip('/')}/_contracts.lock"
+    local = "/" + path[5:].lstrip("/") if path.startswith("file:") else None
+    jvm = spark._jvm
+    files = None if local else jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def make() -> bool:
+        if local:
+            try:
+                os.close(os.open(local, os.O_CREAT | os.O_EXCL))
+                return True
+            except FileExistsError:
+                return False
+        try:
+            files.create(jvm.org.apache.hadoop.fs.Path(path), False).close()
+            return True
+        except Exception:  # noqa: BLE001 - a store's own error for a file that is there
+            if files.exists(jvm.org.apache.hadoop.fs.Path(path)):
+                return False
+            raise
+
+    end = time.monotonic() + timeout
+    while not make():
+        if time.monotonic() > end:
+            raise LockedError(f"contracts are locked by {path}")
+        time.sleep(0.05)
+    try:
+        yield
+    finally:
+        if local:
+            os.remove(local)
+        else:
+            files.delete(jvm.org.apache.hadoop.fs.Path(path), False)
+
+
 def contract_versions(spark: SparkSession, dataset: str, layer: str, names: TableNames = TableNames()) -> list[int]:
     rows = C.contract_history(
         spark.table(names.contracts).where((F.col("dataset") == dataset) & (F.col("layer") == layer))
@@ -185,14 +308,19 @@ def contract_versions(spark: SparkSession, dataset: str, layer: str, names: Tabl
     return list(rows[0]["versions"]) if rows else []
 
 
-def ensure_table(spark: SparkSession, table: str, fields) -> list[str]:
+BUCKET = "batch_bucket"
+_BUCKETS_PROPERTY = "lakeward.buckets"
+
+
+def ensure_table(spark: SparkSession, table: str, fields, buckets: int = TableNames.layer_buckets) -> list[str]:
     """Create the layer table, or add the contract fields it lacks.
 
     Never drops, retypes or renames a column. Returns the added names.
     """
     if not table_exists(spark, table):
-        spark.createDataFrame([], ty.contract_struct(fields)).write.mode("overwrite") \
-            .partitionBy("batch_id").format("parquet").saveAsTable(table)
+        columns = ", ".join(f"{ty.quote(f.name)} {f.dataType.simpleString()}" for f in ty.contract_struct(fields).fields)
+        spark.sql(f"CREATE TABLE {table} ({columns}, {BUCKET} INT) USING PARQUET PARTITIONED BY ({BUCKET}) "
+                  f"TBLPROPERTIES ('{_BUCKETS_PROPERTY}' = '{int(buckets)}')")
         return []
     existing = {f.name: f.dataType.simpleString() for f in spark.table(table).schema.fields}
     lowered = {n.lower(): n for n in existing}
@@ -228,47 +356,77 @@ def session_conf(spark: SparkSession, conf: dict):
                 spark.conf.set(k, v)
 
 
-# Layer writes: the rebalance shuffle on batch_id keeps AQE's skew split (a
-# batch above the advisory size is cut into several tasks and files) but not
-# its partition coalescing, which for many small batches would leave one task
-# creating every batch's file in turn.
-_WRITE_CONF = {"spark.sql.adaptive.coalescePartitions.enabled": "false"}
+def buckets_of(spark: SparkSession, table: str) -> int:
+    """The number of buckets that the table was created with."""
+    value = spark.sql(f"SHOW TBLPROPERTIES {table} ('{_BUCKETS_PROPERTY}')").first()["value"]
+    if not re.fullmatch(r"[0-9]+", value):
+        raise ValueError(f"{table} is no layer table: it has no property {_BUCKETS_PROPERTY}")
+    return int(value)
+
+
+def with_bucket(frame: DataFrame, buckets: int) -> DataFrame:
+    return frame.withColumn(BUCKET, F.pmod(F.xxhash64("batch_id"), F.lit(buckets)).cast("int"))
 
 
-def _distributed(frame: DataFrame, rebalance: bool) -> DataFrame:
-    return frame.hint("rebalance", "batch_id") if rebalance else frame
+def _laid_out(frame: DataFrame, buckets: int, rebalance: bool) -> DataFrame:
+    """Rows with their bucket, clustered by batch. The rebalance shuffle makes
+    partitions of the advisory size: a bucket above it (a hot batch) is cut
+    into several tasks and files, small buckets share a task."""
+    frame = with_bucket(frame, buckets)
+    if rebalance:
+        frame = frame.hint("rebalance", BUCKET)
+    return frame.sortWithinPartitions(BUCKET, "batch_id")
 
 
 def append_batches(frame: DataFrame, table: str, rebalance: bool = True) -> None:
-    """Append by name, partitioned by batch_id.
+    """Append rows by name to a layer table.
 
-    ``rebalance`` adds one shuffle on batch_id so that input splits holding
-    many batches do not each write a file per batch. A source whose splits
-    each hold one batch (a file per batch, a silver partition) skips it: each
-    split writes its own file into its batch directory, and no data moves.
-    """
-    with session_conf(frame.sparkSession, _WRITE_CONF):
-        _distributed(frame, rebalance).write.mode("append").partitionBy("batch_id").format("parquet") \
-            .saveAsTable(table)
+    Without ``rebalance`` no row moves and every input split writes a file for
+    each bucket it holds: right for splits that hold one large batch each."""
+    spark = frame.sparkSession
+    _laid_out(frame, buckets_of(spark, table), rebalance).write.mode("append").partitionBy(BUCKET).format("parquet").saveAsTable(table)
 
 
-def replace_batches(frame: DataFrame, table: str, rebalance: bool = True) -> None:
-    """Replace only the batches present in ``frame`` (dynamic partition
-    overwrite by name); other batches stay."""
+def replace_batches(frame: DataFrame, table: str, rebalance: bool = True, batches: DataFrame | None = None) -> None:
+    """Replace exactly the rows of ``batches`` (by default the batch ids in
+    ``frame``) by those of ``frame``: the buckets that hold these batches are
+    rewritten with the other batches' rows as they are (dynamic partition
+    overwrite by name), no other bucket is touched. A batch without rows in
+    ``frame`` has none afterwards."""
     spark = frame.sparkSession
-    view = f"_lakeward_replace_{abs(hash(table))}"
-    _distributed(frame, rebalance).createOrReplaceTempView(view)
+    buckets = buckets_of(spark, table)
+    ids = (frame if batches is None else batches).select("batch_id").distinct()
+    touched = [r[0] for r in with_bucket(ids, buckets).select(BUCKET).distinct().collect()]  # at most ``buckets`` numbers
+    if not touched:
+        return
+    spark.catalog.refreshTable(table)
+    kept = spark.table(table).where(F.col(BUCKET).isin(touched)).join(ids, "batch_id", "left_anti").drop(BUCKET)
+    if batches is not None:
+        # a bucket that nothing is left for is not written, hence emptied here
+        left = with_bucket(frame.select("batch_id").unionByName(kept.select("batch_id")), buckets).select(BUCKET).distinct()
+        for bucket in set(touched) - {r[0] for r in left.collect()}:
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({BUCKET} = {int(bucket)})")
+    view = f"_lakeward_replace_{uuid.uuid4().hex}"
+    _laid_out(frame.unionByName(kept, allowMissingColumns=True), buckets, rebalance).createOrReplaceTempView(view)
     try:
-        with session_conf(spark, _WRITE_CONF | {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
-            spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION (batch_id) BY NAME SELECT * FROM {view}")
+        with _OVERWRITE, session_conf(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
+            spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({BUCKET}) BY NAME SELECT * FROM {view}")
     finally:
         spark.catalog.dropTempView(view)
 
 
+def rows_of_batches(spark: SparkSession, table: str, batches: DataFrame) -> DataFrame:
+    """The rows of ``batches`` in a layer table. The join has the bucket among
+    its keys, so the scan is pruned to the buckets of these batches."""
+    spark.catalog.refreshTable(table)
+    ids = with_bucket(batches.select("batch_id").distinct(), buckets_of(spark, table))
+    return spark.table(table).join(ids, [BUCKET, "batch_id"], "left_semi").drop(BUCKET)
+
+
 def reset_tables(spark: SparkSession, datasets, names: TableNames = TableNames()) -> list[str]:
     """Drop exactly the gate's own tables for ``datasets``."""
     dropped = []
-    for t in [names.contracts, names.audit, names.bronze] + [
+    for t in [names.contracts, names.audit, names.bronze, names.ledger] + [
         f(d) for d in datasets for f in (names.quarantine, names.silver, names.gold)
     ]:
         if table_exists(spark, t):
@@ -294,5 +452,5 @@ def layer_counts(spark: SparkSession, dataset: str, names: TableNames = TableNam
 
 def unreleased_columns(spark: SparkSession, table: str, fields) -> list[str]:
     """Columns of a layer table that its contract does not release."""
-    allowed = {f.name for f in fields} | {"batch_id"}
+    allowed = {f.name for f in fields} | {"batch_id", BUCKET}
     return [c for c in spark.table(table).columns if c not in allowed]

@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime
 
@@ -41,7 +42,8 @@ from lakeward.operators import tables as TB
 
 # rows_for(dataset, allowed) -> rows with batch_id. Optional attributes:
 # ``clustered_by_batch`` (each input split holds one batch, so the layer
-# write needs no shuffle) and ``holds(dataset)`` (batches it could not read).
+# write needs no shuffle), ``holds(dataset)`` (batches it could not read) and
+# ``takes_columns`` (it is given ``columns``, the names the contract needs).
 RowSource = Callable[[str, DataFrame], DataFrame]
 
 # How many offending batches an error's text lists; the error's attributes
@@ -126,6 +128,19 @@ class HeaderMismatchError(GateError, ValueError):
     what = "File header differs from the recorded schema; not promoted"
 
 
+class LeakError(GateError, A.MetadataLeakError):
+    """Batches whose event would hold a sensitive value, a banned text or a
+    banned pattern; ``found`` has event_id, batch_id, value, source."""
+
+    what = "Audit events would contain data values; batches held"
+
+    def __init__(self, found: DataFrame, total: int):
+        sources = [f"{r['batch_id']} ({r['source']})" for r in
+                   found.select("batch_id", "source").distinct().orderBy("batch_id", "source").limit(MESSAGE_SAMPLE).collect()]
+        super().__init__(found.select("batch_id").distinct(), total, sample=sources)
+        self.found = found
+
+
 class NoSilverRowsError(GateError, ValueError):
     what = "No Silver rows (the gate did not promote these batches)"
 
@@ -135,6 +150,7 @@ class UnreleasedColumnError(ValueError):
 
 
 HOLD_REASONS = ("cast_failure:", "required_null:", "header_collision", "header_mismatch")
+LEAK_REASON = "metadata_leak:"
 
 
 @dataclass
@@ -221,8 +237,10 @@ def gate_batches(
     on_replay: str = "append",
     sensitive: DataFrame | None = None,
     banned_patterns=(),
+    banned_texts=A.BANNED_TEXTS,
+    feeds_at_once: int = 4,
     event_time: datetime | None = None,
-    precheck_casts: bool = False,
+    isolation: str = "staged",
     enforce_required: bool = False,
     raise_errors: bool = True,
 ) -> GateResult:
@@ -237,6 +255,17 @@ def gate_batches(
     again); a batch that the run has held stays held; every other batch is
     landed, decided and appended. A batch listed twice counts once.
 
+    A batch whose event would hold a value of ``sensitive``, a match of
+    ``banned_patterns`` or one of ``banned_texts`` gets no event and is not
+    promoted; its quarantine row names it by a hash. The other batches go on.
+
+    Feeds are promoted ``feeds_at_once`` at a time. If one fails, the others
+    are finished first, then its error is raised.
+
+    ``isolation`` says how batches with failing values are kept out of silver
+    (see ``_write_silver``): by a staging table, which reads the source once
+    whatever fails, or optimistically.
+
     What is held after its decision (header collisions and mismatches, value
     checks) raises once everything else is written: the error itself if
     there is one, else a GateRunError; its ``result`` is the GateResult. With
@@ -244,6 +273,8 @@ def gate_batches(
     """
     if on_replay not in ("append", "replace"):
         raise ValueError("on_replay must be 'append' or 'replace'")
+    if isolation not in ("staged", "optimistic"):
+        raise ValueError("isolation must be 'staged' or 'optimistic'")
     run_id = run_id or str(uuid.uuid4())
     event_time = C.event_clock(event_time)
     TB.ensure_control_tables(spark, names)
@@ -255,8 +286,9 @@ def gate_batches(
         observed = observed.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         datasets = sorted(r["dataset"] for r in observed.select("dataset").distinct().collect())
+        leaks = {"sensitive": sensitive, "patterns": tuple(banned_patterns), "texts": tuple(banned_texts)}
         result = _gate(spark, observed, rows_for, datasets, names, run_id, promote_gold, fail_on_quarantine, on_replay,
-                       sensitive, banned_patterns, event_time, precheck_casts, enforce_required)
+                       leaks, event_time, isolation, enforce_required, feeds_at_once)
     finally:
         if owned:
             observed.unpersist()
@@ -270,8 +302,29 @@ def gate_batches(
 BATCH = ["dataset", "batch_id"]
 
 
-def _gate(spark, observed, rows_for, datasets, names, run_id, promote_gold, fail_on_quarantine, on_replay, sensitive,
-          banned_patterns, event_time, precheck_casts, enforce_required) -> GateResult:
+def _without_leaks(spark, events, leaks, names, run_id):
+    """The events that hold no value, and the error that tells the others,
+    whose batches get a quarantine row."""
+    A.assert_metadata_only(events)
+    found = A.leak_scan(events, **leaks).persist(StorageLevel.MEMORY_AND_DISK)
+    total = found.count()
+    if not total:
+        found.unpersist()
+        return events, []
+    ids = found.groupBy("event_id").agg(F.array_join(F.array_sort(F.collect_set("source")), ",").alias("sources"))
+    held = events.join(ids, "event_id")
+    # names and paths may be what leaks: the row has a hash of the batch id and no path
+    rows = held.select(F.concat(F.lit("sha256:"), F.sha2("batch_id", 256)).alias("batch_id"), F.lit(X.QUARANTINE).alias("decision"),
+                       *(F.lit(None).cast(t).alias(c) for c, t in (("added_fields", "array<string>"), ("missing_fields", "array<string>"),
+                                                                   ("changed_fields", TB._CHANGED), ("bronze_path", "string"))),
+                       "event_time", F.lit(run_id).alias("run_id"), F.concat(F.lit(LEAK_REASON), "sources").alias("reason"), "dataset")
+    for d in sorted(r[0] for r in held.select("dataset").distinct().collect()):
+        _append_holds(spark, names.quarantine(d), rows.where(F.col("dataset") == d).drop("dataset"), run_id, True)
+    return events.join(ids, "event_id", "left_anti"), [LeakError(found, total)]
+
+
+def _gate(spark, observed, rows_for, datasets, names, run_id, promote_gold, fail_on_quarantine, on_replay, leaks,
+          event_time, isolation, enforce_required, feeds_at_once) -> GateResult:
     contracts = spark.table(names.contracts)
     active, silver_rows = C.active_contracts_for(spark, contracts, "silver", datasets)
     gold_rows = {}
@@ -300,7 +353,7 @@ def _gate(spark, observed, rows_for, datasets, names, run_id, promote_gold, fail
     # ACTION 1: audit events of the batches that have none, before any data write.
     decisions = D.gate_decisions(undecided, active)
     events = A.audit_events(decisions, run_id=run_id, event_time=event_time)
-    A.assert_no_leaks(events, sensitive, banned_patterns)
+    events, errors = _without_leaks(spark, events, leaks, names, run_id)
     stamp = uuid.uuid4().hex
     events.select(*[c for c in A.EVENT_COLUMNS if c != "run_id"], F.lit(stamp).alias("call_id"), "run_id") \
         .write.mode("append").partitionBy("run_id").format("parquet").saveAsTable(names.audit)
@@ -322,10 +375,8 @@ def _gate(spark, observed, rows_for, datasets, names, run_id, promote_gold, fail
 
     # ACTION 3 and 4: promotion of the allowed batches: what this call
     # decided is appended, what an earlier call of the run recorded is replaced.
-    errors: list[GateError] = []
-    for d in datasets:
-        if not result.decisions.get((d, X.ALLOW), 0):
-            continue
+    def promote(d: str) -> list[GateError]:
+        found: list[GateError] = []
         allowed = recorded.where((F.col("dataset") == d) & (F.col("decision") == X.ALLOW))
         parts = [(allowed.where(F.col("call_id") == stamp), on_replay)]
         if known.get(d):
@@ -337,8 +388,17 @@ def _gate(spark, observed, rows_for, datasets, names, run_id, promote_gold, fail
         for part, mode in parts:
             n = part.count()
             if n:
-                _promote(spark, rows_for, d, part, n, mode, names, run_id, silver_rows[d], gold_rows.get(d), result, errors,
-                         precheck_casts, enforce_required)
+                _promote(spark, rows_for, d, part, n, mode, names, run_id, stamp, silver_rows[d], gold_rows.get(d), result, found,
+                         isolation, enforce_required)
+        return found
+
+    admitted = [d for d in datasets if result.decisions.get((d, X.ALLOW), 0)]
+    with ThreadPoolExecutor(max_workers=max(1, min(feeds_at_once, len(admitted) or 1))) as pool:
+        feeds = [pool.submit(promote, d) for d in admitted]
+    failed = [e for e in (f.exception() for f in feeds) if e is not None]
+    if failed:
+        raise failed[0]
+    errors = errors + [e for f in feeds for e in f.result()]
 
     if fail_on_quarantine and result.count(X.QUARANTINE):
         held = recorded.where(F.col("decision") == X.QUARANTINE)
@@ -359,8 +419,8 @@ def _hold(spark, table: str, batches: DataFrame, reason, run_id: str) -> None:
         "bronze_path", "event_time", "run_id", reason.alias("reason")), run_id, True)
 
 
-def _promote(spark, rows_for, d, allowed, n_allowed, mode, names, run_id, silver_row, gold_row, result, errors,
-             precheck_casts, enforce_required) -> None:
+def _promote(spark, rows_for, d, allowed, n_allowed, mode, names, run_id, stamp, silver_row, gold_row, result, errors,
+             isolation, enforce_required) -> None:
     """Hold what cannot be promoted, write the rest to silver and, if asked for, gold."""
     clash = collisions(allowed)
     n_clash = clash.count()
@@ -373,8 +433,9 @@ def _promote(spark, rows_for, d, allowed, n_allowed, mode, names, run_id, silver
             return
     fields = tuple(C.FieldContract(f["name"], f["data_type"], f["required"]) for f in silver_row["approved_schema"])
     table = names.silver(d)
-    TB.ensure_table(spark, table, fields)
-    rows = rows_for(d, allowed.select("batch_id", "bronze_path", "observed_schema"))
+    TB.ensure_table(spark, table, fields, names.layer_buckets)
+    wanted = {"columns": [f.name for f in fields]} if getattr(rows_for, "takes_columns", False) else {}
+    rows = rows_for(d, allowed.select("batch_id", "bronze_path", "observed_schema"), **wanted)
     feed_holds = rows_for.holds(d) if hasattr(rows_for, "holds") else None
     if feed_holds is not None and not feed_holds.isEmpty():
         # the source could not read these batches as recorded: hold them
@@ -386,72 +447,87 @@ def _promote(spark, rows_for, d, allowed, n_allowed, mode, names, run_id, silver
         n_allowed -= n_held
         if not n_allowed:
             return
-    written, n_written, err = _write_silver(spark, rows, allowed, n_allowed, fields, table, mode, precheck_casts,
-                                            names.quarantine(d), enforce_required,
-                                            not getattr(rows_for, "clustered_by_batch", False), d, run_id)
+    clustered = getattr(rows_for, "clustered_by_batch", False)
+    written, n_written, err = _write_silver(spark, rows, allowed, n_allowed, fields, names, d, mode, isolation, enforce_required, not clustered, run_id)
     errors.extend(err)
     result.silver_batches[d] = result.silver_batches.get(d, 0) + n_written
-    if gold_row is not None and n_written:
+    if not n_written:
+        return
+    moves = written.select("batch_id", F.lit(silver_row["contract_version"]).alias("contract_version"), F.lit(run_id).alias("run_id"),
+                           F.lit(stamp).alias("stamp"), F.lit(None).cast("string").alias("source_stamp"), F.lit(mode).alias("mode"),
+                           F.lit(d).alias("dataset"), F.lit("silver").alias("layer"))
+    TB.record(spark, moves, names, TB.DONE)
+    if gold_row is not None:
         released = release_gold(spark, d, written, names=names, on_replay=mode, n_batches=n_written, active=gold_row,
-                                require_rows=False)
+                                require_rows=False, run_id=run_id)
         result.gold_batches[d] = result.gold_batches.get(d, 0) + released
 
 
-def _write_silver(spark, rows, allowed, n_allowed, fields, table, on_replay, precheck, quarantine_table,
-                  enforce_required, rebalance, dataset, run_id):
-    """Project + cast + write; returns (written batch ids, count, errors).
+def _write_silver(spark, rows, allowed, n_allowed, fields, names, dataset, mode, isolation, enforce_required, rebalance, run_id):
+    """Project, cast and write; returns (written batch ids, count, errors).
 
-    Value checks are optimistic: a value that does not cast (or a NULL in a
-    required field, with ``enforce_required``) aborts the write job, which
-    then commits nothing. Only then are the failing batches found (one
-    aggregation with partial counts per check), held with a quarantine row
-    (reason ``cast_failure:<columns>`` / ``required_null:<columns>``), and
-    the other batches written. The held set is read back from that table,
-    so it is not recomputed.
+    ``staged``: the source is read once. Its projected rows go to a staging
+    table together with the names of the columns that fail a check (a value
+    that does not cast, or with ``enforce_required`` a NULL in a required
+    field); failures are counted from that table, batches that have any are
+    held, and the rows of the other batches move on to the layer.
+
+    ``optimistic``: rows are written to the layer at once. A failing value
+    aborts the write job, which then commits nothing, and only then are the
+    rows staged: one write if all values pass, a second read if not.
     """
     keys = allowed.select("batch_id")
-    writer = TB.replace_batches if on_replay == "replace" else TB.append_batches
-
-    def write(frame, table):
-        writer(frame, table, rebalance=rebalance)
+    table = names.silver(dataset)
 
-    def project(frame):
-        return P.project_to_contract(frame, fields, enforce_required=enforce_required)
+    def write(frame, batches, rebalance):
+        if mode == TB.REPLACE:
+            TB.replace_batches(frame, table, rebalance=rebalance, batches=batches)
+        else:
+            TB.append_batches(frame, table, rebalance=rebalance)
 
-    if not precheck:
+    if isolation == "optimistic":
         try:
-            write(project(P.admitted(rows, keys, n_allowed)), table)
+            write(P.project_to_contract(P.admitted(rows, keys), fields, enforce_required=enforce_required), keys, rebalance)
             return keys, n_allowed, []
         except Exception as exc:  # noqa: BLE001 - narrowed by the error class below
             if not _is_value_error(exc):
                 raise
-    admitted = P.admitted(rows, keys, n_allowed)
-    failures = P.cast_failures(admitted, fields).withColumn("kind", F.lit("cast_failure"))
-    if enforce_required:
-        failures = failures.unionByName(P.required_nulls(admitted, fields).withColumn("kind", F.lit("required_null")))
+    staged = names.q(f"staged_{dataset}_{uuid.uuid4().hex[:12]}")
+    checked = P.checked_projection(P.admitted(rows, keys), fields, enforce_required=enforce_required)
+    checked.write.format("parquet").saveAsTable(staged)
+    try:
+        return _from_staging(spark, spark.table(staged), allowed, n_allowed, names, dataset, write, run_id)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {staged}")
+
+
+def _from_staging(spark, staged, allowed, n_allowed, names, dataset, write, run_id):
+    keys = allowed.select("batch_id")
+    failures = P.staged_failures(staged)
     per_kind = failures.groupBy("batch_id", "kind").agg(
         F.concat("kind", F.lit(":"), F.array_join(F.array_sort(F.collect_list("column_name")), ",")).alias("r"))
     per_batch = per_kind.groupBy("batch_id").agg(F.array_join(F.array_sort(F.collect_list("r")), ";").alias("reason"))
-    _hold(spark, quarantine_table, allowed.join(per_batch, "batch_id"), F.col("reason"), run_id)
-    held = _read_back(spark, quarantine_table).where(
-        (F.col("run_id") == run_id)
-        & (F.col("reason").startswith("cast_failure:") | F.col("reason").startswith("required_null:"))
-    ).select("batch_id").join(keys, "batch_id", "left_semi")
-    n_held = held.count()
-    if n_held == 0:
-        write(project(admitted), table)
+    rows = staged.drop(P.FAILED)
+    if failures.isEmpty():
+        write(rows, keys, True)
         return keys, n_allowed, []
+    # the failures outlive the staging table: they are what the errors tell
+    kept = names.q(f"failed_values_{dataset}_{uuid.uuid4().hex[:12]}")
+    failures.write.format("parquet").saveAsTable(kept)
+    failures = spark.table(kept)
+    _hold(spark, names.quarantine(dataset), allowed.join(per_batch, "batch_id"), F.col("reason"), run_id)
+    held = failures.select("batch_id").distinct()
+    n_held = held.count()
     good = keys.join(held, "batch_id", "left_anti")
-    n_good = n_allowed - n_held
-    if n_good:
-        write(project(P.admitted(rows, good, n_good)), table)
+    if n_allowed > n_held:
+        write(rows.join(held, "batch_id", "left_anti"), good, True)
     found = []
     for kind, error in (("cast_failure", CastFailureError), ("required_null", RequiredNullError)):
         part = failures.where(F.col("kind") == kind)
         n_batches = part.select("batch_id").distinct().count()
         if n_batches:
             found.append(error(part, n_batches, dataset))
-    return good, n_good, found
+    return good, n_allowed - n_held, found
 
 
 def release_gold(
@@ -464,13 +540,20 @@ def release_gold(
     n_batches: int | None = None,
     active: dict | None = None,
     require_rows: bool = True,
+    run_id: str | None = None,
 ) -> int:
     """Project promoted silver batches onto the active gold contract.
 
     ``batch_ids`` is a list or a DataFrame with ``batch_id``. Requested
     batches without silver rows stop the release before it writes. The
-    silver scan is pruned to the requested partitions (dynamic partition
-    pruning through the broadcast semi-join).
+    silver scan is pruned to the requested batches' buckets.
+
+    The ledger decides what is written, so a release may be called again at
+    any time, also after one that failed half way: a batch whose last silver
+    write is already released under this contract version is left alone; one
+    that was written to silver anew, or whose release did not end, is
+    replaced; the others are appended. Gold then holds what silver holds.
+    Returns the number of requested batches, all of which are in gold then.
     """
     if active is None:
         _, rows = C.active_contracts_for(spark, spark.table(names.contracts), "gold", [dataset])
@@ -485,37 +568,58 @@ def release_gold(
     silver_table = names.silver(dataset)
     if not TB.table_exists(spark, silver_table):
         raise NoSilverRowsError(requested, n_batches, dataset)
-    silver = _read_back(spark, silver_table)
-    picked = P.admitted(silver, requested, n_batches)
     if require_rows:
-        blocked = requested.join(picked.select("batch_id").distinct(), "batch_id", "left_anti")
+        present = TB.rows_of_batches(spark, silver_table, requested).select("batch_id").distinct()
+        blocked = requested.join(present, "batch_id", "left_anti")
         n_blocked = blocked.count()
         if n_blocked:
             raise NoSilverRowsError(blocked, n_blocked, dataset)
     table = names.gold(dataset)
-    TB.ensure_table(spark, table, fields)
-    frame = P.project_to_contract(picked, fields, cast=False)
-    # silver is partitioned by batch_id, so every split holds one batch: no
-    # shuffle is needed to keep one file per batch and split
-    (TB.replace_batches if on_replay == "replace" else TB.append_batches)(frame, table, rebalance=False)
-    extra = TB.unreleased_columns(spark, table, fields)
-    if extra:
-        raise UnreleasedColumnError(f"Unreleased column reached Gold: {extra}")
+    if TB.table_exists(spark, table):
+        extra = TB.unreleased_columns(spark, table, fields)
+        if extra:
+            raise UnreleasedColumnError(f"Unreleased column in Gold: {extra}; nothing was written")
+    TB.ensure_control_tables(spark, names)
+    TB.ensure_table(spark, table, fields, names.layer_buckets)
+
+    # what is to do is written down before any row is: the ledger's rows of
+    # this stamp are read back from here on
+    stamp = uuid.uuid4().hex
+    version = active["contract_version"]
+    todo = TB.releasable(spark, requested, names, dataset, version, on_replay).where(F.col("mode") != TB.SKIP)
+    TB.record(spark, todo.select("batch_id", F.lit(version).alias("contract_version"), F.lit(run_id).alias("run_id"), F.lit(stamp).alias("stamp"),
+                                 "source_stamp", "mode", F.lit(dataset).alias("dataset"), F.lit("gold").alias("layer")), names, TB.STARTED)
+    started = TB.ledger_of(spark, names, dataset, "gold").where(F.col("stamp") == stamp)
+    modes = {r["mode"] for r in started.select("mode").distinct().collect()}
+    for mode, write in ((TB.APPEND, TB.append_batches), (TB.REPLACE, TB.replace_batches)):
+        if mode not in modes:
+            continue
+        part = started.where((F.col("mode") == mode) & (F.col("state") == TB.STARTED))
+        frame = P.project_to_contract(TB.rows_of_batches(spark, silver_table, part), fields, cast=False)
+        if mode == TB.REPLACE:
+            write(frame, table, batches=part)
+        else:
+            write(frame, table)
+        TB.record(spark, part, names, TB.DONE)
     return n_batches
 
 
 def run_gated_release(spark: SparkSession, observed: DataFrame, rows_for: RowSource, **kw) -> GateResult:
     """Gate with fail-on-quarantine, then release gold only if the gate
-    succeeded (a held batch stops the gold step for the whole run)."""
+    succeeded (a held batch stops the gold step for the whole run).
+
+    What is released are the batches that this run has written to silver, in
+    this call or an earlier one; the ledger keeps a repeated call from
+    releasing anything twice."""
     kw.pop("promote_gold", None)
     kw.pop("fail_on_quarantine", None)
     names = kw.get("names", TB.TableNames())
     result = gate_batches(spark, observed, rows_for, promote_gold=False, fail_on_quarantine=True, **kw)
-    recorded = spark.table(names.audit).where(
-        (F.col("run_id") == result.run_id) & (F.col("decision") == X.ALLOW))
-    for d, n in result.silver_batches.items():
+    for d in sorted({d for d, _ in result.decisions}):
+        wrote = TB.ledger_of(spark, names, d, "silver").where((F.col("run_id") == result.run_id) & (F.col("state") == TB.DONE))
+        batches = wrote.select("batch_id").distinct()
+        n = batches.count()
         if n:
-            result.gold_batches[d] = release_gold(
-                spark, d, recorded.where(F.col("dataset") == d).select("batch_id"), names=names,
-                on_replay=kw.get("on_replay", "append"), n_batches=n)
+            result.gold_batches[d] = release_gold(spark, d, batches, names=names, on_replay=kw.get("on_replay", "append"),
+                                                  n_batches=n, require_rows=False, run_id=result.run_id)
     return result
