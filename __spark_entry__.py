@@ -29,12 +29,20 @@ def entry(spark: SparkSession) -> DataFrame:
     return R.silver_rows(spark, SF_SMOKE)
 
 
+def _absent(error: ImportError, *modules: str) -> None:
+    """Go on where one of the optional ``modules`` is not installed; an import
+    that fails inside one that is must be seen."""
+    if error.name not in modules:
+        raise error
+
+
 def _llm() -> tuple[dict, dict]:
     """Queries and SQL of the optional training-data operators; none where
     their subpackage is not installed."""
     try:
         from lakeward.llm.queries import ORACLE_SQL, QUERIES
-    except ImportError:
+    except ImportError as e:
+        _absent(e, "lakeward.llm", "lakeward.llm.queries")
         return {}, {}
     return dict(QUERIES), dict(ORACLE_SQL)
 
@@ -43,7 +51,8 @@ def _pipeline() -> tuple[dict, dict]:
     """The corpus pipeline, where it is installed."""
     try:
         import corpus_pipeline
-    except ImportError:
+    except ImportError as e:
+        _absent(e, "corpus_pipeline", "lakeward.llm")
         return {}, {}
     sql = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
     return {"pipeline": corpus_pipeline.run}, sql
@@ -369,6 +378,34 @@ SELECT batch_id, CASE WHEN k IN (0, 3, 4) THEN 'allow' ELSE 'quarantine' END AS
   CASE WHEN k = 3 THEN 'cast_failure:o_totalprice' ELSE '' END AS hold, header,
   CASE WHEN k IN (0, 4) THEN n ELSE 0 END AS silver_rows, CAST(total AS DECIMAL(38,2)) AS silver_sum
 FROM sums JOIN names USING (batch_id)""",
+        "gated_release_twice": _with(_FEED) + """
+,rows_of AS (SELECT batch_id, any_value(k) AS k, count(*) AS n,
+  CAST(sum(CASE WHEN k IN (0, 4) THEN CAST(o_totalprice AS DECIMAL(18,2)) END) AS DECIMAL(38,2)) AS total FROM feed_rows GROUP BY batch_id)
+SELECT batch_id, CASE WHEN k = 1 THEN 'quarantine' ELSE 'allow' END AS decision, k = 1 AS refused,
+  CASE WHEN k = 1 THEN 0 ELSE n END AS silver_rows, CASE WHEN k = 1 THEN 0 ELSE n END AS gold_rows, total AS silver_sum, total AS gold_sum
+FROM rows_of WHERE k IN (0, 1, 4)""",
+        "header_last_wins": _with(_FEED) + """
+SELECT batch_id,
+  CASE WHEN k = 0 THEN 'allow' ELSE 'quarantine' END AS decision,
+  CASE WHEN k = 3 THEN 'o_totalprice:decimal->string' ELSE '' END AS changed,
+  CASE WHEN k = 0 THEN 'header_collision' ELSE '' END AS hold,
+  CASE WHEN k = 0 THEN 0 ELSE 0 END AS silver_rows
+FROM batches WHERE k IN (0, 3)""",
+        "sidecar_gate_run": _with(_FEED) + """
+,sums AS (SELECT batch_id, any_value(k) AS k, count(*) AS n,
+  CAST(sum(CASE WHEN k IN (0, 4) THEN CAST(o_totalprice AS DECIMAL(18,2)) END) AS DECIMAL(38,2)) AS total FROM feed_rows GROUP BY batch_id)
+SELECT batch_id, CASE WHEN k IN (0, 4, 5) THEN 'allow' ELSE 'quarantine' END AS decision,
+  CASE WHEN k = 5 THEN 'header_mismatch' ELSE '' END AS hold,
+  CASE WHEN k IN (0, 4) THEN n ELSE 0 END AS silver_rows, total AS silver_sum
+FROM sums""",
+        "control_guards": """
+WITH n AS (SELECT count(*) AS n FROM orders)
+SELECT 'events_with_a_payload' AS guard, 'refused' AS outcome, n AS "rows" FROM n
+UNION ALL SELECT 'gold_with_an_unreleased_column', 'refused', 0 FROM n
+UNION ALL SELECT 'gold_once_it_has_none', 'released', n FROM n
+UNION ALL SELECT 'run_with_held_batches', 'raised', n FROM n
+UNION ALL SELECT 'tables_after_reset', 'none', 0 FROM n
+UNION ALL SELECT 'silver_after_reset_and_rerun', 'released', n FROM n""",
         "layer_counts": _with(_FEED, d1, d2, _SILVER) + """
 SELECT 'silver' AS layer, 'before_approval' AS stage, count(*) AS "rows" FROM s1
 UNION ALL SELECT 'gold', 'before_approval', count(*) FROM s1

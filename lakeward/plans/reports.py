@@ -453,6 +453,130 @@ def csv_gate_run(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(header, "batch_id").join(silver, "batch_id", "left").fillna(0, ["silver_rows"])
 
 
+def gated_release_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gate-then-release call, repeated: the batches of classes 0 and 4 of
+    the odd days, the same again, then those of all days, under one run; at
+    last class 1 under another run, which is held, so that call raises and
+    releases nothing. Per batch what silver and gold hold at the end."""
+    names = TB.TableNames(database=_check_database(spark))
+    TB.register_contracts(spark, [OF.silver_v1(), OF.gold_v1()], names)
+    orders = _orders(spark, sf_dir)
+    observed = OF.observed(orders)
+    k = OF.drift_class(F.to_date("batch_id"))
+    clean = observed.where(k.isin(0, 4))
+    odd = clean.where(F.pmod(F.dayofmonth(F.to_date("batch_id")), F.lit(2)) == 1)
+    for part in (odd, odd, clean):
+        G.run_gated_release(spark, part, _rows_of(orders), names=names, run_id="daily", event_time=EVENT_TIME)
+    refused = None
+    try:
+        G.run_gated_release(spark, observed.where(k == 1), _rows_of(orders), names=names, run_id="late", event_time=EVENT_TIME)
+    except G.QuarantinedError as held:
+        refused = held.held.select("batch_id", F.lit(True).alias("refused"))
+    events = spark.table(names.audit).select("batch_id", "decision").distinct()
+    if refused is None:
+        refused = events.limit(0).select("batch_id", F.lit(True).alias("refused"))
+
+    def held_by(layer):
+        return spark.table(names.layer(layer, OF.DATASET)).groupBy("batch_id").agg(
+            F.count("*").alias(f"{layer}_rows"), F.sum("o_totalprice").cast("decimal(38,2)").alias(f"{layer}_sum"))
+    return events.join(refused, "batch_id", "left").join(held_by("silver"), "batch_id", "left").join(held_by("gold"), "batch_id", "left") \
+        .fillna(0, ["silver_rows", "gold_rows"]).fillna(False, ["refused"])
+
+
+def header_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches of classes 0 and 3 whose header names the price twice: class 0
+    as a string and then as a decimal, class 3 the other way round. The last
+    one decides; a batch that passes so is held at promotion, for its names
+    collide."""
+    names = TB.TableNames(database=_check_database(spark))
+    TB.register_contracts(spark, [OF.silver_v1()], names)
+    orders = _orders(spark, sf_dir)
+    observed = OF.observed(orders)
+    k = OF.drift_class(F.to_date("batch_id"))
+    price = lambda kind: F.struct(F.lit("o_totalprice").alias("name"), F.lit(kind).alias("data_type"))
+    others = F.filter("observed_schema", lambda x: x["name"] != "o_totalprice")
+    twice = F.when(k == 0, F.concat(F.array(price("string")), others, F.array(price("decimal")))) \
+        .otherwise(F.concat(F.array(price("decimal")), others, F.array(price("string"))))
+    observed = observed.where(k.isin(0, 3)).withColumn("observed_schema", twice)
+    result = G.gate_batches(spark, observed, _rows_of(orders), names=names, run_id="twice", event_time=EVENT_TIME, raise_errors=False)
+    changed = spark.table(names.audit).select("batch_id", X.changed_text(F.col("changed_fields")).alias("changed"))
+    silver = spark.table(names.silver(OF.DATASET)).groupBy("batch_id").agg(F.count("*").alias("silver_rows")) \
+        if TB.table_exists(spark, names.silver(OF.DATASET)) else changed.limit(0).select("batch_id", F.lit(0).cast("long").alias("silver_rows"))
+    return result.outcomes(spark).select("batch_id", "decision", F.coalesce("hold", F.lit("")).alias("hold")).join(changed, "batch_id") \
+        .join(silver, "batch_id", "left").fillna(0, ["silver_rows"])
+
+
+def sidecar_gate_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gate over files whose schemas are declared by JSON sidecars, as
+    they land in a folder per batch. The sidecars tell each class's header
+    and types, in contract order for class 4 (whose files have the columns
+    the other way round); those of class 5 declare the v1 fields, which their
+    files do not have, so these batches pass the decision and are held."""
+    names = TB.TableNames(database=_check_database(spark))
+    TB.register_contracts(spark, [OF.silver_v1()], names)
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/landed-{uuid.uuid4().hex[:12]}"
+    orders = _orders(spark, sf_dir)
+    landed = OF.land_csv(orders, f"{base}/files")
+    v1 = F.array(*[F.struct(F.lit(f.name).alias("name"), F.lit(f.data_type).alias("data_type")) for f in OF.V1_FIELDS])
+    k = OF.drift_class(F.to_date("batch_id"))
+    declared = OF.observed(orders).select("batch_id", F.to_json(F.when(k.isin(4, 5), v1).otherwise(F.col("observed_schema"))).alias("value"))
+    declared.repartition("batch_id").write.partitionBy("batch_id").text(f"{base}/sidecars")
+    sidecars = CB.observe_sidecars(spark, f"{base}/sidecars", OF.DATASET, suffix=".txt")
+    observed = CB.pair_with_files(sidecars, CB.list_files(spark, landed))
+    result = G.gate_batches(spark, observed, CB.CsvFeed(spark), names=names, run_id="sidecars", event_time=EVENT_TIME, raise_errors=False)
+    silver = spark.table(names.silver(OF.DATASET)).groupBy("batch_id").agg(
+        F.count("*").alias("silver_rows"), F.sum("o_totalprice").cast("decimal(38,2)").alias("silver_sum"))
+    return result.outcomes(spark).select("batch_id", "decision", F.coalesce("hold", F.lit("")).alias("hold")) \
+        .join(silver, "batch_id", "left").fillna(0, ["silver_rows"])
+
+
+def control_guards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the gate's guards do, over the orders as one batch a year (all
+    rows pass): events that would carry a payload column; a gold table with a
+    column that its contract does not release, before and after the column
+    is gone; a run that fails on held batches; the tables after a reset, and
+    the same run again. Each with the rows that were concerned."""
+    names = TB.TableNames(database=_check_database(spark))
+    contracts = [OF.silver_v1(), OF.gold_v1()]
+    orders = _orders(spark, sf_dir)
+    v1 = F.array(*[F.struct(F.lit(f.name).alias("name"), F.lit(f.data_type).alias("data_type")) for f in OF.V1_FIELDS])
+    rows = orders.select(*(F.col(f.name).cast("string") if f.data_type != "date" else F.date_format(f.name, "yyyy-MM-dd").alias(f.name) for f in OF.V1_FIELDS),
+                         F.date_format("o_orderdate", "yyyy").alias("batch_id"))
+    observed = rows.select("batch_id").distinct().select(
+        F.lit(OF.DATASET).alias("dataset"), "batch_id", F.concat(F.lit("incoming/"), "batch_id").alias("bronze_path"), v1.alias("observed_schema"))
+    source = lambda dataset, allowed: rows
+    n, told = rows.count(), []
+
+    TB.register_contracts(spark, contracts, names)
+    G.gate_batches(spark, observed, source, names=names, run_id="guards", event_time=EVENT_TIME)
+    try:
+        A.assert_metadata_only(spark.table(names.audit).withColumn("payload", F.lit("x")))
+    except A.MetadataLeakError:
+        told.append(("events_with_a_payload", "refused", n))
+    gold = names.gold(OF.DATASET)
+    TB.ensure_table(spark, gold, (*OF.V1_FIELDS, OF.PRIORITY))
+    years = observed.select("batch_id")
+    try:
+        G.release_gold(spark, OF.DATASET, years, names=names)
+    except G.UnreleasedColumnError:
+        told.append(("gold_with_an_unreleased_column", "refused", spark.table(gold).count()))
+    spark.sql(f"DROP TABLE {gold}")
+    G.release_gold(spark, OF.DATASET, years, names=names)
+    told.append(("gold_once_it_has_none", "released", spark.table(gold).count()))
+    drifted = observed.withColumn("observed_schema", F.slice("observed_schema", 1, 4))
+    try:
+        G.gate_batches(spark, drifted, source, names=names, run_id="held", fail_on_quarantine=True, event_time=EVENT_TIME)
+    except G.QuarantinedError as held:
+        told.append(("run_with_held_batches", "raised", rows.join(held.held, "batch_id", "left_semi").count()))
+    TB.reset_tables(spark, [OF.DATASET], names)
+    left = spark.catalog.listTables(names.database)
+    told.append(("tables_after_reset", "some" if left else "none", len(left)))
+    TB.register_contracts(spark, contracts, names)
+    G.gate_batches(spark, observed, source, names=names, run_id="guards", promote_gold=True, event_time=EVENT_TIME)
+    told.append(("silver_after_reset_and_rerun", "released", spark.table(names.silver(OF.DATASET)).count()))
+    return spark.createDataFrame(told, "guard string, outcome string, rows bigint")
+
+
 REPORTS = {
     "contract_latest": contract_latest,
     "contract_history": contract_history,
@@ -478,4 +602,8 @@ REPORTS = {
     "resume_adds_new_batches": resume_adds_new_batches,
     "value_holds": value_holds,
     "csv_gate_run": csv_gate_run,
+    "gated_release_twice": gated_release_twice,
+    "header_last_wins": header_last_wins,
+    "sidecar_gate_run": sidecar_gate_run,
+    "control_guards": control_guards,
 }

@@ -244,13 +244,14 @@ class CsvFeed:
 
 def observe_sidecars(spark: SparkSession, paths, dataset: str, suffix: str = ".schema.json") -> DataFrame:
     """Observed schemas declared by JSON sidecars ``<batch>.schema.json``
-    (an array of ``{"name", "data_type"}``), read whole, one row per file."""
+    (an array of ``{"name", "data_type"}``), read whole, one row per file. A
+    sidecar in a ``batch_id=`` folder belongs to that batch. ``bronze_path``
+    is the CSV file beside it (see ``pair_with_files`` for other places)."""
     if isinstance(paths, str):
         paths = [paths]
-    raw = spark.read.option("pathGlobFilter", f"*{suffix}").text(list(paths), wholetext=True)
+    raw = spark.read.option("pathGlobFilter", f"*{suffix}").option("recursiveFileLookup", True).text(list(paths), wholetext=True)
     path = F.col("_metadata.file_path")
-    name = F.element_at(F.split(path, "/"), -1)
-    bid = F.regexp_replace(name, F.lit(re.escape(suffix) + "$"), F.lit(""))
+    bid = batch_id_of(path, suffix)
     csv_path = F.regexp_replace(path, F.lit(re.escape(suffix) + "$"), F.lit(".csv"))
     return raw.select(
         F.lit(dataset).alias("dataset"),
@@ -260,3 +261,9 @@ def observe_sidecars(spark: SparkSession, paths, dataset: str, suffix: str = ".s
     ).select("dataset", "batch_id", "bronze_path",
              F.transform("observed_schema", lambda x: x["name"]).alias("header"), "observed_schema")
 
+
+def pair_with_files(sidecars: DataFrame, files: DataFrame) -> DataFrame:
+    """Sidecar observations with the path of their batch's data file, which
+    may lie anywhere; a batch without a file is left out (it has not come)."""
+    data = files.select(batch_id_of(F.col("path")).alias("batch_id"), F.col("path").alias("bronze_path"))
+    return sidecars.drop("bronze_path").join(data, "batch_id").select("dataset", "batch_id", "bronze_path", "header", "observed_schema")
