@@ -44,15 +44,20 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakeward.llm import textvec
 from lakeward.llm.common import table, take
 from lakeward.llm.packing import byte_alphabet, tokenizer_path
 
 VOCABULARY = "byte_bpe_50k.json"
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 32 << 20
 BLOCK_ROWS = 1 << 17
 PART_CHARS = 1 << 19
+#: Rows of the word join that a task bundles at once.
+BUNDLE_ROWS = 1 << 20
+#: A place is a partition, a block in it and a word number in that.
+BLOCK_BITS, NUMBER_BITS = 10, 32
 
 _SPACE, _LETTER, _NUMBER, _OTHER = 0, 1, 2, 3
 
@@ -143,8 +148,8 @@ class Splitter:
             starts = self._starts(cp, fence)
             for i, j in ends:
                 starts = starts[(starts <= i) | (starts >= j)]
-            found.append(at[starts] + lo)
-        return np.concatenate(found) if found else np.zeros(0, np.int64)
+            found.append((at[starts] + lo).astype(np.int32 if len(data) < 1 << 31 else np.int64))
+        return np.concatenate(found) if found else np.zeros(0, np.int32)
 
     def _parts(self, data: np.ndarray, offsets: np.ndarray):
         """Spans of about PART_CHARS bytes that end with a text, or where an
@@ -189,7 +194,7 @@ def numbered(words: pa.Array) -> tuple[np.ndarray, pa.Array]:
     if isinstance(coded, pa.ChunkedArray):
         coded = coded.combine_chunks()
     at = coded.indices.to_numpy(zero_copy_only=False)
-    order = np.argsort(-np.bincount(at, minlength=len(coded.dictionary)), kind="stable")
+    order = np.argsort(-np.bincount(at, minlength=len(coded.dictionary)), kind="stable").astype(np.int32)
     rank = np.empty(len(order), np.uint32)
     rank[order] = np.arange(len(order), dtype=np.uint32)
     return rank[at], coded.dictionary.take(pa.array(order))
@@ -200,7 +205,7 @@ class Blocks:
 
     def __init__(self, limit: int = BLOCK_BYTES):
         self.limit = limit
-        self.next = TaskContext.get().partitionId() << 32
+        self.next = TaskContext.get().partitionId() << BLOCK_BITS
         self.held, self.size = [], 0
 
     def add(self, batch: pa.RecordBatch):
@@ -223,8 +228,10 @@ class Blocks:
             ids = pa.concat_arrays([d for d, _ in self.held])
             texts = pa.concat_arrays([t.cast(pa.large_string()) for _, t in self.held])
             self.held, self.size = [], 0
-            self.next += 1
             yield self.next, ids, texts
+            self.next += 1
+            if not self.next % (1 << BLOCK_BITS):
+                raise RuntimeError(f"more than {1 << BLOCK_BITS} blocks in a partition; use more partitions or larger blocks")
 
 
 def _blocks(batches, limit):
@@ -235,11 +242,12 @@ def _blocks(batches, limit):
 
 
 def _words(splitter, texts):
-    """The text offsets, the words of a block in order and where each starts."""
+    """The bytes and text offsets of a block, its words in order and where each starts."""
     data, offsets = textvec.utf8(texts)
     starts = splitter.word_starts(data, offsets)
-    ends = np.append(starts, len(data)).astype(np.int64)
-    return data, offsets, starts, pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(ends), pa.py_buffer(data))
+    kind = pa.StringArray if starts.dtype == np.int32 else pa.LargeStringArray
+    ends = np.append(starts, np.array(len(data), starts.dtype))
+    return data, offsets, starts, kind.from_buffers(len(starts), pa.py_buffer(ends), pa.py_buffer(data))
 
 
 def _word_rows(sent, limit):
@@ -249,8 +257,7 @@ def _word_rows(sent, limit):
             _, distinct = numbered(_words(splitter, texts)[3])
             for lo in range(0, len(distinct), 1 << 16):
                 some = distinct.slice(lo, 1 << 16).cast(pa.string())
-                yield pa.RecordBatch.from_arrays(
-                    [some, pa.array(np.full(len(some), block)), pa.array(np.arange(lo, lo + len(some), dtype=np.int32))], ["word", "block", "number"])
+                yield pa.RecordBatch.from_arrays([some, pa.array((block << NUMBER_BITS) + np.arange(lo, lo + len(some)))], ["word", "place"])
     return run
 
 
@@ -259,15 +266,27 @@ def _body_rows(sent, limit):
         splitter = Splitter(*sent.value)
         for block, ids, texts in _blocks(batches, limit):
             data, offsets, starts, words = _words(splitter, texts)
+            ends = np.searchsorted(starts, offsets.astype(starts.dtype))
+            del starts
             numbers, distinct = numbered(words)
-            counts = np.diff(np.searchsorted(starts, offsets))
+            parts = [pack_numbers(numbers[ends[lo]:ends[hi]]) for lo, hi in text_groups(ends)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([block]), pa.array([ids.to_pylist()], pa.list_(pa.int64())), pa.array([counts.astype("<i8").tobytes()], pa.binary()),
-                 pa.array([pack_numbers(numbers)], pa.binary()), pa.array([len(distinct)]), pa.array([zlib.crc32(data)])],
+                [pa.array([block]), pa.array([ids.to_pylist()], pa.list_(pa.int64())), pa.array([np.diff(ends).astype("<i8").tobytes()], pa.binary()),
+                 pa.array([parts], pa.list_(pa.binary())), pa.array([len(distinct)]), pa.array([zlib.crc32(data)])],
                 ["block", "doc_ids", "counts", "numbers", "n_distinct", "checksum"])
+            del data, offsets, words, numbers, distinct
     return run
 
 
+def text_groups(ends: np.ndarray):
+    """Spans of whole texts with about PART_CHARS words, one longer text alone."""
+    lo = 0
+    while lo < len(ends) - 1:
+        hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] + PART_CHARS, "right")) - 1)
+        yield lo, hi
+        lo = hi
+
+
 def _encode_words(sent):
     def run(batches):
         config, kind = sent.value
@@ -287,66 +306,68 @@ def _encode_words(sent):
 
 
 def _bundle(batches):
-    """The words of a block that one batch holds, as one row."""
-    for batch in textvec.released(batches):
-        block = np.asarray(batch.column("block"))
-        order = np.argsort(block, kind="stable")
-        edges = np.flatnonzero(np.diff(block[order], prepend=-1, append=-1))
-        numbers = np.asarray(batch.column("number"))[order]
-        ids = batch.column("ids").take(pa.array(order))
-        sizes = np.asarray(pc.binary_length(ids)).astype("<u4")
+    """The words of a block that a task has at a time, as one row: their
+    numbers (as steps), how many ids each has, and the ids."""
+    def give(held):
+        place = np.concatenate([np.asarray(b.column("place")) for b in held])
+        ids = pa.concat_arrays([b.column("ids") for b in held])
+        order = np.argsort(place)
+        block, number = place[order] >> NUMBER_BITS, place[order] & ((1 << NUMBER_BITS) - 1)
+        ids = ids.take(pa.array(order))
+        sizes = np.asarray(pc.binary_length(ids))
         at = np.append(0, np.cumsum(sizes, dtype=np.int64))
-        flat = b"".join(ids.to_pylist())
-        rows = [(int(block[order[lo]]), zlib.compress(numbers[lo:hi].astype("<u4").tobytes() + sizes[lo:hi].tobytes() + flat[at[lo]:at[hi]], 1), hi - lo)
-                for lo, hi in zip(edges[:-1], edges[1:])]
-        blocks, blobs, n = zip(*rows) if rows else ((), (), ())
-        yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int64()), pa.array(blobs, pa.binary()), pa.array(n, pa.int32())], ["block", "codes", "n"])
+        edges = np.flatnonzero(np.diff(block, prepend=-1, append=-1))
+        blobs = [[pack_numbers(np.diff(number[lo:hi], prepend=0)), pack_numbers(sizes[lo:hi]), zlib.compress(b"".join(ids[lo:hi].to_pylist()), 1)]
+                 for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist())]
+        return pa.RecordBatch.from_arrays([pa.array(block[edges[:-1]]), *(pa.array([b[i] for b in blobs], pa.binary()) for i in range(3))],
+                                          ["block", "numbers", "sizes", "ids"])
+
+    held, n = [], 0
+    for batch in textvec.released(batches):
+        held.append(batch)
+        n += batch.num_rows
+        if n >= BUNDLE_ROWS:
+            yield give(held)
+            held, n = [], 0
+    if n:
+        yield give(held)
 
 
 def _lay_out(sent):
     """The ids of each text of a block, by place."""
     def run(batches):
         pieces, kind = sent.value
-        width = np.array([len(p) for p in pieces], np.int64)
         for batch in textvec.released(batches):
             for i in range(batch.num_rows):
-                row = {name: batch.column(name)[i] for name in ("doc_ids", "counts", "numbers", "n_distinct", "checksum", "codes", "sizes")}
+                row = {name: batch.column(name)[i] for name in ("counts", "numbers", "n_distinct", "checksum", "codes")}
                 n = row["n_distinct"].as_py()
-                numbers, sizes, flat = [], [], []
-                for blob, k in zip(row["codes"].as_py() or [], row["sizes"].as_py() or []):
-                    raw = zlib.decompress(blob)
-                    numbers.append(np.frombuffer(raw, "<u4", k))
-                    sizes.append(np.frombuffer(raw, "<u4", k, 4 * k) // np.dtype(kind).itemsize)
-                    flat.append(np.frombuffer(raw, kind, -1, 8 * k))
-                number = np.concatenate(numbers) if numbers else np.zeros(0, np.uint32)
-                size_at, first_at = np.zeros(n, np.int64), np.zeros(n, np.int64)
-                if len(number) != n or (n and len(np.unique(number)) != n):
+                size_of, first_of, flat, at, seen = np.zeros(n, np.int32), np.zeros(n, np.int32), [], 0, 0
+                for code in row["codes"].as_py() or []:
+                    number = np.cumsum(unpack_numbers(code["numbers"]), dtype=np.int64)
+                    sizes = unpack_numbers(code["sizes"]).astype(np.int32) // np.dtype(kind).itemsize
+                    flat.append(np.frombuffer(zlib.decompress(code["ids"]), kind))
+                    if len(number) and number[-1] >= n:
+                        raise RuntimeError(SPLIT_DIFFERS)
+                    size_of[number], first_of[number] = sizes, np.cumsum(sizes) - sizes + at
+                    at += len(flat[-1])
+                    seen += len(number)
+                if seen != n or not size_of.all():
                     raise RuntimeError(SPLIT_DIFFERS)
                 codes = np.concatenate(flat) if flat else np.zeros(0, kind)
-                size = np.concatenate(sizes).astype(np.int64) if sizes else np.zeros(0, np.int64)
-                size_at[number], first_at[number] = size, np.cumsum(size) - size
-                places = unpack_numbers(row["numbers"].as_py())
-                counts = np.frombuffer(row["counts"].as_py(), "<i8")
-                long = size_at[places]
-                ends = np.append(0, np.cumsum(long))
-                text_ends = ends[np.append(0, np.cumsum(counts))]
-                checksum, out = 0, []
-                # some texts at a time, whole ones
-                lo = 0
-                while lo < len(counts):
-                    hi = max(lo + 1, int(np.searchsorted(text_ends, text_ends[lo] + PART_CHARS, "right")) - 1)
-                    a, b = int(counts[:lo].sum()), int(counts[:hi].sum())
-                    ids = codes[np.repeat(first_at[places[a:b]] - (ends[a:b] - ends[a]), long[a:b]) + np.arange(ends[b] - ends[a])].astype("<u4")
+                word_ends = np.append(0, np.cumsum(np.frombuffer(row["counts"].as_py(), "<i8")))
+                doc_ids = batch.column("doc_ids")[i].values
+                checksum = 0
+                for (lo, hi), blob in zip(text_groups(word_ends), row["numbers"]):
+                    mine = unpack_numbers(blob.as_py())
+                    long = size_of[mine]
+                    ends = np.append(0, np.cumsum(long, dtype=np.int64))
+                    ids = codes[np.repeat(first_of[mine] - ends[:-1], long) + np.arange(ends[-1])].astype("<u4")
                     checksum = zlib.crc32(b"".join([pieces[j] for j in ids.tolist()]), checksum)
-                    raw = ids.tobytes()
-                    cuts = (text_ends[lo:hi + 1] - text_ends[lo]) * 4
-                    out += [raw[x:y] for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
-                    lo = hi
+                    raw, cuts = ids.tobytes(), ends[word_ends[lo:hi + 1] - word_ends[lo]]
+                    out = [raw[4 * x:4 * y] for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
+                    yield pa.RecordBatch.from_arrays([doc_ids[lo:hi], pa.array(np.diff(cuts)), pa.array(out, pa.binary())], ["doc_id", "n_tokens", "ids"])
                 if checksum != row["checksum"].as_py():
                     raise RuntimeError(SPLIT_DIFFERS)
-                ids = batch.column("doc_ids")[i].values
-                yield pa.RecordBatch.from_arrays(
-                    [ids, pa.array(np.diff(text_ends)), pa.array(out, pa.binary())], ["doc_id", "n_tokens", "ids"])
     return run
 
 
@@ -381,23 +402,36 @@ def vocabulary(path: str | None = None) -> tuple[bytes, list[bytes], np.ndarray,
     return _configs[path]
 
 
-def encode(docs: DataFrame, path: str | None = None, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """doc_id, n_tokens and ids (little-endian unsigned 32-bit integers) of
-    every text of ``docs``."""
+ENCODED = "doc_id long, n_tokens long, ids binary"
+PARTS = "part long, distinct_ids array<long>, body binary"
+
+
+def _coded_blocks(docs: DataFrame, path: str | None, block_bytes: int):
+    """Blocks with the ids of their words, and the task function that lays
+    the ids out by place."""
     config, pieces, kinds, specials = vocabulary(path)
     sc = docs.sparkSession.sparkContext
     kind = "<u2" if len(pieces) <= 1 << 16 else "<u4"
     splitter = sc.broadcast((kinds, specials))  # a byte per code point
     d = take(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    places = d.mapInArrow(_word_rows(splitter, block_bytes), "word string, block long, number int").repartition("word")
-    encoded = places.select("word").distinct().mapInArrow(_encode_words(sc.broadcast((config, kind))), "word string, ids binary")
-    coded = places.join(encoded, "word").select("block", "number", "ids")
-    bundles = coded.mapInArrow(_bundle, "block long, codes binary, n int").groupBy("block").agg(
-        F.collect_list(F.struct("codes", "n")).alias("c")).select("block", F.col("c.codes").alias("codes"), F.col("c.n").alias("sizes"))
+    # no word is null; saying so, and reading the least place, lets the table of
+    # distinct words and the join share one shuffle
+    places = d.mapInArrow(_word_rows(splitter, block_bytes), "word string, place long").where("word is not null").repartition("word")
+    distinct = places.groupBy("word").agg(F.min("place").alias("first"))
+    encoded = distinct.mapInArrow(_encode_words(sc.broadcast((config, kind))), "word string, ids binary")
+    coded = places.join(encoded, "word").select("place", "ids")
+    bundles = coded.mapInArrow(_bundle, "block long, numbers binary, sizes binary, ids binary").groupBy("block").agg(
+        F.collect_list(F.struct("numbers", "sizes", "ids")).alias("codes"))
     bodies = d.mapInArrow(_body_rows(splitter, block_bytes),
-                          "block long, doc_ids array<long>, counts binary, numbers binary, n_distinct long, checksum long")
-    blocks = bodies.join(bundles, "block", "left").drop("block")
-    return blocks.mapInArrow(_lay_out(sc.broadcast((pieces, kind))), "doc_id long, n_tokens long, ids binary")
+                          "block long, doc_ids array<long>, counts binary, numbers array<binary>, n_distinct long, checksum long")
+    return bodies.join(bundles, "block", "left").drop("block"), _lay_out(sc.broadcast((pieces, kind)))
+
+
+def encode(docs: DataFrame, path: str | None = None, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """doc_id, n_tokens and ids (little-endian unsigned 32-bit integers) of
+    every text of ``docs``."""
+    blocks, lay_out = _coded_blocks(docs, path, block_bytes)
+    return blocks.mapInArrow(lay_out, ENCODED)
 
 
 def _gather_ids(batches):
@@ -445,22 +479,33 @@ def _spell(names):
     return run
 
 
-def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
-    """The rows of ``encoded`` (a binary column ``ids``) with the text that
-    the ids spell as the last column ``text`` (null ids: null). The join with
-    the pieces is a broadcast join, so rows stay in their task."""
-    from pyspark.sql import types as T
-    _, pieces, _, _ = vocabulary(path)
-    spark = encoded.sparkSession
-    table_ = spark.createDataFrame(pa.table({"id": pa.array(range(len(pieces)), pa.int64()), "piece": pa.array(pieces, pa.binary())}))
-    schema = T.StructType([*encoded.schema.fields, T.StructField("text", T.StringType())])
-    parts = encoded.mapInArrow(_gather_ids, "part long, distinct_ids array<long>, body binary")
+def _spelled(parts: DataFrame, schema: T.StructType, path: str | None) -> DataFrame:
+    """The rows in ``parts`` with their texts. The join with the pieces is a
+    broadcast join, so what belongs to a part stays in its task."""
+    pieces = vocabulary(path)[1]
+    spark = parts.sparkSession
+    by_id = spark.createDataFrame(pa.table({"id": pa.array(range(len(pieces)), pa.int64()), "piece": pa.array(pieces, pa.binary())}))
     ids = parts.select("part", F.size("distinct_ids").alias("n"), "body", F.posexplode("distinct_ids").alias("at", "id"))
     ids = ids.select("part", "n", F.when(F.col("at") == 0, F.col("body")).alias("body"), "id")
-    joined = ids.join(F.broadcast(table_), "id", "left").select("part", "n", "id", "piece", "body")
-    return joined.mapInArrow(_spell(schema.names), schema)
+    joined = ids.join(F.broadcast(by_id), "id", "left").select("part", "n", "id", "piece", "body")
+    out = T.StructType([*schema.fields, T.StructField("text", T.StringType())])
+    return joined.mapInArrow(_spell(out.names), out)
+
+
+def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
+    """The rows of ``encoded`` (a binary column ``ids``) with the text that
+    the ids spell as the last column ``text`` (null ids: null)."""
+    return _spelled(encoded.mapInArrow(_gather_ids, PARTS), encoded.schema, path)
+
+
+def round_trip(docs: DataFrame, path: str | None = None, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """``decode(encode(docs))``: doc_id, n_tokens, ids and text, with the ids
+    laid out and gathered for decoding by one task function."""
+    blocks, lay_out = _coded_blocks(docs, path, block_bytes)
+    schema = T._parse_datatype_string(ENCODED)
+    return _spelled(blocks.mapInArrow(lambda batches: _gather_ids(lay_out(batches)), PARTS), schema, path)
 
 
 def op11_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    decoded = decode(encode(table(spark, sf_dir, "documents")))
-    return decoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
+    texts = round_trip(table(spark, sf_dir, "documents"))
+    return texts.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))

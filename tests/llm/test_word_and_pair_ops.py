@@ -43,6 +43,8 @@ def test_bpe_equals_the_tokenizer(spark, scratch, reference, block_bytes):
     docs = spark.read.parquet(folder + "/documents.parquet").select("*", *(F.lit("x").alias(c) for c in CLASHING))
     got = bpe.decode(bpe.encode(docs, block_bytes=block_bytes)).select("doc_id", "n_tokens", F.sha2("ids", 256), F.sha2("text", 256))
     assert sorted(map(tuple, got.collect()), key=str) == rows_expected(reference, rows)
+    got = bpe.round_trip(docs, block_bytes=block_bytes).select("doc_id", "n_tokens", F.sha2("ids", 256), F.sha2("text", 256))
+    assert sorted(map(tuple, got.collect()), key=str) == rows_expected(reference, rows)
 
 
 def test_bpe_texts_longer_than_a_part(spark, scratch, reference, monkeypatch):
@@ -76,7 +78,7 @@ def test_bpe_refuses_a_source_that_changes(spark):
     run = bpe._lay_out(sent)
     import pyarrow as pa
     codes = {"numbers": bpe.pack_numbers(np.array([0])), "sizes": bpe.pack_numbers(np.array([2])), "ids": bpe.zlib.compress(np.array([15496], "<u2").tobytes())}
-    row = {"doc_ids": [[1]], "counts": [np.array([1], "<i8").tobytes()], "numbers": [bpe.pack_numbers(np.array([0]))], "n_distinct": [1],
+    row = {"doc_ids": [[1]], "counts": [np.array([1], "<i8").tobytes()], "numbers": [[bpe.pack_numbers(np.array([0]))]], "n_distinct": [1],
            "checksum": [bpe.zlib.crc32(b"Hullo")], "codes": [[codes]]}
     batch = pa.RecordBatch.from_pydict(row)
     with pytest.raises(RuntimeError, match="other rows"):
