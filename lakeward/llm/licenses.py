@@ -2,13 +2,16 @@
 
 Method. Every position of a text's words gives the hash of the word pair
 that starts there. Spark joins these to the positions of the templates'
-pairs (a small table of stated size, broadcast); for templates of more than
-two words the longer k-gram at both places must agree too. Each match votes
-for a diagonal, its word position in the text less its position in the
+pairs (a small table of stated size, broadcast); a match counts where the
+words of the whole k-gram agree at both places. Whether a phrase stands
+there word for word is told in the same projection, so the rows that are
+shuffled hold numbers only and their cost is linear in the matches. Each
+match votes for a diagonal, its word position in the text less its position in the
 template. Votes are summed per text, template and diagonal, neighbouring
 diagonals within ``SLACK`` words are merged, and a merged span is kept when
 its words verify: an exact phrase must be there word for word, a longer
-template must have at least ``MIN_COVER`` of its k-gram positions voted for.
+template must have at least ``MIN_COVER`` of its k-gram positions matched
+word for word, in its own order.
 
 Edge cases. A null text is empty: no words, no labels, score 0. Every row
 gives one row, repeated rows too. A text may hold a phrase many times; all
@@ -23,6 +26,7 @@ from pyspark.sql import functions as F
 
 from lakeward.llm.common import table, take
 
+CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 SLACK = 2
 MIN_COVER = 0.8
@@ -89,25 +93,26 @@ def license_spans(docs: DataFrame, rows: list[dict] | None = None) -> DataFrame:
     spark = docs.sparkSession
     rows = templates() if rows is None else rows
     grams = spark.createDataFrame([tuple(r.values()) for r in rows], TEMPLATE_SCHEMA)
-    grams = grams.select(F.xxhash64("first", "second").alias("t_hash"), "template", F.col("at").alias("t_at"), "k",
-                         "rest", "size", "grams", "words")
+    grams = grams.select(F.xxhash64("first", "second").alias("t_hash"), "template", F.col("at").alias("t_at"),
+                         F.concat(F.array("first", "second"), "rest").alias("t_gram"), "k", "size", "words")
     d = take(docs, "doc_id", "text").select(
-        "doc_id", F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit(WORD), F.lit(0)).alias("doc_words"))
+        "doc_id", F.regexp_extract_all(F.translate(F.coalesce("text", F.lit("")), CAPITALS, SMALL), F.lit(WORD), F.lit(0)).alias("doc_words"))
     d = d.select(F.monotonically_increasing_id().alias("uid"), "doc_id", "doc_words", F.size("doc_words").alias("n_words"))
     # position -1 stands for the document itself
     at = d.withColumn("pos", F.explode(F.sequence(F.lit(-1), F.greatest(F.col("n_words") - 2, F.lit(-1)), F.lit(1))))
     words, pos = F.col("doc_words"), F.col("pos")
     at = at.withColumn("gram", F.when(pos >= 0, F.xxhash64(_word(words, pos), _word(words, pos + 1))))
     hits = at.join(F.broadcast(grams), (F.col("gram") == F.col("t_hash"))
-                   & ((F.col("k") == 2) | (F.slice(words, F.greatest(pos, F.lit(0)) + 3, F.col("k") - 2) == F.col("rest"))), "left")
+                   & (F.slice(words, F.greatest(pos, F.lit(0)) + 1, F.col("k")) == F.col("t_gram")), "left")
     hits = hits.filter((pos < 0) | F.col("template").isNotNull())
-    # votes of a phrase on its own diagonal are counted below; the words of the first vote's span are kept to verify it
     hits = hits.withColumn("start", pos - F.col("t_at"))
     inside = (F.col("start") >= 0) & (F.col("start") + F.col("size") <= F.col("n_words"))
     exact = F.when(inside & (F.col("t_at") == 0), F.slice(words, F.greatest(F.col("start"), F.lit(0)) + 1, F.col("size")) == F.col("words"))
+    # from here on without the text's words
+    hits = hits.select("uid", "doc_id", "n_words", "template", "start", "t_at", exact.alias("exact"))
     votes = hits.groupBy("uid", "doc_id", "n_words", "template", "start").agg(
         F.count(F.lit(1)).alias("votes"), F.min("t_at").alias("t_lo"), F.max("t_at").alias("t_hi"),
-        F.max(exact).alias("exact"), F.collect_set("t_at").alias("t_ats"))
+        F.max("exact").alias("exact"), F.collect_set("t_at").alias("t_ats"))
     # neighbouring diagonals of a template are one span
     order = W.partitionBy("uid", "template").orderBy("start")
     new = F.coalesce(F.col("start") - F.lag("start").over(order) > SLACK, F.lit(True)) | F.col("is_exact")
