@@ -1,7 +1,10 @@
 """Mixing sources to target weights, with DataFrame functions only.
 
 Method. The words of each source are laid end to end (documents in a hash
-order) and cut into blocks of ``block`` words. A source with target share
+order) and cut into blocks of ``block`` words, or fewer for a small source:
+a 64th of its words, one at least, so that a source has 64 blocks or blocks
+of one word, and rounding to whole blocks stays small against every target.
+A source with target share
 t of its words gets round(t * blocks) slots. The slots of all sources are
 dealt to output shards by one pseudorandom permutation of the slot numbers:
 the counts that a shard gets from each source are multinomial draws
@@ -110,8 +113,8 @@ def permute(df: DataFrame, out: str, index: Column, of: str) -> DataFrame:
 
 
 def document_spans(sized: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    """Adds nth (a number within the source) and start (words of the source before the document) to rows
-    of doc_id, source, size.
+    """Adds nth (a number within the source), start (words of the source before the document) and
+    source_size to rows of doc_id, source, size.
 
     The order within a source is (bucket, hash, doc_id, size). The running
     sum is taken within buckets of a source, and the buckets' own sums are
@@ -126,18 +129,23 @@ def document_spans(sized: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) ->
     earlier = W.partitionBy("source").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
     base = sums.select(F.col("source").alias("b_source"), F.col("bucket").alias("b_bucket"),
                        F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("base"),
-                       F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("base_rows"))
+                       F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("base_rows"),
+                       F.sum("words").over(W.partitionBy("source")).alias("source_size"))
     d = d.withColumn("within", F.sum("size").over(inside.rowsBetween(W.unboundedPreceding, W.currentRow)) - F.col("size"))
     d = d.withColumn("nth", F.row_number().over(inside))
     d = d.join(base, F.col("source").eqNullSafe(F.col("b_source")) & (F.col("bucket") == F.col("b_bucket")))
-    return d.select("doc_id", "source", "size", (F.col("base") + F.col("within")).alias("start"),
+    return d.select("doc_id", "source", "size", "source_size", (F.col("base") + F.col("within")).alias("start"),
                     (F.col("base_rows") + F.col("nth")).alias("nth"))
 
 
+def block_words(source_size: Column, block: int) -> Column:
+    """Words in a block of a source: ``block``, or a 64th of a smaller source."""
+    return F.greatest(F.least(F.floor(source_size / F.lit(64)), F.lit(block)), F.lit(1)).cast("long")
+
+
 def slots(targets: DataFrame, block: int = BLOCK, shard_slots: int = SHARD_SLOTS, seed: int = 0) -> DataFrame:
     """One row per slot of the mix: shard, place, source, epoch, block."""
-    b = F.lit(block)
-    per = targets.filter(F.col("source_size") > 0).withColumn("blocks", F.ceil(F.col("source_size") / b))
+    per = targets.filter(F.col("source_size") > 0).withColumn("blocks", F.ceil(F.col("source_size") / block_words(F.col("source_size"), block)))
     per = per.withColumn("n_slots", F.round(F.col("target") / F.col("source_size") * F.col("blocks")).cast("long"))
     order = W.orderBy(F.col("source").asc_nulls_last())
     per = per.withColumn("first", F.sum("n_slots").over(order.rowsBetween(W.unboundedPreceding, W.currentRow)) - F.col("n_slots"))
@@ -163,7 +171,7 @@ def slots(targets: DataFrame, block: int = BLOCK, shard_slots: int = SHARD_SLOTS
 def block_pieces(spans: DataFrame, block: int = BLOCK) -> DataFrame:
     """One row per document and block that it touches: the words
     [lo, hi) of the document that lie in the block."""
-    b = F.lit(block)
+    b = block_words(F.col("source_size"), block)
     p = spans.filter(F.col("size") > 0).withColumn(
         "block", F.explode(F.sequence(F.floor(F.col("start") / b), F.floor((F.col("start") + F.col("size") - 1) / b))))
     lo = F.greatest(F.col("block") * b - F.col("start"), F.lit(0).cast("long"))
@@ -191,7 +199,7 @@ def mix_report(docs: DataFrame, **options) -> DataFrame:
     spans, targets, taken = mix_sources(docs, **options)
     per = taken.groupBy("source", "nth").agg(F.sum(F.col("hi") - F.col("lo")).alias("taken"), F.count(F.lit(1)).alias("n_pieces"))
     per = per.select(F.col("source").alias("p_source"), F.col("nth").alias("p_nth"), "taken", "n_pieces")
-    of = targets.select(F.col("source").alias("t_source"), "source_size", "target")
+    of = targets.select(F.col("source").alias("t_source"), "target")
     rows = spans.join(per.hint("merge"), spans["source"].eqNullSafe(per["p_source"]) & (spans["nth"] == per["p_nth"]), "left")
     rows = rows.join(of, rows["source"].eqNullSafe(of["t_source"]))
     return rows.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"),
@@ -217,13 +225,18 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     per = per.join(numbered.hint("merge"), per["source"].eqNullSafe(F.col("n_source")) & (per["nth"] == F.col("n_nth")))
     per = per.select("n_source", "n_doc_id", "n_copy", "n_size", "epoch", "runs", "words")
     d = d.withColumn("size", F.regexp_count("text", F.lit(WORD)).cast("long"))
-    d = d.withColumn("copy", F.row_number().over(W.partitionBy("source", "doc_id", "size").orderBy(F.xxhash64("text", "lang"))))
+    repeated = spans.groupBy("source", "doc_id", "size").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    if repeated.isEmpty():  # no text need be sorted to tell equal rows apart
+        d = d.withColumn("copy", F.lit(1))
+    else:
+        d = d.withColumn("copy", F.row_number().over(W.partitionBy("source", "doc_id", "size").orderBy(F.xxhash64("text", "lang"))))
     rows = d.join(per.hint("merge"), d["source"].eqNullSafe(F.col("n_source")) & d["doc_id"].eqNullSafe(F.col("n_doc_id"))
                   & (d["size"] == F.col("n_size")) & (d["copy"] == F.col("n_copy")))
     with_space = F.regexp_extract_all("text", F.lit(f"({WORD}[\\x20\\x09-\\x0D]*)"), F.lit(1))
     picked = F.array_join(F.flatten(F.transform("runs", lambda r: F.slice(
         F.col("pieces"), (r["lo"] + 1).cast("int"), (r["hi"] - r["lo"]).cast("int")))), "")
-    rows = rows.withColumn("pieces", F.when(F.col("words") < F.col("size"), with_space))
+    # a text is split once: the generator's column cannot be inlined into the lambda below, which would split it for every run
+    rows = rows.select("*", F.explode(F.array(F.when(F.col("words") < F.col("size"), with_space))).alias("pieces"))
     text = F.when(F.col("words") < F.col("size"), picked).otherwise(F.col("text"))
     return rows.select("doc_id", text.alias("text"), "lang", "source").select(
         "doc_id", "text", "lang", "source", F.char_length("text").cast("long").alias("n_chars"))
