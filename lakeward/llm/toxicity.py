@@ -16,8 +16,9 @@ passages' summed evidence.
 What is learned. Labels come from at most about ``SAMPLE`` labelled rows per
 class (all of them if fewer), chosen by a hash of doc_id; their size bounds
 what is broadcast. Near copies among them share their votes (a group by the
-smallest 5-word shingle hash counts once). Corpus counts are over all
-documents. The model has at most BUCKETS rows.
+smallest 5-word shingle hash counts once), and so do the rows of a doc_id: a
+labelled document that stands in the table n times has n rows with 1 / n of
+its vote and of its uses. Corpus counts are over all documents. The model has at most BUCKETS rows.
 
 Edge cases. A null or empty text has no passage and score 0. Null ids and
 null labels are not learned from; repeated labels of a document count once,
@@ -88,7 +89,7 @@ def _count(batches):
     """Per bucket: uses in all documents, and for each class and fold the
     weighted number of labelled documents that have it. The clean and toxic
     words are counted in the bucket -1."""
-    uses = np.zeros(BUCKETS, np.int64)
+    uses = np.zeros(BUCKETS, np.float64)
     votes = np.zeros((4, BUCKETS), np.float64)
     total = np.zeros(5, np.float64)
     for batch in textvec.released(batches):
@@ -96,13 +97,15 @@ def _count(batches):
         toxic = np.asarray(batch.column("toxic").fill_null(-1))
         weight = np.asarray(batch.column("weight").fill_null(0.0))
         fold = np.asarray(batch.column("fold").fill_null(0))
+        share = np.asarray(batch.column("share").fill_null(1.0)) if "share" in batch.schema.names else np.ones(batch.num_rows)
         # a text may go on in the next piece: what the last one has voted for
         last, voted = -1, np.zeros(BUCKETS, bool)
         for texts, _, hashes, heads in textvec.words_of(data, offsets, PREFIXES):
-            total[4] += len(hashes)
+            part = share[texts]
+            total[4] += part.sum()
             kinds = [hashes, *heads]
             for h in kinds:
-                np.add.at(uses, _buckets(h[h != 0]), 1)
+                uses += np.bincount(_buckets(h[h != 0]), weights=part[h != 0], minlength=BUCKETS)
             labelled = toxic[texts] >= 0
             if not labelled.any():
                 continue
@@ -123,7 +126,7 @@ def _count(batches):
             words = np.bincount(toxic[who] * 2 + fold[who], weights=weight[who], minlength=4)
             total[:4] += words
     names = ["bucket", "uses", "clean0", "clean1", "toxic0", "toxic1"]
-    yield pa.RecordBatch.from_arrays([pa.array([-1]), pa.array([int(total[4])]), *(pa.array([total[c]]) for c in range(4))], names)
+    yield pa.RecordBatch.from_arrays([pa.array([-1]), pa.array([total[4]]), *(pa.array([total[c]]) for c in range(4))], names)
     used = np.flatnonzero(uses)  # every vote is a use
     for lo in range(0, len(used), ROWS_OUT):
         some = used[lo:lo + ROWS_OUT]
@@ -137,15 +140,15 @@ def token_counts(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tu
     # at most 2 * sample rows of 12 bytes
     known = _lower(d.join(F.broadcast(chosen), "doc_id"))
     signed = cut(known.select("doc_id", "toxic", "text").mapInArrow(_signatures, "doc_id long, toxic int, signature long"), "tox-signed")
-    signed = signed.groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("signature").alias("signature"))
+    signed = signed.groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("signature").alias("signature"), F.count(F.lit(1)).alias("rows"))
     groups = signed.groupBy("signature").agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1")
     signed = signed.join(groups, "signature", "left").select(
-        "doc_id", "toxic", (F.lit(1.0) / F.coalesce("copies", F.lit(1))).alias("weight"),
+        "doc_id", "toxic", (F.lit(1.0) / F.coalesce("copies", F.lit(1))).alias("weight"), (F.lit(1.0) / F.col("rows")).alias("share"),
         F.pmod(F.xxhash64("signature", F.lit(3)), F.lit(2)).cast("int").alias("fold"))
     signed = cut(signed, "tox-weights")
     totals = {(r["toxic"], r["fold"]): r["n"] for r in signed.groupBy("toxic", "fold").agg(F.sum("weight").alias("n")).collect()}
-    voted = _lower(d).join(F.broadcast(signed), "doc_id", "left").select("text", "toxic", "weight", "fold")
-    parts = voted.mapInArrow(_count, "bucket long, uses long, clean0 double, clean1 double, toxic0 double, toxic1 double")
+    voted = _lower(d).join(F.broadcast(signed), "doc_id", "left").select("text", "toxic", (F.col("weight") * F.col("share")).alias("weight"), "fold", "share")
+    parts = voted.mapInArrow(_count, "bucket long, uses double, clean0 double, clean1 double, toxic0 double, toxic1 double")
     sums = parts.groupBy("bucket").agg(*(F.sum(c).alias(c) for c in ("uses", "clean0", "clean1", "toxic0", "toxic1")))
     return sums, totals
 
