@@ -1,14 +1,16 @@
 """Harmonic packing of tokenised documents into sequences.
 
-Method. A document's ids are cut into full sequences and pieces whose
-lengths are reciprocals of the capacity C: C/2, C/4, ... down to C/32, and a
-tail shorter than that. A piece of the class of length at most C/j is put
-into bins of that class, which hold exactly j pieces. Every task fills its
-own bins and shares nothing with other tasks. Bins of the lengths C/2**i
-are full; a bin of j tails wastes less than one tail. At the end of a task
-the pieces left in unfilled bins are laid end to end and cut at powers of
-two, which need no padding. So padding arises in bins of tails alone, below
-one part in C/63 of them.
+Method. A document's ids are cut into full sequences of the capacity C; what
+remains, r ids, belongs to the class j of the lengths in (C/(j+1), C/j], for j
+up to ``CLASSES`` (shorter ones are of the last class), and goes whole into
+that class's open bin, which takes exactly j of them. The room that a bin has
+left then is filled by the next document's first ids: as many as fit, or the
+whole document if it is shorter. So a document adds one piece, a full
+sequence another, and a bin one or a few more; with any padding left out that
+is about the least possible (as many pieces as documents and sequences).
+Every task fills its own bins and shares nothing with other tasks. At the end
+of a task what lies in unfilled bins is laid end to end and cut at powers of
+two, which need no padding.
 
 Tokens. ``tokenizers`` gives the ids. White space never lies inside a
 pre-token of this vocabulary, and a pre-token's ids depend on it alone, so
@@ -39,7 +41,8 @@ from lakeward.llm.common import table, take
 
 CAPACITY = 2048
 END_ID = 1
-SMALLEST = 64
+#: Reciprocal classes: C/1, C/2, ... C/32.
+CLASSES = 32
 VOCABULARY = "word_bpe_49k.json"
 PART_CHARS = 1 << 18
 CACHE_SLOTS = 1 << 19
@@ -110,9 +113,10 @@ def byte_alphabet() -> list[str]:
 class Encoder:
     """Ids of texts, equal to ``tokenizers`` with add_special_tokens=False."""
 
-    def __init__(self, path: str):
+    def __init__(self, vocabulary: str | bytes):
+        """Of a vocabulary file's path or its bytes."""
         from tokenizers import Tokenizer
-        self.whole = Tokenizer.from_file(path)
+        self.whole = Tokenizer.from_file(vocabulary) if isinstance(vocabulary, str) else Tokenizer.from_str(vocabulary.decode())
         self.model = self.whole.model
         self.specials = [t.content for t in self.whole.get_added_tokens_decoder().values()]
         self.chars = Characters()
@@ -222,14 +226,15 @@ class Encoder:
 
 
 _GAP = re.compile(r"[ \n\t\r]")
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[int, Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(config: bytes) -> Encoder:
     """One encoder per worker process and vocabulary."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    key = zlib.crc32(config)
+    if key not in _encoders:
+        _encoders[key] = Encoder(config)
+    return _encoders[key]
 
 
 class Bins:
@@ -238,7 +243,8 @@ class Bins:
     def __init__(self, task: int, capacity: int = CAPACITY, with_ids: bool = False):
         self.next_id = task << 40
         self.capacity = capacity
-        self.open: dict[int, list] = {}
+        self.open: dict[int, list] = {}  # by class
+        self.gaps: list[list] = []  # [pieces, room] of bins with their fixed number of pieces
         self.rows: list[tuple] = []
         self.with_ids = with_ids
 
@@ -251,30 +257,39 @@ class Bins:
         self.next_id += 1
 
     def add(self, doc_id, ids: np.ndarray) -> None:
-        n, lo = len(ids), 0
-        size = self.capacity
-        while lo < n:
-            if n - lo >= size or size <= SMALLEST:
-                hi = min(n, lo + size)
-                piece = (doc_id, lo, ids[lo:hi], n)
-                fixed = self.capacity // (hi - lo)  # pieces of this class that fill a bin
-                if fixed == 1:
-                    self.put_sequence([piece])
+        n, lo, capacity = len(ids), 0, self.capacity
+        if self.gaps:
+            # a gap takes the document's head, or all of it
+            gap = self.gaps[0]
+            lo = min(n, gap[1])
+            gap[0].append(self._piece(doc_id, 0, ids[:lo], n))
+            gap[1] -= lo
+            if not gap[1]:
+                self.put_sequence(self.gaps.pop(0)[0])
+        while n - lo >= capacity:
+            self.put_sequence([(doc_id, lo, ids[lo:lo + capacity], n)])
+            lo += capacity
+        if lo < n:
+            count = min(CLASSES, capacity // (n - lo))
+            bin_ = self.open.setdefault(count, [])
+            bin_.append(self._piece(doc_id, lo, ids[lo:], n))
+            if len(bin_) == count:
+                room = capacity - sum(len(p[2]) for p in self.open.pop(count))
+                if room:
+                    self.gaps.append([bin_, room])
                 else:
-                    bin_ = self.open.setdefault(fixed, [])
-                    # the open bins outlive the batch: they keep their own copy
-                    bin_.append((doc_id, lo, piece[2].copy(), n))
-                    if len(bin_) == fixed:
-                        self.put_sequence(self.open.pop(fixed))
-                lo = hi
-            else:
-                size //= 2
+                    self.put_sequence(bin_)
+
+    @staticmethod
+    def _piece(doc_id, start: int, ids: np.ndarray, doc_tokens: int) -> tuple:
+        """A piece that outlives its batch keeps its own copy."""
+        return doc_id, start, ids.copy(), doc_tokens
 
     def finish(self) -> None:
         """What is left is laid end to end, longest pieces first, and cut at
         the capacity and at last at powers of two."""
-        left = [p for j in sorted(self.open) for p in self.open[j]]
-        self.open = {}
+        left = [p for pieces, _ in self.gaps for p in pieces] + [p for j in sorted(self.open) for p in self.open[j]]
+        self.open, self.gaps = {}, []
         total = sum(len(p[2]) for p in left)
         while total:
             room = self.capacity
@@ -307,10 +322,11 @@ COLUMNS = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id"
 
 def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
     """One row per piece (see COLUMNS; ids only where asked for)."""
-    path = path or tokenizer_path()
+    with open(path or tokenizer_path(), "rb") as f:
+        sent = docs.sparkSession.sparkContext.broadcast(f.read())  # the vocabulary file
 
     def run(batches):
-        enc = encoder(path)
+        enc = encoder(sent.value)
         bins = Bins(TaskContext.get().partitionId(), capacity, with_ids)
         end = np.array([END_ID], np.uint32)
         for batch in textvec.released(batches):
