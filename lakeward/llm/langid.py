@@ -41,6 +41,8 @@ RIDGE = 1e-2
 SHARPNESS = 4.0
 BATCH_BYTES = 1 << 18
 UNDEFINED = "und"
+#: Languages that are learned: the most frequent ones of the training rows.
+MAX_LANGS = 256
 
 # A-Z to a-z, and every other ASCII byte that is no letter to a space
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -112,7 +114,8 @@ def _sample_windows(batches):
 def training_windows(docs: DataFrame, sample: int = SAMPLE):
     """Languages and byte windows of the bounded training sample."""
     d = take(docs, "doc_id", "text", "lang").filter("doc_id is not null and lang is not null and text is not null").filter(is_train())
-    counts = {r["lang"]: r["n"] for r in d.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    per_lang = d.groupBy("lang").agg(F.approx_count_distinct("doc_id", 0.02).alias("n")).orderBy(F.col("n").desc(), "lang").limit(MAX_LANGS)
+    counts = {r["lang"]: r["n"] for r in per_lang.collect()}
     if not counts:
         return [], []
     each = max(10, sample // len(counts))
@@ -121,7 +124,11 @@ def training_windows(docs: DataFrame, sample: int = SAMPLE):
         share = min(1.0, each / n)
         keep = keep | ((F.col("lang") == lang) & (F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 30)) < int(share * (1 << 30)) + 1))
     # folded over the letters of the text, so texts without any teach nothing
-    rows = d.filter(keep).filter(F.col("text").rlike(r"\p{L}")).select("doc_id", "lang", "text").mapInArrow(_sample_windows, "lang string, part binary")
+    rows = d.filter(keep).filter(F.col("text").rlike(r"\p{L}"))
+    # a doc_id is drawn once, however many rows have it; the limit holds whatever the ids are
+    rows = rows.groupBy("doc_id").agg(F.min(F.struct("lang", "text")).alias("r")).select("doc_id", "r.*")
+    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(4 * max(sample, 10 * len(counts))).select("lang", "text")
+    rows = rows.mapInArrow(_sample_windows, "lang string, part binary")
     got = sorted((r["lang"], bytes(r["part"])) for r in rows.collect())
     return [g[0] for g in got], [g[1] for g in got]
 
@@ -173,7 +180,9 @@ def _score_batch(m: dict, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 def _predictor(sent):
     """A function from an Arrow string column (null: undefined) to the
-    predicted languages and scores."""
+    predicted languages, scores and margins (how far the winner's
+    one-versus-rest score is above the next one's, or above that of "no" if
+    one language is known)."""
     m = sent.value
 
     def run(column: pa.Array):
@@ -182,7 +191,8 @@ def _predictor(sent):
         e = np.exp(SHARPNESS * (s - s.max(axis=1, keepdims=True)))
         p = e / e.sum(axis=1, keepdims=True)
         names = np.array([*m["names"], UNDEFINED], dtype=object)[np.where(known, p.argmax(axis=1), len(m["names"]))]
-        return names, np.where(known, p.max(axis=1), 0.0)
+        best = np.sort(np.hstack([s, np.full((len(s), 1), -1.0)]), axis=1)[:, -2:]
+        return names, np.where(known, p.max(axis=1), 0.0), best[:, 1] - best[:, 0]
 
     return run
 
@@ -202,7 +212,7 @@ def predict(docs: DataFrame, model: dict | None) -> DataFrame:
     def run(batches):
         predictor = _predictor(sent)
         for batch in textvec.released(batches):
-            names, score = predictor(batch.column("text"))
+            names, score, _ = predictor(batch.column("text"))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(names.tolist(), pa.string()), pa.array(score)],
                                              ["doc_id", "lang_pred", "score"])
 
@@ -210,8 +220,9 @@ def predict(docs: DataFrame, model: dict | None) -> DataFrame:
 
 
 def keep_known(docs: DataFrame, model: dict | None, least: float) -> DataFrame:
-    """The rows of ``docs`` with a predicted language and a score of at least
-    ``least``, unchanged. Rows are judged where they are; nothing is joined.
+    """The rows of ``docs`` with a predicted language and a margin of at least
+    ``least``, unchanged; the margin does not depend on how many languages
+    are known. Rows are judged where they are; nothing is joined.
     Without a model the rows with a letter stay."""
     if model is None:
         return filter_rows(docs, "text", _lettered, lambda: lambda column: column.is_valid().to_numpy(False))
@@ -221,8 +232,8 @@ def keep_known(docs: DataFrame, model: dict | None, least: float) -> DataFrame:
         predictor = _predictor(sent)
 
         def mark(column):
-            names, score = predictor(column)
-            return (names != UNDEFINED) & (score >= least)
+            names, _, margin = predictor(column)
+            return (names != UNDEFINED) & (margin >= least)
         return mark
 
     return filter_rows(docs, "text", _lettered, keep)
