@@ -83,6 +83,14 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_scratch(spark: SparkSession) -> None:
+    """Remove the tables that this application's operators have cut plans
+    with. Results that still read them are lost, so write these first."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def is_train(doc_id: str = "doc_id") -> Column:
     """True for rows that may be learned from: crc32(doc_id as text) mod 3 is not 1
     (false for a null id)."""
