@@ -24,8 +24,8 @@ from lakeward.llm import langid, mixing, neardup, packing, toxicity
 from lakeward.llm.common import fresh_path, table, take
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-#: The least share of a document's language score that counts as clear.
-LEAST_LANGUAGE_SCORE = 0.3
+#: How far a document's best language must be above the next one, in one-versus-rest scores (-1 to 1).
+LEAST_LANGUAGE_MARGIN = 0.05
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,7 +36,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_unclear_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     docs = take(docs, *COLUMNS)
-    return langid.keep_known(docs, langid.learn(docs), LEAST_LANGUAGE_SCORE)
+    return langid.keep_known(docs, langid.learn(docs), LEAST_LANGUAGE_MARGIN)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
