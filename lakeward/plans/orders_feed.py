@@ -25,6 +25,7 @@ before the shuffle, so a date holding most of the rows costs nothing extra).
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -98,14 +99,17 @@ def headers() -> list[list[str]]:
 def land_csv(orders: DataFrame, folder: str) -> list[str]:
     """Write the day batches as CSV files with their own headers, one folder
     per class and batch; returns the class folders."""
-    landed = []
     by_class = rows(orders).withColumn("k", drift_class(F.to_date("batch_id")))
-    for k, header in enumerate(headers()):
+
+    def land(k: int, header: list[str]) -> str:
         path = f"{folder}/class-{k}"
         by_class.where(F.col("k") == k).select(*header, "batch_id").repartition("batch_id") \
             .write.partitionBy("batch_id").option("header", True).option("escape", '"').csv(path)
-        landed.append(path)
-    return landed
+        return path
+
+    # a folder per batch is slow to commit, and the classes are written apart
+    with ThreadPoolExecutor(max_workers=N_CLASSES) as pool:
+        return list(pool.map(land, range(N_CLASSES), headers()))
 
 
 def drift_class(day: Column) -> Column:
