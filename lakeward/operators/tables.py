@@ -424,8 +424,14 @@ def rows_of_batches(spark: SparkSession, table: str, batches: DataFrame) -> Data
 
 
 def reset_tables(spark: SparkSession, datasets, names: TableNames = TableNames()) -> list[str]:
-    """Drop exactly the gate's own tables for ``datasets``."""
+    """Drop exactly the gate's own tables for ``datasets``, with what its runs
+    have left of staged rows and of the values that failed."""
     dropped = []
+    own = re.compile("|".join(f"(staged|failed_values)_{re.escape(d.lower())}_[0-9a-f]{{12}}" for d in datasets) or "(?!)")
+    for t in spark.catalog.listTables(names.database) if names.database else spark.catalog.listTables():
+        if own.fullmatch(t.name.lower()):
+            spark.sql(f"DROP TABLE IF EXISTS {names.q(t.name)}")
+            dropped.append(names.q(t.name))
     for t in [names.contracts, names.audit, names.bronze, names.ledger] + [
         f(d) for d in datasets for f in (names.quarantine, names.silver, names.gold)
     ]:

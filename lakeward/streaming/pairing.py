@@ -5,7 +5,8 @@ arrive in streams of their own; per batch id a small state keeps what has
 come until the other has, over restarts of the query (the state is in its
 checkpoint). A batch whose other half does not come within ``patience`` is
 told once as overdue, by a processing-time timer; what comes after that still
-pairs it. Ready batches go through the gate, overdue ones get a quarantine
+pairs it. A batch keeps a few bytes of state after it is paired, so that a
+file that lands again does not make it overdue. Ready batches go through the gate, overdue ones get a quarantine
 row ``overdue:sidecar`` or ``overdue:file`` (the part that is lacking).
 """
 
