@@ -11,9 +11,10 @@ means over all its windows, so whole texts of any length are used and
 mixed texts go to the language that fills most windows.
 
 What is learned. The model is fitted on at most about ``SAMPLE`` labelled
-documents (equal numbers per language, chosen by a hash of doc_id) and four
-windows of each; both are parameters. lang, source and doc_id are never
-inputs of a prediction.
+documents (equal numbers per language, chosen by a hash of doc_id, each
+doc_id once; never more than four times as many) of the ``MAX_LANGS`` most
+frequent languages, and four windows of each; these are parameters. lang,
+source and doc_id are never inputs of a prediction.
 
 Edge cases. A null text, or one without a letter, is ``und`` with score 0;
 so is every text when nothing can be learned. Null languages and null ids
