@@ -30,6 +30,7 @@ from __future__ import annotations
 import re
 import unicodedata
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -110,6 +111,12 @@ def byte_alphabet() -> list[str]:
     return out
 
 
+@lru_cache(maxsize=1)
+def characters() -> Characters:
+    """The table of a worker process, 7 MB; its tokenizers and their caches go with the task."""
+    return Characters()
+
+
 class Encoder:
     """Ids of texts, equal to ``tokenizers`` with add_special_tokens=False."""
 
@@ -119,7 +126,7 @@ class Encoder:
         self.whole = Tokenizer.from_file(vocabulary) if isinstance(vocabulary, str) else Tokenizer.from_str(vocabulary.decode())
         self.model = self.whole.model
         self.specials = [t.content for t in self.whole.get_added_tokens_decoder().values()]
-        self.chars = Characters()
+        self.chars = characters()
         self.alphabet = byte_alphabet()
         self.reset()
 
@@ -226,15 +233,6 @@ class Encoder:
 
 
 _GAP = re.compile(r"[ \n\t\r]")
-_encoders: dict[int, Encoder] = {}
-
-
-def encoder(config: bytes) -> Encoder:
-    """One encoder per worker process and vocabulary."""
-    key = zlib.crc32(config)
-    if key not in _encoders:
-        _encoders[key] = Encoder(config)
-    return _encoders[key]
 
 
 class Bins:
@@ -326,7 +324,7 @@ def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, wit
         sent = docs.sparkSession.sparkContext.broadcast(f.read())  # the vocabulary file
 
     def run(batches):
-        enc = encoder(sent.value)
+        enc = Encoder(sent.value)
         bins = Bins(TaskContext.get().partitionId(), capacity, with_ids)
         end = np.array([END_ID], np.uint32)
         for batch in textvec.released(batches):
@@ -338,6 +336,8 @@ def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, wit
             yield bins.take_rows()
         bins.finish()
         yield bins.take_rows()
+        del enc, bins
+        textvec.give_back()
 
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, `offset` long"
     return take(docs, "doc_id", "text").mapInArrow(run, schema + (", ids array<int>" if with_ids else ""))

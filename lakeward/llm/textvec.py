@@ -25,11 +25,13 @@ WORD_BYTE[0x30:0x3A] = WORD_BYTE[0x41:0x5B] = WORD_BYTE[0x61:0x7B] = WORD_BYTE[0
 _powers: dict[int, np.ndarray] = {}
 
 
-def released(batches):
-    """The batches of a task; when they end, memory that Arrow and the C
-    library keep for later goes back to the system, as a reused Python worker
-    would otherwise hold the peak of every stage it has run."""
-    yield from batches
+#: Arrays of this size and more are given back as soon as they are freed.
+MAPPED = 8 << 20
+_M_MMAP_THRESHOLD = -3
+
+
+def give_back() -> None:
+    """Memory that Arrow and the C library keep for later goes back to the system."""
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
@@ -37,6 +39,19 @@ def released(batches):
         pass  # another C library
 
 
+def released(batches):
+    """The batches of a task; when they end, memory goes back to the system,
+    as a reused Python worker would otherwise hold the peak of every stage it
+    has run. Large arrays that live longer are mapped apart, so they go back
+    whenever they are freed."""
+    try:
+        ctypes.CDLL("libc.so.6").mallopt(_M_MMAP_THRESHOLD, MAPPED)
+    except (OSError, AttributeError):
+        pass  # another C library
+    yield from batches
+    give_back()
+
+
 def powers(base: int, n: int) -> np.ndarray:
     """base**0 .. base**(n-1) modulo 2**64."""
     have = _powers.get(base)
