@@ -6,10 +6,13 @@ its nearest codewords. The index holds every row, in tiles of bounded size
 whose rows are sorted by cell; a tile knows the radius of each codeword, the
 largest distance of one of its half-rows to it. For an anchor a, a half-row
 at codeword c with radius r scores at most a.c + |a| r, so the two halves'
-bounds add up to a bound for a cell. A heap walks the cells of a tile in
-falling order of that bound (multi-sequence order), and the walk stops when
-the next bound is below what every window still needs. Cells that lie above
-all windows as a whole are passed over.
+bounds add up to a bound for a cell. Anchors are searched for in blocks: a
+heap walks the cells of a tile in falling order of the block's largest bound
+(multi-sequence order), and the walk stops when the next bound is below what
+every window still needs. Cells that lie below what each anchor needs, or above
+all its windows, are passed over. The rows of the other cells are scored by one
+product of matrices for some thousand rows, in whole numbers that the number
+type holds exactly.
 
 Two searches use that walk. The first finds each anchor's best rows of its
 own label, the positives. Each positive gives a window of scores; the second
@@ -19,7 +22,8 @@ with the bound below their lower end. The bounds are strict, so both are exact.
 
 Anchors are compared with all rows, in blocks: a task holds one tile of
 anchors and streams tiles of the index, so what it has found so far prunes
-what comes.
+what comes. Both searches are exact, so on vectors without clusters, where no
+bound prunes, products grow with anchors times rows.
 
 Edge cases. A null label, a null or empty vector, and a null or non-finite
 component take a row out. So does a component of 2**14 or more in size,
@@ -54,10 +58,15 @@ LOW, HIGH = 30, 90
 SAMPLE = 4096
 CODEWORDS = 16
 TILE_ROWS = 8192
-ANCHOR_ROWS = 128
-STRIPE_TILES = 8
+ANCHOR_ROWS = 1024
+#: Anchors of a block, and rows of a product: it starts with a few, so that the next ones are pruned.
+BLOCK_ROWS = 64
+FIRST_ROWS, PRODUCT_ROWS = 256, 2048
+#: Bytes of the tiles of a stripe, about, and fewer tiles where cores would be idle, but so many at least.
+STRIPE_BYTES, LEAST_TILES = 64 << 20, 4
 LARGEST = 1 << 22
 NO_ID = np.iinfo(np.int64).max
+LEAST = np.iinfo(np.int64).min
 
 TILE = "tile long, dim int, ids binary, labels binary, cells binary, codes binary, radii binary"
 ANCHOR = "uid long, vec_id long, label long, dim int, codes binary"
@@ -109,6 +118,15 @@ def codebooks(vectors: DataFrame, sample: int = SAMPLE, k: int = CODEWORDS) -> d
     return {dim: (fit(v[:, :dim // 2], k), fit(v[:, dim // 2:], k)) for dim, (_, v) in whole(column).items()}
 
 
+def narrow(v: np.ndarray) -> np.ndarray:
+    """``v`` in 16 bits where they hold it."""
+    return v.astype(np.int16) if np.abs(v).max(initial=0) < 1 << 15 else v
+
+
+def codes_of(blob, n: int, dim: int) -> np.ndarray:
+    return np.frombuffer(blob, np.int16 if len(blob) == 2 * n * dim else np.int32).reshape(n, dim)
+
+
 def _books(sent: dict, dim: int) -> tuple[np.ndarray, np.ndarray]:
     """A length that the sample lacks has one codeword, the origin."""
     return sent.get(dim) or (np.zeros((1, dim // 2)), np.zeros((1, dim - dim // 2)))
@@ -133,7 +151,7 @@ def _tiles(sent):
                 r = np.full(len(b), -1.0)  # a codeword without rows
                 np.maximum.at(r, w, np.sqrt(((x - b[w]) ** 2).sum(axis=1)))
                 radii.append(r)
-            blobs = [ids[order], labels[order], cell[order].astype(np.int32), v[order], np.concatenate(radii)]
+            blobs = [ids[order], labels[order], cell[order].astype(np.int32), narrow(v[order]), np.concatenate(radii)]
             number += 1
             return pa.RecordBatch.from_arrays(
                 [pa.array([number]), pa.array([dim], pa.int32()), *(pa.array([np.ascontiguousarray(b).tobytes()], pa.binary()) for b in blobs)],
@@ -168,15 +186,36 @@ def _anchors(step: int):
     return run
 
 
-class Tile:
+class Scored:
+    """Rows of whole numbers, in the types that products are made in."""
+
+    def __init__(self, codes: np.ndarray):
+        self.codes, self.as_type = codes, {}
+        self.longest = np.sqrt((codes.astype(np.float64) ** 2).sum(axis=1).max(initial=0.0))
+
+    def numbers(self, kind) -> np.ndarray:
+        if kind not in self.as_type:
+            self.as_type[kind] = self.codes.astype(kind)
+        return self.as_type[kind]
+
+
+def product_type(a: Scored, b: Scored):
+    """The smallest type that holds every sum of products of two rows: none is
+    larger than the product of their lengths, and all are whole numbers."""
+    reach = a.longest * b.longest * (1 + 1e-9)
+    return np.float32 if reach < 1 << 24 else np.float64 if reach < 1 << 53 else np.int64
+
+
+class Tile(Scored):
     """A tile of the index."""
 
     def __init__(self, batch, i, prefix):
-        get = lambda name, kind: np.frombuffer(batch.column(prefix + name)[i].as_buffer(), kind)
+        blob = lambda name: batch.column(prefix + name)[i].as_buffer()
+        get = lambda name, kind: np.frombuffer(blob(name), kind)
         self.dim = batch.column(prefix + "dim")[i].as_py()
         self.ids, self.labels, cells = get("ids", np.int64), get("labels", np.int64), get("cells", np.int32)
         self.uids = (batch.column(prefix + "tile")[i].as_py() << 14) + np.arange(len(self.ids))
-        self.codes = get("codes", np.int32).reshape(len(self.ids), self.dim)
+        super().__init__(codes_of(blob("codes"), len(self.ids), self.dim))
         self.radii = get("radii", np.float64)
         at = np.flatnonzero(np.diff(cells, prepend=-1, append=-1))
         self.span = {int(cells[lo]): (int(lo), int(hi)) for lo, hi in zip(at[:-1], at[1:])}
@@ -199,55 +238,105 @@ def walk(upper: tuple[np.ndarray, np.ndarray]):
             heapq.heappush(heap, (-(first[i + 1] + second[0]), i + 1, 0))
 
 
-class Window:
-    """The best ``k`` rows with scores from ``low`` to ``high``."""
+class Block(Scored):
+    """Anchors that are searched for together. Each has some windows, the
+    scores from ``low`` to ``high``, and in each the best ``k`` rows so far."""
 
-    def __init__(self, k: int, low: float, high: float):
-        self.k, self.low, self.high = k, low, high
-        self.heap: list[tuple] = []  # (score, -id, uid), the worst first
+    def __init__(self, codes, uids, labels, same: bool, low: np.ndarray, high: np.ndarray, k: int):
+        super().__init__(codes)
+        self.uids, self.labels, self.same, self.k = uids, labels, same, k
+        self.low, self.high = low, high  # anchors by windows; a window that an anchor lacks has low > high
+        shape = *low.shape, k
+        self.scores, self.ids, self.found = np.full(shape, LEAST), np.full(shape, NO_ID), np.full(shape, -1)  # best first
+        self.rows = FIRST_ROWS
 
     @property
-    def needs(self) -> float:
-        """Scores below this cannot enter."""
-        return self.heap[0][0] if len(self.heap) == self.k else self.low
-
-    def offer(self, scores: np.ndarray, ids: np.ndarray, uids: np.ndarray) -> None:
-        pick = np.flatnonzero((scores >= self.needs) & (scores <= self.high))
-        if len(pick) > self.k:  # ties at the last place matter: smaller ids first
-            pick = pick[np.lexsort((uids[pick], ids[pick], -scores[pick]))[:self.k]]
-        for i in pick.tolist():
-            item = (int(scores[i]), -int(ids[i]), -int(uids[i]))
-            if len(self.heap) < self.k:
-                heapq.heappush(self.heap, item)
-            else:
-                heapq.heappushpop(self.heap, item)
-
-
-def search(anchor: np.ndarray, uid: int, label: int, same: bool, windows: list[Window], tile: Tile, books, bounds) -> None:
-    """Offer the rows of a tile to the windows of one anchor."""
-    upper, lower = bounds
-    top = max(w.high for w in windows)
-    n_second = len(books[1])
-    for bound, i, j in walk(upper):
-        if all(bound < w.needs for w in windows):
+    def needs(self) -> np.ndarray:
+        """Scores below these cannot enter the windows."""
+        return np.where(self.found[:, :, -1] >= 0, self.scores[:, :, -1], self.low)
+
+    def search(self, tile: Tile, books, bounds) -> None:
+        """Offer the rows of a tile to the windows."""
+        upper, lower = bounds
+        n_second = len(books[1])
+        fits = np.isin(tile.labels, self.labels) if self.same else None
+        bottom = lower[0][:, :, None] + lower[1][:, None, :] <= self.high.max(axis=1)[:, None, None]
+        above = upper[0][:, :, None] + upper[1][:, None, :]
+
+        def wanted():
+            least = self.needs.min(axis=1)
+            return least.min(), (bottom & (above >= least[:, None, None])).any(axis=0)
+
+        least, cells = wanted()
+        spans, n = [], 0
+        for bound, i, j in walk((upper[0].max(axis=0), upper[1].max(axis=0))):
+            if bound < least:
+                break
+            span = tile.span.get(int(i) * n_second + int(j))
+            if span is None or not cells[i, j]:
+                continue
+            picked = np.arange(*span) if fits is None else span[0] + np.flatnonzero(fits[span[0]:span[1]])
+            spans.append(picked)
+            n += len(picked)
+            if n >= self.rows:
+                self.score(tile, np.concatenate(spans))
+                self.rows = min(2 * self.rows, PRODUCT_ROWS)
+                spans, n = [], 0
+                least, cells = wanted()
+        if n:
+            self.score(tile, np.concatenate(spans))
+
+    def score(self, tile: Tile, rows: np.ndarray) -> None:
+        """Score rows of a tile and offer those that a window needs."""
+        kind = product_type(self, tile)
+        own, other, needs = self.numbers(kind), tile.numbers(kind), self.needs
+        low, high = needs.min(axis=1).astype(kind), self.high.max(axis=1).astype(kind)
+        for lo in range(0, len(rows), PRODUCT_ROWS):  # a cell may hold more
+            part = rows[lo:lo + PRODUCT_ROWS]
+            scores = own @ other[part].T
+            a, r = np.divmod(np.flatnonzero((scores >= low[:, None]) & (scores <= high[:, None])), len(part))
+            if not len(a):
+                continue
+            s, r = scores[a, r].astype(np.int64), part[r]
+            mine = (tile.labels[r] == self.labels[a]) == self.same
+            if self.same:
+                mine &= tile.uids[r] != self.uids[a]
+            self.offer(a[mine], s[mine], tile.ids[r[mine]], tile.uids[r[mine]])
+
+    def offer(self, a: np.ndarray, scores: np.ndarray, ids: np.ndarray, uids: np.ndarray) -> None:
+        """Rows with these scores for the anchors ``a``: larger scores come
+        first, then smaller ids."""
+        needs, last = self.needs[a], np.where(self.found[:, :, -1] >= 0, self.ids[:, :, -1], NO_ID)[a]
+        s = scores[:, None]
+        at, w = np.nonzero(((s > needs) | ((s == needs) & (ids[:, None] <= last))) & (s <= self.high[a]))
+        if not len(at):
             return
-        span = tile.span.get(int(i) * n_second + int(j))
-        if span is None or lower[0][i] + lower[1][j] > top:
-            continue
-        lo, hi = span
-        mine = (tile.labels[lo:hi] == label) == same
-        if same:
-            mine &= tile.uids[lo:hi] != uid
-        if mine.any():
-            scores = tile.codes[lo:hi][mine].astype(np.float64) @ anchor if exact(tile.dim) else tile.codes[lo:hi][mine].astype(np.int64) @ anchor.astype(np.int64)
-            ids, uids = tile.ids[lo:hi][mine], tile.uids[lo:hi][mine]
-            for w in windows:
-                w.offer(scores, ids, uids)
-
-
-def exact(dim: int) -> bool:
-    """Sums of ``dim`` products are whole numbers that a double can hold."""
-    return dim * LARGEST * LARGEST <= 1 << 53
+        k, slot = self.k, a[at] * self.low.shape[1] + w
+        # the rows of the windows that change, old and new
+        mine = np.unique(slot)
+        kept = [x.reshape(-1, k)[mine].ravel() for x in (self.scores, self.ids, self.found)]
+        old = kept[2] >= 0
+        slot = np.concatenate([np.repeat(mine, k)[old], slot])
+        scores, ids, uids = (np.concatenate([x[old], y[at]]) for x, y in zip(kept, (scores, ids, uids)))
+        order = np.lexsort((uids, ids, -scores, slot))
+        slot = slot[order]
+        nth = np.arange(len(slot)) - np.searchsorted(slot, slot, "left")
+        best = nth < k
+        slot, nth, order = slot[best], nth[best], order[best]
+        for x, y in zip((self.scores, self.ids, self.found), (scores, ids, uids)):
+            x.reshape(-1, k)[slot, nth] = y[order]
+
+
+def windows_of(scores: list[list[int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Positive scores by anchors, each once and none below 0, and the lowest
+    and highest scores of their negatives; an anchor with fewer has empty windows."""
+    distinct = [sorted({s for s in mine if s >= 0}) for mine in scores]
+    n = max(map(len, distinct), default=0)
+    at = np.array([mine + [-1] * (n - len(mine)) for mine in distinct], np.int64).reshape(len(distinct), n)
+    # LOW * at / 100 rounded up and HIGH * at / 100 rounded down, without overflow
+    q, r = np.divmod(at, 100)
+    low, high = LOW * q - (-LOW * r // 100), HIGH * q + HIGH * r // 100
+    return at, np.where(at < 0, NO_ID, low), np.where(at < 0, LEAST, high)
 
 
 def _search(sent, positives: int, negatives: int):
@@ -255,56 +344,68 @@ def _search(sent, positives: int, negatives: int):
     of the positives) rows of other labels are looked for, else positives."""
     names = ["uid", "window", "found_uid", "found_id", "score"]
 
+    def block(q, dim, rows, books):
+        code = np.stack([codes_of(q["codes"][i], 1, dim)[0].astype(np.int32) for i in rows])
+        uids, labels = (np.array([q[c][i] for i in rows], np.int64) for c in ("uids", "labels"))
+        same = q["windows"][rows[0]] is None
+        if same:
+            at, low, high = (np.full((len(rows), 1), x, np.int64) for x in (0, LEAST, NO_ID))
+        else:
+            at, low, high = windows_of([q["windows"][i] for i in rows])
+        out = Block(code, uids, labels, same, low, high, positives if same else negatives)
+        halves = code[:, :dim // 2].astype(np.float64), code[:, dim // 2:].astype(np.float64)
+        middle = [h @ b.T for h, b in zip(halves, books)]
+        length = [np.sqrt((h * h).sum(axis=1, keepdims=True)) for h in halves]
+        size = [np.abs(m).max(axis=1, keepdims=True, initial=0.0) for m in middle]
+        return out, at, list(zip(middle, length, size))
+
+    def blocks_of(q, dim, books):
+        """Blocks of like anchors: of few labels to find positives, else of few cells."""
+        rows = [i for i, scores in enumerate(q["windows"]) if scores is None or any(s >= 0 for s in scores)]
+        if not rows:
+            return []
+        code = np.stack([codes_of(q["codes"][i], 1, dim)[0].astype(np.float64) for i in rows])
+        cell = [nearest_word(h, b) for h, b in zip((code[:, :dim // 2], code[:, dim // 2:]), books)]
+        labels = [q["labels"][i] if q["windows"][i] is None else 0 for i in rows]
+        rows = np.array(rows)[np.lexsort((cell[1], cell[0], labels))].tolist()
+        return [block(q, dim, rows[lo:lo + BLOCK_ROWS], books) for lo in range(0, len(rows), BLOCK_ROWS)]
+
     def run(batches):
-        current, anchors = None, []
+        current, blocks = None, []
 
         def give():
-            rows = [(uid, at, -u, None if i == -NO_ID else -i, s) for _, uid, _, found in anchors for at, w in found for s, i, u in w.heap]
-            columns = list(zip(*rows)) if rows else [[]] * 5
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
+            for b, at, _ in blocks:
+                a, w, n = np.nonzero(b.found >= 0)
+                ids = b.ids[a, w, n]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(b.uids[a]), pa.array(at[a, w]), pa.array(b.found[a, w, n]), pa.array(ids, mask=ids == NO_ID), pa.array(b.scores[a, w, n])], names)
 
         for batch in batches:
             for r in range(batch.num_rows):
                 if (number := batch.column("q_tile")[r].as_py()) != current:
-                    if anchors:
-                        yield give()
-                    current, anchors = number, []
-                    dim = batch.column("dim")[r].as_py()
-                    q = {c: batch.column("q_" + c)[r].as_py() for c in ("uids", "labels", "codes", "windows")}
-                    for uid, label, code, scores in zip(q["uids"], q["labels"], q["codes"], q["windows"]):
-                        if scores is None:
-                            found = [(0, Window(positives, -np.inf, np.inf))]
-                        else:
-                            found = [(s, Window(negatives, -(-LOW * s // 100), HIGH * s // 100)) for s in sorted(set(scores)) if s >= 0]
-                        if found:
-                            anchors.append((np.frombuffer(code, np.int32).astype(np.float64), uid, (label, scores is None), found))
+                    yield from give()
+                    current, dim = number, batch.column("dim")[r].as_py()
                     books = _books(sent.value, dim)
-                    both = np.stack([a for a, *_ in anchors]) if anchors else np.zeros((0, dim))
-                    halves = both[:, :dim // 2], both[:, dim // 2:]
-                    middle = [h @ b.T for h, b in zip(halves, books)]
-                    length = [np.sqrt((h * h).sum(axis=1)) for h in halves]
-                    size = [np.abs(m).max(axis=1, initial=0.0) for m in middle]
-                if not anchors:
+                    blocks = blocks_of({c: batch.column("q_" + c)[r].as_py() for c in ("uids", "labels", "codes", "windows")}, dim, books)
+                if not blocks:
                     continue
                 tile = Tile(batch, r, "")
                 radii = tile.radii[:len(books[0])], tile.radii[len(books[0]):]
-                for a, (code, uid, (label, same), found) in enumerate(anchors):
+                for b, _, halves in blocks:
                     upper, lower = [], []
-                    for m, n, s, radius in zip(middle, length, size, radii):
+                    for (m, n, s), radius in zip(halves, radii):
                         # a little more than the computed bound covers its rounding
-                        reach = n[a] * radius * (1 + 1e-9) + 1e-9 * s[a] + 1e-6
-                        upper.append(np.where(radius < 0, -np.inf, m[a] + reach))
-                        lower.append(m[a] - reach)
-                    search(code, uid, label, same, [w for _, w in found], tile, books, (upper, lower))
-        if anchors:
-            yield give()
+                        reach = n * radius * (1 + 1e-9) + 1e-9 * s + 1e-6
+                        upper.append(np.where(radius < 0, -np.inf, m + reach))
+                        lower.append(m - reach)
+                    b.search(tile, books, (upper, lower))
+        yield from give()
     return run
 
 
-def _against_index(anchors: DataFrame, tiles: DataFrame, n_tiles: int, sent, positives: int, negatives: int) -> DataFrame:
+def _against_index(anchors: DataFrame, tiles: DataFrame, stripes: int, sent, positives: int, negatives: int) -> DataFrame:
     """uid, window, found_uid, found_id, score: what each tile of anchors finds
     in each stripe of index tiles."""
-    stripes = max(1, -(-n_tiles // STRIPE_TILES))
     # anchors of one length share a tile
     number = F.monotonically_increasing_id()
     q = anchors.mapInArrow(_anchor_tiles, "dim int, uids array<long>, labels array<long>, codes array<binary>, windows array<array<long>>")
@@ -345,11 +446,12 @@ def mine(vectors: DataFrame, anchor_step: int = ANCHOR_STEP, positives: int = PO
     v = v.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding", label.alias("label"))
     sent = spark.sparkContext.broadcast(codebooks(v))  # two codebooks of CODEWORDS words for each length
     tiles = cut(v.mapInArrow(_tiles(sent), TILE), "hardneg-index")
-    n_tiles = tiles.count()
+    n_tiles, n_bytes = tiles.agg(F.count("tile"), F.coalesce(F.sum(F.length("codes")), F.lit(0))).first()
+    stripes = max(1, -(-n_bytes // STRIPE_BYTES), min(-(-n_tiles // LEAST_TILES), spark.sparkContext.defaultParallelism))
     anchors = cut(tiles.mapInArrow(_anchors(anchor_step), ANCHOR), "hardneg-anchors")
 
     none = F.lit(None).cast("array<bigint>")
-    near = _against_index(anchors.withColumn("windows", none), tiles, n_tiles, sent, positives, negatives)
+    near = _against_index(anchors.withColumn("windows", none), tiles, stripes, sent, positives, negatives)
     order = [F.col("score").desc(), F.col("found_id").asc_nulls_last(), "found_uid"]
     best = F.row_number().over(W.partitionBy("uid").orderBy(*order))
     chosen = near.withColumn("nth", best).where(F.col("nth") <= positives).select(
@@ -357,7 +459,7 @@ def mine(vectors: DataFrame, anchor_step: int = ANCHOR_STEP, positives: int = PO
     chosen = cut(chosen, "hardneg-positives")
 
     windows = chosen.groupBy("uid").agg(F.collect_set("positive_score").alias("windows"))  # at most ``positives`` scores
-    far = _against_index(anchors.join(windows, "uid").select("uid", "vec_id", "label", "dim", "codes", "windows"), tiles, n_tiles, sent, positives, negatives)
+    far = _against_index(anchors.join(windows, "uid").select("uid", "vec_id", "label", "dim", "codes", "windows"), tiles, stripes, sent, positives, negatives)
     first = F.row_number().over(W.partitionBy("uid", "window").orderBy(*order))
     far = far.withColumn("rank", first).where(F.col("rank") <= negatives).select(
         "uid", F.col("window").alias("positive_score"), "rank", F.col("found_id").alias("negative_id"), F.col("score").alias("negative_score"))

@@ -5,9 +5,12 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
+from types import SimpleNamespace
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -206,6 +209,57 @@ def test_hard_negatives_edge_cases(spark):
     assert sorted(map(tuple, hardneg.mine(vectors(spark, rows)).collect()), key=str) == hard_by_brute(rows) != []
 
 
+@pytest.mark.parametrize("size, dim", [(1.0, 8), (16000.0, 8), (16000.0, 600)])
+def test_hard_negatives_in_each_number_type(spark, size, dim):
+    """Sums of products that 32-bit, 64-bit floats and only whole numbers hold."""
+    r = np.random.default_rng(dim)
+    rows = [(i * 20, [float(np.float32(x)) for x in size * r.uniform(0.4, 1, size=dim)], int(r.integers(3))) for i in range(60)]
+    rows += [(7 * i + 1, [x * 0.5 for x in rows[i][1]], 4) for i in range(30)] + [(9001 + i, [size * 0.4] * dim, 5) for i in range(30)]
+    got = sorted(map(tuple, hardneg.mine(vectors(spark, rows)).collect()), key=str)
+    assert got == hard_by_brute(rows) and len(got) > 200
+
+
+def test_hard_negatives_cost_where_no_cell_is_pruned(monkeypatch):
+    """Vectors without clusters: the bounds prune nothing, and each search of
+    256 anchors and 8,192 rows takes a fraction of a second (1.6 s and more
+    when each anchor walked each cell by itself)."""
+    r = np.random.default_rng(5)
+    n, step = 8192, 32
+    v = r.normal(size=(n, 64))
+    v /= np.sqrt((v * v).sum(axis=1, keepdims=True))
+    labels = r.integers(10, size=n)
+    monkeypatch.setattr(hardneg, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    e = np.floor(v * 256)
+    sent = SimpleNamespace(value={64: (hardneg.fit(e[:4096, :32], 16), hardneg.fit(e[:4096, 32:], 16))})
+    rows = pa.RecordBatch.from_arrays([pa.array(np.arange(n)), pa.array(list(v)), pa.array(labels)], ["vec_id", "embedding", "label"])
+    [tile] = hardneg._tiles(sent)([rows])
+    [anchors] = hardneg._anchors(step)([tile])
+
+    def found(windows):
+        asked = anchors.append_column("windows", pa.array(windows, pa.list_(pa.int64())))
+        blocks = [pa.RecordBatch.from_arrays([pa.array([i]), *q.columns[1:], *tile.columns], ["q_tile", *("q_" + c for c in q.schema.names[1:]), *tile.schema.names])
+                  for i, q in enumerate(hardneg._anchor_tiles([asked]))]
+        began = time.process_time()
+        out = list(hardneg._search(sent, 5, 10)(iter(blocks)))
+        assert time.process_time() - began < 0.8
+        return sorted((x["uid"], x["window"], -x["score"], x["found_id"]) for b in out for x in b.to_pylist())
+
+    uids, ids = anchors.column("uid").to_pylist(), anchors.column("vec_id").to_numpy()
+    scores = (e[ids] @ e.T).astype(int)
+    expect, windows = [], []
+    for uid, i, s in zip(uids, ids.tolist(), scores):
+        best = sorted((-s[j], j) for j in np.flatnonzero(labels == labels[i]) if j != i)[:5]
+        expect += [(uid, 0, *x) for x in best]
+        windows.append([int(-x) for x, _ in best])
+    assert found([None] * len(ids)) == sorted(expect)
+    expect = []
+    for uid, i, s, mine in zip(uids, ids.tolist(), scores, windows):
+        for p in set(mine):
+            ok = np.flatnonzero((labels != labels[i]) & (30 * p <= 100 * s) & (100 * s <= 90 * p))
+            expect += [(uid, p, *x) for x in sorted((-s[j], j) for j in ok)[:10]]
+    assert found(windows) == sorted(expect)
+
+
 def test_cells_are_walked_in_falling_order():
     r = np.random.default_rng(4)
     upper = r.normal(size=7), r.normal(size=5)
