@@ -60,7 +60,7 @@ CODEWORDS = 16
 TILE_ROWS = 8192
 ANCHOR_ROWS = 1024
 #: Anchors of a block, and rows of a product: it starts with a few, so that the next ones are pruned.
-BLOCK_ROWS = 64
+BLOCK_ROWS = 128
 FIRST_ROWS, PRODUCT_ROWS = 256, 2048
 #: Bytes of the tiles of a stripe, about, and fewer tiles where cores would be idle, but so many at least.
 STRIPE_BYTES, LEAST_TILES = 64 << 20, 4
@@ -259,7 +259,8 @@ class Block(Scored):
         """Offer the rows of a tile to the windows."""
         upper, lower = bounds
         n_second = len(books[1])
-        fits = np.isin(tile.labels, self.labels) if self.same else None
+        fits = np.isin(tile.labels, self.labels) if self.same else np.ones(len(tile.labels), bool)
+        until = np.concatenate([[0], np.cumsum(fits)]).tolist()
         bottom = lower[0][:, :, None] + lower[1][:, None, :] <= self.high.max(axis=1)[:, None, None]
         above = upper[0][:, :, None] + upper[1][:, None, :]
 
@@ -275,19 +276,20 @@ class Block(Scored):
             span = tile.span.get(int(i) * n_second + int(j))
             if span is None or not cells[i, j]:
                 continue
-            picked = np.arange(*span) if fits is None else span[0] + np.flatnonzero(fits[span[0]:span[1]])
-            spans.append(picked)
-            n += len(picked)
+            spans.append(span)
+            n += until[span[1]] - until[span[0]]
             if n >= self.rows:
-                self.score(tile, np.concatenate(spans))
+                self.score(tile, spans, fits)
                 self.rows = min(2 * self.rows, PRODUCT_ROWS)
                 spans, n = [], 0
                 least, cells = wanted()
         if n:
-            self.score(tile, np.concatenate(spans))
+            self.score(tile, spans, fits)
 
-    def score(self, tile: Tile, rows: np.ndarray) -> None:
-        """Score rows of a tile and offer those that a window needs."""
+    def score(self, tile: Tile, spans: list[tuple[int, int]], fits: np.ndarray) -> None:
+        """Score the fitting rows of spans and offer those that a window needs."""
+        rows = np.concatenate([np.arange(*span) for span in spans])
+        rows = rows[fits[rows]]
         kind = product_type(self, tile)
         own, other, needs = self.numbers(kind), tile.numbers(kind), self.needs
         low, high = needs.min(axis=1).astype(kind), self.high.max(axis=1).astype(kind)
